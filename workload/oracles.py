@@ -96,7 +96,8 @@ _FOOTER = f"""{_NAMES},
 texts AS (
   SELECT page_id, url, enc,
          regexp_extract(html, '<footer>&copy; ([^ <]+) &middot; ([^<]*)</footer>', 1) AS host,
-         regexp_extract(html, '<footer>&copy; ([^ <]+) &middot; ([^<]*)</footer>', 2) AS words,
+         regexp_replace(regexp_extract(html, '<footer>&copy; ([^ <]+) &middot; ([^<]*)</footer>', 2),
+                        '[ \t\r\n]+', ' ', 'g') AS words,
          TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(page_id AS INTEGER)) AS fetched_at
   FROM encoded
 ),
