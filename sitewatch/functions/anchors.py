@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 _INERT = "script|style|textarea|title|noscript|template|iframe|noframes|xmp"
 
 _NOT_MARKUP = rf"(?is)<!--.*?(?:-->|\z)|<({_INERT})(?=[\s/>]).*?(?:</\1(?=[\s/>])|\z)"
-_ANCHOR = r"""(?i)<a(?=[\s/])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+# A tag cut off by the end of the page is matched up to there, and dropped, so that no
+# text is looked at twice.
+_ANCHOR = r"""(?i)<a(?=[\s/])(?:[^>"']++|"[^"]*+(?:"|\z)|'[^']*+(?:'|\z))*+(?:>|\z)"""
 _OTHER_ATTRIBUTE = r"""[\s/]*+(?!href\s*+=)[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+))?+"""
 _HREF = rf"""(?i)^<a(?:{_OTHER_ATTRIBUTE})*+[\s/]*+href\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
 _REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*+);|[^&]++|&"
@@ -58,9 +60,10 @@ def unescape(text: Column) -> Column:
 
 def anchor_tags(html: Column) -> Column:
     """The start tags of all ``a`` elements as an array, comments and scripts left out."""
-    return F.regexp_extract_all(
+    tags = F.regexp_extract_all(
         F.regexp_replace(html, _NOT_MARKUP, " "), F.lit(_ANCHOR), F.lit(0)
     )
+    return F.filter(tags, lambda tag: tag.endswith(">"))
 
 
 def href_of(tag: Column) -> Column:

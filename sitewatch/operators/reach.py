@@ -8,40 +8,73 @@ from pyspark.sql import functions as F
 from sitewatch.functions.urls import canonical_url, is_sub_page, marker_path, page_id
 from sitewatch.session import materialise, scratch_path
 
-_ROUND = "url string"
+LINKS_PER_BUCKET = 50_000_000
+
+_LINKS = "src_url string, dst_url string, bucket int"
 _VISITED = "url string, depth int"
 
 
-def reach(links: DataFrame, start_url: str) -> DataFrame:
+def store_links(
+    links: DataFrame, links_per_bucket: int = LINKS_PER_BUCKET
+) -> tuple[DataFrame, int]:
+    """Store links ``(src_url, dst_url)`` for the rounds of a crawl, with the number of buckets.
+
+    The rounds with few URLs are many, and should not read all links. So a large table is
+    laid out in folders by a hash of the source, sorted by it; a source with very many
+    links gets more files, not one large task. A table of one bucket stays as it is.
+    """
+    counted = Observation()
+    stored = materialise(
+        links.select("src_url", "dst_url").observe(counted, F.count(F.lit(1)).alias("links")),
+        "links",
+    )
+    buckets = max(1, -(-counted.get["links"] // links_per_bucket))
+    if buckets == 1:
+        return stored.withColumn("bucket", F.lit(0)), 1
+    path = scratch_path(links.sparkSession, "bucketed-links")
+    (
+        stored.withColumn("bucket", _bucket(F.col("src_url"), buckets))
+        .hint("rebalance", "bucket")
+        .sortWithinPartitions("bucket", "src_url")
+        .write.partitionBy("bucket")
+        .parquet(path)
+    )
+    return links.sparkSession.read.schema(_LINKS).parquet(path), buckets
+
+
+def _bucket(url: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(url), F.lit(buckets)).cast("int")
+
+
+def reach(links: DataFrame, buckets: int, start_url: str) -> DataFrame:
     """All URLs reachable from the start, with their distance: ``(url, depth)``.
 
-    ``links`` needs ``src_url`` and ``dst_url``, both canonical, and should be a stored
-    table, as each round reads it. One round is one job: the links of the last round's
-    URLs, distinct, without those visited before, written below the shared folder. The
-    distinct combines map-side, so a target every page links to costs one row per task,
-    and it runs before the anti-join, which then reuses its partitioning.
+    ``links`` and ``buckets`` come from ``store_links``; URLs are canonical. One round is
+    one job: the links of the last round's URLs, distinct, without those visited before,
+    written below the shared folder. While the last round is small enough to broadcast,
+    only its buckets are read and no link is shuffled. The distinct combines map-side, so
+    a target every page links to costs one row per task, and it runs before the
+    anti-join, which then reuses its partitioning.
     """
     spark = links.sparkSession
     base = scratch_path(spark, "visited")
-
-    def round_path(depth: int) -> str:
-        return f"{base}/depth={depth}"
-
     spark.range(1).select(canonical_url(F.lit(start_url)).alias("url")).write.parquet(
-        round_path(0)
+        f"{base}/depth=0"
     )
     depth, found = 0, 1
     while found:
-        frontier = spark.read.schema(_ROUND).parquet(round_path(depth))
-        visited = spark.read.schema(_VISITED).parquet(base).select("url")
+        visited = spark.read.schema(_VISITED).parquet(base)
+        frontier = visited.where(F.col("depth") == depth).select(
+            F.col("url").alias("src_url"), _bucket(F.col("url"), buckets).alias("bucket")
+        )
         counted = Observation()
         (
-            links.join(frontier, F.col("src_url") == F.col("url"))
+            links.join(frontier, ["bucket", "src_url"])
             .select(F.col("dst_url").alias("url"))
             .distinct()
-            .join(visited, "url", "left_anti")
+            .join(visited.select("url"), "url", "left_anti")
             .observe(counted, F.count(F.lit(1)).alias("found"))
-            .write.parquet(round_path(depth + 1))
+            .write.parquet(f"{base}/depth={depth + 1}")
         )
         depth, found = depth + 1, counted.get["found"]
     return spark.read.schema(_VISITED).parquet(base)
@@ -72,5 +105,5 @@ def crawl_site(
     require_outlink: bool = True,
 ) -> DataFrame:
     """Discovery as a whole, from in-site links to reported pages."""
-    stored = materialise(links.select("src_url", "dst_url"), "links")
-    return emitted_pages(reach(stored, start_url), stored, run_ts, require_outlink)
+    stored, buckets = store_links(links)
+    return emitted_pages(reach(stored, buckets, start_url), stored, run_ts, require_outlink)

@@ -11,7 +11,8 @@ from sitewatch.sources.snapshots import is_missing
 
 _RUN_DATE = StructField("run_date", DateType())
 
-# What has to be said on both sides for every text to come back as it was.
+# What has to be said on both sides for every text to come back as it was; only the
+# empty text comes back as NULL.
 _CSV = {
     "header": True,
     "escape": '"',

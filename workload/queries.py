@@ -137,9 +137,8 @@ def crawl_reach(spark, sf_dir):
     links = link_ops.page_links(
         stand_ins.table(spark, sf_dir, "pages").select("url", "html"), "url"
     )
-    stored = materialise(stand_ins.page_graph(links), "graph")
     first = stand_ins.table(spark, sf_dir, "pages").where("page_id = 0").first()["url"]
-    return reach.reach(stored, first)
+    return reach.reach(*reach.store_links(stand_ins.page_graph(links)), first)
 
 
 def crawl_emitted(spark, sf_dir):
