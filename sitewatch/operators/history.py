@@ -9,7 +9,7 @@ from sitewatch.functions.footer import observed_fields, raw_footer
 from sitewatch.functions.urls import browser_url, canonical_url
 from sitewatch.operators.newest import newest_per_key
 from sitewatch.schemas import NOT_FOUND, OBSERVED_FIELDS
-from sitewatch.session import as_timestamp
+from sitewatch.session import as_timestamp, materialise
 
 _BUCKET_DIGITS = 3
 
@@ -22,29 +22,38 @@ def extract_footers(fetches: DataFrame) -> DataFrame:
     )
 
 
-def observe_pages(
-    active: DataFrame, fetches: DataFrame, run_ts: datetime | Column
-) -> DataFrame:
-    """One row per active page: its fields as of ``run_ts``, or four times the marker.
+def newest_footers(fetches: DataFrame, run_ts: datetime | Column) -> DataFrame:
+    """The observed fields of each URL's newest fetch as of ``run_ts``.
 
-    Fields are extracted where the page is read; only these short rows are shuffled, first
-    to the newest fetch per URL and then to the active pages. Two ids may share a URL.
+    Fields are extracted where the page is read, so only short rows are shuffled.
     """
-    when_run = as_timestamp(run_ts)
     known = extract_footers(
-        fetches.where(F.col("fetched_at") <= when_run).select(
+        fetches.where(F.col("fetched_at") <= as_timestamp(run_ts)).select(
             canonical_url(browser_url(F.col("url"))).alias("fetch_url"), "fetched_at", "html"
         )
     )
     order = [F.col("fetched_at").desc(), *[F.col(f).asc() for f in OBSERVED_FIELDS]]
-    newest = newest_per_key(known, ["fetch_url"], order)
-    joined = active.withColumn("page_url", canonical_url(browser_url(F.col("url")))).join(
-        newest, F.col("page_url") == F.col("fetch_url"), "left"
-    )
-    return joined.select(
-        F.col("id").alias("page_id"),
-        when_run.alias("scrape_timestamp"),
-        *[F.coalesce(F.col(f), F.lit(NOT_FOUND)).alias(f) for f in OBSERVED_FIELDS],
+    return newest_per_key(known, ["fetch_url"], order)
+
+
+def observe_pages(
+    active: DataFrame, fetches: DataFrame, run_ts: datetime | Column
+) -> DataFrame:
+    """One row per active page: its fields as of ``run_ts``, or four times the marker.
+
+    Many ids may share one URL, which makes that URL's partition of the join a large one.
+    The planner splits it, which it can only do when both sides come straight from a
+    shuffle, so the footers are stored before. Nor are pages parsed again if it fails.
+    """
+    newest = materialise(newest_footers(fetches, run_ts), "footers")
+    return (
+        active.withColumn("page_url", canonical_url(browser_url(F.col("url"))))
+        .join(newest, F.col("page_url") == F.col("fetch_url"), "left")
+        .select(
+            F.col("id").alias("page_id"),
+            as_timestamp(run_ts).alias("scrape_timestamp"),
+            *[F.coalesce(F.col(f), F.lit(NOT_FOUND)).alias(f) for f in OBSERVED_FIELDS],
+        )
     )
 
 
