@@ -1,13 +1,14 @@
 """Footer fields of a page.
 
 Nested elements are beyond regular expressions, so this is the one place that runs
-Python on the executors: an Arrow-batched UDF around the standard library's parser.
-Its text rules are those of a browser; everything after the raw text is native.
+Python on the executors: an Arrow-batched UDF that walks the tags of one page with a
+stack. Its text rules are those of a browser; everything after the raw text is native.
 """
 
 import re
 import sys
-from html.parser import HTMLParser
+from collections import Counter
+from html import unescape
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -27,97 +28,124 @@ FIELD_IDS = {
 
 # Element classes of HTML.
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
-_UNSHOWN = set("script style template noscript head title textarea select iframe".split())
+_UNSHOWN = set("head select".split())
+_CELL = {"td", "th"}
+_INERT = "script|style|template|noscript|title|textarea|iframe|noframes|xmp"
 _BLOCK = set(
     "address article aside blockquote dd details div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section summary table tr ul".split()
 )
+
+# A comment, an element without elements inside, a tag, or anything else in brackets; each
+# up to the end of the page when it is not closed. Only tags set the named groups.
+_MARKUP = re.compile(
+    rf"""
+    <!--.*?(?:-->|\Z)
+    | <({_INERT})(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*+|\Z)>?
+    | <(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)
+      (?P<attributes>(?:[^>"']++|"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))*+)>?
+    | <[!?/][^>]*+>?
+    """,
+    re.IGNORECASE | re.DOTALL | re.VERBOSE,
+)
+_ATTRIBUTE = re.compile(r"""([^\s/>=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?+""")
 _HIDING_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _BLANKS = re.compile(r"[ \t\r\n\f]+")
-
 _RAW = ["full_text", "date_time", "updated_by", "responsible"]
 
 # Executors get this module with the task, the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-class _FooterRead(Exception):
-    """The footer element has been closed; the rest of the page is of no interest."""
+def _attributes(text):
+    """Attributes by lower-case name; of a repeated one the first counts."""
+    found = {}
+    for name, value in _ATTRIBUTE.findall(text):
+        if value[:1] in ("'", '"'):
+            value = value[1:-1]
+        found.setdefault(name.lower(), unescape(value))
+    return found
+
 
+class _Lines:
+    """The visible text of one element as it grows."""
 
-class _FooterParser(HTMLParser):
     def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.open = []  # (tag, hidden, field) of every open element
-        self.lines = {}  # field -> its visible lines
-
-    def _reading(self):
-        return [field for _, _, field in self.open if field]
-
-    def _break_line(self, always):
-        for field in self._reading():
-            if always or self.lines[field][-1].strip(" "):
-                self.lines[field].append("")
-
-    def handle_starttag(self, tag, attrs):
-        attributes = dict(reversed(attrs))
-        if tag == "br" or tag in _BLOCK:
-            self._break_line(always=tag == "br")
-        elif tag in ("td", "th"):
-            self.handle_data(" ")
-        if tag in _VOID:
-            return
-        hidden = (
-            (bool(self.open) and self.open[-1][1])
-            or tag in _UNSHOWN
-            or "hidden" in attributes
-            or bool(_HIDING_STYLE.search(attributes.get("style") or ""))
-        )
-        field = None
-        if "full_text" not in self.lines:
-            field = "full_text" if attributes.get("id") == CONTAINER_ID else None
-        elif FIELD_IDS.get(attributes.get("id")) not in self.lines:
+        self.lines = [""]
+
+    def add(self, text):
+        self.lines[-1] += text
+
+    def end_line(self, even_if_empty=False):
+        if even_if_empty or self.lines[-1].strip(" "):
+            self.lines.append("")
+
+    def text(self):
+        trimmed = "\n".join(_BLANKS.sub(" ", line).strip(" ") for line in self.lines)
+        return trimmed.strip("\n").replace("\xa0", " ")
+
+
+def _walk(html, fields):
+    """Collect the visible lines of the footer and its fields into ``fields``."""
+    elements = []  # (tag, hidden, field) of every open element
+    open_tags = Counter()
+    reading = []  # the fields whose elements are open
+
+    def read_text(start, end):
+        if reading and end > start and not elements[-1][1]:
+            text = _BLANKS.sub(" ", unescape(html[start:end]))
+            for field in reading:
+                fields[field].add(text)
+
+    position = 0
+    for markup in _MARKUP.finditer(html):
+        read_text(position, markup.start())
+        position = markup.end()
+        if not markup["tag"]:
+            continue
+        tag = markup["tag"].lower()
+        for field in reading:
+            if tag == "br" or tag in _BLOCK:
+                fields[field].end_line(even_if_empty=tag == "br")
+            elif tag in _CELL:
+                fields[field].add(" ")
+
+        if markup["end"]:
+            while open_tags[tag]:
+                closed, _, field = elements.pop()
+                open_tags[closed] -= 1
+                if field:
+                    reading.remove(field)
+                if field == "full_text":
+                    return
+                if closed == tag:
+                    break
+        elif tag not in _VOID:
+            attributes = _attributes(markup["attributes"])
+            hidden = (
+                (bool(elements) and elements[-1][1])
+                or tag in _UNSHOWN
+                or "hidden" in attributes
+                or bool(_HIDING_STYLE.search(attributes.get("style", "")))
+            )
             field = FIELD_IDS.get(attributes.get("id"))
-        if field:
-            self.lines[field] = [""]
-        self.open.append((tag, hidden, field))
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag):
-        if not any(tag == opened for opened, _, _ in self.open):
-            return
-        if tag in _BLOCK:
-            self._break_line(always=False)
-        while True:
-            closed, _, field = self.open.pop()
-            if field == "full_text":
-                raise _FooterRead
-            if closed == tag:
-                return
-
-    def handle_data(self, data):
-        if self.open and not self.open[-1][1]:
-            for field in self._reading():
-                self.lines[field][-1] += _BLANKS.sub(" ", data)
-
-    def text(self, field):
-        if field not in self.lines:
-            return None
-        lines = [_BLANKS.sub(" ", line).strip(" ") for line in self.lines[field]]
-        return "\n".join(lines).strip("\n").replace("\xa0", " ")
+            if "full_text" not in fields:
+                field = "full_text" if attributes.get("id") == CONTAINER_ID else None
+            elif field in fields:
+                field = None
+            if field:
+                fields[field] = _Lines()
+                reading.append(field)
+            elements.append((tag, hidden, field))
+            open_tags[tag] += 1
+    read_text(position, len(html))
 
 
 def read_footer(html):
-    """Raw visible texts ``(full_text, date_time, updated_by, responsible)`` of one page."""
-    parser = _FooterParser()
-    try:
-        parser.feed(html)
-        parser.close()
-    except _FooterRead:
-        pass
-    return tuple(parser.text(field) for field in _RAW)
+    """Raw visible texts of one page's footer, None for what it does not have."""
+    fields = {}
+    _walk(html, fields)
+    return tuple(fields[name].text() if name in fields else None for name in _RAW)
 
 
 @F.pandas_udf(StructType([StructField(field, StringType()) for field in _RAW]))

@@ -61,6 +61,16 @@ CASES = {
     "unclosed inner tags": (footer("<p>Por ", span(USER, "Ana<b>"), "<p>fim"), (NF, "Ana", NF, "Por Ana\nfim")),
     "void tags": (footer("<img src=x><hr>", span(USER, "A<wbr>na")), (NF, "Ana", NF, "Ana")),
     "script inside": (footer("<script>var x='</div>'</script>", span(USER, "Ana")), (NF, "Ana", NF, "Ana")),
+    "cells": (
+        footer("<table><tr><td>Por</td><td>", span(USER, "Ana"), "</td></tr><tr><td>fim</table>"),
+        (NF, "Ana", NF, "Por Ana\nfim"),
+    ),
+    "cut off": (f'<div id="idCorpoRodape">Por <span id={USER}>Ana', (NF, "Ana", NF, "Por Ana")),
+    "stray end tags": (footer("</b></p>", span(USER, "Ana"), "</section>"), (NF, "Ana", NF, "Ana")),
+    "less-than as text": (footer("1 < 2 <3 ", span(USER, "Ana")), (NF, "Ana", NF, "1 < 2 <3 Ana")),
+    "sign in an attribute": (
+        f'<p title="a > b <i hidden>">x{footer(span(USER, "Ana"))}', (NF, "Ana", NF, "Ana")
+    ),
     "the marker as text": (footer(span(DATE, "Not Found"), span(USER, "Ana")), (NF, "Ana", NF, "Not FoundAna")),
     "id spelled with references": (
         f'<div id="idCorpo&#82;odape">{span(USER, "Ana")}</div>', (NF, "Ana", NF, "Ana")
