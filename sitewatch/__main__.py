@@ -1,4 +1,4 @@
-"""``python -m sitewatch {discover,observe,status}``, also for spark-submit."""
+"""``python -m sitewatch {create,discover,observe,status}``, also for spark-submit."""
 
 import argparse
 import json
@@ -9,8 +9,8 @@ from sitewatch.plans.observe import observe
 from sitewatch.plans.status import register_views, run_checks
 from sitewatch.schemas import REGISTRY
 from sitewatch.session import build_session
-from sitewatch.sources.snapshots import read_snapshot
-from sitewatch.sources.tables import read_fetches, read_history
+from sitewatch.sources.snapshots import create_table, read_snapshot
+from sitewatch.sources.tables import create_history, read_fetches, read_history
 
 
 def _run_time(text: str) -> datetime:
@@ -18,29 +18,48 @@ def _run_time(text: str) -> datetime:
     return moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
 
 
+# The paths each run needs besides the registry.
+_RUNS = {
+    "create": ["history"],
+    "discover": ["fetches"],
+    "observe": ["fetches", "history"],
+    "status": ["history", "out"],
+}
+_HELP = {
+    "fetches": "Parquet table of stored pages: url, html, fetched_at",
+    "history": "Parquet table of observations",
+    "out": "where to write the current status",
+}
+
+
 def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="sitewatch")
     runs = parser.add_subparsers(dest="run", required=True)
-    for name in ("discover", "observe", "status"):
+    for name, paths in _RUNS.items():
         run = runs.add_parser(name)
         run.add_argument("--registry", required=True, help="root of the page registry")
-        if name != "status":
-            run.add_argument("--fetches", required=True, help="Parquet table of stored pages")
+        for path in paths:
+            run.add_argument(f"--{path}", required=True, help=_HELP[path])
+        if "fetches" in paths:
             run.add_argument("--run-ts", type=_run_time, default=datetime.now(timezone.utc))
-        if name != "discover":
-            run.add_argument("--history", required=True, help="Parquet table of observations")
         if name == "discover":
             run.add_argument("--start-url", required=True)
-            run.add_argument("--without-outlink", action="store_true")
-        if name == "status":
-            run.add_argument("--out", required=True, help="where to write the current status")
+            run.add_argument(
+                "--without-outlink",
+                action="store_true",
+                help="also report pages that show no in-site link of their own",
+            )
     return parser.parse_args()
 
 
 def main() -> None:
     args = _arguments()
     spark = build_session()
-    if args.run == "discover":
+    if args.run == "create":
+        create_table(spark, args.registry, REGISTRY)
+        create_history(spark, args.history)
+        result = {"created": [args.registry, args.history]}
+    elif args.run == "discover":
         fetches = read_fetches(spark, args.fetches)
         result = discover(
             spark, fetches, args.registry, args.start_url, args.run_ts, not args.without_outlink

@@ -13,12 +13,18 @@ from pyspark.sql import functions as F
 # Elements whose content a browser does not turn into elements of the page.
 _INERT = "script|style|textarea|title|noscript|template|iframe|noframes|xmp"
 
-_NOT_MARKUP = rf"(?is)<!--.*?(?:-->|\z)|<({_INERT})(?=[\s/>]).*?(?:</\1(?=[\s/>])|\z)"
-# A tag cut off by the end of the page is matched up to there, and dropped, so that no
-# text is looked at twice.
-_ANCHOR = r"""(?i)<a(?=[\s/])(?:[^>"']++|"[^"]*+(?:"|\z)|'[^']*+(?:'|\z))*+(?:>|\z)"""
-_OTHER_ATTRIBUTE = r"""[\s/]*+(?!href\s*+=)[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+))?+"""
-_HREF = rf"""(?i)^<a(?:{_OTHER_ATTRIBUTE})*+[\s/]*+href\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
+# All markup, so that nothing inside a comment, a script or an attribute is taken for a tag;
+# each piece up to the end of the page when it is not closed. The second group is an anchor.
+_UNQUOTED = r"""[^\s>"'][^\s>]*+"""
+_QUOTED = rf"""(?:"[^"]*+"|'[^']*+'|{_UNQUOTED})"""
+_VALUE = rf"""(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|{_UNQUOTED})"""
+_ATTRIBUTES = rf"(?:[^>=]++|=\s*+{_VALUE}?+)*+(?:>|\z)"
+_MARKUP = (
+    rf"(?is)<(?:!--.*?(?:-->|\z)|({_INERT})(?=[\s/>]).*?(?:</\1(?=[\s/>])|\z)|[!?/][^>]*+"
+    rf"|(a(?=[\s/]){_ATTRIBUTES})|[a-z]{_ATTRIBUTES})"
+)
+_OTHER = rf"[\s/]*+(?!href\s*+=)[^\s/>=]++(?:\s*+=\s*+{_QUOTED})?+"
+_HREF = rf"(?i)^a(?:{_OTHER})*+[\s/]*+href\s*+=\s*+({_QUOTED})"
 _REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*+);|[^&]++|&"
 
 _NAMED = {f"&{name};": chr(point) for name, point in sorted(name2codepoint.items())}
@@ -59,11 +65,9 @@ def unescape(text: Column) -> Column:
 
 
 def anchor_tags(html: Column) -> Column:
-    """The start tags of all ``a`` elements as an array, comments and scripts left out."""
-    tags = F.regexp_extract_all(
-        F.regexp_replace(html, _NOT_MARKUP, " "), F.lit(_ANCHOR), F.lit(0)
-    )
-    return F.filter(tags, lambda tag: tag.endswith(">"))
+    """The start tags of all ``a`` elements as an array, without their opening bracket."""
+    pieces = F.regexp_extract_all(html, F.lit(_MARKUP), F.lit(2))
+    return F.filter(pieces, lambda piece: piece.endswith(">"))
 
 
 def href_of(tag: Column) -> Column:

@@ -38,17 +38,17 @@ _BLOCK = set(
 
 # A comment, an element without elements inside, a tag, or anything else in brackets; each
 # up to the end of the page when it is not closed. Only tags set the named groups.
+_VALUE = r"""(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)"""
 _MARKUP = re.compile(
     rf"""
     <!--.*?(?:-->|\Z)
     | <({_INERT})(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*+|\Z)>?
-    | <(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)
-      (?P<attributes>(?:[^>"']++|"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))*+)>?
+    | <(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attributes>(?:[^>=]++|=\s*+{_VALUE}?+)*+)>?
     | <[!?/][^>]*+>?
     """,
     re.IGNORECASE | re.DOTALL | re.VERBOSE,
 )
-_ATTRIBUTE = re.compile(r"""([^\s/>=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?+""")
+_ATTRIBUTE = re.compile(rf"([^\s/>=]++)(?:\s*+=\s*+({_VALUE}))?+")
 _HIDING_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _BLANKS = re.compile(r"[ \t\r\n\f]+")
 _RAW = ["full_text", "date_time", "updated_by", "responsible"]
@@ -61,7 +61,7 @@ def _attributes(text):
     """Attributes by lower-case name; of a repeated one the first counts."""
     found = {}
     for name, value in _ATTRIBUTE.findall(text):
-        if value[:1] in ("'", '"'):
+        if value.startswith(("'", '"')):
             value = value[1:-1]
         found.setdefault(name.lower(), unescape(value))
     return found

@@ -46,6 +46,6 @@ def discover(
         others.write.parquet(result["collisions"])
 
     registry = read_snapshot(spark, registry_root, REGISTRY)
-    version = (current_version(spark, registry_root) or 0) + 1
+    version = current_version(spark, registry_root) + 1
     commit_snapshot(upsert_pages(registry, kept, run_ts), registry_root, version)
     return result

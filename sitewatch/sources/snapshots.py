@@ -5,7 +5,6 @@ appended to the ``commits`` table. Readers never see a half-written state, and t
 being read is never overwritten. Each table has one writer at a time.
 """
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -13,41 +12,37 @@ from pyspark.sql.types import StructType
 _COMMIT = "version bigint, committed_at timestamp"
 
 
-def is_missing(error: Exception) -> bool:
-    return (
-        isinstance(error, AnalysisException) and error.getCondition() == "PATH_NOT_FOUND"
-    )
+def create_table(spark: SparkSession, root: str, schema: StructType) -> None:
+    """An empty table, version 0; fails when there is one already."""
+    spark.createDataFrame([], schema).write.parquet(_data(root, 0))
+    _append_commit(spark, root, 0)
 
 
-def current_version(spark: SparkSession, root: str) -> int | None:
-    """The newest committed version, None for a table that does not exist yet."""
-    try:
-        commits = spark.read.schema(_COMMIT).json(f"{root}/commits")
-    except AnalysisException as error:
-        if not is_missing(error):
-            raise
-        return None
+def current_version(spark: SparkSession, root: str) -> int:
+    commits = spark.read.schema(_COMMIT).json(f"{root}/commits")
     return commits.agg(F.max("version")).first()[0]
 
 
 def read_snapshot(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """The table as last committed; an absent table is empty."""
-    version = current_version(spark, root)
-    if version is None:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/version={version}")
+    """The table as last committed."""
+    return spark.read.schema(schema).parquet(_data(root, current_version(spark, root)))
 
 
 def commit_snapshot(df: DataFrame, root: str, version: int) -> None:
     """Write and commit ``df``. A failed attempt at the same version is written over."""
-    spark = df.sparkSession
-    current = current_version(spark, root)
-    if current is not None and current >= version:
+    if current_version(df.sparkSession, root) >= version:
         raise ValueError(f"version {version} of {root} is committed already")
-    df.write.mode("overwrite").parquet(f"{root}/version={version}")
-    (
-        spark.range(1)
-        .select(F.lit(version).cast("bigint").alias("version"), F.current_timestamp().alias("committed_at"))
-        .write.mode("append")
-        .json(f"{root}/commits")
+    df.write.mode("overwrite").parquet(_data(root, version))
+    _append_commit(df.sparkSession, root, version)
+
+
+def _data(root: str, version: int) -> str:
+    return f"{root}/version={version}"
+
+
+def _append_commit(spark: SparkSession, root: str, version: int) -> None:
+    commit = spark.range(1).select(
+        F.lit(version).cast("bigint").alias("version"),
+        F.current_timestamp().alias("committed_at"),
     )
+    commit.write.mode("append").json(f"{root}/commits")

@@ -7,9 +7,9 @@ from pyspark.sql.types import DateType, StructField, StructType
 from sitewatch.operators.history import with_history_ids
 from sitewatch.schemas import FETCHES, HISTORY, PAGE_LIST
 from sitewatch.session import materialise
-from sitewatch.sources.snapshots import is_missing
 
 _RUN_DATE = StructField("run_date", DateType())
+_STORED_HISTORY = StructType([*HISTORY, _RUN_DATE])
 
 # What has to be said on both sides for every text to come back as it was; only the
 # empty text comes back as NULL.
@@ -44,15 +44,15 @@ def read_fetches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FETCHES).parquet(path)
 
 
+def create_history(spark: SparkSession, path: str) -> None:
+    """An empty history; fails when there is one already."""
+    empty = spark.createDataFrame([], _STORED_HISTORY)
+    empty.write.partitionBy(_RUN_DATE.name).parquet(path)
+
+
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """The observations appended so far; an absent table has none."""
-    try:
-        stored = spark.read.schema(StructType([*HISTORY, _RUN_DATE])).parquet(path)
-    except Exception as error:
-        if not is_missing(error):
-            raise
-        return spark.createDataFrame([], HISTORY)
-    return stored.select(*HISTORY.names)
+    """The observations appended so far."""
+    return spark.read.schema(_STORED_HISTORY).parquet(path).select(*HISTORY.names)
 
 
 def append_history(spark: SparkSession, path: str, batch: DataFrame) -> int:
@@ -80,9 +80,9 @@ def append_history(spark: SparkSession, path: str, batch: DataFrame) -> int:
         last = read_history(spark, path).agg(F.max("id")).first()[0] or 0
         (
             with_history_ids(stored, last + 1)
-            .withColumn("run_date", F.to_date("scrape_timestamp"))
+            .withColumn(_RUN_DATE.name, F.to_date("scrape_timestamp"))
             .write.mode("append")
-            .partitionBy("run_date")
+            .partitionBy(_RUN_DATE.name)
             .parquet(path)
         )
     return seen["rows"]

@@ -9,24 +9,23 @@ from sitewatch.sources.snapshots import commit_snapshot, current_version, read_s
 
 
 def follow_history(
-    history: DataFrame, latest_root: str, checkpoint: str, schema=HISTORY
+    history: DataFrame, latest_root: str, checkpoint: str
 ) -> StreamingQuery:
     """Process everything that was appended since the last start, then stop.
 
-    Each micro-batch is reduced to one row per page and merged with the snapshot before
-    it. There is no state beside the snapshots, and merging is idempotent: a batch that
-    is replayed after a failure finds its version committed and is skipped.
+    ``latest_root`` is a table of its own, made by ``create_table``. Each micro-batch is
+    reduced to one row per page and merged with the snapshot before it. There is no state
+    beside the snapshots, and a batch that is replayed after a failure finds its version
+    committed and is skipped.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        current = current_version(spark, latest_root)
-        if current is not None and current >= batch_id:
+        version = batch_id + 1
+        if current_version(spark, latest_root) >= version:
             return
-        known = read_snapshot(spark, latest_root, schema)
-        commit_snapshot(
-            latest_scrape_history(known.unionByName(batch)), latest_root, batch_id
-        )
+        known = read_snapshot(spark, latest_root, HISTORY)
+        commit_snapshot(latest_scrape_history(known.unionByName(batch)), latest_root, version)
 
     return (
         history.writeStream.foreachBatch(merge)

@@ -17,9 +17,12 @@ def test_quotes_case_and_other_attributes(spark):
       <a href="/one">1</a> <A class=x HREF='/two'>2</A> <a href=/three>3</a>
       <a title="a > b" data-href="/no" href = "/four">4</a> <a\nhref="/five"/>
       <a class="x"href="/six">6</a> <a title=' href="/no" ' href="/seven">7</a>
+      <b title='<a href="/no">'>x</b> <a rel=it's href="/eight">8</a> <a href=/ni"ne>9</a>
+      <a title href=/ten/>10</a> <a x==">" href="/eleven">11</a>
       <abbr href="/no">x</abbr> <a name="top">none</a> <a href="">empty</a> <a href>bare</a>
     """
-    assert hrefs(spark, html) == ["/one", "/two", "/three", "/four", "/five", "/six", "/seven"]
+    assert hrefs(spark, html) == ["/one", "/two", "/three", "/four", "/five", "/six", "/seven",
+        "/eight", '/ni"ne', "/ten/"]
 
 
 def test_what_is_not_markup_has_no_links(spark):

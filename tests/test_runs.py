@@ -10,8 +10,8 @@ from sitewatch.plans.observe import observe
 from sitewatch.plans.status import register_views, run_checks
 from sitewatch.schemas import FETCHES, HISTORY, REGISTRY
 from sitewatch.schemas import NOT_FOUND as NF
-from sitewatch.sources.snapshots import current_version, read_snapshot
-from sitewatch.sources.tables import read_history
+from sitewatch.sources.snapshots import create_table, current_version, read_snapshot
+from sitewatch.sources.tables import create_history, read_history
 from sitewatch.streaming.latest import follow_history, history_stream
 from tests.helpers import T0, T1, T2, rows
 
@@ -40,11 +40,13 @@ def site(spark, *more):
 
 def test_discover_observe_status(spark, tmp_path):
     registry, history = str(tmp_path / "registry"), str(tmp_path / "history")
+    create_table(spark, registry, REGISTRY)
+    create_history(spark, history)
     fetches = site(spark)
 
     nothing = discover(spark, fetches, registry, "https://other.org/#!/", T1)
     assert nothing["pages_found"] == 0
-    assert current_version(spark, registry) is None
+    assert current_version(spark, registry) == 0
 
     first = discover(spark, fetches, registry, SITE, T1)
     assert (first["pages_found"], first["pages_upserted"]) == (3, 2)
@@ -72,10 +74,12 @@ def test_discover_observe_status(spark, tmp_path):
 
 
 def test_without_active_pages_nothing_is_written(spark, tmp_path):
-    history = tmp_path / "history"
-    result = observe(spark, str(tmp_path / "registry"), site(spark), str(history), T1)
+    registry, history = str(tmp_path / "registry"), str(tmp_path / "history")
+    create_table(spark, registry, REGISTRY)
+    create_history(spark, history)
+    result = observe(spark, registry, site(spark), history, T1)
     assert result == {"pages_loaded": 0, "rows_saved": 0}
-    assert not history.exists()
+    assert not list((tmp_path / "history").glob("run_date=*"))
 
 
 def test_command_line(spark, tmp_path, monkeypatch, capsys):
@@ -88,6 +92,8 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
         command.main()
         return json.loads(capsys.readouterr().out.strip().splitlines()[-1])
 
+    created = run("create", "--registry", registry, "--history", history)["created"]
+    assert created == [registry, history]
     common = ["--registry", registry, "--run-ts", "2025-03-02T12:00:00"]
     found = run("discover", *common, "--fetches", fetches, "--start-url", SITE)
     assert found["pages_upserted"] == 2
@@ -99,6 +105,7 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
 
 def test_stream_keeps_the_latest_view(spark, tmp_path):
     path, root = str(tmp_path / "history"), str(tmp_path / "latest")
+    create_table(spark, root, HISTORY)
 
     def append(*data):
         seen = [(i, p, t, NF, w, NF, NF) for i, p, t, w in data]

@@ -11,8 +11,20 @@ from sitewatch.operators.quality import (
 )
 from sitewatch.schemas import HISTORY, PAGE_LIST, REGISTRY
 from sitewatch.session import as_timestamp, scratch_path, shared_dir
-from sitewatch.sources.snapshots import commit_snapshot, current_version, read_snapshot
-from sitewatch.sources.tables import append_history, read_csv, read_fetches, read_history, write_csv
+from sitewatch.sources.snapshots import (
+    commit_snapshot,
+    create_table,
+    current_version,
+    read_snapshot,
+)
+from sitewatch.sources.tables import (
+    append_history,
+    create_history,
+    read_csv,
+    read_fetches,
+    read_history,
+    write_csv,
+)
 from tests.helpers import T0, T1, T2, rows
 
 
@@ -48,7 +60,10 @@ def test_csv_gives_back_every_text(spark, cells):
 
 def test_snapshots(spark, tmp_path):
     root = str(tmp_path / "registry")
-    assert current_version(spark, root) is None
+    create_table(spark, root, PAGE_LIST)
+    with pytest.raises(Exception):
+        create_table(spark, root, PAGE_LIST)
+    assert current_version(spark, root) == 0
     assert rows(read_snapshot(spark, root, PAGE_LIST)) == []
     one = spark.createDataFrame([("a", "u")], PAGE_LIST)
     commit_snapshot(one, root, 1)
@@ -71,9 +86,11 @@ def observations(spark, pages, time):
 
 def test_history_append(spark, tmp_path):
     path = str(tmp_path / "history")
-    assert rows(read_history(spark, path)) == []
+    create_history(spark, path)
+    with pytest.raises(Exception):
+        create_history(spark, path)
     assert append_history(spark, path, observations(spark, [], T0)) == 0
-    assert not (tmp_path / "history").exists()
+    assert rows(read_history(spark, path)) == []
     assert append_history(spark, path, observations(spark, ["a", "b"], T1)) == 2
     assert append_history(spark, path, observations(spark, ["a", "b", "c"], T2)) == 3
     got = rows(read_history(spark, path), "id", "page_id", "scrape_timestamp")
@@ -88,6 +105,8 @@ def test_history_append(spark, tmp_path):
 def test_read_errors_are_raised(spark, tmp_path):
     with pytest.raises(Exception):
         read_fetches(spark, str(tmp_path / "nothing")).collect()
+    with pytest.raises(Exception):
+        read_snapshot(spark, str(tmp_path / "nothing"), REGISTRY)
     broken = tmp_path / "history" / "run_date=2025-01-01"
     broken.mkdir(parents=True)
     (broken / "part.parquet").write_text("no parquet")

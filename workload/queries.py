@@ -73,6 +73,7 @@ def stream_latest(spark, sf_dir):
         .parquet(path)
     )
     root = scratch_path(spark, "latest")
+    snapshots.create_table(spark, root, HISTORY)
     stream = history_stream(spark, path, maxFilesPerTrigger=16).select(*HISTORY.names)
     query = follow_history(stream, root, scratch_path(spark, "latest-stream"))
     query.awaitTermination()
@@ -195,6 +196,7 @@ def registry_upsert(spark, sf_dir):
 def discover(spark, sf_dir):
     """Run A from fetches to the committed registry."""
     root = scratch_path(spark, "registry")
+    snapshots.create_table(spark, root, REGISTRY)
     discover_run.discover(
         spark, stand_ins.fetches(spark, sf_dir), root, stand_ins.START_URL, _RUN
     )
@@ -242,7 +244,9 @@ def scrape_run(spark, sf_dir):
 def observe(spark, sf_dir):
     """Run B twice on a committed registry; the second run goes on numbering."""
     root, path = scratch_path(spark, "registry"), scratch_path(spark, "history")
+    snapshots.create_table(spark, root, REGISTRY)
     snapshots.commit_snapshot(_site_registry(spark, sf_dir), root, 1)
+    tables.create_history(spark, path)
     fetches = stand_ins.fetches(spark, sf_dir)
     for run_ts in (_RUN, _RUN.replace(year=_RUN.year + 1)):
         observe_run.observe(spark, root, fetches, path, run_ts)
