@@ -28,7 +28,6 @@ FIELD_IDS = {
 
 # Element classes of HTML.
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
-_UNSHOWN = set("head select".split())
 _CELL = {"td", "th"}
 _INERT = "script|style|template|noscript|title|textarea|iframe|noframes|xmp"
 _BLOCK = set(
@@ -41,15 +40,38 @@ _BLOCK = set(
 _VALUE = r"""(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)"""
 _MARKUP = re.compile(
     rf"""
-    <!--.*?(?:-->|\Z)
-    | <({_INERT})(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*+|\Z)>?
-    | <(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attributes>(?:[^>=]++|=\s*+{_VALUE}?+)*+)>?
-    | <[!?/][^>]*+>?
+    <(?:!--.*?(?:-->|\Z)
+    | ({_INERT})(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*+|\Z)>?
+    | (?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attributes>(?:[^>=]++|=\s*+{_VALUE}?+)*+)>?
+    | [!?/][^>]*+>?)
     """,
     re.IGNORECASE | re.DOTALL | re.VERBOSE,
 )
-_ATTRIBUTE = re.compile(rf"([^\s/>=]++)(?:\s*+=\s*+({_VALUE}))?+")
+_ATTRIBUTE = re.compile(rf"([^\s/>=]++)(?:\s*+=\s*+({_VALUE}))?")
 _HIDING_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+
+# Texts and closed pieces of markup, as many as there are, and what in them can matter to an
+# element behind them: a hiding attribute, or an id spelled with a character reference.
+_CLOSED = "|".join(
+    rf"{tag}(?=[\s/>]).*?</{tag}(?=[\s/>])[^>]*+>" for tag in _INERT.split("|")
+)
+_PIECES = re.compile(
+    rf"""
+    (?:[^<]++
+    | <(?:!--.*?--> | {_CLOSED} | (?:!(?!--)|\?|/(?![a-z]))[^>]*+>
+        | (?:/|(?!(?:{_INERT})[\s/>]))[a-z](?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+))*+>
+        | (?=[^a-z!?/])))*+
+    """,
+    re.IGNORECASE | re.DOTALL | re.VERBOSE,
+)
+_HIDES = "(?:none|hidden|collapse|&)"
+_MATTERS = {
+    "hidden": re.compile(r"""[\s/"']hidden[\s=>/]"""),
+    "style": re.compile(
+        rf"""style\s*=\s*(?:"[^"]*?{_HIDES}|'[^']*?{_HIDES}|[^\s>]*?{_HIDES})"""
+    ),
+    "&": re.compile(r"""id\s*=\s*["']?[^"'\s>&]*&"""),
+}
 _BLANKS = re.compile(r"[ \t\r\n\f]+")
 _RAW = ["full_text", "date_time", "updated_by", "responsible"]
 
@@ -85,20 +107,25 @@ class _Lines:
         return trimmed.strip("\n").replace("\xa0", " ")
 
 
-def _walk(html, fields):
-    """Collect the visible lines of the footer and its fields into ``fields``."""
+def _walk(html, start=0):
+    """Collect the visible lines of the footer and its fields, by field.
+
+    A walk from inside the page does not know the elements open there. It gives None when
+    an end tag may have closed one of them.
+    """
+    fields = {}
     elements = []  # (tag, hidden, field) of every open element
     open_tags = Counter()
     reading = []  # the fields whose elements are open
 
-    def read_text(start, end):
-        if reading and end > start and not elements[-1][1]:
-            text = _BLANKS.sub(" ", unescape(html[start:end]))
+    def read_text(begin, end):
+        if reading and end > begin and not elements[-1][1]:
+            text = _BLANKS.sub(" ", unescape(html[begin:end]))
             for field in reading:
                 fields[field].add(text)
 
-    position = 0
-    for markup in _MARKUP.finditer(html):
+    position = start
+    for markup in _MARKUP.finditer(html, start):
         read_text(position, markup.start())
         position = markup.end()
         if not markup["tag"]:
@@ -111,20 +138,21 @@ def _walk(html, fields):
                 fields[field].add(" ")
 
         if markup["end"]:
+            if start and elements and not open_tags[tag]:
+                return None
             while open_tags[tag]:
                 closed, _, field = elements.pop()
                 open_tags[closed] -= 1
                 if field:
                     reading.remove(field)
                 if field == "full_text":
-                    return
+                    return fields
                 if closed == tag:
                     break
         elif tag not in _VOID:
             attributes = _attributes(markup["attributes"])
             hidden = (
                 (bool(elements) and elements[-1][1])
-                or tag in _UNSHOWN
                 or "hidden" in attributes
                 or bool(_HIDING_STYLE.search(attributes.get("style", "")))
             )
@@ -139,12 +167,22 @@ def _walk(html, fields):
             elements.append((tag, hidden, field))
             open_tags[tag] += 1
     read_text(position, len(html))
+    return fields
 
 
 def read_footer(html):
-    """Raw visible texts of one page's footer, None for what it does not have."""
-    fields = {}
-    _walk(html, fields)
+    """Raw visible texts of one page's footer, None for what it does not have.
+
+    The footer tends to come last. What lies before it is passed over by one pattern, and
+    walked only if it can matter.
+    """
+    start = _PIECES.match(html, 0, max(html.find(CONTAINER_ID), 0)).end()
+    before = html[:start].lower()
+    fields = None
+    if not any(word in before and rule.search(before) for word, rule in _MATTERS.items()):
+        fields = _walk(html, start)
+    if fields is None:
+        fields = _walk(html)
     return tuple(fields[name].text() if name in fields else None for name in _RAW)
 
 

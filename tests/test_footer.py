@@ -1,6 +1,8 @@
+import random
+
 import pytest
 
-from sitewatch.functions.footer import read_footer
+from sitewatch.functions.footer import _RAW, _walk, read_footer
 from sitewatch.operators.history import extract_footers, observe_pages
 from sitewatch.schemas import NOT_FOUND as NF
 from tests.helpers import T0, T1, T2, T3, rows
@@ -120,3 +122,26 @@ def test_one_observation_per_active_page(spark):
         ("b", T2, NF, NF, NF, NF),
         ("c", T2, NF, NF, NF, NF),
     ]
+
+
+PIECES = [
+    "<div>", "</div>", "<p>", "</p>", "<br>", "text ", "a &amp; b", "<b hidden>", "</b>", "<b>",
+    '<div id="idCorpoRodape">', "<i id='idCorpo&#82;odape'>", f'<span id="{DATE}">',
+    f"<span id={USER}>", "</span>", "<!-- x > idCorpoRodape -->", "<!--", "-->", "<script>",
+    "</script>", '<script>var x="</div>"</script>', '"', "'", '<p title="a > b',
+    '<p title="idCorpoRodape" style="color:red">', '<i style="display:none">', "</i>", "<", ">",
+    "=", "< 3", "idCorpoRodape", "<td>", "<title>x</title>", "<?x>", "<!DOCTYPE html>", "</>",
+    '<a href=x"y>', "</a>",
+]
+
+
+def test_passing_over_what_comes_first_changes_nothing():
+    chance = random.Random(3)
+    found = 0
+    for _ in range(30_000):
+        html = "".join(chance.choices(PIECES, k=chance.randint(1, 25)))
+        whole = _walk(html)
+        expected = tuple(whole[name].text() if name in whole else None for name in _RAW)
+        assert read_footer(html) == expected, html
+        found += expected[0] is not None
+    assert found > 5_000
