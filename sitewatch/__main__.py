@@ -1,4 +1,4 @@
-"""``python -m sitewatch {create,discover,observe,status}``, also for spark-submit."""
+"""``python -m sitewatch {create,discover,observe,status,export}``, also for spark-submit."""
 
 import argparse
 import json
@@ -10,7 +10,7 @@ from sitewatch.plans.status import register_views, run_checks
 from sitewatch.schemas import REGISTRY
 from sitewatch.session import build_session
 from sitewatch.sources.snapshots import create_table, read_snapshot
-from sitewatch.sources.tables import create_history, read_fetches, read_history
+from sitewatch.sources.tables import create_history, read_fetches, read_history, write_csv
 
 
 def _run_time(text: str) -> datetime:
@@ -24,11 +24,12 @@ _RUNS = {
     "discover": ["fetches"],
     "observe": ["fetches", "history"],
     "status": ["history", "out"],
+    "export": ["history", "out"],
 }
 _HELP = {
     "fetches": "Parquet table of stored pages: url, html, fetched_at",
     "history": "Parquet table of observations",
-    "out": "where to write the current status",
+    "out": "folder to write the current status, or the exported tables, to",
 }
 
 
@@ -67,6 +68,10 @@ def main() -> None:
     elif args.run == "observe":
         fetches = read_fetches(spark, args.fetches)
         result = observe(spark, args.registry, fetches, args.history, args.run_ts)
+    elif args.run == "export":
+        write_csv(read_snapshot(spark, args.registry, REGISTRY), f"{args.out}/pages")
+        write_csv(read_history(spark, args.history), f"{args.out}/scrape_history")
+        result = {"exported": [f"{args.out}/pages", f"{args.out}/scrape_history"]}
     else:
         pages = read_snapshot(spark, args.registry, REGISTRY)
         views = register_views(pages, read_history(spark, args.history))

@@ -9,6 +9,7 @@ from sitewatch.functions.urls import canonical_url, is_sub_page, marker_path, pa
 from sitewatch.session import materialise, scratch_path
 
 LINKS_PER_BUCKET = 50_000_000
+FEW_VISITED = 100_000
 
 _LINKS = "src_url string, dst_url string, bucket int"
 _VISITED = "url string, depth int"
@@ -46,40 +47,62 @@ def _bucket(url: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(url), F.lit(buckets)).cast("int")
 
 
+def _targets(links: DataFrame, buckets: int, urls: DataFrame) -> DataFrame:
+    """What the URLs link to, each once."""
+    sources = urls.select(
+        F.col("url").alias("src_url"), _bucket(F.col("url"), buckets).alias("bucket")
+    )
+    return (
+        links.join(sources, ["bucket", "src_url"])
+        .select(F.col("dst_url").alias("url"))
+        .distinct()
+    )
+
+
 def reach(links: DataFrame, buckets: int, start_url: str) -> DataFrame:
     """All URLs reachable from the start, with their distance: ``(url, depth)``.
 
-    ``links`` and ``buckets`` come from ``store_links``; URLs are canonical. One round is
-    one job: the links of the last round's URLs, distinct, without those visited before,
-    written below the shared folder. While the last round is small enough to broadcast,
+    ``links`` and ``buckets`` come from ``store_links``; URLs are canonical. One round
+    takes the links of the last round's URLs, distinct, without those visited before, and
+    is written below the shared folder. While the last round is small enough to broadcast,
     only its buckets are read and no link is shuffled. The distinct combines map-side, so
-    a target every page links to costs one row per task, and it runs before the
-    anti-join, which then reuses its partitioning.
+    a target every page links to costs one row per task.
     """
     spark = links.sparkSession
     base = scratch_path(spark, "visited")
     spark.range(1).select(canonical_url(F.lit(start_url)).alias("url")).write.parquet(
         f"{base}/depth=0"
     )
-    depth, found = 0, 1
+    depth, found, total = 0, 1, 1
     while found:
-        visited = spark.read.schema(_VISITED).parquet(base)
-        frontier = visited.where(F.col("depth") == depth).select(
-            F.col("url").alias("src_url"), _bucket(F.col("url"), buckets).alias("bucket")
-        )
+        read = spark.read.schema(_VISITED).option("basePath", base)
+        visited = read.parquet(base)
+        # Read by its own path, so that the planner sees the size of this round alone, and
+        # filtered, as only then it looks into pruning the links' folders.
+        last = read.parquet(f"{base}/depth={depth}").where(F.col("depth") == depth)
         counted = Observation()
         (
-            links.join(frontier, ["bucket", "src_url"])
-            .select(F.col("dst_url").alias("url"))
-            .distinct()
-            .join(visited.select("url"), "url", "left_anti")
+            _without(_targets(links, buckets, last), visited.select("url"), total)
             .observe(counted, F.count(F.lit(1)).alias("found"))
             .write.parquet(f"{base}/depth={depth + 1}")
         )
-        depth, found = depth + 1, counted.get["found"]
+        found = counted.get["found"]
+        depth, total = depth + 1, total + found
     return spark.read.schema(_VISITED).parquet(base)
 
 
+def _without(targets: DataFrame, visited: DataFrame, total: int) -> DataFrame:
+    """The targets not among the visited URLs.
+
+    Rounds with few targets must not shuffle all visited URLs. So when those are many, the
+    targets are stored first, and if they are few, they are what is broadcast.
+    """
+    if total <= FEW_VISITED:
+        return targets.join(visited, "url", "left_anti")
+    stored = materialise(targets, "targets")
+    return stored.join(visited.join(stored, "url", "left_semi"), "url", "left_anti")
+
+
 def emitted_pages(
     visited: DataFrame,
     links: DataFrame,

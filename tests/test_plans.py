@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitewatch.operators.history import newest_footers, observe_pages
-from sitewatch.operators.reach import reach, store_links
+from sitewatch.operators.reach import _targets, _without, reach, store_links
 from sitewatch.operators.views import active_pages, latest_scrape_history, page_status
 from sitewatch.schemas import FETCHES, HISTORY, REGISTRY
+from sitewatch.session import materialise
 from tests.helpers import T0, T1, plan_of, rows
 from workload import stand_ins
 from workload.queries import QUERIES
@@ -127,12 +128,37 @@ def test_a_source_with_most_links_is_split_and_buckets_are_pruned(spark):
             (0, 1), (1, 20_000), (2, 5_000)]
 
 
-def test_a_small_round_reads_only_its_buckets(spark):
+def test_a_small_round_reads_only_its_buckets(spark, tmp_path):
     links, buckets = store_links(
         spark.range(400).select(
             F.concat(F.lit("n"), "id").alias("src_url"),
             F.concat(F.lit("n"), F.col("id") + 1).alias("dst_url")),
         links_per_bucket=100,
     )
-    seen = reach(links, buckets, "n397")
-    assert rows(seen) == [("n397", 0), ("n398", 1), ("n399", 2), ("n400", 3)]
+    assert buckets == 4
+    assert rows(reach(links, buckets, "n397")) == [
+        ("n397", 0), ("n398", 1), ("n399", 2), ("n400", 3)]
+
+    base = str(tmp_path / "visited")
+    spark.range(1).selectExpr("'n7' AS url").write.parquet(f"{base}/depth=0")
+    last = spark.read.option("basePath", base).parquet(f"{base}/depth=0").where("depth = 0")
+    targets = _targets(links, buckets, last)
+    assert rows(targets) == [("n8",)]
+    plan = plan_of(targets)
+    assert "dynamicpruning" in plan and "BroadcastHashJoin" in plan
+    final = plan[: plan.index("Initial Plan")]
+    assert final.count("Exchange hashpartitioning") == 1
+
+
+def test_few_targets_do_not_shuffle_many_visited_urls(spark):
+    visited = materialise(spark.range(50_000).selectExpr("concat('n', id) AS url"), "visited")
+    few = spark.createDataFrame([("n5",), ("new",)], "url string")
+    size = 20_000  # between the two tables
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold=str(size)):
+        fresh = _without(few, visited, total=10**9)
+        assert rows(fresh) == [("new",)]
+        plan = plan_of(fresh)
+    initial = plan[plan.index("Initial Plan"):]
+    scan = [line for line in initial.splitlines() if "visited-" in line]
+    semi = [line for line in initial.splitlines() if "LeftSemi" in line]
+    assert len(scan) == 1 and len(semi) == 1 and "BroadcastHashJoin" in semi[0]

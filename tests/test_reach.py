@@ -38,8 +38,9 @@ def test_start_without_any_link(spark):
     assert rows(ops.crawl_site(links, SITE, T1)) == []
 
 
-@pytest.mark.parametrize("links_per_bucket", [10**9, 40])
-def test_depths_equal_a_plain_breadth_first_search(spark, links_per_bucket):
+@pytest.mark.parametrize("links_per_bucket, few", [(10**9, 10**9), (40, 10**9), (40, 5)])
+def test_depths_equal_a_plain_breadth_first_search(spark, monkeypatch, links_per_bucket, few):
+    monkeypatch.setattr(ops, "FEW_VISITED", few)
     chance = random.Random(7)
     names = ["root"] + [f"p{i}" for i in range(120)]
     edges = [(chance.choice(names), chance.choice(names)) for _ in range(170)]

@@ -11,7 +11,7 @@ from sitewatch.plans.status import register_views, run_checks
 from sitewatch.schemas import FETCHES, HISTORY, REGISTRY
 from sitewatch.schemas import NOT_FOUND as NF
 from sitewatch.sources.snapshots import create_table, current_version, read_snapshot
-from sitewatch.sources.tables import create_history, read_history
+from sitewatch.sources.tables import create_history, read_csv, read_history
 from sitewatch.streaming.latest import follow_history, history_stream
 from tests.helpers import T0, T1, T2, rows
 
@@ -101,6 +101,11 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     checks = run("status", "--registry", registry, "--history", history, "--out", out)["checks"]
     assert len(checks) == 8 and not any(c["failures"] for c in checks)
     assert rows(spark.read.parquet(out), "page_id", "last_updated_by") == [("a", "Ana"), ("a_b", "Bia")]
+    exported = run("export", "--registry", registry, "--history", history,
+                   "--out", str(tmp_path / "csv"))["exported"]
+    assert rows(read_csv(spark, exported[0], REGISTRY)) == rows(read_snapshot(spark, registry, REGISTRY))
+    assert rows(read_csv(spark, exported[1], HISTORY, multiline=True)) == rows(
+        read_history(spark, history))
 
 
 def test_stream_keeps_the_latest_view(spark, tmp_path):

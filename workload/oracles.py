@@ -205,7 +205,7 @@ ORACLES = {
         ),
         found AS (SELECT id, url FROM ranked WHERE rn = 1)
         SELECT coalesce(b.id, f.id) AS id, coalesce(b.url, f.url) AS url,
-               CASE WHEN b.id IS NULL THEN true ELSE b.is_active END AS is_active,
+               CAST(CASE WHEN b.id IS NULL THEN true ELSE b.is_active END AS VARCHAR) AS is_active,
                CASE WHEN f.id IS NULL THEN TIMESTAMP '2024-01-31 00:00:00' ELSE {_RUN_TS} END AS last_crawled_at
         FROM before b FULL OUTER JOIN found f ON b.id = f.id""",
     "discover": f"""

@@ -190,7 +190,9 @@ def registry_upsert(spark, sf_dir):
         )
     )
     before = registered.join(known.drop("id"), "url").select(*REGISTRY.names)
-    return registry_ops.upsert_pages(before, crawled, stand_ins.run_ts())
+    after = registry_ops.upsert_pages(before, crawled, stand_ins.run_ts())
+    # As text, so that a flag that is NULL is compared as such.
+    return after.withColumn("is_active", F.col("is_active").cast("string"))
 
 
 def discover(spark, sf_dir):
