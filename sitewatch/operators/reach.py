@@ -5,7 +5,13 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sitewatch.functions.urls import canonical_url, is_sub_page, marker_path, page_id
+from sitewatch.functions.urls import (
+    browser_url,
+    canonical_url,
+    is_sub_page,
+    marker_path,
+    page_id,
+)
 from sitewatch.session import materialise, scratch_path
 
 LINKS_PER_BUCKET = 50_000_000
@@ -70,9 +76,8 @@ def reach(links: DataFrame, buckets: int, start_url: str) -> DataFrame:
     """
     spark = links.sparkSession
     base = scratch_path(spark, "visited")
-    spark.range(1).select(canonical_url(F.lit(start_url)).alias("url")).write.parquet(
-        f"{base}/depth=0"
-    )
+    start = canonical_url(browser_url(F.lit(start_url)))
+    spark.range(1).select(start.alias("url")).write.parquet(f"{base}/depth=0")
     depth, found, total = 0, 1, 1
     while found:
         read = spark.read.schema(_VISITED).option("basePath", base)

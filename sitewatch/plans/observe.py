@@ -19,6 +19,7 @@ def observe(
     run_ts: datetime,
 ) -> dict:
     """Append one row per active page, all with the time ``run_ts``; returns the counters."""
-    active = active_pages(read_snapshot(spark, registry_root, REGISTRY))
-    saved = append_history(spark, history_path, observe_pages(active, fetches, run_ts))
+    registry = read_snapshot(spark, registry_root, REGISTRY)
+    batch = observe_pages(active_pages(registry), fetches, run_ts)
+    saved = append_history(spark, history_path, batch, registry)
     return {"pages_loaded": saved, "rows_saved": saved}

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from sitewatch.operators.history import with_history_ids
+from sitewatch.operators.quality import orphans
 from sitewatch.schemas import FETCHES, HISTORY, PAGE_LIST
 from sitewatch.session import materialise
 
@@ -55,13 +56,13 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_STORED_HISTORY).parquet(path).select(*HISTORY.names)
 
 
-def append_history(spark: SparkSession, path: str, batch: DataFrame) -> int:
+def append_history(spark: SparkSession, path: str, batch: DataFrame, pages: DataFrame) -> int:
     """Append one run's observations and return their number; an empty run writes nothing.
 
-    The batch is stored first: numbering reads it twice, and the pages behind it should be
-    parsed once. That write also counts the rows and the NULLs a history must not have.
-    The append is one job and one partition of the table, so a run is there as a whole
-    or not at all.
+    The batch is stored first: checking and numbering read it again, and the pages behind
+    it should be parsed once. That write also counts the rows and the NULLs a history must
+    not have; a page the registry does not know fails the whole run, too. The append is
+    one job and one partition of the table, so a run is there as a whole or not at all.
     """
     counted = Observation()
     stored = materialise(
@@ -76,6 +77,8 @@ def append_history(spark: SparkSession, path: str, batch: DataFrame) -> int:
     seen = counted.get
     if seen["no_page"] or seen["no_time"]:
         raise ValueError(f"observations without page or time: {seen}")
+    if not orphans(stored, pages).isEmpty():
+        raise ValueError("observations of pages that are not registered")
     if seen["rows"]:
         last = read_history(spark, path).agg(F.max("id")).first()[0] or 0
         (

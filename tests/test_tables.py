@@ -86,19 +86,21 @@ def observations(spark, pages, time):
 
 def test_history_append(spark, tmp_path):
     path = str(tmp_path / "history")
+    pages = spark.createDataFrame([(p, "u", True, T0) for p in "abc"], REGISTRY)
     create_history(spark, path)
     with pytest.raises(Exception):
         create_history(spark, path)
-    assert append_history(spark, path, observations(spark, [], T0)) == 0
+    assert append_history(spark, path, observations(spark, [], T0), pages) == 0
     assert rows(read_history(spark, path)) == []
-    assert append_history(spark, path, observations(spark, ["a", "b"], T1)) == 2
-    assert append_history(spark, path, observations(spark, ["a", "b", "c"], T2)) == 3
+    assert append_history(spark, path, observations(spark, ["a", "b"], T1), pages) == 2
+    assert append_history(spark, path, observations(spark, ["a", "b", "c"], T2), pages) == 3
     got = rows(read_history(spark, path), "id", "page_id", "scrape_timestamp")
     assert [r[0] for r in got] == [1, 2, 3, 4, 5]
     assert {r[1:] for r in got[:2]} == {("a", T1), ("b", T1)}
     assert {r[2] for r in got[2:]} == {T2}
-    with pytest.raises(ValueError):
-        append_history(spark, path, observations(spark, [None], T2))
+    for bad in ([None], ["a", "unknown"]):
+        with pytest.raises(ValueError):
+            append_history(spark, path, observations(spark, bad, T2), pages)
     assert read_history(spark, path).count() == 5
 
 

@@ -113,7 +113,7 @@ footers AS (
   FROM (SELECT *, url LIKE '%/de/%' AS hidden, url LIKE 'https:%' AS dated FROM texts)
 )"""
 
-_OBSERVED = f"""{_REGISTRY}, {_FOOTER},
+_NEWEST_FOOTER = f"""
 known AS (
   SELECT page_id, CASE WHEN page_id = 0 THEN '{_SITE}/#!' ELSE '{_SITE}/#!/' || enc[2] END AS site_url,
          modified_date, updated_by, responsible, full_modified_text
@@ -123,7 +123,9 @@ newest_footer AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY site_url ORDER BY page_id DESC) AS rn FROM known)
   WHERE rn = 1
-),
+)"""
+
+_OBSERVED = f"""{_REGISTRY}, {_FOOTER}, {_NEWEST_FOOTER},
 batch AS (
   SELECT row_number() OVER (ORDER BY substr(md5(r.id), 1, 3), r.id) AS id, r.id AS page_id,
          n.modified_date, n.updated_by, n.responsible, n.full_modified_text
@@ -133,6 +135,15 @@ batch AS (
   WHERE r.is_active = true
 )"""
 
+# What runs A and B leave when every sub-page reached is reported.
+_RUNS = f"""{_VISITED}, {_FOOTER.removeprefix(_NAMES + ",")}, {_NEWEST_FOOTER},
+emitted AS ({_EMITTED}),
+registered AS (
+  SELECT id, url FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY depth, url) AS rn FROM emitted)
+  WHERE rn = 1
+)"""
+
 _DIRTY = """
 dirty_pages AS (
   SELECT nullif(regexp_extract(url, '/([0-9]+)$', 1), '') AS id,
@@ -232,6 +243,21 @@ ORACLES = {
                CASE WHEN run = 0 THEN {_RUN_TS} ELSE TIMESTAMP '2031-01-01 00:00:00' END AS scrape_timestamp,
                modified_date, updated_by, responsible, full_modified_text
         FROM batch, (VALUES (0), (1)) AS v(run)""",
+    "run_counters": f"""
+        WITH RECURSIVE {_RUNS}
+        SELECT 'pages_found' AS counter, (SELECT count(*) FROM emitted) AS n
+        UNION ALL SELECT 'pages_upserted', (SELECT count(*) FROM registered)
+        UNION ALL SELECT 'pages_loaded', (SELECT count(*) FROM registered)
+        UNION ALL SELECT 'rows_saved', (SELECT count(*) FROM registered)""",
+    "status_after_runs": f"""
+        WITH RECURSIVE {_RUNS}
+        SELECT r.id AS page_id, r.url, true AS is_active, {_RUN_TS} AS last_crawled_at,
+               {_RUN_TS} AS last_scrape_timestamp,
+               coalesce(n.modified_date, 'Not Found') AS last_modified_date,
+               coalesce(n.updated_by, 'Not Found') AS last_updated_by,
+               coalesce(n.responsible, 'Not Found') AS last_responsible,
+               coalesce(n.full_modified_text, 'Not Found') AS last_full_modified_text
+        FROM registered r LEFT JOIN newest_footer n ON n.site_url = r.url""",
     "quality_report": f"""
         WITH {_DIRTY}
         SELECT 'not_null' AS check_name, 'pages' AS table_name, 'id' AS column_name,

@@ -255,6 +255,36 @@ def observe(spark, sf_dir):
     return _without_zone(tables.read_history(spark, path))
 
 
+# -- all runs ---------------------------------------------------------------------------
+
+
+def _all_runs(spark, sf_dir):
+    """Runs A and B on new tables; their counters and the tables."""
+    root, path = scratch_path(spark, "registry"), scratch_path(spark, "history")
+    snapshots.create_table(spark, root, REGISTRY)
+    tables.create_history(spark, path)
+    fetches = stand_ins.fetches(spark, sf_dir)
+    found = discover_run.discover(spark, fetches, root, stand_ins.START_URL, _RUN, False)
+    saved = observe_run.observe(spark, root, fetches, path, _RUN)
+    registry = snapshots.read_snapshot(spark, root, REGISTRY)
+    return {**found, **saved}, registry, tables.read_history(spark, path)
+
+
+def run_counters(spark, sf_dir):
+    counters, _, _ = _all_runs(spark, sf_dir)
+    names = ["pages_found", "pages_upserted", "pages_loaded", "rows_saved"]
+    return spark.createDataFrame(
+        [(name, counters[name]) for name in names], "counter string, n bigint"
+    )
+
+
+def status_after_runs(spark, sf_dir):
+    """Run C on what runs A and B left."""
+    _, registry, stored = _all_runs(spark, sf_dir)
+    status = status_run.register_views(registry, stored, "runs_")["vw_page_current_status"]
+    return _without_zone(status)
+
+
 # -- checks and CSV ---------------------------------------------------------------------
 
 
@@ -327,6 +357,8 @@ QUERIES = {
     "modified_date_token": modified_date_token,
     "scrape_run": scrape_run,
     "observe": observe,
+    "run_counters": run_counters,
+    "status_after_runs": status_after_runs,
     "quality_report": quality_report,
     "duplicate_ids": duplicate_ids,
     "null_urls": null_urls,
