@@ -17,6 +17,8 @@ def build_session(app_name: str = "sitewatch", **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Joins with one side in small even partitions, as a crawl's, need not sort the other.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "128m")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
