@@ -27,17 +27,16 @@ def null_rows(df: DataFrame, column: str) -> DataFrame:
 def orphans(history: DataFrame, pages: DataFrame) -> DataFrame:
     """``page_id`` values the registry does not know, with their rows; NULL is allowed.
 
-    The history is counted per page before the anti-join, so a page with very many
-    observations is one row there.
+    Both sides are reduced to one row per page before the anti-join, so neither a page with
+    very many observations nor an id registered very often is a large group there.
     """
     counted = (
         history.where("page_id is not null")
         .groupBy("page_id")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return counted.join(
-        pages.select(F.col("id").alias("page_id")), "page_id", "left_anti"
-    )
+    known = pages.select(F.col("id").alias("page_id")).distinct()
+    return counted.join(known, "page_id", "left_anti")
 
 
 def _not_null_report(name: str, df: DataFrame, columns: list[str]) -> DataFrame:

@@ -62,7 +62,7 @@ def append_history(spark: SparkSession, path: str, batch: DataFrame, pages: Data
     The batch is stored first: checking and numbering read it again, and the pages behind
     it should be parsed once. That write also counts the rows and the NULLs a history must
     not have; a page the registry does not know fails the whole run, too. The append is
-    one job and one partition of the table, so a run is there as a whole or not at all.
+    one job with one commit.
     """
     counted = Observation()
     stored = materialise(
