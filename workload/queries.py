@@ -63,20 +63,19 @@ def status_by_sql(spark, sf_dir):
 
 
 def stream_latest(spark, sf_dir):
-    """The latest view kept by a stream over the history's daily files."""
-    path = scratch_path(spark, "history")
-    stored = stand_ins.history(spark, sf_dir)
-    (
-        stored.withColumn("run_date", F.to_date("scrape_timestamp"))
-        .withColumn("scrape_timestamp", F.col("scrape_timestamp").cast("timestamp"))
-        .write.partitionBy("run_date")
-        .parquet(path)
-    )
-    root = scratch_path(spark, "latest")
+    """The latest view kept by a stream that is started after each of two appends.
+
+    The second append holds the observations without success, older and newer ones.
+    """
+    path, root = scratch_path(spark, "history"), scratch_path(spark, "latest")
+    checkpoint = scratch_path(spark, "latest-stream")
     snapshots.create_table(spark, root, HISTORY)
-    stream = history_stream(spark, path, maxFilesPerTrigger=16).select(*HISTORY.names)
-    query = follow_history(stream, root, scratch_path(spark, "latest-stream"))
-    query.awaitTermination()
+    observations = stand_ins.history(spark, sf_dir).withColumn(
+        "scrape_timestamp", F.col("scrape_timestamp").cast("timestamp")
+    )
+    for part in ("updated_by <> 'Not Found'", "updated_by = 'Not Found'"):
+        observations.where(part).write.mode("append").parquet(path)
+        follow_history(history_stream(spark, path), root, checkpoint).awaitTermination()
     return _without_zone(snapshots.read_snapshot(spark, root, HISTORY))
 
 
