@@ -1,9 +1,10 @@
 """The queries of this subpackage; each takes ``(spark, sf_dir)``."""
 
+from sitewatch.llm.op1_repeats import op1_repeats
 from sitewatch.llm.op3_language import op3_language
 from sitewatch.llm.op7_dac import op7_dac
 from sitewatch.llm.op8_minhash import op8_minhash
 from sitewatch.llm.op9_packing import op9_packing
 
-QUERIES = {f.__name__: f for f in (op3_language, op7_dac, op8_minhash, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_repeats, op3_language, op7_dac, op8_minhash, op9_packing)}
 ORACLES: dict[str, str] = {}
