@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sitewatch.llm.common import own_columns, text_slices
-from sitewatch.llm.tokens import BYTE_BPE, Encoder
+from sitewatch.llm.tokens import BYTE_BPE, SLICE_BYTES, encoder
 from sitewatch.session import scratch_path
 
 END_ID = 0
@@ -112,10 +112,10 @@ def write_tokens(
     """Encode ``docs`` and write their ids to ``path`` in ascending ``doc_id`` order."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, at = Encoder(tokenizer, folder), TaskContext.get().partitionId(), 0
+        encode_texts, part, at = encoder(tokenizer, folder), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for lo, hi, _, _ in text_slices(batch.column("text")):
-                ids, counts = encoder(batch.column("text").slice(lo, hi - lo).to_pylist())
+            for lo, hi, _, _ in text_slices(batch.column("text"), SLICE_BYTES):
+                ids, counts = encode_texts(batch.column("text").slice(lo, hi - lo))
                 ids = np.insert(ids, np.cumsum(counts), end_id)
                 doc_ids = batch.column("doc_id").slice(lo, hi - lo).to_pylist()
                 row = [part, at, len(ids), doc_ids, (counts + 1).tolist(), pack(ids)]
@@ -160,12 +160,12 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     segments = spark.read.schema(_SEGMENTS).parquet(path)
-    # One row for each task that wrote; the parts are in doc_id order.
+    # One row of two numbers for each task that wrote; the parts are in doc_id order.
     totals = segments.groupBy("part").agg(F.sum("n_ids").alias("total"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
     docs = segments.select("part", "at", "doc_ids", "counts", "codes").mapInArrow(decode, _DOCS)
-    return docs.join(bases, "part").select(
+    return docs.join(F.broadcast(bases), "part").select(
         "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32"
     )
 

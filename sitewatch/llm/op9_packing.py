@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitewatch.llm.common import own_columns, store, text_slices
-from sitewatch.llm.tokens import WORD_BPE, Encoder
+from sitewatch.llm.tokens import SLICE_BYTES, WORD_BPE, encoder
 
 LENGTH = 4096
 END_ID = 2
@@ -41,11 +41,10 @@ def token_stream(
     """Each document's ids, as little-endian 32-bit integers, with its place in its partition."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, at = Encoder(tokenizer, folder), TaskContext.get().partitionId(), 0
+        encode_texts, part, at = encoder(tokenizer, folder), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for lo, hi, _, _ in text_slices(batch.column("text")):
-                texts = batch.column("text").slice(lo, hi - lo).to_pylist()
-                ids, counts = encoder(texts)
+            for lo, hi, _, _ in text_slices(batch.column("text"), SLICE_BYTES):
+                ids, counts = encode_texts(batch.column("text").slice(lo, hi - lo))
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, end_id).astype("<u4")
                 n = counts + 1
@@ -71,10 +70,10 @@ def token_stream(
 def placed(stream: DataFrame) -> DataFrame:
     """The stored stream with each document's place among all ids."""
     totals = stream.groupBy("part").agg(F.sum("n").alias("total"))
-    # One row for each task of the first pass.
+    # One row of two numbers for each task of the first pass: small enough to broadcast.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    return stream.join(bases, "part").select(
+    return stream.join(F.broadcast(bases), "part").select(
         (F.col("base") + F.col("at")).alias("place"), "doc_id", "ids", "n"
     )
 
