@@ -130,3 +130,67 @@ def signed(x: np.ndarray) -> np.ndarray:
 def own_columns(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that others cannot clash with those an operator adds."""
     return df.select(*[F.col(f"`{name}`") for name in names])
+
+
+_LETTER, _DIGIT, _OTHER = range(3)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[65:91] = _KIND[97:123] = _KIND[128:] = _LETTER
+_KIND[48:58] = _DIGIT
+_ENDS_SENTENCE = np.zeros(256, bool)
+_ENDS_SENTENCE[list(b".!?:\n")] = True
+
+
+class Tokens:
+    """Runs of letters and numbers of some texts, in lower case (A-Z, À-Þ), with 64-bit hashes.
+
+    Bytes beyond ASCII count as letters; a point or comma between digits is part of the number.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        n, kinds = len(data), _KIND[data]
+        edge = np.zeros(n + 1, bool)
+        edge[offsets] = True
+        digit = kinds == _DIGIT
+        mark = (data == ord(".")) | (data == ord(","))
+        mark[1:] &= digit[:-1] & ~edge[1:n]
+        mark[:-1] &= digit[1:] & ~edge[1:n]
+        if n:
+            mark[0] = mark[-1] = False
+        kinds[mark] = _DIGIT
+        new = edge[:n].copy()
+        new[1:] |= kinds[1:] != kinds[:-1]
+        inside = kinds != _OTHER
+        self.starts = np.flatnonzero(new & inside)
+        last = np.append(new[1:], True) if n else new
+        self.ends = np.flatnonzero(last & inside) + 1
+        self.first = np.searchsorted(self.starts, offsets)
+        self.is_number = kinds[self.starts] == _DIGIT
+        # The second byte of a letter from U+00C0 to U+00DE, and of its lower case.
+        latin = np.zeros(n, bool)
+        latin[1:] = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        capital = latin & (data >= 0x80) & (data <= 0x9E)
+        small = latin & (data >= 0xA0) | (data >= ord("a")) & (data <= ord("z"))
+        head = data[self.starts]
+        upper = (head >= ord("A")) & (head <= ord("Z"))
+        upper |= (head == 0xC3) & capital[np.minimum(self.starts + 1, max(n - 1, 0))]
+        smalls = np.concatenate([[0], np.cumsum(small)])
+        self.is_capitalised = upper & (smalls[self.ends] > smalls[self.starts])
+        stops = np.concatenate([[0], np.cumsum(_ENDS_SENTENCE[data])])
+        before = np.append(0, self.ends[:-1])[: len(self.starts)]
+        self.is_initial = stops[self.starts] > stops[before]
+        self.is_initial[self.first[:-1][self.first[:-1] < len(self.starts)]] = True
+        _grow_powers(n + 1)
+        self.prefix = np.zeros(n + 1, np.uint64)
+        lower = _LOWER[data]
+        lower[capital] += 0x20
+        lower = lower.astype(np.uint64) + np.uint64(1)
+        np.cumsum(lower * _powers[0][:n], out=self.prefix[1:])
+        self.hashes = self.hash_of(self.starts, self.ends)
+
+    @property
+    def counts(self) -> np.ndarray:
+        return np.diff(self.first)
+
+    def hash_of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of any byte runs, in lower case."""
+        return mix((self.prefix[ends] - self.prefix[starts]) * _powers[1][starts])
