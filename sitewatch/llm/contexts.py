@@ -71,9 +71,12 @@ class ContextTrees:
     byte, and past the empty context every byte has 1 / 256. A context a class has never seen is
     passed over without cost. The statistics are frozen after training, so the whole escape path
     of every node is summed up beforehand and a byte costs one look-up for each level.
+
+    With ``smoothed`` the trees are Markov models instead: a byte that was seen in a context also
+    gets the share d / (n + d) of its probability in the shorter one (Witten-Bell smoothing).
     """
 
-    def __init__(self, counts: pd.DataFrame, order: int):
+    def __init__(self, counts: pd.DataFrame, order: int, smoothed: bool = False):
         self.classes = sorted(counts["class"].unique())
         n_classes = len(self.classes)
         self.order = order
@@ -109,7 +112,11 @@ class ContextTrees:
                 # The node of the same run without its first byte, one level up.
                 mask = np.uint64((1 << 8 * (level - 1)) - 1)
                 shorter = parent_bits[np.searchsorted(parent_grams, grams & mask)]
-            bits = np.where(n > 0, own, escape[context] + shorter)
+            below = escape[context] + shorter
+            if smoothed:
+                with np.errstate(divide="ignore"):
+                    own = -np.log2(np.exp2(-own) + np.exp2(-below))
+            bits = np.where(n > 0, own, below)
             table = np.zeros((len(parent_grams) + 1) * width, np.int32)
             last = self.symbols[(grams & np.uint64(0xFF)).astype(np.int64)]
             table[(context + 1) * width + last] = np.arange(1, len(grams) + 1)

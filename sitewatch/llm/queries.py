@@ -1,11 +1,15 @@
 """The queries of this subpackage; each takes ``(spark, sf_dir)``."""
 
+from sitewatch.llm.op10_urls import op10_urls
 from sitewatch.llm.op1_repeats import op1_repeats
 from sitewatch.llm.op2_templates import op2_templates
 from sitewatch.llm.op3_language import op3_language
+from sitewatch.llm.op4_cascade import op4_cascade
+from sitewatch.llm.op5_sharding import op5_sharding
+from sitewatch.llm.op6_toxicity import op6_toxicity
 from sitewatch.llm.op7_dac import op7_dac
 from sitewatch.llm.op8_minhash import op8_minhash
 from sitewatch.llm.op9_packing import op9_packing
 
-QUERIES = {f.__name__: f for f in (op1_repeats, op2_templates, op3_language, op7_dac, op8_minhash, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_repeats, op2_templates, op3_language, op4_cascade, op5_sharding, op6_toxicity, op7_dac, op8_minhash, op9_packing, op10_urls)}
 ORACLES: dict[str, str] = {}
