@@ -12,11 +12,12 @@ probability (1 - (1 - s^ROWS)^PIECES)^2, 0.99999 at 0.8.
 3. In each table bucket all members are compared with the most central one, the class whose
    pieces are the most frequent. The exact similarity comes from the full sets.
 4. Components of the links found. A bucket whose members are all in one component is done, as a
-   further link could not change it. In the others, those outside the largest component are
-   compared with every member of another component, unless the distances to the centre already
-   show (by the triangle inequality of the Jaccard distance) that there is no link.
+   further link could not change it. In the others it is counted how many of a class's shingles
+   occur in any other component at all: a class with too few for 80 percent has no link there and
+   leaves the bucket. A heavily edited copy mostly goes this way, in linear time. What is left is
+   decided exactly, by products of blocks of its shingle matrix; only links leave a block.
 
-So no group is compared all with all, and no pair that met in a bucket is left undecided.
+So no pair of rows is formed within a group, and no pair that met in a bucket is left undecided.
 
 Defined cases: a NULL text, or one without words, has no shingle, its own component and is kept;
 a text with fewer words than a shingle is one shingle of its whole sequence; repeated rows are
@@ -40,6 +41,7 @@ WORDS = 4
 PIECES = 12
 ROWS = 2
 PERCENT = 80
+BLOCK = 500_000
 
 _SIGNATURES = "doc_id long, n_shingles long, fp1 long, fp2 long, left array<long>, right array<long>"
 
@@ -193,12 +195,130 @@ def _could_link(a: str, b: str, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _mixed(placed: DataFrame) -> DataFrame:
+    """The rows of ``placed`` in buckets that hold several components, with the largest one."""
+    by_component = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
+    mixed = (
+        by_component.groupBy("key")
+        .agg(F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("top"))
+        .where("parts > 1")
+        .select("key", F.col("top.component").alias("top"))
+    )
+    return placed.drop("top").join(mixed, "key")
+
+
+def _with_shared(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """``rest`` with ``shared``: how many of a class's shingles another component has, too.
+
+    No class of another component can have more than these in common with it.
+    """
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                own = [np.frombuffer(x, np.int64) for x in part.column("set").to_pylist()]
+                n = [len(x) for x in own]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.repeat(part.column("id").to_numpy(), n)),
+                        pa.array(np.repeat(part.column("component").to_numpy(), n)),
+                        pa.array(np.concatenate(own)),
+                    ],
+                    names=["id", "component", "shingle"],
+                )
+
+    classes = rest.select("id", "component").distinct()
+    shingles = sets.join(classes, "id").mapInArrow(
+        unpack, "id long, component long, shingle long"
+    )
+    common = (
+        shingles.groupBy("shingle")
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .where("lo < hi")
+        .select("shingle")
+    )
+    shared = shingles.join(common, "shingle").groupBy("id").agg(F.count("*").alias("shared"))
+    return rest.drop("shared").join(shared, "id")
+
+
+def _late_links(
+    members: DataFrame, found: DataFrame, sets: DataFrame, percent: int, block: int
+) -> DataFrame:
+    """Links ``(a, b)`` between components that met in a bucket: at least one for each two linked."""
+    placed = members.join(found, "id", "left").select(
+        "key", "id", "n", F.coalesce("component", "id").alias("component")
+    )
+    rest = store(_mixed(placed), "op8-mixed")
+    # Twice, as what the first pass rules out no longer shares anything with the others.
+    for _ in range(2):
+        counted = store(_with_shared(rest, sets), "op8-shared")
+        # The smallest partner there is, or the one that is all in common.
+        least = counted.groupBy("key").agg(F.min("n").alias("least"))
+        union = F.col("n") + F.greatest("least", "shared") - F.col("shared")
+        able = counted.join(least, "key").where(100 * F.col("shared") >= percent * union)
+        rest = store(_mixed(able.drop("least")), "op8-mixed")
+
+    # All that met directly or through others, in blocks of about ``block`` shingles.
+    hubs = rest.groupBy("key").agg(F.min("id").alias("b"))
+    clusters = components(rest.join(hubs, "key").select(F.col("id").alias("a"), "b"))
+    classes = rest.select("id", "n", "component").distinct()
+    classes = classes.join(clusters.withColumnRenamed("component", "cluster"), "id")
+    sizes = classes.groupBy("cluster").agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    dealt = classes.join(sizes, "cluster").withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    )
+    dealt = dealt.join(sets, "id").select(
+        "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        "own", "id", "component", "set",
+    )
+
+    def compare(key, table):
+        i, j = key[1].as_py(), key[2].as_py()
+        blocks = table.column("own").to_numpy()
+        ids, labels = table.column("id").to_numpy(), table.column("component").to_numpy()
+        shingles = [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
+        n = np.array([len(x) for x in shingles])
+        values, where, often = np.unique(
+            np.concatenate(shingles), return_inverse=True, return_counts=True
+        )
+        # A shingle of one class only is in no intersection.
+        column = np.cumsum(often > 1) - 1
+        row = np.repeat(np.arange(len(n)), n)
+        kept = often[where] > 1
+        matrix = np.zeros((len(n), int((often > 1).sum())), np.float32)
+        matrix[row[kept], column[where[kept]]] = 1
+        left, right = np.flatnonzero(blocks == i), np.flatnonzero(blocks == j)
+        seen, out = set(), []
+        for at in range(0, len(left), 256):
+            part = left[at : at + 256]
+            both = np.rint(matrix[part] @ matrix[right].T).astype(np.int64)
+            linked = 100 * both >= percent * (n[part][:, None] + n[right][None, :] - both)
+            linked &= labels[part][:, None] != labels[right][None, :]
+            for x, y in zip(*np.nonzero(linked)):
+                a, b = part[x], right[y]
+                pair = (min(labels[a], labels[b]), max(labels[a], labels[b]))
+                if pair not in seen:
+                    seen.add(pair)
+                    out.append((int(ids[a]), int(ids[b])))
+        return pa.table(
+            {
+                "a": pa.array([x for x, _ in out], pa.int64()),
+                "b": pa.array([y for _, y in out], pa.int64()),
+            }
+        )
+
+    return dealt.groupBy("cluster", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = WORDS,
     pieces: int = PIECES,
     rows: int = ROWS,
     percent: int = PERCENT,
+    block: int = BLOCK,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document."""
     signed_docs = store(signatures(docs, words, pieces, rows), "op8-signatures")
@@ -215,7 +335,7 @@ def near_duplicates(
     classes = grouped.select("id", F.col("n_shingles").alias("n"), "left", "right")
     members = store(_members(classes), "op8-members")
 
-    # The most central member of each bucket, and its distance to all others.
+    # The most central member of each bucket, compared with all others.
     centre = members.groupBy("key").agg(
         F.max(F.struct("central", F.negative("id").alias("id"), F.col("n").alias("m"))).alias("c")
     )
@@ -229,39 +349,7 @@ def near_duplicates(
     links = compared.where("linked").select("a", "b")
     found = components(links)
 
-    # Buckets that still hold several components.
-    placed = members.join(found, "id", "left").select(
-        "key", "id", "n", F.coalesce("component", "id").alias("component")
-    )
-    placed = store(placed, "op8-placed")
-    by_component = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
-    mixed = (
-        by_component.groupBy("key")
-        .agg(F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("top"))
-        .where("parts > 1")
-        .select("key", F.col("top.component").alias("top"))
-    )
-    similarity = compared.select("a", F.col("b").alias("id"), "similarity")
-    rest = placed.join(mixed, "key").join(centre.select("key", "a"), "key")
-    rest = rest.join(similarity, ["a", "id"], "left").select(
-        "key", "id", "n", "component", "top",
-        F.when(F.col("id") == F.col("a"), 0.0).otherwise(1 - F.col("similarity")).alias("far"),
-    )
-    rest = store(rest, "op8-rest")
-    outside = rest.where("component != top").drop("top")
-    outside = outside.toDF("key", "a", "n_a", "component_a", "far_a")
-    reach = 1 - percent / 100 + 1e-9
-    # A member whose size alone ruled out the centre has no known distance to it.
-    close = F.coalesce(F.abs(F.col("far_a") - F.col("far")) <= reach, F.lit(True))
-    more = (
-        outside.join(rest, "key")
-        .where(F.col("component_a") != F.col("component"))
-        .where(_could_link("n_a", "n", percent) & close)
-        .select(F.greatest("a", "id").alias("a"), F.least("a", "id").alias("b"))
-        .distinct()
-        .join(compared.select("a", "b"), ["a", "b"], "left_anti")
-    )
-    late = store(_verify(more, sets, percent), "op8-late").where("linked").select("a", "b")
+    late = _late_links(members, found, sets, percent, block)
     all_links = store(links.union(late), "op8-links")
     final = components(all_links)
 
