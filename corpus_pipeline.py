@@ -1,19 +1,67 @@
-"""From raw documents to packed training sequences: five stages, each an operator of ``sitewatch.llm``."""
+"""From raw documents to packed training sequences: five stages, each an operator of ``sitewatch.llm``.
+
+Every stage but the last returns the columns of ``documents``. Clean documents pass all of them
+unchanged; a document of which repeated passages are removed goes on with the rest of its text.
+
+Defined cases are those of the operators. Extra columns of ``documents`` go through all stages but
+the last; a NULL ``doc_id`` is packed, and neither compared nor rejected for what others hold.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sitewatch.llm import op1_repeats, op2_templates, op3_language, op8_minhash, op9_packing
+from sitewatch.llm.common import own_columns, store
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language: not ``und``, and cheaper to code than raw bytes."""
+    labelled = own_columns(docs, "doc_id", "text", "lang").where(~op3_language.held_out())
+    trees = op3_language.train(labelled)
+    found = op3_language.predict(own_columns(docs, *docs.columns), trees)
+    usable = (F.col("lang_pred") != op3_language.UNKNOWN) & (F.col("bits_per_byte") < 8)
+    return found.where(usable).select([F.col(f"`{c}`") for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    groups = op8_minhash.near_duplicates(docs)
+    dropped = groups.where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages that occurred before; a text that had none is unchanged."""
+    kept = op1_repeats.remove_repeats(own_columns(docs, *docs.columns))
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    kept = kept.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        n_chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        kept = kept.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
+    return kept.select([F.col(f"`{c}`") for c in docs.columns])
+
 
-from sitewatch.llm import op9_packing
-from sitewatch.llm.common import store
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak no item of ``benchmark``."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leaking = op2_templates.leaks(docs, items).select("doc_id").distinct()
+    return docs.join(leaking, "doc_id", "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 4096 ids."""
     return op9_packing.pieces(docs).drop("ids")
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("language ID", language_id),
+    ("MinHash near-dedup", near_duplicates),
+    ("substring dedup", substring_dedup),
+    ("benchmark decontamination", decontamination),
+    ("packing", packing),
+]
 
 # Token ids and compressed models are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

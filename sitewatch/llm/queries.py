@@ -10,6 +10,8 @@ from sitewatch.llm.op6_toxicity import op6_toxicity
 from sitewatch.llm.op7_dac import op7_dac
 from sitewatch.llm.op8_minhash import op8_minhash
 from sitewatch.llm.op9_packing import op9_packing
+from sitewatch.llm.oracles import ORACLES
 
 QUERIES = {f.__name__: f for f in (op1_repeats, op2_templates, op3_language, op4_cascade, op5_sharding, op6_toxicity, op7_dac, op8_minhash, op9_packing, op10_urls)}
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
