@@ -355,7 +355,7 @@ def near_duplicates(
 
     copies = grouped.where("copies > 1").select("fp1", "fp2", "n_shingles", "id")
     own = signed_docs.drop("left", "right").join(copies, ["fp1", "fp2", "n_shingles"], "left")
-    own = own.withColumn("id", F.when(F.col("n_shingles") > 0, F.coalesce("id", "doc_id")))
+    own = own.withColumn("id", F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id")))
     placed_docs = own.join(final, "id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "id", "doc_id").alias("component_id")
     )

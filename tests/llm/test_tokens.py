@@ -1,0 +1,94 @@
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from sitewatch.llm import op7_dac, op9_packing
+from sitewatch.llm.tokens import BYTE_BPE, WORD_BPE, Encoder, vocabulary
+from tests.llm.edge import EDGE, edge, read
+
+TRICKY = [
+    "", None, " ", "  a", "a ", " a", "a\n b", "a \nb", "it's 'sa we're 12345", "<|endoftext|>x",
+    "中文 テスト", "a\x1cb", "tab\there  two", "\r\n\r\n x", "they're'll 'tis 'sa''s '", "'re", "'l",
+    "ÀÉ× Þÿ ŸĲ İ", "a\n\nb\n", "1a2'3 4's5", "don't\ndon'T", "s", "x'", "é́",
+]
+
+
+@pytest.mark.parametrize("name", [BYTE_BPE, WORD_BPE])
+def test_ids_are_those_of_the_library(name, spark):
+    texts = TRICKY + [r.text for r in read(spark, "documents").collect()] + [r[1] for r in EDGE]
+    library = Tokenizer.from_file(vocabulary(name))
+    encoder = Encoder(name, most=2000)
+    for _ in range(2):  # from anew, and from memory
+        ids, counts = encoder(pa.array(texts, pa.string()))
+        ends = np.cumsum(counts)
+        for text, end, n in zip(texts, ends, counts):
+            whole = library.encode(text or "", add_special_tokens=False).ids
+            assert ids[end - n : end].tolist() == whole, text
+
+
+@pytest.mark.parametrize("n", [0, 1, 8, 511, 512, 513, 3000])
+def test_codes_round_trip_and_random_access(n):
+    random = np.random.default_rng(n)
+    ids = random.integers(0, 1 << 32, n, dtype=np.uint64) >> random.integers(0, 32, n).astype(np.uint64)
+    reader = op7_dac.DacReader(op7_dac.pack(ids))
+    assert reader.all().tolist() == ids.tolist()
+    assert [reader[i] for i in range(n)] == ids.tolist()
+    with pytest.raises(IndexError):
+        reader[n]
+
+
+def _crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def _encoded(name, rows, end):
+    library = Tokenizer.from_file(vocabulary(name))
+    return [library.encode(r.text or "", add_special_tokens=False).ids + [end] for r in rows]
+
+
+@pytest.mark.parametrize("make", [edge, lambda spark: read(spark, "documents")])
+def test_token_files(make, spark, tmp_path):
+    docs = make(spark)
+    rows = sorted(docs.collect(), key=lambda r: (r.doc_id is not None, r.doc_id, r.text or ""))
+    expected, start = [], 0
+    for row, ids in zip(rows, _encoded(BYTE_BPE, rows, 0)):
+        expected.append((row.doc_id, start, len(ids), _crc(ids)))
+        start += len(ids)
+    op7_dac.write_tokens(docs.repartition(5), str(tmp_path / "t"))
+    got = [tuple(r) for r in op7_dac.read_tokens(spark, str(tmp_path / "t")).collect()]
+    assert sorted(got, key=lambda r: r[1]) == expected
+
+
+@pytest.mark.parametrize("make", [edge, lambda spark: read(spark, "documents")])
+def test_packing_cuts_one_stream(make, spark):
+    docs = make(spark).repartition(6)
+    cut = op9_packing.pieces(docs, length=256)
+    pieces = sorted(cut.collect(), key=lambda r: (r.sequence_id, r.offset))
+    place = 0
+    for p in pieces:  # no gap, no overlap, nothing beyond a sequence
+        assert p.sequence_id * 256 + p.offset == place and p.offset + p.length <= 256
+        assert p.ids_crc32 == zlib.crc32(p.ids) and len(p.ids) == 4 * p.length
+        place += p.length
+    rows = docs.collect()
+    whole = sorted((r.doc_id or -1, _crc(i), len(i)) for r, i in zip(rows, _encoded(WORD_BPE, rows, 2)))
+    joined, parts = [], b""
+    for p in pieces:
+        parts = p.ids if p.start == 0 else parts + p.ids
+        if p.start + p.length == p.doc_tokens:
+            joined.append((p.doc_id or -1, zlib.crc32(parts), p.doc_tokens))
+    assert sorted(joined) == whole
+    sequences = {r.sequence_id: r for r in op9_packing.sequences(cut, 256, pad_id=9).collect()}
+    assert sorted(sequences) == list(range(-(-place // 256)))
+    stream = b"".join(p.ids for p in pieces)
+    assert b"".join(sequences[k].ids for k in sorted(sequences))[: len(stream)] == stream
+    assert all(len(r.ids) == 1024 for r in sequences.values())
+
+
+def test_empty_tables(spark, tmp_path):
+    nothing = edge(spark).limit(0)
+    assert op9_packing.pieces(nothing).count() == 0
+    op7_dac.write_tokens(nothing, str(tmp_path / "t"))
+    assert op7_dac.read_tokens(spark, str(tmp_path / "t")).count() == 0
