@@ -5,7 +5,7 @@ linear time and without recursion, whatever the page looks like.
 """
 
 import json
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,36 +25,61 @@ _MARKUP = (
 )
 _OTHER = rf"[\s/]*+(?!href\s*+=)[^\s/>=]++(?:\s*+=\s*+{_QUOTED})?+"
 _HREF = rf"(?i)^a(?:{_OTHER})*+[\s/]*+href\s*+=\s*+({_QUOTED})"
-_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*+);|[^&]++|&"
-
-_NAMED = {f"&{name};": chr(point) for name, point in sorted(name2codepoint.items())}
-_NAMED["&apos;"] = "'"
-
-
-def _code_point(point: Column) -> Column:
-    valid = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
-    return F.when(
-        valid, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
-    ).otherwise(F.lit("�"))
+_REFERENCE = r"&(?:#[0-9]++;?+|#[xX][0-9a-fA-F]++;?+|[A-Za-z][A-Za-z0-9]*+;)|[^&]++|&"
+
+_NAMED = {f"&{name}": text for name, text in sorted(html5.items()) if name.endswith(";")}
+# The ones that links mostly have are not looked up among all.
+_COMMON = {"&amp;": "&", "&quot;": '"', "&lt;": "<", "&gt;": ">", "&apos;": "'", "&nbsp;": "\xa0"}
+
+# What the numbers 128 to 159 stand for in a reference; the others are controls.
+_WINDOWS = {
+    0x80: 0x20AC, 0x82: 0x201A, 0x83: 0x0192, 0x84: 0x201E, 0x85: 0x2026, 0x86: 0x2020,
+    0x87: 0x2021, 0x88: 0x02C6, 0x89: 0x2030, 0x8A: 0x0160, 0x8B: 0x2039, 0x8C: 0x0152,
+    0x8E: 0x017D, 0x91: 0x2018, 0x92: 0x2019, 0x93: 0x201C, 0x94: 0x201D, 0x95: 0x2022,
+    0x96: 0x2013, 0x97: 0x2014, 0x98: 0x02DC, 0x99: 0x2122, 0x9A: 0x0161, 0x9B: 0x203A,
+    0x9C: 0x0153, 0x9E: 0x017E, 0x9F: 0x0178,
+}
+_KEPT_CONTROLS = [0x81, 0x8D, 0x8F, 0x90, 0x9D, 0x09, 0x0A, 0x0C, 0x0D]
+
+
+def _code_point(digits: Column, base: int) -> Column:
+    """The character of a number written with ``digits``, however many there are."""
+    short = F.regexp_replace(digits, "^0+", "")
+    # Seven digits hold any code point in either base; with more it is beyond all of them.
+    number = F.when(F.length(short) > 7, F.lit(0x110000)).otherwise(
+        F.coalesce(F.conv(F.concat(F.lit("0"), short), base, 10).cast("bigint"), F.lit(0))
+    )
+    replaced = F.try_element_at(F.create_map(*[F.lit(n) for p in _WINDOWS.items() for n in p]), number.cast("int"))
+    point = F.coalesce(replaced.cast("bigint"), number)
+    control = point.between(0x01, 0x1F) | point.between(0x7F, 0x9F) | point.between(0xFDD0, 0xFDEF)
+    control |= (point % 0x10000).isin(0xFFFE, 0xFFFF)
+    return (
+        F.when((point == 0) | point.between(0xD800, 0xDFFF) | (point > 0x10FFFF), F.lit("�"))
+        .when(control & ~point.isin(_KEPT_CONTROLS), F.lit(""))
+        .otherwise(F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32"))
+    )
 
 
 def unescape(text: Column) -> Column:
-    """Character references resolved: numeric ones and the HTML 4 names."""
+    """Character references resolved: numeric ones of any length and all HTML 5 names."""
     named = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
 
     def resolve(token: Column) -> Column:
+        known = F.when(F.lit(False), token)
+        for written, character in _COMMON.items():
+            known = known.when(token == written, F.lit(character))
         return (
-            F.when(
-                token.rlike("^&#[0-9]"),
-                _code_point(F.regexp_extract(token, "[0-9]+", 0).cast("bigint")),
+            known.when(
+                token.rlike("^&#[0-9]"), _code_point(F.regexp_extract(token, "[0-9]+", 0), 10)
+            )
+            .when(
+                token.rlike("^&#[xX][0-9a-fA-F]"),
+                _code_point(F.regexp_extract(token, "^&#[xX]([0-9a-fA-F]+)", 1), 16),
             )
             .when(
-                token.rlike("^&#[xX]"),
-                _code_point(
-                    F.conv(F.regexp_extract(token, "^&#[xX](.*);", 1), 16, 10).cast("bigint")
-                ),
+                token.startswith("&") & token.endswith(";"),
+                F.coalesce(F.try_element_at(named, token), token),
             )
-            .when(token.startswith("&"), F.coalesce(F.try_element_at(named, token), token))
             .otherwise(token)
         )
 

@@ -12,41 +12,31 @@ from sitewatch.functions.urls import (
     marker_path,
     page_id,
 )
-from sitewatch.session import materialise, scratch_path
-
-LINKS_PER_BUCKET = 50_000_000
-FEW_VISITED = 100_000
+from sitewatch.session import intermediate_path, materialise
 
 _LINKS = "src_url string, dst_url string, bucket int"
 _VISITED = "url string, depth int"
 
 
-def store_links(
-    links: DataFrame, links_per_bucket: int = LINKS_PER_BUCKET
-) -> tuple[DataFrame, int]:
+def store_links(links: DataFrame, buckets: int | None = None) -> tuple[DataFrame, int]:
     """Store links ``(src_url, dst_url)`` for the rounds of a crawl, with the number of buckets.
 
-    The rounds with few URLs are many, and should not read all links. So a large table is
-    laid out in folders by a hash of the source, sorted by it; a source with very many
-    links gets more files, not one large task. A table of one bucket stays as it is.
+    The rounds with few URLs are many, and should not read all links. So the table is laid
+    out in folders by a hash of the source, sorted by it, as many as the session has shuffle
+    partitions; a source with very many links gets more files, not one large task.
     """
-    counted = Observation()
-    stored = materialise(
-        links.select("src_url", "dst_url").observe(counted, F.count(F.lit(1)).alias("links")),
-        "links",
-    )
-    buckets = max(1, -(-counted.get["links"] // links_per_bucket))
-    if buckets == 1:
-        return stored.withColumn("bucket", F.lit(0)), 1
-    path = scratch_path(links.sparkSession, "bucketed-links")
+    spark = links.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = intermediate_path(spark, "links")
     (
-        stored.withColumn("bucket", _bucket(F.col("src_url"), buckets))
+        links.select("src_url", "dst_url")
+        .withColumn("bucket", _bucket(F.col("src_url"), buckets))
         .hint("rebalance", "bucket")
         .sortWithinPartitions("bucket", "src_url")
         .write.partitionBy("bucket")
         .parquet(path)
     )
-    return links.sparkSession.read.schema(_LINKS).parquet(path), buckets
+    return spark.read.schema(_LINKS).parquet(path), buckets
 
 
 def _bucket(url: Column, buckets: int) -> Column:
@@ -75,10 +65,10 @@ def reach(links: DataFrame, buckets: int, start_url: str) -> DataFrame:
     a target every page links to costs one row per task.
     """
     spark = links.sparkSession
-    base = scratch_path(spark, "visited")
+    base = intermediate_path(spark, "visited")
     start = canonical_url(browser_url(F.lit(start_url)))
     spark.range(1).select(start.alias("url")).write.parquet(f"{base}/depth=0")
-    depth, found, total = 0, 1, 1
+    depth, found = 0, 1
     while found:
         read = spark.read.schema(_VISITED).option("basePath", base)
         visited = read.parquet(base)
@@ -87,23 +77,21 @@ def reach(links: DataFrame, buckets: int, start_url: str) -> DataFrame:
         last = read.parquet(f"{base}/depth={depth}").where(F.col("depth") == depth)
         counted = Observation()
         (
-            _without(_targets(links, buckets, last), visited.select("url"), total)
+            _without(_targets(links, buckets, last), visited.select("url"))
             .observe(counted, F.count(F.lit(1)).alias("found"))
             .write.parquet(f"{base}/depth={depth + 1}")
         )
         found = counted.get["found"]
-        depth, total = depth + 1, total + found
+        depth += 1
     return spark.read.schema(_VISITED).parquet(base)
 
 
-def _without(targets: DataFrame, visited: DataFrame, total: int) -> DataFrame:
+def _without(targets: DataFrame, visited: DataFrame) -> DataFrame:
     """The targets not among the visited URLs.
 
-    Rounds with few targets must not shuffle all visited URLs. So when those are many, the
-    targets are stored first, and if they are few, they are what is broadcast.
+    Rounds with few targets must not shuffle all visited URLs. So the targets are stored
+    first, and if the planner finds them small, they are what is broadcast.
     """
-    if total <= FEW_VISITED:
-        return targets.join(visited, "url", "left_anti")
     stored = materialise(targets, "targets")
     return stored.join(visited.join(stored, "url", "left_semi"), "url", "left_anti")
 

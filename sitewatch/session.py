@@ -1,13 +1,17 @@
 """Session settings and the shared folder that intermediate tables are written to."""
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def build_session(app_name: str = "sitewatch", **conf: str) -> SparkSession:
@@ -28,14 +32,14 @@ def build_session(app_name: str = "sitewatch", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster that
-    would be local to one machine, so an unset folder is an error there.
+    Only a session within one process may fall back to a temporary folder: on a cluster,
+    a local one too, that would be local to one machine, so an unset folder is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     if context.applicationId not in _local_dirs:
         _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="sitewatch-")
@@ -46,17 +50,42 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/sitewatch/{label}-{uuid.uuid4().hex}"
 
 
+def intermediate_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder that the run under way removes at its end."""
+    path = scratch_path(spark, label)
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The lineage ends at the files, so a lost executor costs no recomputation, and
     the planner knows the real size when it picks the next join.
     """
-    path = scratch_path(df.sparkSession, label)
+    path = intermediate_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes what is materialised within it, once a run has committed or failed."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder, wherever Spark's own file systems keep it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def as_timestamp(run_ts: datetime | Column) -> Column:
     """The run time as a column; a datetime has to say its time zone."""
     if isinstance(run_ts, Column):

@@ -1,3 +1,6 @@
+import html
+import html.entities
+
 from pyspark.sql import functions as F
 
 from sitewatch.functions.anchors import unescape
@@ -81,3 +84,14 @@ def test_site_links_come_from_the_newest_fetch_of_the_run(spark):
         (SITE + "/#!/a", 1, SITE + "/#!/%C3%A7"),
         (SITE + "/#!/a", 2, SITE + "/#!/b"),
     ]
+
+
+def test_references_are_those_of_html(spark):
+    names = [f"&{n}" for n in html.entities.html5 if n.endswith(";")]
+    numbers = [0, 1, 9, 10, 13, 31, 65, 127, *range(128, 160), 0xD7FF, 0xD800, 0xDFFF, 0xE000,
+               0xFDD0, 0xFFFE, 0x1F600, 0x1FFFF, 0x10FFFF, 0x110000, 10**30]
+    texts = names + [f"x&#{z}{n};y" for n in numbers for z in ("", "0" * 30)]
+    texts += [f"x&#{x}{n:X};y" for n in numbers for x in "xX"] + ["&#65 &#x41&amp;#65;", "&;&#;&#x;&"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = dict(map(tuple, df.select("i", unescape(F.col("t"))).collect()))
+    assert [got[i] for i in range(len(texts))] == [html.unescape(t) for t in texts]
