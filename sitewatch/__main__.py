@@ -79,6 +79,8 @@ def main() -> None:
         # One row per declared check.
         result = {"checks": [row.asDict() for row in run_checks(spark).collect()]}
     print(json.dumps(result))
+    if any(check["failures"] for check in result.get("checks", [])):
+        raise SystemExit(1)
 
 
 if __name__ == "__main__":

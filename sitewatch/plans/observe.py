@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sitewatch.operators.history import observe_pages
 from sitewatch.operators.views import active_pages
 from sitewatch.schemas import REGISTRY
+from sitewatch.session import scratch_scope
 from sitewatch.sources.snapshots import read_snapshot
 from sitewatch.sources.tables import append_history
 
@@ -19,7 +20,8 @@ def observe(
     run_ts: datetime,
 ) -> dict:
     """Append one row per active page, all with the time ``run_ts``; returns the counters."""
-    registry = read_snapshot(spark, registry_root, REGISTRY)
-    batch = observe_pages(active_pages(registry), fetches, run_ts)
-    saved = append_history(spark, history_path, batch, registry)
+    with scratch_scope(spark):
+        registry = read_snapshot(spark, registry_root, REGISTRY)
+        batch = observe_pages(active_pages(registry), fetches, run_ts)
+        saved = append_history(spark, history_path, batch, registry)
     return {"pages_loaded": saved, "rows_saved": saved}

@@ -1,48 +1,93 @@
 """A mutable table as numbered Parquet snapshots.
 
-A snapshot is written beside the ones before it and counts from the moment its number is
-appended to the ``commits`` table. Readers never see a half-written state, and the path
-being read is never overwritten. Each table has one writer at a time.
+A snapshot is written to a folder of its own, which the row appended to the ``commits`` table
+names; it counts from that moment. Readers never see a half-written state, and no folder is
+ever written twice, so a second writer cannot replace what the first one committed: of two
+commits with one version the first counts. Each table should have one writer at a time.
 """
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-_COMMIT = "version bigint, committed_at timestamp"
+from sitewatch.operators.quality import duplicate_keys
+
+_COMMIT = (
+    "version bigint, committed_at timestamp, data string, stream string, batch bigint"
+)
 
 
 def create_table(spark: SparkSession, root: str, schema: StructType) -> None:
     """An empty table, version 0; fails when there is one already."""
-    spark.createDataFrame([], schema).write.parquet(_data(root, 0))
-    _append_commit(spark, root, 0)
+    spark.createDataFrame([], schema).write.parquet(f"{root}/version=0")
+    _append_commit(spark, root, 0, "version=0")
+
+
+def commits(spark: SparkSession, root: str) -> DataFrame:
+    """One row for each commit."""
+    return spark.read.schema(_COMMIT).json(f"{root}/commits")
+
+
+def _current(spark: SparkSession, root: str) -> tuple[int, str]:
+    order = F.struct("version", -F.unix_micros("committed_at"), "data")
+    last = commits(spark, root).agg(F.max_by(F.struct("version", "data"), order)).first()[0]
+    return last["version"], last["data"]
 
 
 def current_version(spark: SparkSession, root: str) -> int:
-    commits = spark.read.schema(_COMMIT).json(f"{root}/commits")
-    return commits.agg(F.max("version")).first()[0]
+    return _current(spark, root)[0]
 
 
 def read_snapshot(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
     """The table as last committed."""
-    return spark.read.schema(schema).parquet(_data(root, current_version(spark, root)))
-
+    return spark.read.schema(schema).parquet(f"{root}/{_current(spark, root)[1]}")
 
-def commit_snapshot(df: DataFrame, root: str, version: int) -> None:
-    """Write and commit ``df``. A failed attempt at the same version is written over."""
-    if current_version(df.sparkSession, root) >= version:
-        raise ValueError(f"version {version} of {root} is committed already")
-    df.write.mode("overwrite").parquet(_data(root, version))
-    _append_commit(df.sparkSession, root, version)
 
+def commit_snapshot(
+    df: DataFrame,
+    root: str,
+    version: int,
+    key: str | None = None,
+    required: tuple[str, ...] = (),
+    stream: str | None = None,
+    batch: int | None = None,
+) -> None:
+    """Write and commit ``df``.
 
-def _data(root: str, version: int) -> str:
-    return f"{root}/version={version}"
+    With ``key``, a value that occurs twice or is NULL fails before the commit, and so does a
+    NULL in a ``required`` column. ``stream`` and ``batch`` say where the commit comes from.
+    """
+    spark = df.sparkSession
+    if current_version(spark, root) >= version:
+        raise ValueError(f"version {version} of {root} is committed already")
+    data = f"version={version}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{root}/{data}")
+    written = spark.read.schema(df.schema).parquet(f"{root}/{data}")
+    columns = [*([key] if key else []), *required]
+    if columns:
+        missing = written.where(" OR ".join(f"`{c}` IS NULL" for c in columns))
+        if not missing.isEmpty():
+            raise ValueError(f"NULL in {columns} of version {version} of {root}")
+    if key and not duplicate_keys(written, key).isEmpty():
+        raise ValueError(f"{key} is not unique in version {version} of {root}")
+    _append_commit(spark, root, version, data, stream, batch)
 
 
-def _append_commit(spark: SparkSession, root: str, version: int) -> None:
+def _append_commit(
+    spark: SparkSession,
+    root: str,
+    version: int,
+    data: str,
+    stream: str | None = None,
+    batch: int | None = None,
+) -> None:
     commit = spark.range(1).select(
         F.lit(version).cast("bigint").alias("version"),
         F.current_timestamp().alias("committed_at"),
+        F.lit(data).alias("data"),
+        F.lit(stream).cast("string").alias("stream"),
+        F.lit(batch).cast("bigint").alias("batch"),
     )
-    commit.write.mode("append").json(f"{root}/commits")
+    commit.coalesce(1).write.mode("append").json(f"{root}/commits")

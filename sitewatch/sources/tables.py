@@ -1,24 +1,35 @@
-"""Page lists as CSV, fetches and history as Parquet. Read errors are raised, never hidden."""
+"""Page lists as CSV, fetches and history as Parquet. Read errors are raised, never hidden.
+
+A history has its observations in ``data``, a folder for each run, and one row for each run
+that is complete in ``commits``: its name, time, number of rows and last id. Readers take the
+rows of committed runs only, so a run is there as a whole or not at all.
+"""
+
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sitewatch.operators.history import with_history_ids
 from sitewatch.operators.quality import orphans
 from sitewatch.schemas import FETCHES, HISTORY, PAGE_LIST
 from sitewatch.session import materialise
 
-_RUN_DATE = StructField("run_date", DateType())
-_STORED_HISTORY = StructType([*HISTORY, _RUN_DATE])
+_RUN = StructField("run", StringType())
+_STORED_HISTORY = StructType([*HISTORY, _RUN])
+RUN_COMMITS = "run string, committed_at timestamp, rows bigint, last_id bigint"
 
-# What has to be said on both sides for every text to come back as it was; only the
-# empty text comes back as NULL.
+# What has to be said on both sides for every value to come back as it was. NULL is written
+# as the mark; a text that equals the mark is the only one that comes back as NULL.
 _CSV = {
     "header": True,
     "escape": '"',
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
+    "nullValue": "\\N",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
 
@@ -48,12 +59,23 @@ def read_fetches(spark: SparkSession, path: str) -> DataFrame:
 def create_history(spark: SparkSession, path: str) -> None:
     """An empty history; fails when there is one already."""
     empty = spark.createDataFrame([], _STORED_HISTORY)
-    empty.write.partitionBy(_RUN_DATE.name).parquet(path)
+    empty.write.partitionBy(_RUN.name).parquet(f"{path}/data")
+    spark.createDataFrame([], RUN_COMMITS).write.json(f"{path}/commits")
+
 
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each committed run."""
+    return spark.read.schema(RUN_COMMITS).json(f"{path}/commits")
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """The observations appended so far."""
-    return spark.read.schema(_STORED_HISTORY).parquet(path).select(*HISTORY.names)
+
+def read_history(spark: SparkSession, path: str, runs: DataFrame | None = None) -> DataFrame:
+    """The observations of the committed runs, or of some of them.
+
+    The runs, one short row each, are what prunes the folders of the data.
+    """
+    runs = read_runs(spark, path) if runs is None else runs
+    stored = spark.read.schema(_STORED_HISTORY).parquet(f"{path}/data")
+    return stored.join(runs.select(_RUN.name), _RUN.name, "left_semi").select(*HISTORY.names)
 
 
 def append_history(spark: SparkSession, path: str, batch: DataFrame, pages: DataFrame) -> int:
@@ -61,8 +83,8 @@ def append_history(spark: SparkSession, path: str, batch: DataFrame, pages: Data
 
     The batch is stored first: checking and numbering read it again, and the pages behind
     it should be parsed once. That write also counts the rows and the NULLs a history must
-    not have; a page the registry does not know fails the whole run, too. The append is
-    one job with one commit.
+    not have; a page the registry does not know fails the whole run, too. The rows count
+    from the moment the run's commit row is there, which also says where ids go on.
     """
     counted = Observation()
     stored = materialise(
@@ -80,12 +102,14 @@ def append_history(spark: SparkSession, path: str, batch: DataFrame, pages: Data
     if not orphans(stored, pages).isEmpty():
         raise ValueError("observations of pages that are not registered")
     if seen["rows"]:
-        last = read_history(spark, path).agg(F.max("id")).first()[0] or 0
-        (
-            with_history_ids(stored, last + 1)
-            .withColumn(_RUN_DATE.name, F.to_date("scrape_timestamp"))
-            .write.mode("append")
-            .partitionBy(_RUN_DATE.name)
-            .parquet(path)
+        last = read_runs(spark, path).agg(F.max("last_id")).first()[0] or 0
+        run = uuid.uuid4().hex
+        with_history_ids(stored, last + 1).write.parquet(f"{path}/data/{_RUN.name}={run}")
+        commit = spark.range(1).select(
+            F.lit(run).alias("run"),
+            F.current_timestamp().alias("committed_at"),
+            F.lit(seen["rows"]).cast("bigint").alias("rows"),
+            F.lit(last + seen["rows"]).cast("bigint").alias("last_id"),
         )
+        commit.coalesce(1).write.mode("append").json(f"{path}/commits")
     return seen["rows"]

@@ -1,34 +1,48 @@
 """The latest observation per page, kept up to date while the history grows."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sitewatch.operators.views import latest_scrape_history
 from sitewatch.schemas import HISTORY
-from sitewatch.sources.snapshots import commit_snapshot, current_version, read_snapshot
+from sitewatch.sources.snapshots import (
+    commit_snapshot,
+    commits,
+    current_version,
+    read_snapshot,
+)
+from sitewatch.sources.tables import RUN_COMMITS, read_history
 
 
 def follow_history(
-    history: DataFrame, latest_root: str, checkpoint: str
+    runs: DataFrame, history_path: str, latest_root: str, checkpoint: str
 ) -> StreamingQuery:
-    """Process everything that was appended since the last start, then stop.
-
-    ``latest_root`` is a table of its own, made by ``create_table``. Each micro-batch is
-    reduced to one row per page and merged with the snapshot before it. There is no state
-    beside the snapshots, and a batch that is replayed after a failure finds its version
-    committed and is skipped.
+    """Process all runs committed since the last start, then stop.
+
+    ``runs`` is the stream of a history's commits, so a run that is half written is not seen.
+    ``latest_root`` is a table of its own, made by ``create_table``. Each micro-batch reads
+    the rows of its runs, reduces them to one per page and merges them with the snapshot
+    before. There is no state beside the snapshots: a commit says which batch of which
+    stream, known by its checkpoint folder, it holds, so a batch replayed after a failure is
+    skipped, and one of another checkpoint is not. Merging a run twice changes nothing.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        version = batch_id + 1
-        if current_version(spark, latest_root) >= version:
+        done = commits(spark, latest_root).where(
+            (F.col("stream") == checkpoint) & (F.col("batch") == batch_id)
+        )
+        if not done.isEmpty():
             return
         known = read_snapshot(spark, latest_root, HISTORY)
-        commit_snapshot(latest_scrape_history(known.unionByName(batch)), latest_root, version)
+        more = read_history(spark, history_path, batch)
+        version = current_version(spark, latest_root) + 1
+        merged = latest_scrape_history(known.unionByName(more))
+        commit_snapshot(merged, latest_root, version, stream=checkpoint, batch=batch_id)
 
     return (
-        history.writeStream.foreachBatch(merge)
+        runs.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -36,5 +50,5 @@ def follow_history(
 
 
 def history_stream(spark: SparkSession, path: str, **options) -> DataFrame:
-    """The history folder as a stream of its files."""
-    return spark.readStream.schema(HISTORY).options(**options).parquet(path)
+    """The committed runs of a history as a stream."""
+    return spark.readStream.schema(RUN_COMMITS).options(**options).json(f"{path}/commits")

@@ -1,9 +1,14 @@
 """The three runs over one small site, by function and by command line."""
 
 import json
+import shutil
 import sys
+from datetime import timedelta
+
+from pyspark.sql.types import StructType
 
 from sitewatch import __main__ as command
+from sitewatch.operators import history as history_ops
 from sitewatch.operators.views import latest_scrape_history
 from sitewatch.plans.discover import discover
 from sitewatch.plans.observe import observe
@@ -11,9 +16,9 @@ from sitewatch.plans.status import register_views, run_checks
 from sitewatch.schemas import FETCHES, HISTORY, REGISTRY
 from sitewatch.schemas import NOT_FOUND as NF
 from sitewatch.sources.snapshots import create_table, current_version, read_snapshot
-from sitewatch.sources.tables import create_history, read_csv, read_history
+from sitewatch.sources.tables import append_history, create_history, read_csv, read_history
 from sitewatch.streaming.latest import follow_history, history_stream
-from tests.helpers import T0, T1, T2, rows
+from tests.helpers import T0, T1, T2, T3, rows
 
 SITE = "https://s.org/#!/"
 
@@ -111,22 +116,53 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
 def test_stream_keeps_the_latest_view(spark, tmp_path):
     path, root = str(tmp_path / "history"), str(tmp_path / "latest")
     create_table(spark, root, HISTORY)
+    create_history(spark, path)
+    pages = spark.createDataFrame([(p, "u", True, T0) for p in "abc"], REGISTRY)
 
     def append(*data):
-        seen = [(i, p, t, NF, w, NF, NF) for i, p, t, w in data]
-        spark.createDataFrame(seen, HISTORY).coalesce(1).write.mode("append").parquet(path)
+        seen = [(p, t, NF, w, NF, NF) for p, t, w in data]
+        schema = [f for f in HISTORY if f.name != "id"]
+        append_history(spark, path, spark.createDataFrame(seen, StructType(schema)), pages)
 
-    def follow():
+    def follow(checkpoint="one"):
         stream = history_stream(spark, path, maxFilesPerTrigger=1)
-        follow_history(stream, root, str(tmp_path / "checkpoint")).awaitTermination()
+        follow_history(stream, path, root, str(tmp_path / checkpoint)).awaitTermination()
         return read_snapshot(spark, root, HISTORY)
 
-    append((1, "a", T1, "Ana"), (2, "b", T1, "Bia"))
-    append((3, "a", T2, "Cai"), (4, "a", T2, "Dri"), (5, None, T0, "X"))
-    assert rows(follow()) == rows(latest_scrape_history(spark.read.schema(HISTORY).parquet(path)))
-    # Late and new rows in one later file; the older one must not win.
-    append((6, "a", T0, "late"), (7, "c", T1, "Eva"))
+    def latest():
+        return rows(latest_scrape_history(read_history(spark, path)))
+
+    append(("a", T1, "Ana"), ("b", T1, "Bia"))
+    append(("a", T2, "Cai"))
+    assert rows(follow()) == latest()
+    # Late and new rows in one later run; the older one must not win.
+    append(("a", T0, "late"), ("c", T1, "Eva"))
     got = follow()
-    assert rows(got) == rows(latest_scrape_history(spark.read.schema(HISTORY).parquet(path)))
-    assert sorted(r["id"] for r in got.collect()) == [2, 4, 5, 7]
+    assert rows(got) == latest()
     assert rows(follow()) == rows(got)
+    # A run that is half written is not seen, a lost checkpoint loses nothing.
+    read_history(spark, path).write.parquet(f"{path}/data/run=broken")
+    append(("b", T2, "Flo"))
+    assert rows(follow("two")) == latest()
+    assert ("b", T2, "Flo") in rows(read_snapshot(spark, root, HISTORY), "page_id", "scrape_timestamp", "updated_by")
+    version = current_version(spark, root)
+    # A batch that is replayed changes nothing.
+    shutil.rmtree(tmp_path / "two" / "commits")
+    assert rows(follow("two")) == latest()
+    assert current_version(spark, root) == version
+
+
+def test_only_the_newest_active_page_is_parsed(spark, tmp_path, monkeypatch):
+    old = [(f"{SITE}a", f"old {i}", T0 + timedelta(minutes=i)) for i in range(100)]
+    fetches = spark.createDataFrame(
+        old + [(f"{SITE}a", "new", T2), (f"{SITE}b", "inactive", T1)], FETCHES
+    )
+    parsed = []
+
+    plain = history_ops.extract_footers
+    monkeypatch.setattr(
+        history_ops, "extract_footers", lambda f: (parsed.extend(r["html"] for r in f.collect()), plain(f))[1]
+    )
+    active = spark.createDataFrame([("a", f"{SITE}a")], "id string, url string")
+    assert len(history_ops.observe_pages(active, fetches, T3).collect()) == 1
+    assert parsed == ["new"]
