@@ -22,18 +22,24 @@ def extract_footers(fetches: DataFrame) -> DataFrame:
     )
 
 
-def newest_footers(fetches: DataFrame, run_ts: datetime | Column) -> DataFrame:
-    """The observed fields of each URL's newest fetch as of ``run_ts``.
+def newest_footers(
+    fetches: DataFrame, run_ts: datetime | Column, urls: DataFrame | None = None
+) -> DataFrame:
+    """The observed fields of each URL's newest fetch as of ``run_ts``; of ``urls`` only, if given.
 
-    Fields are extracted where the page is read, so only short rows are shuffled.
+    Which fetches are the newest follows from two narrow columns; pages are read again only
+    for those, and only they are parsed. Fetches of one URL at the same time all are, as the
+    fields decide between them; then only short rows are shuffled.
     """
-    known = extract_footers(
-        fetches.where(F.col("fetched_at") <= as_timestamp(run_ts)).select(
-            canonical_url(browser_url(F.col("url"))).alias("fetch_url"), "fetched_at", "html"
-        )
+    before = fetches.where(F.col("fetched_at") <= as_timestamp(run_ts)).select(
+        canonical_url(browser_url(F.col("url"))).alias("fetch_url"), "fetched_at", "html"
     )
-    order = [F.col("fetched_at").desc(), *[F.col(f).asc() for f in OBSERVED_FIELDS]]
-    return newest_per_key(known, ["fetch_url"], order)
+    newest = before.groupBy("fetch_url").agg(F.max("fetched_at").alias("fetched_at"))
+    if urls is not None:
+        newest = newest.join(urls.toDF("fetch_url").distinct(), "fetch_url", "left_semi")
+    wanted = materialise(newest, "newest")
+    known = extract_footers(before.join(wanted, ["fetch_url", "fetched_at"], "left_semi"))
+    return newest_per_key(known, ["fetch_url"], [F.col(f).asc() for f in OBSERVED_FIELDS])
 
 
 def observe_pages(
@@ -45,7 +51,8 @@ def observe_pages(
     The planner splits it, which it can only do when both sides come straight from a
     shuffle, so the footers are stored before. Nor are pages parsed again if it fails.
     """
-    newest = materialise(newest_footers(fetches, run_ts), "footers")
+    urls = active.select(canonical_url(browser_url(F.col("url"))).alias("url"))
+    newest = materialise(newest_footers(fetches, run_ts, urls), "footers")
     return (
         active.withColumn("page_url", canonical_url(browser_url(F.col("url"))))
         .join(newest, F.col("page_url") == F.col("fetch_url"), "left")

@@ -164,7 +164,73 @@ _HISTORY_COLUMNS = (
 ORACLES = {
     "page_current_status": f"WITH {_REGISTRY}, {_HISTORY}, {_STATUS} SELECT * FROM status",
     "latest_scrape": f"WITH {_HISTORY} SELECT {_HISTORY_COLUMNS} FROM latest",
-    "stream_latest": f"WITH {_HISTORY} SELECT {_HISTORY_COLUMNS} FROM latest",
+    "stream_latest": f"""
+        WITH {_OBSERVED}
+        SELECT id + (SELECT count(*) FROM batch) AS id, page_id,
+               TIMESTAMP '2031-01-01 00:00:00' AS scrape_timestamp,
+               modified_date, updated_by, responsible, full_modified_text
+        FROM batch""",
+    "status_order": f"""
+        WITH {_REGISTRY}, {_HISTORY}, {_STATUS}
+        SELECT page_id,
+               row_number() OVER (ORDER BY last_scrape_timestamp DESC NULLS LAST, page_id) - 1 AS place
+        FROM status""",
+    "modified_day": f"""
+        WITH {_HISTORY}
+        SELECT id, modified_date, CAST(scrape_timestamp AS DATE) AS modified_day FROM history""",
+    "change_events": f"""
+        WITH {_HISTORY}
+        SELECT * EXCLUDE (n) FROM (
+          SELECT id, page_id, scrape_timestamp, modified_date, updated_by, responsible,
+                 lag(modified_date) OVER w AS previous_modified_date,
+                 lag(updated_by) OVER w AS previous_updated_by,
+                 lag(responsible) OVER w AS previous_responsible, row_number() OVER w AS n
+          FROM history WINDOW w AS (PARTITION BY page_id ORDER BY scrape_timestamp, id))
+        WHERE n > 1 AND (modified_date IS DISTINCT FROM previous_modified_date
+          OR updated_by IS DISTINCT FROM previous_updated_by
+          OR responsible IS DISTINCT FROM previous_responsible)""",
+    "staleness": f"""
+        WITH {_REGISTRY}, {_HISTORY}, {_STATUS}
+        SELECT page_id, url,
+               CAST(DATE '2030-01-01' - strptime(last_modified_date, '%d/%m/%Y')::DATE AS INTEGER)
+                 AS days_since_modified,
+               CAST(DATE '2030-01-01' - last_scrape_timestamp::DATE AS INTEGER) AS days_since_observed
+        FROM status""",
+    "pages_missed": """
+        SELECT CAST(page_id AS VARCHAR) AS id, url, TIMESTAMP '2024-01-31 00:00:00' AS last_crawled_at
+        FROM pages WHERE url LIKE 'https:%' AND url LIKE '%?%'""",
+    "coverage": f"""
+        WITH {_HISTORY}
+        SELECT scrape_timestamp, count(*) AS pages,
+               count(*) FILTER (modified_date <> 'Not Found') AS with_modified_date,
+               count(*) FILTER (updated_by <> 'Not Found') AS with_updated_by,
+               count(*) FILTER (responsible <> 'Not Found') AS with_responsible
+        FROM history GROUP BY scrape_timestamp""",
+    "activity": f"""
+        WITH {_HISTORY}
+        SELECT updated_by, CAST(scrape_timestamp AS DATE) AS modified_day, count(*) AS observations,
+               count(DISTINCT page_id) AS pages
+        FROM history WHERE updated_by <> 'Not Found' GROUP BY ALL""",
+    "section_roll_up": f"""
+        WITH {_REGISTRY}, {_HISTORY}
+        SELECT regexp_extract(url, '^[a-z]+://[^/]+/([^/?#]*)', 1) AS section, count(*) AS pages,
+               count(*) FILTER (is_active) AS active, count(scrape_timestamp) AS observed,
+               max(scrape_timestamp) AS last_observed
+        FROM registry r LEFT JOIN latest h ON h.page_id = r.id GROUP BY section""",
+    "special_page_ids": """
+        SELECT page_id, CASE WHEN url LIKE '%/en/%' THEN 'homepage'
+                             WHEN url LIKE '%?%' THEN 'unknown_1893456000'
+                             ELSE replace(trim(url, '/'), '/', '_') END AS id
+        FROM pages""",
+    "href_references": """
+        SELECT page_id, chr(CAST(page_id + 161 AS INTEGER)) || '/!' || chr(CAST(page_id + 161 AS INTEGER))
+                 || '–' || chr(65533) || '&nosuch;&nosuch;' || chr(8770) || chr(824) || chr(65533) || url AS href
+        FROM pages""",
+    "links_without_empty": """
+        SELECT page_id, position, href FROM (
+          SELECT page_id, CAST(unnest(range(len(names))) AS INTEGER) AS position, unnest(names) AS href
+          FROM (SELECT page_id, regexp_extract_all(html, '<a href="(/[^"]*)"', 1) AS names FROM pages))
+        WHERE NOT regexp_matches(href, '^/[a-m]')""",
     "active_pages": f"WITH {_REGISTRY} SELECT id, url FROM registry WHERE is_active = true",
     "status_by_sql": f"""
         WITH {_REGISTRY}, {_HISTORY}, {_STATUS}
@@ -212,7 +278,7 @@ ORACLES = {
         before AS (
           SELECT id, url, is_active FROM (
             SELECT *, row_number() OVER (PARTITION BY id ORDER BY url) AS rn
-            FROM crawled WHERE is_active IS NULL OR is_active) WHERE rn = 1
+            FROM crawled WHERE url NOT LIKE '%?%' OR is_active IS NULL) WHERE rn = 1
         ),
         found AS (SELECT id, url FROM ranked WHERE rn = 1)
         SELECT coalesce(b.id, f.id) AS id, coalesce(b.url, f.url) AS url,
@@ -285,8 +351,14 @@ ORACLES = {
         SELECT page_id, count(*) AS n FROM dirty_history
         WHERE page_id IS NOT NULL AND page_id NOT IN (SELECT id FROM dirty_pages WHERE id IS NOT NULL)
         GROUP BY page_id""",
-    "csv_roundtrip": f"WITH {_REGISTRY} SELECT id, url FROM registry WHERE is_active = true",
+    "csv_roundtrip": f"""
+        WITH {_REGISTRY}
+        SELECT id, url, CAST(is_active AS VARCHAR) AS is_active, last_crawled_at FROM registry""",
     "history_csv": f"""
         WITH {_HISTORY}
-        SELECT id, page_id, modified_date, updated_by, responsible, full_modified_text FROM history""",
+        SELECT id, page_id, scrape_timestamp + INTERVAL 1 MICROSECOND AS scrape_timestamp, modified_date,
+               nullif(updated_by, 'view') AS updated_by,
+               CASE WHEN updated_by = 'click' THEN '' ELSE responsible END AS responsible,
+               full_modified_text
+        FROM history""",
 }

@@ -2,14 +2,15 @@
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sitewatch.functions.anchors import href_of
 from sitewatch.functions.footer import date_token, found_or_default
 from sitewatch.functions.urls import base_url, canonical_url, is_sub_page, marker_path, page_id
 from sitewatch.operators import history as history_ops
 from sitewatch.operators import links as link_ops
-from sitewatch.operators import quality, reach, views
+from sitewatch.operators import quality, reach, reports, views
 from sitewatch.operators import registry as registry_ops
 from sitewatch.plans import discover as discover_run
 from sitewatch.plans import observe as observe_run
@@ -62,21 +63,77 @@ def status_by_sql(spark, sf_dir):
     )
 
 
-def stream_latest(spark, sf_dir):
-    """The latest view kept by a stream that is started after each of two appends.
+def status_order(spark, sf_dir):
+    """The place each page has when the status is read from the first row to the last."""
+    ordered = page_current_status(spark, sf_dir).select("page_id")
+    stored = materialise(ordered.withColumn("mark", F.monotonically_increasing_id()), "order")
+    part = F.shiftright("mark", 33)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = stored.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    bases = bases.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    within = F.col("mark").bitwiseAND(F.lit((1 << 33) - 1))
+    return (
+        stored.withColumn("part", part)
+        .join(bases, "part")
+        .select("page_id", (F.col("base") + within).alias("place"))
+    )
 
-    The second append holds the observations without success, older and newer ones.
-    """
-    path, root = scratch_path(spark, "history"), scratch_path(spark, "latest")
+
+def stream_latest(spark, sf_dir):
+    """The latest view kept by a stream that is started after each of two runs."""
+    root, path, latest = (scratch_path(spark, x) for x in ("registry", "history", "latest"))
+    snapshots.create_table(spark, root, REGISTRY)
+    snapshots.commit_snapshot(_site_registry(spark, sf_dir), root, 1)
+    snapshots.create_table(spark, latest, HISTORY)
+    tables.create_history(spark, path)
+    fetches = stand_ins.fetches(spark, sf_dir)
     checkpoint = scratch_path(spark, "latest-stream")
-    snapshots.create_table(spark, root, HISTORY)
-    observations = stand_ins.history(spark, sf_dir).withColumn(
-        "scrape_timestamp", F.col("scrape_timestamp").cast("timestamp")
+    for run_ts in (_RUN, _RUN.replace(year=_RUN.year + 1)):
+        observe_run.observe(spark, root, fetches, path, run_ts)
+        runs = history_stream(spark, path)
+        follow_history(runs, path, latest, checkpoint).awaitTermination()
+    return _without_zone(snapshots.read_snapshot(spark, latest, HISTORY))
+
+
+# -- reports ----------------------------------------------------------------------------
+
+
+def modified_day(spark, sf_dir):
+    return reports.with_modified_day(stand_ins.history(spark, sf_dir)).select(
+        "id", "modified_date", "modified_day"
+    )
+
+
+def change_events(spark, sf_dir):
+    return reports.change_events(stand_ins.history(spark, sf_dir))
+
+
+def staleness(spark, sf_dir):
+    latest = views.latest_scrape_history(stand_ins.history(spark, sf_dir))
+    return reports.staleness(stand_ins.registry(spark, sf_dir), latest, stand_ins.run_ts())
+
+
+def pages_missed(spark, sf_dir):
+    """Pages of a query string were not seen by the last crawl."""
+    registry = stand_ins.registry(spark, sf_dir).withColumn(
+        "last_crawled_at",
+        F.when(F.col("url").contains("?"), F.col("last_crawled_at")).otherwise(stand_ins.run_ts()),
     )
-    for part in ("updated_by <> 'Not Found'", "updated_by = 'Not Found'"):
-        observations.where(part).write.mode("append").parquet(path)
-        follow_history(history_stream(spark, path), root, checkpoint).awaitTermination()
-    return _without_zone(snapshots.read_snapshot(spark, root, HISTORY))
+    return reports.pages_missed(registry)
+
+
+def coverage(spark, sf_dir):
+    """Every time in the history counts as a run."""
+    return reports.coverage(stand_ins.history(spark, sf_dir))
+
+
+def activity(spark, sf_dir):
+    return reports.activity(stand_ins.history(spark, sf_dir))
+
+
+def section_roll_up(spark, sf_dir):
+    latest = views.latest_scrape_history(stand_ins.history(spark, sf_dir))
+    return reports.section_roll_up(stand_ins.registry(spark, sf_dir), latest)
 
 
 # -- URLs and links ---------------------------------------------------------------------
@@ -107,6 +164,33 @@ def base_urls(spark, sf_dir):
     return pages.select("page_id", base_url(F.col("url")).alias("base_url"))
 
 
+def special_page_ids(spark, sf_dir):
+    """Pages whose path is slashes only, or missing."""
+    path = F.expr("CASE WHEN url LIKE '%/en/%' THEN '//' WHEN url NOT LIKE '%?%' THEN url END")
+    return stand_ins.table(spark, sf_dir, "pages").select(
+        "page_id", page_id(path, stand_ins.run_ts()).alias("id")
+    )
+
+
+def href_references(spark, sf_dir):
+    """Links in which each page's number is spelled as references of all kinds."""
+    number = F.col("page_id") + 161
+    tag = F.concat(
+        F.lit('a href="&#000000000'), number.cast("string"), F.lit(";&sol;&excl;&#X00000000"),
+        F.hex(number), F.lit(";&#150;&#99999999999;&amp;nosuch;&nosuch;&NotEqualTilde;&#xD800;"),
+        F.col("url"), F.lit('">'),
+    )
+    return stand_ins.table(spark, sf_dir, "pages").select("page_id", href_of(tag).alias("href"))
+
+
+def links_without_empty(spark, sf_dir):
+    """Links when those to names from a to m are empty."""
+    pages = stand_ins.table(spark, sf_dir, "pages").select(
+        "page_id", F.regexp_replace("html", '<a href="/[a-m][^"]*"', '<a href=""').alias("html")
+    )
+    return link_ops.page_links(pages, "page_id")
+
+
 def page_links(spark, sf_dir):
     return link_ops.page_links(stand_ins.table(spark, sf_dir, "pages"), "page_id")
 
@@ -176,10 +260,11 @@ def page_id_collisions(spark, sf_dir):
 
 
 def registry_upsert(spark, sf_dir):
-    """The https pages are registered; a crawl then finds one page per host-less id."""
+    """All but the pages with a query string are registered, inactive ones too; a crawl then
+    finds one page per host-less id."""
     kept, _ = registry_ops.one_page_per_id(_crawled(spark, sf_dir))
     crawled = kept.select("id", "url")
-    known = stand_ins.registry(spark, sf_dir).where("is_active IS NULL OR is_active")
+    known = stand_ins.registry(spark, sf_dir).where("url NOT LIKE '%?%' OR is_active IS NULL")
     path = canonical_url(stand_ins.in_site_url(F.col("url")))
     registered, _ = registry_ops.one_page_per_id(
         known.select(
@@ -320,15 +405,26 @@ def orphan_history(spark, sf_dir):
 
 
 def csv_roundtrip(spark, sf_dir):
+    """The registry exported as CSV and read back."""
     path = scratch_path(spark, "csv")
-    tables.write_csv(views.active_pages(stand_ins.registry(spark, sf_dir)), path)
-    return tables.read_csv(spark, path)
+    stored = stand_ins.registry(spark, sf_dir)
+    tables.write_csv(stored, path)
+    read = tables.read_csv(spark, path, stored.schema)
+    # As text, so that a flag that is NULL is compared as such.
+    return read.withColumn("is_active", F.col("is_active").cast("string"))
 
 
 def history_csv(spark, sf_dir):
-    """The history exported as CSV and read back, braces and quotes included."""
+    """The history exported as CSV and read back, braces and quotes, empty texts and
+    microseconds included."""
     path = scratch_path(spark, "csv")
-    stored = stand_ins.history(spark, sf_dir).drop("scrape_timestamp")
+    stored = stand_ins.history(spark, sf_dir).withColumns(
+        {
+            "scrape_timestamp": F.expr("scrape_timestamp + make_dt_interval(0, 0, 0, 0.000001)"),
+            "responsible": F.expr("CASE WHEN updated_by = 'click' THEN '' ELSE responsible END"),
+            "updated_by": F.expr("nullif(updated_by, 'view')"),
+        }
+    )
     tables.write_csv(stored, path)
     return tables.read_csv(spark, path, stored.schema, multiline=True)
 
@@ -339,6 +435,17 @@ QUERIES = {
     "active_pages": active_pages,
     "status_by_sql": status_by_sql,
     "stream_latest": stream_latest,
+    "status_order": status_order,
+    "modified_day": modified_day,
+    "change_events": change_events,
+    "staleness": staleness,
+    "pages_missed": pages_missed,
+    "coverage": coverage,
+    "activity": activity,
+    "section_roll_up": section_roll_up,
+    "special_page_ids": special_page_ids,
+    "href_references": href_references,
+    "links_without_empty": links_without_empty,
     "canonical_url": canonical_urls,
     "page_id_from_url": page_ids,
     "base_url": base_urls,
