@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sitewatch.session import materialise
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 _SPACES = [0x20, *range(0x09, 0x0E)]
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[_SPACES] = False
