@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitewatch.operators.history import newest_footers, observe_pages
+from sitewatch.operators.links import site_links
 from sitewatch.operators.reach import _targets, _without, reach, store_links
 from sitewatch.operators.views import active_pages, latest_scrape_history, page_status
 from sitewatch.schemas import FETCHES, HISTORY, REGISTRY
@@ -160,3 +161,21 @@ def test_few_targets_do_not_shuffle_many_visited_urls(spark):
     scan = [line for line in initial.splitlines() if "visited-" in line]
     semi = [line for line in initial.splitlines() if "LeftSemi" in line]
     assert len(scan) == 1 and len(semi) == 1 and "BroadcastHashJoin" in semi[0]
+
+
+def test_only_newest_fetches_are_parsed(spark, tmp_path):
+    path = str(tmp_path / "fetches")
+    stand_ins.fetches(spark, SF_DIR).withColumn("fetched_at", F.col("fetched_at").cast("timestamp")).select(
+        *FETCHES.names
+    ).write.parquet(path)
+    fetches = spark.read.schema(FETCHES).parquet(path)
+    footers = newest_footers(fetches, stand_ins.run_ts(), fetches.select("url"))
+    assert footers.count() > 0
+    plan = plan_of(footers)
+    assert plan.index("ArrowEvalPython") < plan.index("LeftSemi")
+    with settings(spark, spark__sql__maxMetadataStringLength="100000"):
+        links = site_links(fetches, stand_ins.START_URL, stand_ins.run_ts())
+        assert links.count() > 0
+        plan = plan_of(links)
+    pushed = plan[plan.index("PushedFilters") :]
+    assert "StringStartsWith(url,https://site.example/#!)" in pushed and "LeftSemi" in plan
