@@ -9,11 +9,13 @@ the last; a NULL ``doc_id`` is packed, and neither compared nor rejected for wha
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitewatch.llm import op1_repeats, op2_templates, op3_language, op8_minhash, op9_packing
-from sitewatch.llm.common import own_columns, store
+from sitewatch.llm.common import own_columns, share_package, store
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,12 +57,21 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op9_packing.pieces(docs).drop("ids")
 
 
+def _shared(stage):
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        share_package(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("language ID", language_id),
-    ("MinHash near-dedup", near_duplicates),
-    ("substring dedup", substring_dedup),
-    ("benchmark decontamination", decontamination),
-    ("packing", packing),
+    ("language ID", _shared(language_id)),
+    ("MinHash near-dedup", _shared(near_duplicates)),
+    ("substring dedup", _shared(substring_dedup)),
+    ("benchmark decontamination", _shared(decontamination)),
+    ("packing", _shared(packing)),
 ]
 
 # Token ids and compressed models are beyond SQL; tests hold the stages against brute force.

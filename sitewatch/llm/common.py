@@ -7,11 +7,12 @@ a multi-byte character.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitewatch.session import materialise
@@ -194,3 +195,12 @@ class Tokens:
     def hash_of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hashes of any byte runs, in lower case."""
         return mix((self.prefix[ends] - self.prefix[starts]) * _powers[1][starts])
+
+
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, if nothing else does."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in [*paths, *os.environ.get("PYTHONPATH", "").split(os.pathsep)]:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])

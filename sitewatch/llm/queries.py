@@ -1,5 +1,8 @@
 """The queries of this subpackage; each takes ``(spark, sf_dir)``."""
 
+from functools import wraps
+
+from sitewatch.llm.common import share_package
 from sitewatch.llm.op10_urls import op10_urls
 from sitewatch.llm.op1_repeats import op1_repeats
 from sitewatch.llm.op2_templates import op2_templates
@@ -12,6 +15,21 @@ from sitewatch.llm.op8_minhash import op8_minhash
 from sitewatch.llm.op9_packing import op9_packing
 from sitewatch.llm.oracles import ORACLES
 
-QUERIES = {f.__name__: f for f in (op1_repeats, op2_templates, op3_language, op4_cascade, op5_sharding, op6_toxicity, op7_dac, op8_minhash, op9_packing, op10_urls)}
+_ALL = (
+    op1_repeats, op2_templates, op3_language, op4_cascade, op5_sharding, op6_toxicity, op7_dac,
+    op8_minhash, op9_packing, op10_urls,
+)
+
+
+def _shared(query):
+    @wraps(query)
+    def run(spark, sf_dir):
+        share_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {query.__name__: _shared(query) for query in _ALL}
 
 __all__ = ["ORACLES", "QUERIES"]
