@@ -7,9 +7,9 @@
 2. Rows of windows whose anchor occurs again are cut out of the texts, as segments of about 26
    words, and sent to the cell their anchor belongs to. Equal windows meet in one cell. Nothing
    else of the texts is moved for the search.
-3. A cell is some thousand segments. It confirms which windows recur, compiles them into an
-   automaton, and streams its segments through it in the order ``(doc_id, start)``: every
-   occurrence but the first is covered. Words are written as two or three letters of a small
+3. A cell is some thousand segments. It confirms which windows recur, joins those that always
+   follow each other to phrases, compiles them into an automaton, and streams its segments
+   through it in the order ``(doc_id, start)``: every occurrence but the first is covered. Words are written as two or three letters of a small
    alphabet, one for each place, so that an automaton has few branches and matches whole words.
 4. An anchor with more than ``HEAVY`` rows would fill a cell. Its recurring windows are confirmed
    by an aggregation over their texts instead, with their first places; its automata are split
@@ -25,12 +25,12 @@ row; other columns go through unchanged.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +38,8 @@ from sitewatch.llm.common import Words, ngrams, own_columns, signed, store, text
 
 WINDOW = 20
 GRAM = 6
-HEAVY = 10_000
-CELL = 8_000
+HEAVY = 4_000
+CELL = 4_000
 
 _ROWS = "doc_id long, h long, start int, n int"
 _SEGMENTS = "doc_id long, h long, often long, start int, n int, text binary"
@@ -92,25 +92,31 @@ def _segments(docs: DataFrame, rows: DataFrame, window: int) -> DataFrame:
     """The words of the rows of windows, cut out of their documents."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64()] * 3 + [pa.int32()] * 2 + [pa.binary()]
         names = [c.split()[0] for c in _SEGMENTS.split(", ")]
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part, out = batch.slice(at, 500), []
-                texts = part.column("text").cast(pa.large_binary()).to_pylist()
-                for doc_id, text, own in zip(
-                    part.column("doc_id").to_pylist(), texts, part.column("rows").to_pylist()
-                ):
-                    words = (text or b"").split()
-                    for r in own:
-                        end = r["start"] + r["n"] + window - 1
-                        if end <= len(words):
-                            piece = b" ".join(words[r["start"] : end])
-                            out.append((doc_id, r["h"], r["often"], r["start"], r["n"], piece))
-                columns = zip(*out) if out else [[]] * 6
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names
-                )
+            for lo, hi, data, offsets in text_slices(batch.column("text")):
+                words = Words(data, offsets)
+                rows = batch.column("rows").slice(lo, hi - lo)
+                doc = np.repeat(np.arange(hi - lo), pa.compute.list_value_length(rows).to_numpy())
+                fields = dict(zip(("h", "often", "start", "n"), rows.flatten().flatten()))
+                start, n = fields["start"].to_numpy(), fields["n"].to_numpy()
+                first = words.first[doc] + start
+                last = first + n + window - 2
+                # Rows of another text with the same doc_id may not fit.
+                fits = last < words.first[doc + 1]
+                first, last = words.starts[first[fits]], words.ends[last[fits]]
+                size = last - first
+                bounds = np.concatenate([[0], np.cumsum(size)])
+                at = np.repeat(first - bounds[:-1], size) + np.arange(bounds[-1])
+                text = pa.Array.from_buffers(
+                    pa.large_binary(),
+                    len(size),
+                    [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data[at])],
+                ).cast(pa.binary())
+                kept = pa.array(fits)
+                ids = batch.column("doc_id").slice(lo, hi - lo).take(pa.array(doc[fits]))
+                others = [fields[c].filter(kept) for c in ("h", "often", "start", "n")]
+                yield pa.RecordBatch.from_arrays([ids, *others, text], names=names)
 
     # A document has at most as many rows as words.
     of_doc = rows.groupBy("doc_id").agg(
@@ -119,20 +125,82 @@ def _segments(docs: DataFrame, rows: DataFrame, window: int) -> DataFrame:
     return own_columns(docs, "doc_id", "text").join(of_doc, "doc_id").mapInArrow(cut, _SEGMENTS)
 
 
-class Alphabet:
+class Alphabet(dict):
     """Writes words as letters: one set of letters for each place, so matches start at words."""
 
-    def __init__(self, words: set[bytes]):
-        self.size = 2 if len(words) < 256**2 else 3
-        self._codes = {w: self._code(k) for k, w in enumerate(words, 1)}
-        self._unknown = self._code(0)
+    def __init__(self, size: int):
+        super().__init__()
+        self.size = size
+
+    def __missing__(self, word: bytes) -> str:
+        k = len(self) + 1
+        if k >> 8 * self.size:
+            raise OverflowError
+        code = self[word] = self._code(k)
+        return code
 
     def _code(self, k: int) -> str:
         return "".join(chr(256 * (i + 1) + (k >> 8 * i & 255)) for i in range(self.size))
 
-    def __call__(self, text: bytes) -> str:
-        get, unknown = self._codes.get, self._unknown
-        return "".join([get(w, unknown) for w in text.split(b" ")])
+    def write(self, text: bytes) -> str:
+        return "".join([self[w] for w in text.split()])
+
+    def write_known(self, text: bytes) -> str:
+        get, unknown = self.get, self._code(0)
+        return "".join([get(w, unknown) for w in text.split()])
+
+
+def _written(texts: list[bytes]) -> tuple[Alphabet, list[str]]:
+    """All texts in the smallest alphabet that has enough letters."""
+    for size in (2, 3):
+        alphabet = Alphabet(size)
+        try:
+            return alphabet, [alphabet.write(t) for t in texts]
+        except OverflowError:
+            continue
+    raise ValueError("a cell has too many words")
+
+
+def _phrases(texts: list[str], windows: list[int], width: int, step: int) -> dict[str, int]:
+    """Recurring windows, joined to phrases where they always follow each other; their windows.
+
+    Two windows always stand together if the first one always goes on with the same word, and
+    both occur equally often.
+    """
+    often: dict[str, int] = {}
+    after: dict[str, str | None] = {}
+    for text, n in zip(texts, windows):
+        for i in range(0, n * step, step):
+            window, word = text[i : i + width], text[i + width : i + width + step]
+            k = often.get(window)
+            if k is None:
+                often[window], after[window] = 1, word
+            else:
+                often[window] = k + 1
+                if after[window] != word:
+                    after[window] = None
+    phrases: dict[str, int] = {}
+    used: set[str] = set()
+    for text, n in zip(texts, windows):
+        i = 0
+        while i < n * step:
+            window = text[i : i + width]
+            k = often[window]
+            if k < 2 or window in used:
+                i += step
+                continue
+            used.add(window)
+            at = i
+            while i + step < n * step and after[window]:
+                following = text[i + step : i + step + width]
+                if often[following] != k or following in used:
+                    break
+                window = following
+                used.add(window)
+                i += step
+            phrases[text[at : i + width]] = (i - at) // step + 1
+            i += step
+    return phrases
 
 
 def _cell(
@@ -144,43 +212,41 @@ def _cell(
     are None, the windows that occur again among the segments are the patterns, and the first
     match of each is its first place.
     """
-    known = patterns is not None
-    texts = [p[0] for p in patterns] if known else [s[3] for s in segments]
-    alphabet = Alphabet({w for t in texts for w in t.split(b" ")})
-    width = window * alphabet.size
-    step = alphabet.size
-    if known:
-        recurring = {alphabet(text): (doc_id, start) for text, doc_id, start in patterns}
-        written = (alphabet(s[3]) for s in segments)
+    if patterns is not None:
+        alphabet, keys = _written([p[0] for p in patterns])
+        phrases = dict.fromkeys(keys, 1)
+        first = {key: (doc_id, start) for key, (_, doc_id, start) in zip(keys, patterns)}
+        first = [first[key] for key in phrases]
+        written = (alphabet.write_known(s[3]) for s in segments)
     else:
-        often: dict[str, int] = defaultdict(int)
-        written = [alphabet(t) for t in texts]
-        for (_, _, n, _), text in zip(segments, written):
-            for i in range(0, n * step, step):
-                often[text[i : i + width]] += 1
-        recurring = {w: None for w, k in often.items() if k > 1}
-        del often
-    if not recurring:
+        alphabet, written = _written([s[3] for s in segments])
+        phrases = _phrases(
+            written, [s[2] for s in segments], window * alphabet.size, alphabet.size
+        )
+        first = [None] * len(phrases)
+    if not phrases:
         return
+    step = alphabet.size
     automaton = ahocorasick.Automaton()
-    for k, pattern in enumerate(recurring):
-        automaton.add_word(pattern, k)
+    for k, phrase in enumerate(phrases):
+        automaton.add_word(phrase, k)
     automaton.make_automaton()
-    first = list(recurring.values())
+    sizes = list(phrases.values())
     for (doc_id, start, _, _), text in zip(segments, written):
         lo = hi = -1
         for end, k in automaton.iter(text):
-            at = start + (end + 1 - width) // step
+            stop = start + (end + 1) // step
+            at = stop - sizes[k] - window + 1
             if first[k] is None:
                 first[k] = (doc_id, at)
             if first[k] == (doc_id, at):
                 continue
             if at <= hi:
-                hi = at + window
+                hi = stop
             else:
                 if hi > 0:
                     yield doc_id, lo, hi
-                lo, hi = at, at + window
+                lo, hi = at, stop
         if hi > 0:
             yield doc_id, lo, hi
 
@@ -245,17 +311,22 @@ def covered(
 
 def _heavy_cells(segments: DataFrame, window: int, cell: int) -> DataFrame:
     """Cells of the heavy anchors: confirmed patterns by part, segments dealt over copies."""
-    words = F.split(F.decode("text", "UTF-8"), " ", -1)
-    windows = segments.select(
-        "h", "doc_id", "start", words.alias("words"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i")
+    # Equal segments are one first: most rows of a heavy anchor are copies of a passage.
+    distinct = segments.groupBy("h", "n", "text").agg(
+        F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("k")
+    )
+    words = F.split(F.decode("text", "UTF-8"), r"[\x20\x09-\x0D]+", -1)
+    windows = distinct.select(
+        "h", "first", "k", words.alias("words"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i")
     ).select(
         "h",
+        "k",
         F.array_join(F.slice("words", F.col("i") + 1, window), " ").alias("text"),
-        F.struct("doc_id", (F.col("start") + F.col("i")).alias("start")).alias("place"),
+        F.struct("first.doc_id", (F.col("first.start") + F.col("i")).alias("start")).alias("place"),
     )
     confirmed = (
         windows.groupBy("h", "text")
-        .agg(F.min("place").alias("place"), F.count("*").alias("k"))
+        .agg(F.min("place").alias("place"), F.sum("k").alias("k"))
         .where("k > 1")
         .drop("k")
     )
@@ -276,11 +347,14 @@ def _heavy_cells(segments: DataFrame, window: int, cell: int) -> DataFrame:
         F.col("place.start").alias("start"), F.lit(1).alias("n"), F.encode("text", "UTF-8").alias("text"),
     )
     streams = segments.join(split, "h").select(
-        "h",
-        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        F.pmod(F.xxhash64("doc_id"), "copies").cast("int").alias("copy"),
-        "doc_id", "start", "n", "text",
-    ).select(
+        "h", F.pmod(F.xxhash64("doc_id"), "copies").cast("int").alias("copy"),
+        "parts", "doc_id", "start", "n", "text",
+    )
+    # Nearly every anchor has one part; only the others' segments are repeated.
+    more = streams.where("parts > 1").withColumn(
+        "part", F.explode(F.sequence(F.lit(1), F.col("parts") - 1))
+    )
+    streams = streams.withColumn("part", F.lit(0)).unionByName(more).select(
         cell_id, F.lit(_STREAMED).alias("kind"), "doc_id", "start", "n", "text"
     )
     return patterns.union(streams)
