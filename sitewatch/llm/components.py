@@ -21,10 +21,11 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select("b", "a")).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        least = least.select("u", F.least("u", "m").alias("m"))
+        # Stored, as a join can only split a large node if both its sides come from a shuffle.
+        least = store(least.select("u", F.least("u", "m").alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         large = store(_tidy(large), "edges")
-        down = large.groupBy("a").agg(F.min("b").alias("m"))
+        down = store(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(down, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(down)
         edges = store(_tidy(small), "edges")

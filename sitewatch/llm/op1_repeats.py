@@ -39,7 +39,8 @@ from sitewatch.llm.common import Words, ngrams, own_columns, signed, store, text
 WINDOW = 20
 GRAM = 6
 HEAVY = 4_000
-CELL = 4_000
+CELL = 2_000
+STREAM = 8_000
 
 _ROWS = "doc_id long, h long, start int, n int"
 _SEGMENTS = "doc_id long, h long, often long, start int, n int, text binary"
@@ -268,7 +269,7 @@ def _search(cells: DataFrame, window: int) -> DataFrame:
             columns = [batch.column(c).to_pylist() for c in _CELL_COLUMNS]
             for own, kind, doc_id, start, n, text in zip(*columns):
                 # Confirmed patterns need no second pass, so their segments go through in parts.
-                if own != cell or (kind == _STREAMED and len(segments) >= 4 * CELL):
+                if own != cell or (kind == _STREAMED and len(segments) >= STREAM):
                     if segments:
                         yield spans(list(_cell(patterns, segments, window)))
                     if own != cell:
@@ -288,11 +289,18 @@ _CELL_COLUMNS = ["cell", "kind", "doc_id", "start", "n", "text"]
 
 
 def covered(
-    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, heavy: int = HEAVY, cell: int = CELL
+    docs: DataFrame,
+    window: int = WINDOW,
+    gram: int = GRAM,
+    heavy: int = HEAVY,
+    cell: int = CELL,
+    stream: int = STREAM,
 ) -> DataFrame:
     """``(doc_id, lo, hi)``: the words that some window covers which also starts earlier."""
     rows = anchors(docs, window, gram)
+    # Stored, as a join can only split a heavy anchor if both its sides come from a shuffle.
     again = rows.groupBy("h").agg(F.count("*").alias("often")).where("often > 1")
+    again = store(again, "op1-again")
     rows = store(rows.join(again, "h"), "op1-rows")
     total, n_heavy = rows.agg(F.count("*"), F.count_if(F.col("often") > heavy)).first()
     segments = store(_segments(docs, rows, window), "op1-segments")
@@ -304,12 +312,14 @@ def covered(
     )
     cells = light
     if n_heavy:
-        cells = light.union(_heavy_cells(segments.where(F.col("often") > heavy), window, cell))
+        cells = light.union(
+            _heavy_cells(segments.where(F.col("often") > heavy), window, cell, stream)
+        )
     ordered = cells.repartition("cell").sortWithinPartitions("cell", "kind", "doc_id", "start")
     return store(_search(ordered, window), "op1-spans")
 
 
-def _heavy_cells(segments: DataFrame, window: int, cell: int) -> DataFrame:
+def _heavy_cells(segments: DataFrame, window: int, cell: int, stream: int) -> DataFrame:
     """Cells of the heavy anchors: confirmed patterns by part, segments dealt over copies."""
     # Equal segments are one first: most rows of a heavy anchor are copies of a passage.
     distinct = segments.groupBy("h", "n", "text").agg(
@@ -333,8 +343,8 @@ def _heavy_cells(segments: DataFrame, window: int, cell: int) -> DataFrame:
     confirmed = store(confirmed, "op1-heavy")
     # One row for each heavy anchor: into how many parts and copies it is split.
     split = confirmed.groupBy("h").agg(F.ceil(F.count("*") / cell).cast("int").alias("parts"))
-    often = segments.groupBy("h").agg(F.ceil(F.count("*") / (4 * cell)).cast("int").alias("copies"))
-    split = split.join(often, "h")
+    often = segments.groupBy("h").agg(F.ceil(F.count("*") / stream).cast("int").alias("copies"))
+    split = store(split.join(often, "h"), "op1-split")
     # Below zero, where no other cell is.
     cell_id = (-1 - F.shiftrightunsigned(F.xxhash64("h", "part", "copy"), 1)).alias("cell")
     patterns = confirmed.join(split, "h").select(

@@ -128,7 +128,10 @@ def _members(classes: DataFrame) -> DataFrame:
             )
         ).alias("p"),
     ).select("id", "n", "p.side", "p.piece")
+    # Stored, here and below, as a join can only split a frequent key if both its sides come
+    # from a shuffle.
     again = sides.groupBy("side", "piece").agg(F.count("*").alias("often")).where("often > 1")
+    again = store(again, "op8-again")
     shared = (
         sides.join(again, ["side", "piece"])
         .groupBy("id", "n")
@@ -143,6 +146,7 @@ def _members(classes: DataFrame) -> DataFrame:
     )
     keyed = store(keyed.select(F.xxhash64("a", "b").alias("key"), "id", "n", "central"), "op8-keys")
     busy = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    busy = store(busy, "op8-busy")
     return keyed.join(busy, "key").drop("size")
 
 
@@ -340,6 +344,7 @@ def near_duplicates(
         F.max(F.struct("central", F.negative("id").alias("id"), F.col("n").alias("m"))).alias("c")
     )
     centre = centre.select("key", F.negative("c.id").alias("a"), F.col("c.m").alias("m"))
+    centre = store(centre, "op8-centre")
     spokes = members.join(centre, "key").where(F.col("id") != F.col("a"))
     near = spokes.where(_could_link("n", "m", percent))
     pairs = near.select("a", F.col("id").alias("b")).distinct()

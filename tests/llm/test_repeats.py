@@ -26,13 +26,13 @@ def _kept(rows):
     return out
 
 
-@pytest.mark.parametrize("heavy, cell", [(4000, 4000), (2, 30)])
-def test_repeats_are_those_of_brute_force(heavy, cell, spark):
+@pytest.mark.parametrize("heavy, cell, stream", [(4000, 4000, 8000), (2, 30, 3)])
+def test_repeats_are_those_of_brute_force(heavy, cell, stream, spark):
     docs = read(spark, "documents").select("doc_id", F.nullif("text", F.lit("")).alias("text"))
     docs = docs.unionByName(
         edge(spark).where("doc_id IS NULL OR text IS NOT NULL").select(F.col("doc_id") + 10_000, "text").toDF("doc_id", "text")
     )
-    got = op1_repeats.remove_repeats(docs, heavy=heavy, cell=cell).collect()
+    got = op1_repeats.remove_repeats(docs, heavy=heavy, cell=cell, stream=stream).collect()
     expected = _kept(docs.where("text IS NOT NULL OR doc_id IS NULL").collect())
     assert len(got) == docs.count()
     assert sum(r.n_removed for r in got) > 500
