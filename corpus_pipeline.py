@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitewatch.llm import op1_repeats, op2_templates, op3_language, op8_minhash, op9_packing
-from sitewatch.llm.common import own_columns, share_package, store
+from sitewatch.llm.common import own_columns, prepare, store
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +60,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def _shared(stage):
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        share_package(spark)
+        prepare(spark)
         return stage(spark, docs, sf_dir)
 
     return run_stage

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from sitewatch.session import materialise
 
 SLICE_BYTES = 1 << 19
+BATCH_BYTES = 8 << 20
 _SPACES = [0x20, *range(0x09, 0x0E)]
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[_SPACES] = False
@@ -197,10 +198,16 @@ class Tokens:
         return mix((self.prefix[ends] - self.prefix[starts]) * _powers[1][starts])
 
 
-def share_package(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver did, if nothing else does."""
+def prepare(spark: SparkSession) -> None:
+    """Set a session up for these operators.
+
+    Python workers import the package from where the driver did, if nothing else lets them.
+    Arrow batches have 8 MB at most, so that what a worker holds does not depend on how long
+    the texts are.
+    """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in [*paths, *os.environ.get("PYTHONPATH", "").split(os.pathsep)]:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

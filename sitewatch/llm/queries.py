@@ -2,7 +2,7 @@
 
 from functools import wraps
 
-from sitewatch.llm.common import share_package
+from sitewatch.llm.common import prepare
 from sitewatch.llm.op10_urls import op10_urls
 from sitewatch.llm.op1_repeats import op1_repeats
 from sitewatch.llm.op2_templates import op2_templates
@@ -24,7 +24,7 @@ _ALL = (
 def _shared(query):
     @wraps(query)
     def run(spark, sf_dir):
-        share_package(spark)
+        prepare(spark)
         return query(spark, sf_dir)
 
     return run
