@@ -25,7 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = store(least.select("u", F.least("u", "m").alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         large = store(_tidy(large), "edges")
-        down = store(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(down)
         edges = store(_tidy(small), "edges")
@@ -49,3 +49,18 @@ def _tidy(edges: DataFrame) -> DataFrame:
 def _state(edges: DataFrame) -> tuple:
     digest = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
     return tuple(edges.agg(F.count("*"), digest).first())
+
+
+def merged(found: DataFrame, more: DataFrame) -> DataFrame:
+    """``found (id, component)`` once the edges ``more (a, b)`` are added.
+
+    Only components that the new edges join are worked on; nodes of theirs may be new.
+    """
+    new = more.select(F.col("a").alias("id")).union(more.select("b")).distinct()
+    nodes = found.join(new, "id", "full_outer").select("id", F.coalesce("component", "id").alias("component"))
+    of = nodes.join(new, "id", "left_semi")
+    ends = more.join(of.toDF("a", "ca"), "a").join(of.toDF("b", "cb"), "b").select("ca", "cb")
+    joined = components(ends).toDF("component", "joined")
+    return nodes.join(joined, "component", "left").select(
+        "id", F.coalesce("joined", "component").alias("component")
+    )

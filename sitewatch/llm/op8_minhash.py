@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewatch.llm.common import Words, mix, ngrams, own_columns, signed, store, text_slices
-from sitewatch.llm.components import components
+from sitewatch.llm.components import components, merged
 
 WORDS = 4
 PIECES = 12
@@ -354,9 +354,8 @@ def near_duplicates(
     links = compared.where("linked").select("a", "b")
     found = components(links)
 
-    late = _late_links(members, found, sets, percent, block)
-    all_links = store(links.union(late), "op8-links")
-    final = components(all_links)
+    late = store(_late_links(members, found, sets, percent, block), "op8-late")
+    final = found if late.isEmpty() else merged(found, late)
 
     copies = grouped.where("copies > 1").select("fp1", "fp2", "n_shingles", "id")
     own = signed_docs.drop("left", "right").join(copies, ["fp1", "fp2", "n_shingles"], "left")

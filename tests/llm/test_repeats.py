@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitewatch.llm import op1_repeats, op2_templates, op8_minhash
-from sitewatch.llm.components import components
+from sitewatch.llm.components import components, merged
 from tests.llm.edge import EDGE, PROSE, edge, read, words
 
 
@@ -105,6 +105,11 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7)]
     found = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert found == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)}
+    known = spark.createDataFrame(list(found.items()), "id long, component long")
+    more = spark.createDataFrame([(150, 33), (500, 7), (700, 800)], "a long, b long")
+    assert dict(map(tuple, merged(known, more).collect())) == dict.fromkeys([*found, 500], 0) | {
+        700: 700, 800: 700
+    }
 
 
 def test_templates_find_other_numbers_names_and_capitals(spark):
