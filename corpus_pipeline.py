@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from sitewatch.llm import op1_repeats, op2_templates, op3_language, op8_minhash, op9_packing
 from sitewatch.llm.common import own_columns, prepare, store
 
+NEAR_WORDS = 5
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language: not ``und``, and cheaper to code than raw bytes."""
@@ -28,8 +30,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    groups = op8_minhash.near_duplicates(docs)
+    """One document of each group of near duplicates, by shingles of ``NEAR_WORDS`` words."""
+    groups = op8_minhash.near_duplicates(docs, words=NEAR_WORDS)
     dropped = groups.where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
 
