@@ -55,8 +55,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 4096 ids."""
-    return op9_packing.pieces(docs).drop("ids")
+    """The sequences of 4096 ids, padded, with the pieces of documents each is made of.
+
+    ``where("offset = 0").select("sequence_id", "n_ids", "ids")`` is what a training run reads.
+    """
+    return op9_packing.packed(docs)
 
 
 def _shared(stage):

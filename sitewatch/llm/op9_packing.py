@@ -4,7 +4,8 @@ The first pass encodes each document and keeps its ids with the place it has in
 its own partition. Partition totals, one row for each task, are summed up to the place at which
 each partition begins; the second pass reads the stored ids and cuts them at the multiples of
 the length. No document moves between machines. Sequences that lie in one task are whole there;
-only those at its edges are handed over as boundary records and joined by their number.
+only those at its edges are handed over as boundary records and joined by their number. What a
+sequence is made of goes with its ids, and the digests are those of the assembled sequences.
 
 Defined cases: a NULL or empty text is the end id alone; documents with one id twice are packed
 twice; a NULL ``doc_id`` is kept; an empty table gives no piece; other columns are not read.
@@ -32,7 +33,12 @@ _PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, ids binary"
 )
-_EDGES = "sequence_id long, offset long, ids binary"
+_OWN = "doc_id long, start long, length long, doc_tokens long, offset long"
+_EDGES = f"sequence_id long, offset long, ids binary, pieces array<struct<{_OWN}>>"
+_PACKED = (
+    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
+    "sequence_id long, offset long, n_ids long, ids binary"
+)
 
 
 def token_stream(
@@ -78,9 +84,16 @@ def placed(stream: DataFrame) -> DataFrame:
     )
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
+    """The batches in parts, as a worker holds what it takes from one as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _cut(length: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for place, doc_id, ids, n in zip(
                 *(batch.column(c).to_pylist() for c in ("place", "doc_id", "ids", "n"))
@@ -110,46 +123,49 @@ def pieces(docs: DataFrame, length: int = LENGTH, **tokenizer) -> DataFrame:
     return placed(stream).mapInArrow(_cut(length), _PIECES)
 
 
-def sequences(cut: DataFrame, length: int = LENGTH, pad_id: int = 0) -> DataFrame:
-    """``(sequence_id, n_ids, ids)`` of all pieces, each padded to ``length``.
-
-    A task joins the pieces it holds side by side; what is still short of a whole sequence is a
-    boundary record, and only those are shuffled.
-    """
+def _join(length: int):
+    """Pieces that lie side by side, joined up to whole sequences."""
+    own = [c.split()[0] for c in _OWN.split(", ")]
+    made = pa.list_(pa.struct([(c, pa.int64()) for c in own]))
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_id, open_at, parts = None, 0, []
+        open_id, open_at, here, parts, made_of = None, 0, 0, [], []
         for batch in batches:
             out = []
-            columns = (batch.column(c).to_pylist() for c in ("sequence_id", "offset", "ids"))
-            for sequence, offset, ids in zip(*columns):
-                here = open_at + sum(map(len, parts)) // 4
-                if parts and (sequence, offset) != (open_id, here):
-                    out.append((open_id, open_at, b"".join(parts)))
+            columns = (batch.column(c).to_pylist() for c in ("sequence_id", "ids"))
+            for sequence, ids, row in zip(*columns, batch.select(own).to_pylist()):
+                if parts and (sequence, row["offset"]) != (open_id, here):
+                    out.append((open_id, open_at, b"".join(parts), made_of))
                     parts = []
                 if not parts:
-                    open_id, open_at = sequence, offset
+                    open_id, open_at, here, made_of = sequence, row["offset"], row["offset"], []
                 parts.append(ids)
-                if offset + len(ids) // 4 == length:
-                    out.append((open_id, open_at, b"".join(parts)))
+                made_of.append(row)
+                here += row["length"]
+                if here == length:
+                    out.append((open_id, open_at, b"".join(parts), made_of))
                     parts = []
             yield _edges(out)
         if parts:
-            yield _edges([(open_id, open_at, b"".join(parts))])
+            yield _edges([(open_id, open_at, b"".join(parts), made_of)])
 
     def _edges(rows):
-        columns = zip(*rows) if rows else [[]] * 3
+        columns = zip(*rows) if rows else [[]] * 4
+        types = (pa.int64(), pa.int64(), pa.binary(), made)
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()))],
-            names=["sequence_id", "offset", "ids"],
+            [pa.array(list(c), t) for c, t in zip(columns, types)],
+            names=["sequence_id", "offset", "ids", "pieces"],
         )
 
-    records = store(
-        cut.select("sequence_id", "offset", "ids").mapInArrow(join, _EDGES), "op9-records"
-    )
-    whole = records.where(F.length("ids") == 4 * length).select("sequence_id", "ids")
+    return join
+
+
+def _whole(records: DataFrame, length: int, pad_id: int) -> DataFrame:
+    """Sequences from records of them."""
+    records = store(records, "op9-records")
+    whole = records.where(F.length("ids") == 4 * length).select("sequence_id", "ids", "pieces")
     # A sequence has at most ``length`` records.
-    ordered = F.array_sort(F.collect_list(F.struct("offset", "ids")))
+    ordered = F.array_sort(F.collect_list(F.struct("offset", "ids", "pieces")))
     joined = (
         records.where(F.length("ids") < 4 * length)
         .groupBy("sequence_id")
@@ -157,16 +173,60 @@ def sequences(cut: DataFrame, length: int = LENGTH, pad_id: int = 0) -> DataFram
         .select(
             "sequence_id",
             F.aggregate("records", F.lit(b""), lambda a, r: F.concat(a, r["ids"])).alias("ids"),
+            F.flatten("records.pieces").alias("pieces"),
         )
     )
     padding = int(pad_id).to_bytes(4, "little") * length
-    return whole.unionByName(joined).select(
+    return whole.unionByName(store(joined, "op9-joined")).select(
         "sequence_id",
         (F.length("ids") / 4).cast("long").alias("n_ids"),
         F.substring(F.concat("ids", F.lit(padding)), 1, 4 * length).alias("ids"),
+        "pieces",
     )
 
 
+def sequences(cut: DataFrame, length: int = LENGTH, pad_id: int = 0) -> DataFrame:
+    """``sequence_id, n_ids, ids, pieces`` of all pieces, the ids padded to ``length``, stored.
+
+    ``pieces`` says of which parts of which documents a sequence is made, in their order. A task
+    joins the pieces it holds side by side; what is still short of a whole sequence is a boundary
+    record, and only those are shuffled.
+    """
+    return _whole(cut.mapInArrow(_join(length), _EDGES), length, pad_id)
+
+
+def packed(docs: DataFrame, length: int = LENGTH, pad_id: int = 0, **tokenizer) -> DataFrame:
+    """The pieces of all sequences; a sequence's first one has its ``n_ids`` and padded ``ids``.
+
+    So ``where("offset = 0")`` is the table of sequences, and a piece's ids are those of its
+    sequence from ``offset`` on.
+    """
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in _PACKED.split(", ")]
+        types = [pa.int64()] * 8 + [pa.binary()]
+        for batch in _slices(batches):
+            rows = []
+            for r in batch.to_pylist():
+                for p in r["pieces"]:
+                    ids = r["ids"][4 * p["offset"] : 4 * (p["offset"] + p["length"])]
+                    first = p["offset"] == 0
+                    rows.append(
+                        p
+                        | {"ids_crc32": zlib.crc32(ids), "sequence_id": r["sequence_id"]}
+                        | {"n_ids": r["n_ids"] if first else None, "ids": r["ids"] if first else None}
+                    )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[c] for r in rows], t) for c, t in zip(names, types)], names=names
+            )
+
+    stream = store(token_stream(docs, **tokenizer), "op9-stream")
+    cut, join = _cut(length), _join(length)
+    # Cut and joined by one worker: a second one for each task would be memory for nothing.
+    records = placed(stream).mapInArrow(lambda batches: join(cut(batches)), _EDGES)
+    return _whole(records, length, pad_id).mapInArrow(digest, _PACKED)
+
+
 def op9_packing(spark, sf_dir: str) -> DataFrame:
-    """The digest of every piece of ``documents``."""
-    return pieces(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("ids")
+    """The digest of every piece of ``documents``, taken from the sequences."""
+    return packed(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("n_ids", "ids")

@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from sitewatch.llm import op7_dac, op9_packing
 from sitewatch.llm.tokens import BYTE_BPE, WORD_BPE, Encoder, vocabulary
 from tests.llm.edge import EDGE, edge, read
@@ -87,6 +88,38 @@ def test_packing_cuts_one_stream(make, spark):
     assert all(len(r.ids) == 1024 for r in sequences.values())
 
 
+@pytest.mark.parametrize("make", [edge, lambda spark: read(spark, "documents")])
+def test_packing_ends_in_padded_sequences(make, spark):
+    docs = make(spark).repartition(6)
+    rows = op9_packing.packed(docs, length=256, pad_id=9).collect()
+    sequences = {r.sequence_id: r for r in rows if r.offset == 0}
+    total = sum(r.n_ids for r in sequences.values())
+    assert sorted(sequences) == list(range(-(-total // 256)))
+    for k, r in sequences.items():
+        assert r.n_ids == min(256, total - 256 * k) and len(r.ids) == 1024
+        assert np.frombuffer(r.ids, "<u4")[r.n_ids :].tolist() == [9] * (256 - r.n_ids)
+    joined, parts = [], b""
+    for p in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        own = sequences[p.sequence_id].ids[4 * p.offset : 4 * (p.offset + p.length)]
+        assert p.ids_crc32 == zlib.crc32(own) and (p.offset == 0 or p.ids is None)
+        parts = own if p.start == 0 else parts + own
+        if p.start + p.length == p.doc_tokens:
+            joined.append((p.doc_id or -1, zlib.crc32(parts), p.doc_tokens))
+    encoded = zip(docs.collect(), _encoded(WORD_BPE, docs.collect(), 2))
+    assert sorted(joined) == sorted((r.doc_id or -1, _crc(i), len(i)) for r, i in encoded)
+    cut = op9_packing.pieces(docs, length=256).drop("ids")
+    key = lambda r: tuple(r[c] or -1 for c in cut.columns)
+    assert sorted(map(key, rows)) == sorted(map(key, cut.collect()))
+
+
+def test_query_and_pipeline_pack_sequences(spark):
+    docs = read(spark, "documents")
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, "").where("offset = 0").collect()
+    assert last and {len(r.ids) for r in last} == {4 * 4096}
+    plan = op9_packing.packed(docs).drop("n_ids", "ids")
+    assert plan.columns == [c for c in op9_packing.pieces(docs).columns if c != "ids"]
+
+
 def test_empty_tables(spark, tmp_path):
     nothing = edge(spark).limit(0)
     assert op9_packing.pieces(nothing).count() == 0
