@@ -7,15 +7,19 @@ has a second template that keeps names as words, which copies in other capitals
 
 1. Of each template window of ``WINDOW`` tokens the smallest hash among its runs of ``GRAM`` tokens
    is its anchor, so equal windows share theirs. Runs with fewer than two words are no anchors.
+   An item shorter than a window has its whole template as anchor, which documents are searched for
+   at every place; a table of bits of fixed size leaves out most places before the join.
    The anchors of documents and items are hash-joined.
 2. Each candidate pair is aligned in full: the longest run of tokens whose template windows are
    equal and whose slots are consistent, that is, each value of the item stands for one value of
    the document and the other way round.
-3. A document leaks an item if that run has ``ENOUGH`` tokens, or all of a shorter item's.
+3. A document leaks an item if that run has ``ENOUGH`` tokens, or all of a shorter item's. An item shorter than a window leaks as a whole: verbatim, or with ``FEW_WORDS`` words
+   outside its slots.
 
 Defined cases: NULL or empty texts and items match nothing, nor does an item of fewer than
-``WINDOW`` tokens, which is too short to tell; documents and items with NULL ids are left out;
-repeated rows give one row for each pair; empty tables give no row; other columns are not read.
+``SHORTEST`` tokens or two words, which is too short to tell; an item with several texts is
+searched by each; documents and items with NULL ids are left out; repeated rows give one row for
+each pair; empty tables give no row; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,11 +32,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitewatch.llm.common import Tokens, ngrams, own_columns, signed, store, text_slices
+from sitewatch.llm.common import Tokens, mix, ngrams, own_columns, signed, store, text_slices
 
 WINDOW = 10
 GRAM = 5
 ENOUGH = 13
+SHORTEST = 3
+LEAST_WORDS = 2
+FEW_WORDS = 5
+FORMS = 2
+BITS = 1 << 23
 
 _NUMBER, _NAME, _UNIT = (np.uint64(k) for k in (1, 2, 3))
 UNITS = (
@@ -44,7 +53,7 @@ UNITS = (
 
 _ANCHORS = "id long, h long"
 _FOUND = (
-    "doc_id long, item_id long, n_tokens int, doc_start int, item_start int, n_slots int, "
+    "doc_id long, key long, n_tokens int, doc_start int, item_start int, n_slots int, "
     "verbatim boolean"
 )
 _known_units: list[np.ndarray] = []
@@ -58,58 +67,98 @@ def _unit_hashes() -> np.ndarray:
 
 
 class Templates:
-    """The tokens of some texts and their templates."""
+    """The tokens of some texts and their templates, in each of ``FORMS`` forms."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         tokens = Tokens(data, offsets)
-        self.first, self.counts, self.values = tokens.first, tokens.counts, tokens.hashes
-        after_number = np.zeros(len(self.values), bool)
+        n = len(tokens.hashes)
+        after_number = np.zeros(n, bool)
         after_number[1:] = tokens.is_number[:-1]
-        heads = self.first[:-1][self.first[:-1] < len(self.values)]
+        heads = tokens.first[:-1][tokens.first[:-1] < n]
         after_number[heads] = False
-        unit = after_number & np.isin(self.values, _unit_hashes())
-        name = tokens.is_capitalised & ~tokens.is_initial & ~unit
-        kinds = np.select([tokens.is_number, unit, name], [_NUMBER, _UNIT, _NAME], np.uint64(0))
-        self.kinds = (kinds, np.where(kinds == _NAME, np.uint64(0), kinds))
-        self.templates = tuple(np.where(k > 0, k, self.values) for k in self.kinds)
-
-    def form(self, which: int, text: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Template, values and kinds of one text; form 1 has names as words."""
-        own = slice(self.first[text], self.first[text + 1])
-        return self.templates[which][own], self.values[own], self.kinds[which][own]
-
+        unit = after_number & np.isin(tokens.hashes, _unit_hashes())
+        other = np.select([tokens.is_number, unit], [_NUMBER, _UNIT], np.uint64(0))
+        capital = tokens.is_capitalised & ~unit
+        named = np.where(capital & ~tokens.is_initial, _NAME, other)
+        values, every = tokens.hashes, np.arange(n + 1)
+        self.kinds = (named, np.where(named == _NAME, np.uint64(0), named))
+        self.values = (values, values)
+        self.first = (tokens.first, tokens.first)
+        self.at = (every, every)
+        words = (values, values)
+        self.templates = tuple(np.where(k > 0, k, w) for k, w in zip(self.kinds, words))
+
+    def form(self, which: int, text: int) -> tuple[np.ndarray, ...]:
+        """Template, values, kinds and places of one text; form 1 has names as words."""
+        lo, hi = self.first[which][text], self.first[which][text + 1]
+        places = self.at[which][lo : hi + 1] - self.at[which][lo]
+        own = slice(lo, hi)
+        return self.templates[which][own], self.values[which][own], self.kinds[which][own], places
+
+
+def _least_grams(template, kinds, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """The anchor of each window, and whether it has one."""
+    none = np.uint64(0xFFFFFFFFFFFFFFFF)
+    n = max(len(template) - window + 1, 0)
+    grams = ngrams(template, gram)
+    words = np.concatenate([[0], np.cumsum(kinds == 0)])
+    grams[words[gram:] - words[:-gram] < LEAST_WORDS] = none
+    least = grams[:n].copy()
+    for k in range(1, window - gram + 1):
+        np.minimum(least, grams[k : k + n], out=least)
+    return least, least != none
+
+
+def _anchors(
+    rows: DataFrame, window: int, gram: int, whole: bool, bits: dict[int, int] | None = None
+) -> DataFrame:
+    """The distinct anchors of each text of ``rows (id, text)``.
 
-def _anchors(rows: DataFrame, window: int, gram: int) -> DataFrame:
-    """The distinct anchors of each text of ``rows (id, text)``."""
+    A text shorter than a window has its whole template as anchor if ``whole``; other texts have
+    the runs of ``SHORTEST`` to ``window - 1`` tokens that are in ``bits`` by their hash.
+    """
+    known = np.zeros(BITS // 64, np.uint64)
+    for word, value in (bits or {}).items():
+        known[word] = np.uint64(value & 0xFFFFFFFFFFFFFFFF)
+    lengths = range(SHORTEST, window) if whole or bits else ()
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.uint64(0xFFFFFFFFFFFFFFFF)
         for batch in batches:
             for lo, hi, data, offsets in text_slices(batch.column("text")):
                 texts = Templates(data, offsets)
-                n = len(texts.values) - window + 1
-                if n <= 0:
-                    continue
-                doc = np.repeat(np.arange(hi - lo), texts.counts)
-                left = np.repeat(texts.first[1:], texts.counts) - np.arange(len(doc))
-                owners, hashes = [], []
-                before = None
-                for template, kinds in zip(texts.templates, texts.kinds):
-                    grams = ngrams(template, gram)
+                owners, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+                seen = np.zeros(0, np.uint64)
+                for template, kinds, first in zip(texts.templates, texts.kinds, texts.first):
+                    counts = np.diff(first)
+                    doc = np.repeat(np.arange(hi - lo), counts)
+                    left = np.repeat(first[1:], counts) - np.arange(len(doc))
+                    found = []
+                    if len(template) >= window:
+                        least, usable = _least_grams(template, kinds, window, gram)
+                        at = np.flatnonzero(usable & (left[: len(least)] >= window))
+                        new = np.ones(len(at), bool)
+                        new[1:] = (least[at[1:]] != least[at[:-1]]) | (doc[at[1:]] != doc[at[:-1]])
+                        found.append((doc[at[new]], least[at[new]]))
                     words = np.concatenate([[0], np.cumsum(kinds == 0)])
-                    grams[words[gram:] - words[:-gram] < 2] = none
-                    least = grams[:n].copy()
-                    for k in range(1, window - gram + 1):
-                        np.minimum(least, grams[k : k + n], out=least)
-                    usable = (left[:n] >= window) & (least != none)
-                    if before is not None:
-                        usable &= least != before
-                    before = least
-                    at = np.flatnonzero(usable)
-                    new = np.ones(len(at), bool)
-                    new[1:] = (least[at[1:]] != least[at[:-1]]) | (doc[at[1:]] != doc[at[:-1]])
-                    owners.append(doc[at[new]])
-                    hashes.append(least[at[new]])
+                    for n in lengths:
+                        if len(template) < n:
+                            break
+                        h = mix(ngrams(template, n) + np.uint64(n))
+                        fits = left[: len(h)] >= n
+                        fits &= words[n:] - words[:-n] >= LEAST_WORDS
+                        if whole:
+                            fits &= counts[doc[: len(h)]] == n
+                        else:
+                            bit = h % np.uint64(BITS)
+                            fits &= (known[bit // 64] >> (bit % np.uint64(64))) & np.uint64(1) > 0
+                        at = np.flatnonzero(fits)
+                        found.append((doc[at], h[at]))
+                    for own, h in found:  # without what another form has found
+                        key = mix(h + mix(own.astype(np.uint64)))
+                        new = ~np.isin(key, seen)
+                        owners.append(own[new])
+                        hashes.append(h[new])
+                    seen = mix(np.concatenate(hashes) + mix(np.concatenate(owners).astype(np.uint64)))
                 ids = batch.column("id").slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -122,27 +171,38 @@ def _anchors(rows: DataFrame, window: int, gram: int) -> DataFrame:
     return rows.where("id IS NOT NULL AND text IS NOT NULL").mapInArrow(find, _ANCHORS)
 
 
+def _bits(short: DataFrame) -> dict[int, int]:
+    """A table of ``BITS`` bits of the hashes in ``short``: its size is fixed, whatever there is."""
+    # The unsigned hash modulo BITS, a power of two.
+    bit = F.col("h").bitwiseAND(F.lit(BITS - 1))
+    word = (F.shiftright(bit, 6)).alias("word")
+    value = F.expr(f"shiftleft(1L, cast((h & {BITS - 1}) & 63 AS int))").alias("value")
+    rows = short.select(word, value).groupBy("word").agg(F.bit_or("value").alias("value")).collect()
+    return {r.word: r.value for r in rows}
+
+
 def _templates_of(texts: list[str | None]) -> Templates:
     ((_, _, data, offsets),) = text_slices(pa.array(texts, pa.string()), 1 << 62)
     return Templates(data, offsets)
 
 
-def align(doc, item, window: int) -> tuple[int, int, int, int, bool] | None:
-    """The longest consistent run: tokens, where it starts in both, its slots, whether verbatim.
+def align(doc, item, window: int) -> list[tuple[int, int, int, int, bool]]:
+    """The consistent runs: tokens, where they start in both, their slots, whether verbatim.
 
-    ``doc`` and ``item`` are (template, values, kinds) of one text each.
+    ``doc`` and ``item`` are (template, values, kinds, places) of one text each.
     """
-    (doc_t, doc_v, doc_k), (item_t, item_v, item_k) = doc, item
+    (doc_t, doc_v, doc_k, _), (item_t, item_v, item_k, _) = doc, item
+    if min(len(doc_t), len(item_t)) < window:
+        return []
     doc_w, item_w = ngrams(doc_t, window), ngrams(item_t, window)
     here = np.flatnonzero(np.isin(doc_w, item_w))
     places = defaultdict(list)
     for j, h in enumerate(item_w.tolist()):
         places[h].append(j)
     runs: dict[int, tuple[int, int]] = {}  # diagonal -> first and last window in the document
-    best = None
+    found = []
 
     def close(shift: int, lo: int, hi: int) -> None:
-        nonlocal best
         end = hi + window
         # Slots must agree; where they stop to, a new run begins.
         start, there, back = lo, {}, {}
@@ -153,10 +213,10 @@ def align(doc, item, window: int) -> tuple[int, int, int, int, bool] | None:
                 fits = there.get((kind, a), b) == b and back.get((kind, b), a) == a
             if not fits:
                 size = i - start
-                if size >= window and (best is None or size > best[0]):
+                if size >= window:
                     same = bool((doc_v[start:i] == item_v[start - shift : i - shift]).all())
                     slots = int((item_k[start - shift : i - shift] > 0).sum())
-                    best = (size, start, start - shift, slots, same)
+                    found.append((size, start, start - shift, slots, same))
                 start, there, back = i, {}, {}
             if i < end and item_k[i - shift]:
                 there[kind, a], back[kind, b] = b, a
@@ -172,7 +232,23 @@ def align(doc, item, window: int) -> tuple[int, int, int, int, bool] | None:
                 runs[i - j] = (i, i)
     for shift, run in runs.items():
         close(shift, *run)
-    return best
+    return found
+
+
+def _leak(doc, item, window: int, enough: int):
+    """The best run of one form if it is a leak: item tokens, starts, slots, whether verbatim."""
+    n = len(item[0])
+    runs = align(doc, item, min(window, n)) if n >= SHORTEST else []
+    if not runs:
+        return None
+    best = max(runs, key=lambda run: (run[0], run[4]))
+    size, words = best[0], int((item[2] == 0).sum())
+    if n < window and (words < LEAST_WORDS or not best[4] and words < FEW_WORDS):
+        return None
+    if size < min(enough, n):
+        return None
+    tokens = int(item[3][best[2] + size] - item[3][best[2]])
+    return tokens, int(doc[3][best[1]]), int(item[3][best[2]]), best[3], best[4]
 
 
 def leaks(
@@ -185,15 +261,21 @@ def leaks(
     """``doc_id, item_id`` of every leak, with the longest run of tokens they share."""
     docs = own_columns(docs, "doc_id", "text")
     items = own_columns(items, "item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL")
-    items = items.groupBy("item_id").agg(F.min("text").alias("text"))
-    marks = _anchors(items.select(F.col("item_id").alias("id"), "text"), window, gram)
-    marks = store(marks.distinct().select(F.col("id").alias("item_id"), "h"), "op2-items")
-    found = _anchors(docs.select(F.col("doc_id").alias("id"), "text"), window, gram)
-    pairs = found.join(marks, "h").select(F.col("id").alias("doc_id"), "item_id").distinct()
+    # An item may have several texts and a text several items: texts are searched, once each.
+    items = store(items.distinct().withColumn("key", F.xxhash64("text")), "op2-texts")
+    texts = items.select("key", "text").distinct()
+    by_key = texts.select(F.col("key").alias("id"), "text")
+    marks = _anchors(by_key, window, gram, whole=True).distinct()
+    marks = store(marks.select(F.col("id").alias("key"), "h"), "op2-items")
+    short = _anchors(by_key, window, gram, whole=True).join(
+        _anchors(by_key, window, gram, whole=False), ["id", "h"], "left_anti"
+    )
+    bits = _bits(short)
+    found = _anchors(docs.select(F.col("doc_id").alias("id"), "text"), window, gram, False, bits)
+    pairs = found.join(marks, "h").select(F.col("id").alias("doc_id"), "key").distinct()
     pairs = store(pairs, "op2-pairs")
-    # A document has at most as many candidates as anchors.
-    wanted = pairs.join(items, "item_id").groupBy("doc_id").agg(
-        F.collect_list(F.struct("item_id", F.col("text").alias("item"))).alias("items")
+    wanted = pairs.join(texts, "key").groupBy("doc_id").agg(
+        F.collect_list(F.struct("key", F.col("text").alias("item"))).alias("items")
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,10 +286,13 @@ def leaks(
             for row in batch.to_pylist():
                 texts = _templates_of([row["text"], *[x["item"] for x in row["items"]]])
                 for k, own in enumerate(row["items"], 1):
-                    runs = [align(texts.form(f, 0), texts.form(f, k), window) for f in (0, 1)]
-                    best = max(filter(None, runs), default=None, key=lambda run: run[0])
-                    if best and best[0] >= min(enough, texts.counts[k]):
-                        rows.append((row["doc_id"], own["item_id"], *best))
+                    runs = [
+                        _leak(texts.form(f, 0), texts.form(f, k), window, enough)
+                        for f in range(FORMS)
+                    ]
+                    best = max(filter(None, runs), default=None, key=lambda run: (run[0], run[4]))
+                    if best:
+                        rows.append((row["doc_id"], own["key"], *best))
             columns = list(zip(*rows)) if rows else [[]] * len(names)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)], names=names
@@ -215,7 +300,9 @@ def leaks(
 
     joined = docs.where("text IS NOT NULL").join(wanted, "doc_id")
     result = joined.mapInArrow(compare, _FOUND)
-    longest = F.max_by(F.struct(*result.columns[2:]), F.struct("n_tokens", "verbatim", "doc_start"))
+    run = F.struct(*result.columns[2:])
+    result = result.select("doc_id", "key", run.alias("run")).join(items.select("item_id", "key"), "key")
+    longest = F.max_by("run", F.struct("run.n_tokens", "run.verbatim", "run.doc_start"))
     return result.groupBy("doc_id", "item_id").agg(longest.alias("run")).select(
         "doc_id", "item_id", "run.*"
     )

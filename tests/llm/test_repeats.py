@@ -136,6 +136,24 @@ def test_templates_find_other_numbers_names_and_capitals(spark):
     assert op2_templates.leaks(docs, items.limit(0)).count() == 0
 
 
+def _leaks(spark, docs, items):
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame(items, "item_id long, text string")
+    return {(r.doc_id, r.item_id) for r in op2_templates.leaks(docs, items).collect()}
+
+
+def test_every_text_of_an_item_and_short_items_are_searched(spark):
+    long = "the miller of the quiet valley counted every sack of grain twice before the winter came"
+    other = "a tall ship crossed the wide bay at dawn while gulls cried over the grey old harbour wall"
+    items = [(1, long), (1, other), (2, long), (3, "What is the capital of France?"), (4, "Yes")]
+    docs = [
+        (1, "x " + long), (2, "y " + other), (3, "Quiz. What is the capital of France? Paris."),
+        (4, "Quiz. What is the capital of Spain? Yes"), (5, "Berlin is the capital of Germany"),
+        (6, "What is the name of France?"),
+    ]
+    assert _leaks(spark, docs, items) == {(1, 1), (1, 2), (2, 1), (3, 3), (4, 3)}
+
+
 def test_benchmark_passages_are_found(spark):
     docs, items = read(spark, "documents", "0.01"), read(spark, "benchmark", "0.01")
 
