@@ -3,7 +3,9 @@
 Texts become templates: letters and numbers only, lower case, numbers, names (capitalised words
 inside a sentence) and units (after a number) replaced by a placeholder of their type. A question
 asked again with other numbers or names has the same template. As capitals tell names, every text
-has a second template that keeps names as words, which copies in other capitals share.
+has a second template that keeps names as words, which copies in other capitals share, and a third
+that has a slot for capitalised words at the start of a sentence, too, and one slot for a name of
+several words.
 
 1. Of each template window of ``WINDOW`` tokens the smallest hash among its runs of ``GRAM`` tokens
    is its anchor, so equal windows share theirs. Runs with fewer than two words are no anchors.
@@ -13,7 +15,9 @@ has a second template that keeps names as words, which copies in other capitals
 2. Each candidate pair is aligned in full: the longest run of tokens whose template windows are
    equal and whose slots are consistent, that is, each value of the item stands for one value of
    the document and the other way round.
-3. A document leaks an item if that run has ``ENOUGH`` tokens, or all of a shorter item's. An item shorter than a window leaks as a whole: verbatim, or with ``FEW_WORDS`` words
+3. A document leaks an item if that run has ``ENOUGH`` tokens, or all of a shorter item's; or if it
+   has, with the runs of ``GRAM`` tokens beside it that agree in order and slots, ``SHARE`` of the
+   item. An item shorter than a window leaks as a whole: verbatim, or with ``FEW_WORDS`` words
    outside its slots.
 
 Defined cases: NULL or empty texts and items match nothing, nor does an item of fewer than
@@ -37,10 +41,11 @@ from sitewatch.llm.common import Tokens, mix, ngrams, own_columns, signed, store
 WINDOW = 10
 GRAM = 5
 ENOUGH = 13
+SHARE = 0.75
 SHORTEST = 3
 LEAST_WORDS = 2
 FEW_WORDS = 5
-FORMS = 2
+FORMS = 3
 BITS = 1 << 23
 
 _NUMBER, _NAME, _UNIT = (np.uint64(k) for k in (1, 2, 3))
@@ -80,12 +85,21 @@ class Templates:
         other = np.select([tokens.is_number, unit], [_NUMBER, _UNIT], np.uint64(0))
         capital = tokens.is_capitalised & ~unit
         named = np.where(capital & ~tokens.is_initial, _NAME, other)
-        values, every = tokens.hashes, np.arange(n + 1)
-        self.kinds = (named, np.where(named == _NAME, np.uint64(0), named))
-        self.values = (values, values)
-        self.first = (tokens.first, tokens.first)
-        self.at = (every, every)
-        words = (values, values)
+        widely = np.where(capital, _NAME, other)
+        # Form 2: one slot for a run of names within a sentence, valued by all of its words.
+        goes_on = np.zeros(n, bool)
+        goes_on[1:] = capital[1:] & capital[:-1] & ~tokens.is_initial[1:]
+        at = np.flatnonzero(~goes_on)
+        nth = (np.arange(n) - np.repeat(at, np.diff(np.append(at, n)))).astype(np.uint64)
+        values = tokens.hashes
+        joined = np.add.reduceat(mix(values + mix(nth)), at) if n else values
+        first = np.searchsorted(at, tokens.first)
+        every = np.arange(n)
+        self.kinds = (named, other, widely[at])
+        self.values = (values, values, joined)
+        self.first = (tokens.first, tokens.first, first)
+        self.at = tuple(np.append(x, n) for x in (every, every, at))
+        words = (values, values, values[at])
         self.templates = tuple(np.where(k > 0, k, w) for k, w in zip(self.kinds, words))
 
     def form(self, which: int, text: int) -> tuple[np.ndarray, ...]:
@@ -235,7 +249,33 @@ def align(doc, item, window: int) -> list[tuple[int, int, int, int, bool]]:
     return found
 
 
-def _leak(doc, item, window: int, enough: int):
+def _together(doc, item, best, gram: int) -> tuple[int, int, int, int, bool]:
+    """``best`` with the runs of ``gram`` tokens that go with it: same order, near, same slots."""
+    (_, doc_v, _, _), (_, item_v, item_k, _) = doc, item
+    there, back, chain = {}, {}, []
+    for run in [best, *sorted(align(doc, item, gram), reverse=True)]:
+        size, i, j = run[:3]
+        apart = all(
+            (i + size <= x[1] and j + size <= x[2]) or (i >= x[1] + x[0] and j >= x[2] + x[0])
+            for x in chain
+        )
+        span = max([i + size, *(x[1] + x[0] for x in chain)]) - min([i, *(x[1] for x in chain)])
+        slots = [
+            (int(item_k[j + k]), int(item_v[j + k]), int(doc_v[i + k]))
+            for k in range(size)
+            if item_k[j + k]
+        ]
+        fits = all(there.get((t, a), b) == b and back.get((t, b), a) == a for t, a, b in slots)
+        if apart and fits and span <= 2 * len(item_v):
+            chain.append(run)
+            there |= {(t, a): b for t, a, b in slots}
+            back |= {(t, b): a for t, a, b in slots}
+    chain.sort(key=lambda x: x[1])
+    total = sum(x[0] for x in chain)
+    return total, chain[0][1], chain[0][2], sum(x[3] for x in chain), False
+
+
+def _leak(doc, item, window: int, gram: int, enough: int):
     """The best run of one form if it is a leak: item tokens, starts, slots, whether verbatim."""
     n = len(item[0])
     runs = align(doc, item, min(window, n)) if n >= SHORTEST else []
@@ -246,8 +286,12 @@ def _leak(doc, item, window: int, enough: int):
     if n < window and (words < LEAST_WORDS or not best[4] and words < FEW_WORDS):
         return None
     if size < min(enough, n):
-        return None
-    tokens = int(item[3][best[2] + size] - item[3][best[2]])
+        best = _together(doc, item, best, gram)
+        if best[0] < SHARE * n:
+            return None
+        tokens = best[0]
+    else:
+        tokens = int(item[3][best[2] + size] - item[3][best[2]])
     return tokens, int(doc[3][best[1]]), int(item[3][best[2]]), best[3], best[4]
 
 
@@ -287,7 +331,7 @@ def leaks(
                 texts = _templates_of([row["text"], *[x["item"] for x in row["items"]]])
                 for k, own in enumerate(row["items"], 1):
                     runs = [
-                        _leak(texts.form(f, 0), texts.form(f, k), window, enough)
+                        _leak(texts.form(f, 0), texts.form(f, k), window, gram, enough)
                         for f in range(FORMS)
                     ]
                     best = max(filter(None, runs), default=None, key=lambda run: (run[0], run[4]))

@@ -142,6 +142,32 @@ def _leaks(spark, docs, items):
     return {(r.doc_id, r.item_id) for r in op2_templates.leaks(docs, items).collect()}
 
 
+def test_templates_find_names_at_the_start_and_of_several_words(spark):
+    apples = "Alice has 3 apples. Bob gives her 2 more apples. How many apples does Alice have now?"
+    train = "A train leaves Paris for the coast at noon and comes back to Paris before it gets dark"
+    docs = [
+        (1, "Carol has 5 apples. Dave gives her 4 more apples. How many apples does Carol have now?"),
+        (2, train.replace("Paris", "New York")),
+        (3, "Carol has 5 apples. Dave gives her 4 more apples. How many apples does Erin have now?"),
+        (4, "Alice has 3 pears. Bob sells them to the old man. How many pears does Bob see there?"),
+        (5, "a boat left as noted " + " ".join(train.lower().split()[5:]) + " again"),
+    ]
+    assert _leaks(spark, docs, [(1, apples), (2, train)]) >= {(1, 1), (2, 2)}
+    assert (4, 1) not in _leaks(spark, docs, [(1, apples), (2, train)])
+
+
+def test_templates_count_the_runs_of_one_alignment_together(spark):
+    item = "the baker on the corner sold fresh bread and warm rolls to people from the hills and the coast before the rain began again"
+    own = item.split()
+    docs = [
+        (1, " ".join([*own[:12], "nearly", "all", *own[12:]])),
+        (2, " ".join(own[:12])),
+        (3, " ".join([*own[12:], "nearly", "all", *own[:12]])),
+        (4, " ".join([*own[:12], *["far"] * 60, *own[12:]])),
+    ]
+    assert _leaks(spark, docs, [(1, item)]) == {(1, 1)}
+
+
 def test_every_text_of_an_item_and_short_items_are_searched(spark):
     long = "the miller of the quiet valley counted every sack of grain twice before the winter came"
     other = "a tall ship crossed the wide bay at dawn while gulls cried over the grey old harbour wall"
