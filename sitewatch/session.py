@@ -69,6 +69,21 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialise_buckets(df: DataFrame, label: str, buckets: int, *columns: str) -> DataFrame:
+    """As ``materialise``, laid out so that joins and groups on ``columns`` move only the other side.
+
+    Each task writes its rows into the buckets they belong to; nothing is shuffled here. The
+    table is registered only for as long as Spark takes to read its layout.
+    """
+    spark = df.sparkSession
+    path = intermediate_path(spark, label)
+    name = f"sitewatch_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, *columns).option("path", path).format("parquet").saveAsTable(name)
+    laid_out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return laid_out
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Removes what is materialised within it, once a run has committed or failed."""
