@@ -4,6 +4,7 @@ from functools import wraps
 
 from sitewatch.llm.common import prepare
 from sitewatch.llm.op10_urls import op10_urls
+from sitewatch.llm.op13_alignment import op13_alignment
 from sitewatch.llm.op1_repeats import op1_repeats
 from sitewatch.llm.op2_templates import op2_templates
 from sitewatch.llm.op3_language import op3_language
@@ -17,7 +18,7 @@ from sitewatch.llm.oracles import ORACLES
 
 _ALL = (
     op1_repeats, op2_templates, op3_language, op4_cascade, op5_sharding, op6_toxicity, op7_dac,
-    op8_minhash, op9_packing, op10_urls,
+    op8_minhash, op9_packing, op10_urls, op13_alignment,
 )
 
 

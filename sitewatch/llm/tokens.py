@@ -71,14 +71,17 @@ class Encoder:
     and remembered. Texts of Latin letters, digits and signs are cut by their byte classes; those
     with white space side by side by the tokenizer's own expression; any other text, or one that
     may hold a special token, goes to the library as a whole. Past ``most`` parts the memory
-    starts anew.
+    starts anew. With ``plain`` the strings of special tokens are ordinary text.
     """
 
-    def __init__(self, name: str, folder: str | None = None, most: int = 700_000):
+    def __init__(
+        self, name: str, folder: str | None = None, most: int = 700_000, plain: bool = False
+    ):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._tokenizer = Tokenizer.from_file(vocabulary(name, folder))
+        self._tokenizer.encode_special_tokens = plain
         self._model = self._tokenizer.model
         self._letters = _byte_letters()
         self._split = regex.compile(_SPLIT[name])
@@ -212,6 +215,18 @@ def _joined(arrays: list[np.ndarray], kind) -> np.ndarray:
 
 
 @lru_cache(maxsize=2)
-def encoder(name: str, folder: str | None = None) -> Encoder:
+def encoder(name: str, folder: str | None = None, plain: bool = False) -> Encoder:
     """One encoder for all tasks of a Python worker, so that what it remembers lasts."""
-    return Encoder(name, folder)
+    return Encoder(name, folder, plain=plain)
+
+
+def byte_entries(name: str, folder: str | None = None) -> list[bytes]:
+    """The bytes that each id of a byte-level vocabulary stands for."""
+    from tokenizers import Tokenizer
+
+    entries = Tokenizer.from_file(vocabulary(name, folder)).get_vocab(with_added_tokens=True)
+    bytes_of = {letter: value for value, letter in _byte_letters().items()}
+    out = [b""] * (max(entries.values()) + 1)
+    for entry, k in entries.items():
+        out[k] = bytes(map(bytes_of.__getitem__, entry))
+    return out
