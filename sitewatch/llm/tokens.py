@@ -82,6 +82,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._tokenizer = Tokenizer.from_file(vocabulary(name, folder))
         self._tokenizer.encode_special_tokens = plain
+        self.size = self._tokenizer.get_vocab_size()
         self._model = self._tokenizer.model
         self._letters = _byte_letters()
         self._split = regex.compile(_SPLIT[name])
