@@ -5,6 +5,7 @@ from functools import wraps
 from sitewatch.llm.common import prepare
 from sitewatch.llm.op10_urls import op10_urls
 from sitewatch.llm.op11_vector import op11_vector
+from sitewatch.llm.op12_repair import op12_repair
 from sitewatch.llm.op13_alignment import op13_alignment
 from sitewatch.llm.op1_repeats import op1_repeats
 from sitewatch.llm.op2_templates import op2_templates
@@ -19,7 +20,8 @@ from sitewatch.llm.oracles import ORACLES
 
 _ALL = (
     op1_repeats, op2_templates, op3_language, op4_cascade, op5_sharding, op6_toxicity, op7_dac,
-    op8_minhash, op9_packing, op10_urls, op11_vector, op13_alignment,
+    op8_minhash, op9_packing, op10_urls, op11_vector, op12_repair,
+    op13_alignment,
 )
 
 
