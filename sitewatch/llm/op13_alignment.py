@@ -46,6 +46,9 @@ _OUT = (
 )
 _SIDE = 1 << 32
 
+# Parts of texts that each of the two encoders of a worker remembers.
+_MOST_PARTS = 200_000
+
 
 class Entries:
     """The bytes behind all ids of a vocabulary, and the ids as decimal digits."""
@@ -134,7 +137,7 @@ def _slice(texts: pa.Array, folder: str | None):
     spaced = pa.compute.binary_join_element_wise(
         pa.scalar("", pa.large_string()), texts.fill_null(""), pa.scalar(" ", pa.large_string())
     )
-    a, n_a = encoder(BYTE_BPE, folder, True)(spaced)
+    a, n_a = encoder(BYTE_BPE, folder, True, _MOST_PARTS)(spaced)
     _, _, data, offsets = next(text_slices(spaced, 1 << 62))
     b, n_b, same = piece_encoder(PIECE_BPE, folder)(data, offsets)
     a = a.astype(np.int64)

@@ -22,7 +22,7 @@ class PieceEncoder:
     ``most`` chunks the memory starts anew.
     """
 
-    def __init__(self, name: str = PIECE_BPE, folder: str | None = None, most: int = 700_000):
+    def __init__(self, name: str = PIECE_BPE, folder: str | None = None, most: int = 200_000):
         from sentencepiece import SentencePieceProcessor
 
         self._model = SentencePieceProcessor(model_file=vocabulary(name, folder))
@@ -76,12 +76,12 @@ class PieceEncoder:
         codes = np.array([self._codes[x] for x in chunks.dictionary.to_pylist()], np.int64)
         self._fill()
         codes = codes[chunks.indices.to_numpy()]
-        ends, flat = np.array(self._ends, np.int64), np.array(self._flat, np.int64)
+        ends, flat = np.frombuffer(self._ends, np.int64), np.frombuffer(self._flat, np.uint32)
         lengths = ends[codes + 1] - ends[codes]
         upto = np.concatenate([[0], np.cumsum(lengths)])
-        ids = flat[np.repeat(ends[codes] - upto[:-1], lengths) + np.arange(upto[-1])]
+        ids = flat[np.repeat(ends[codes] - upto[:-1], lengths) + np.arange(upto[-1])].astype(np.int64)
         first = np.searchsorted(begins, offsets)
-        wrong = np.concatenate([[0], np.cumsum(np.array(self._same, np.int64)[codes] == 0)])
+        wrong = np.concatenate([[0], np.cumsum(np.frombuffer(self._same, np.int8)[codes] == 0)])
         return ids, np.diff(upto[first]), np.diff(wrong[first]) == 0
 
 

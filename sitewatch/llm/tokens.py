@@ -216,9 +216,11 @@ def _joined(arrays: list[np.ndarray], kind) -> np.ndarray:
 
 
 @lru_cache(maxsize=2)
-def encoder(name: str, folder: str | None = None, plain: bool = False) -> Encoder:
+def encoder(
+    name: str, folder: str | None = None, plain: bool = False, most: int = 700_000
+) -> Encoder:
     """One encoder for all tasks of a Python worker, so that what it remembers lasts."""
-    return Encoder(name, folder, plain=plain)
+    return Encoder(name, folder, most, plain)
 
 
 def byte_entries(name: str, folder: str | None = None) -> list[bytes]:
