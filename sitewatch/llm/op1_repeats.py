@@ -2,25 +2,29 @@
 
 1. Anchors. Of the hashes of all 6-word runs within a window, the smallest is the window's anchor,
    so equal windows have equal anchors wherever they stand. Neighbouring windows mostly share
-   theirs; such a row of windows is one ``(doc_id, h, start, n)``, about one for 8 words. Only
+   theirs; such a row of windows is one ``(doc, h, start, n)``, about one for 8 words. Only
    the hashes are counted first, combined before the shuffle.
 2. Rows of windows whose anchor occurs again are cut out of the texts, as segments of about 26
    words, and sent to the cell their anchor belongs to. Equal windows meet in one cell. Nothing
    else of the texts is moved for the search.
 3. A cell is some thousand segments. It confirms which windows recur, joins those that always
    follow each other to phrases, compiles them into an automaton, and streams its segments
-   through it in the order ``(doc_id, start)``: every occurrence but the first is covered. Words are written as two or three letters of a small
-   alphabet, one for each place, so that an automaton has few branches and matches whole words.
+   through it in the order ``(doc, start)``: every occurrence but the first is covered. Words
+   are written as two or three letters of a small alphabet, one for each place, so that an
+   automaton has few branches and matches whole words.
 4. An anchor with more than ``HEAVY`` rows would fill a cell. Its recurring windows are confirmed
    by an aggregation over their texts instead, with their first places; its automata are split
    by patterns, and its segments are dealt out over copies of them, so any number of occurrences
    is spread over the cluster.
-5. Covered spans are joined to the documents.
+5. Covered spans are joined to the documents; texts without any never leave the JVM.
+
+``doc`` is ``doc_id`` and ``text_key``, a hash of the text.
 
 Defined cases: a NULL text has no word; white space is not part of a word, and a text with fewer
-words than a window is kept; rows with one ``doc_id`` count as copies of one document; a row with
-NULL ``doc_id`` keeps all its words and no other row is compared with it; an empty table gives no
-row; other columns go through unchanged.
+words than a window is kept; rows with one ``doc_id`` and one text count as one document, those
+with one ``doc_id`` and different texts as documents of their own, in the order of a hash of the
+text; a row with NULL ``doc_id`` keeps all its words and no other row is compared with it; an empty
+table gives no row; other columns go through unchanged, but for those named like a result.
 """
 
 from __future__ import annotations
@@ -42,12 +46,17 @@ HEAVY = 4_000
 CELL = 2_000
 STREAM = 8_000
 
-_ROWS = "doc_id long, h long, start int, n int"
-_SEGMENTS = "doc_id long, h long, often long, start int, n int, text binary"
-_SPANS = "doc_id long, lo int, hi int"
+_ROWS = "doc_id long, text_key long, h long, start int, n int"
+_SEGMENTS = "doc_id long, text_key long, h long, often long, start int, n int, text binary"
+_SPANS = "doc_id long, text_key long, lo int, hi int"
+_DOC = ["doc_id", "text_key"]
 _PATTERN, _SELF_CONFIRMED, _STREAMED = range(3)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return own_columns(docs, "doc_id", "text").withColumn("text_key", F.xxhash64("text"))
+
+
 def anchors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """The rows of windows of each document with their anchor's hash."""
 
@@ -77,15 +86,15 @@ def anchors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
                 owner = doc[first]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(lo, hi - lo).take(pa.array(owner)),
+                        *(batch.column(c).slice(lo, hi - lo).take(pa.array(owner)) for c in _DOC),
                         pa.array(signed(least[first])),
                         pa.array((first - words.first[owner]).astype(np.int32)),
                         pa.array(np.diff(np.append(heads, len(at))).astype(np.int32)),
                     ],
-                    names=["doc_id", "h", "start", "n"],
+                    names=[*_DOC, "h", "start", "n"],
                 )
 
-    known = own_columns(docs, "doc_id", "text").where(F.col("doc_id").isNotNull())
+    known = _keyed(docs).where(F.col("doc_id").isNotNull())
     return known.mapInArrow(find, _ROWS)
 
 
@@ -103,9 +112,7 @@ def _segments(docs: DataFrame, rows: DataFrame, window: int) -> DataFrame:
                 start, n = fields["start"].to_numpy(), fields["n"].to_numpy()
                 first = words.first[doc] + start
                 last = first + n + window - 2
-                # Rows of another text with the same doc_id may not fit.
-                fits = last < words.first[doc + 1]
-                first, last = words.starts[first[fits]], words.ends[last[fits]]
+                first, last = words.starts[first], words.ends[last]
                 size = last - first
                 bounds = np.concatenate([[0], np.cumsum(size)])
                 at = np.repeat(first - bounds[:-1], size) + np.arange(bounds[-1])
@@ -114,16 +121,15 @@ def _segments(docs: DataFrame, rows: DataFrame, window: int) -> DataFrame:
                     len(size),
                     [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data[at])],
                 ).cast(pa.binary())
-                kept = pa.array(fits)
-                ids = batch.column("doc_id").slice(lo, hi - lo).take(pa.array(doc[fits]))
-                others = [fields[c].filter(kept) for c in ("h", "often", "start", "n")]
-                yield pa.RecordBatch.from_arrays([ids, *others, text], names=names)
+                ids = [batch.column(c).slice(lo, hi - lo).take(pa.array(doc)) for c in _DOC]
+                others = [fields[c] for c in ("h", "often", "start", "n")]
+                yield pa.RecordBatch.from_arrays([*ids, *others, text], names=names)
 
     # A document has at most as many rows as words.
-    of_doc = rows.groupBy("doc_id").agg(
+    of_doc = rows.groupBy(*_DOC).agg(
         F.collect_set(F.struct("h", "often", "start", "n")).alias("rows")
     )
-    return own_columns(docs, "doc_id", "text").join(of_doc, "doc_id").mapInArrow(cut, _SEGMENTS)
+    return _keyed(docs).join(of_doc, _DOC).mapInArrow(cut, _SEGMENTS)
 
 
 class Alphabet(dict):
@@ -206,17 +212,17 @@ def _phrases(texts: list[str], windows: list[int], width: int, step: int) -> dic
 
 def _cell(
     patterns: list[tuple] | None, segments: list[tuple], window: int
-) -> Iterator[tuple[int, int, int]]:
-    """The covered spans ``(doc_id, lo, hi)`` of one cell.
+) -> Iterator[tuple[int, int, int, int]]:
+    """The covered spans ``(doc_id, text_key, lo, hi)`` of one cell.
 
-    ``patterns`` are confirmed windows ``(text, doc_id, start)`` with their first places. If they
+    ``patterns`` are confirmed windows ``(text, doc, start)`` with their first places. If they
     are None, the windows that occur again among the segments are the patterns, and the first
     match of each is its first place.
     """
     if patterns is not None:
         alphabet, keys = _written([p[0] for p in patterns])
         phrases = dict.fromkeys(keys, 1)
-        first = {key: (doc_id, start) for key, (_, doc_id, start) in zip(keys, patterns)}
+        first = {key: (doc, start) for key, (_, doc, start) in zip(keys, patterns)}
         first = [first[key] for key in phrases]
         written = (alphabet.write_known(s[3]) for s in segments)
     else:
@@ -233,23 +239,23 @@ def _cell(
         automaton.add_word(phrase, k)
     automaton.make_automaton()
     sizes = list(phrases.values())
-    for (doc_id, start, _, _), text in zip(segments, written):
+    for (doc, start, _, _), text in zip(segments, written):
         lo = hi = -1
         for end, k in automaton.iter(text):
             stop = start + (end + 1) // step
             at = stop - sizes[k] - window + 1
             if first[k] is None:
-                first[k] = (doc_id, at)
-            if first[k] == (doc_id, at):
+                first[k] = (doc, at)
+            if first[k] == (doc, at):
                 continue
             if at <= hi:
                 hi = stop
             else:
                 if hi > 0:
-                    yield doc_id, lo, hi
+                    yield *doc, lo, hi
                 lo, hi = at, stop
         if hi > 0:
-            yield doc_id, lo, hi
+            yield *doc, lo, hi
 
 
 def _search(cells: DataFrame, window: int) -> DataFrame:
@@ -259,15 +265,15 @@ def _search(cells: DataFrame, window: int) -> DataFrame:
         cell, patterns, segments = None, [], []
 
         def spans(rows):
-            columns = list(zip(*rows)) if rows else [[]] * 3
-            kinds = (pa.int64(), pa.int32(), pa.int32())
+            columns = list(zip(*rows)) if rows else [[]] * 4
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "lo", "hi"]
+                [pa.array(c, k) for c, k in zip(columns, kinds)], names=[*_DOC, "lo", "hi"]
             )
 
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in _CELL_COLUMNS]
-            for own, kind, doc_id, start, n, text in zip(*columns):
+            for own, kind, doc_id, text_key, start, n, text in zip(*columns):
                 # Confirmed patterns need no second pass, so their segments go through in parts.
                 if own != cell or (kind == _STREAMED and len(segments) >= STREAM):
                     if segments:
@@ -276,16 +282,16 @@ def _search(cells: DataFrame, window: int) -> DataFrame:
                         cell, patterns = own, None if kind == _SELF_CONFIRMED else []
                     segments = []
                 if kind == _PATTERN:
-                    patterns.append((text, doc_id, start))
+                    patterns.append((text, (doc_id, text_key), start))
                 else:
-                    segments.append((doc_id, start, n, text))
+                    segments.append(((doc_id, text_key), start, n, text))
         if segments:
             yield spans(list(_cell(patterns, segments, window)))
 
     return cells.mapInArrow(run, _SPANS)
 
 
-_CELL_COLUMNS = ["cell", "kind", "doc_id", "start", "n", "text"]
+_CELL_COLUMNS = ["cell", "kind", *_DOC, "start", "n", "text"]
 
 
 def covered(
@@ -296,7 +302,7 @@ def covered(
     cell: int = CELL,
     stream: int = STREAM,
 ) -> DataFrame:
-    """``(doc_id, lo, hi)``: the words that some window covers which also starts earlier."""
+    """``(doc_id, text_key, lo, hi)``: words that some window covers which also starts earlier."""
     rows = anchors(docs, window, gram)
     # Stored, as a join can only split a heavy anchor if both its sides come from a shuffle.
     again = rows.groupBy("h").agg(F.count("*").alias("often")).where("often > 1")
@@ -308,14 +314,14 @@ def covered(
 
     light = segments.where(F.col("often") <= heavy).select(
         F.pmod(F.xxhash64("h"), F.lit(n_cells)).alias("cell"),
-        F.lit(_SELF_CONFIRMED).alias("kind"), "doc_id", "start", "n", "text",
+        F.lit(_SELF_CONFIRMED).alias("kind"), *_DOC, "start", "n", "text",
     )
     cells = light
     if n_heavy:
         cells = light.union(
             _heavy_cells(segments.where(F.col("often") > heavy), window, cell, stream)
         )
-    ordered = cells.repartition("cell").sortWithinPartitions("cell", "kind", "doc_id", "start")
+    ordered = cells.repartition("cell").sortWithinPartitions("cell", "kind", *_DOC, "start")
     return store(_search(ordered, window), "op1-spans")
 
 
@@ -323,7 +329,7 @@ def _heavy_cells(segments: DataFrame, window: int, cell: int, stream: int) -> Da
     """Cells of the heavy anchors: confirmed patterns by part, segments dealt over copies."""
     # Equal segments are one first: most rows of a heavy anchor are copies of a passage.
     distinct = segments.groupBy("h", "n", "text").agg(
-        F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("k")
+        F.min(F.struct(*_DOC, "start")).alias("first"), F.count("*").alias("k")
     )
     words = F.split(F.decode("text", "UTF-8"), r"[\x20\x09-\x0D]+", -1)
     windows = distinct.select(
@@ -332,7 +338,8 @@ def _heavy_cells(segments: DataFrame, window: int, cell: int, stream: int) -> Da
         "h",
         "k",
         F.array_join(F.slice("words", F.col("i") + 1, window), " ").alias("text"),
-        F.struct("first.doc_id", (F.col("first.start") + F.col("i")).alias("start")).alias("place"),
+        F.struct("first.doc_id", "first.text_key", (F.col("first.start") + F.col("i")).alias("start"))
+        .alias("place"),
     )
     confirmed = (
         windows.groupBy("h", "text")
@@ -353,19 +360,19 @@ def _heavy_cells(segments: DataFrame, window: int, cell: int, stream: int) -> Da
         F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"),
         "place", "text",
     ).select(
-        cell_id, F.lit(_PATTERN).alias("kind"), F.col("place.doc_id").alias("doc_id"),
-        F.col("place.start").alias("start"), F.lit(1).alias("n"), F.encode("text", "UTF-8").alias("text"),
+        cell_id, F.lit(_PATTERN).alias("kind"), "place.doc_id", "place.text_key", "place.start",
+        F.lit(1).alias("n"), F.encode("text", "UTF-8").alias("text"),
     )
     streams = segments.join(split, "h").select(
         "h", F.pmod(F.xxhash64("doc_id"), "copies").cast("int").alias("copy"),
-        "parts", "doc_id", "start", "n", "text",
+        "parts", *_DOC, "start", "n", "text",
     )
     # Nearly every anchor has one part; only the others' segments are repeated.
     more = streams.where("parts > 1").withColumn(
         "part", F.explode(F.sequence(F.lit(1), F.col("parts") - 1))
     )
     streams = streams.withColumn("part", F.lit(0)).unionByName(more).select(
-        cell_id, F.lit(_STREAMED).alias("kind"), "doc_id", "start", "n", "text"
+        cell_id, F.lit(_STREAMED).alias("kind"), *_DOC, "start", "n", "text"
     )
     return patterns.union(streams)
 
@@ -396,12 +403,27 @@ def remove_repeats(docs: DataFrame, **parameters) -> DataFrame:
             )
 
     spans = covered(docs, **parameters)
-    spans = spans.groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("__spans"))
-    result = F.arrow_udf(keep, "n_words long, n_removed long, kept_text string")
+    spans = spans.groupBy(*_DOC).agg(F.collect_set(F.struct("lo", "hi")).alias("__spans"))
+    spans = spans.toDF("__id", "__text_key", "__spans")
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
-    joined = own_columns(docs, *names).join(spans, "doc_id", "left")
-    return joined.withColumn("__kept", result("text", "__spans")).select(
-        *[F.col(f"`{c}`") for c in names], "__kept.*"
+    joined = own_columns(docs, *names).withColumn("__key", F.xxhash64("text"))
+    same = (F.col("doc_id") == F.col("__id")) & (F.col("__key") == F.col("__text_key"))
+    joined = joined.join(spans, same, "left")
+    has_spans = F.col("__spans").isNotNull()
+    result = F.arrow_udf(keep, "n_words long, n_removed long, kept_text string")
+    cut = result(F.when(has_spans, F.col("text")), "__spans")
+    blank = F.lit(r"[\x20\x09-\x0D]+")
+    whole = F.btrim(F.regexp_replace(F.coalesce("text", F.lit("")), blank, F.lit(" ")))
+    joined = joined.withColumn("__cut", cut).withColumn("__whole", F.when(~has_spans, whole))
+    return joined.select(
+        *[F.col(f"`{c}`") for c in names],
+        F.when(has_spans, F.col("__cut.n_words")).otherwise(
+            F.when(F.col("__whole") == "", 0).otherwise(
+                F.length(F.regexp_replace("__whole", "[^ ]+", "")) + 1
+            )
+        ).cast("long").alias("n_words"),
+        F.when(has_spans, F.col("__cut.n_removed")).otherwise(0).cast("long").alias("n_removed"),
+        F.when(has_spans, F.col("__cut.kept_text")).otherwise(F.col("__whole")).alias("kept_text"),
     )
 
 

@@ -48,6 +48,17 @@ def test_repeats_leave_other_columns(spark):
     assert op1_repeats.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    unique = " ".join(f"u{i}" for i in range(40))
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(1, unique), (1, passage), (1, passage), (2, "x " + passage), (2, unique.upper())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_key", F.lit(1))
+    got = op1_repeats.remove_repeats(docs).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got) == sorted(
+        [(1, 40, 0, unique), (1, 30, 0, passage), (1, 30, 0, passage), (2, 31, 30, "x"), (2, 40, 0, unique.upper())]
+    )
+
+
 def _shingles(text):
     own = tuple((text or "").encode().translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))).split())
     if len(own) < 4:
