@@ -47,6 +47,25 @@ def test_order_of_rules_does_not_change_verdicts(spark):
     docs.unpersist()
 
 
+def test_costs_of_rules_agree_between_runs(spark):
+    docs, rules = read(spark, "documents", "0.1").select("doc_id", "text"), op4_cascade.prose_rules()
+    op4_cascade.ordered(docs, rules)  # the first run times the compiler, too
+    one, two = ({m[0].name: m[1:] for m in op4_cascade.ordered(docs.repartition(n), rules)} for n in (1, 7))
+    for name, (seconds, share) in one.items():
+        assert share == two[name][1]
+        assert max(seconds, two[name][0]) <= 2 * min(seconds, two[name][0]) + 1e-3
+
+
+def test_names_of_results_may_clash(spark):
+    docs = edge(spark).withColumn("rejected_by", F.lit("x"))
+    judged = op4_cascade.judge(docs)
+    assert len(judged.columns) == len(set(judged.columns)) and set(docs.columns) <= set(judged.columns)
+    key = lambda r: repr((r.doc_id, r.text))
+    for r, old in zip(sorted(judged.collect(), key=key), sorted(docs.collect(), key=key)):
+        assert (r.score, r.rank, r.h, r.n_chars) == (old.score, old.rank, old.h, old.n_chars)
+        assert r.n_words == _base(r.text)[0]
+
+
 def test_cascade_is_native(spark):
     plan = op4_cascade.judge(read(spark, "documents").select("doc_id", "text"))
     assert not re.search("Python|Arrow|Pandas", plan._jdf.queryExecution().toString())
