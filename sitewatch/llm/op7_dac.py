@@ -13,7 +13,7 @@ whole documents: ``part``, ``at`` (its place in the part), ``doc_ids``, ``counts
 the bitmap in whole bytes, lowest bit first, and a 4-byte count for each 512 bits.
 
 Defined cases: a NULL or empty text has only the end id; rows with one ``doc_id`` follow each
-other in the order of their texts; a NULL ``doc_id`` comes first; an empty table has no segment.
+other in the order of a hash of their texts; a NULL ``doc_id`` comes first; an empty table has no segment.
 """
 
 from __future__ import annotations
@@ -127,10 +127,12 @@ def write_tokens(
                     [pa.array([v], t) for v, t in zip(row, types)], names=names
                 )
 
+    # Rows of one id are dealt out by a hash of their text, too, so that a hot id is many parts'.
+    keyed = own_columns(docs, "doc_id", "text").withColumn("__key", F.xxhash64("text"))
     (
-        own_columns(docs, "doc_id", "text")
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        keyed.repartitionByRange("doc_id", "__key")
+        .sortWithinPartitions("doc_id", "__key", "text")
+        .drop("__key")
         .mapInArrow(encode, _SEGMENTS)
         .write.parquet(path)
     )
