@@ -13,13 +13,16 @@ frequency, counts, so a short insult in a long text weighs as much as in a short
 probability on that parts labelled texts best in out-of-fold predictions, by an F score that
 weighs precision twice, and at a half at least, so that clean texts are left alone.
 
-Training takes about ``SAMPLE`` labelled texts, picked by chance; the bound keeps the model, and
-what reaches the driver, the same size for any corpus. Every text is scored, and in full.
-
-Defined cases: a NULL or empty text has no feature and is scored by the constant alone; NULL marks
-are left out of training, and of several marks of one document the highest counts; without labelled
-texts of both kinds nothing is toxic; a NULL ``doc_id`` is scored; repeated rows are scored each;
-other columns are not read.
+Training takes ``SAMPLE`` labelled texts at most or so, half of them toxic if there are as many,
+picked by a hash; the bound keeps the model, and what reaches the driver, the same size for any
+corpus. What the draw changes in the share of a category is taken back from its model's constant,
+and from the F score. Texts of equal features are in one fold. Every text is scored, and in full.
+
+Defined cases: a NULL or empty text has no feature and is scored by the constant alone; a mark that
+is NULL is left out of what it would train, a label without ``toxic`` out of all; of several marks of
+one document the highest toxic and the lowest quality count; without labelled texts of both kinds
+nothing is toxic; a NULL ``doc_id`` is scored; repeated rows are scored each; other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -161,7 +164,7 @@ def _counts(sample: DataFrame, categories: tuple[str, ...]) -> DataFrame:
                     pa.array(np.bincount(where, minlength=len(keys))),
                 ]
                 for c in categories:
-                    mark = np.array(batch.column(c).slice(lo, hi - lo).to_pylist(), float)
+                    mark = batch.column(c).slice(lo, hi - lo).fill_null(0).to_numpy().astype(float)
                     sums = np.bincount(where, weights=mark[owners], minlength=len(keys))
                     columns.append(pa.array(sums.astype(np.int64)))
                 yield pa.RecordBatch.from_arrays(columns, names=["feature", "texts", "n", *categories])
@@ -180,7 +183,10 @@ def train(
     n_features: int = FEATURES,
     folds: int = FOLDS,
 ) -> tuple[Chain, pd.DataFrame] | None:
-    """The chain, and the out-of-fold probabilities, of a bounded ``labelled (text, ...)``."""
+    """The chain, and the out-of-fold probabilities, of a bounded ``labelled (text, weight, ...)``.
+
+    ``weight`` is how many labelled texts one of the sample stands for.
+    """
     sums = labelled.agg(F.count("*").alias("n"), *[F.sum(f"`{c}`").alias(c) for c in categories]).first()
     total = sums["n"]
     if not total:
@@ -204,45 +210,64 @@ def train(
                 known = lexicon.matrix(data, offsets)
                 bits = [row.tobytes() for row in np.packbits(known.astype(bool), axis=1)]
                 marks = [batch.column(c).slice(lo, hi - lo) for c in categories]
+                weight = batch.column("weight").slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(bits, pa.binary()), *marks], names=["bits", *categories]
+                    [pa.array(bits, pa.binary()), weight, *marks],
+                    names=["bits", "weight", *categories],
                 )
 
-    schema = "bits binary, " + ", ".join(f"`{c}` int" for c in categories)
+    schema = "bits binary, weight double, " + ", ".join(f"`{c}` int" for c in categories)
     rows = labelled.mapInArrow(look_up, schema).toPandas()
     # The same order, whatever order the rows came in.
-    rows = rows.sort_values(["bits", *categories], ignore_index=True)
+    rows = rows.sort_values(["bits", "weight", *categories], ignore_index=True)
     packed = np.frombuffer(b"".join(rows["bits"]), np.uint8).reshape(len(rows), -1)
     x = np.unpackbits(packed, axis=1, count=len(lexicon.hashes)).astype(float)
     x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    fold = np.arange(len(rows)) % folds
+    fold = np.array([zlib.crc32(b) % folds for b in rows["bits"]])
+    drawn = rows["weight"].to_numpy(float)
     weights, unseen = [], {}
     for c in categories:
         y = rows[c].to_numpy(float)
-        weights.append(_fit(x, y))
+        known = ~np.isnan(y)
+        w = _fit(x[known], y[known])
         p = np.zeros(len(y))
         for k in range(folds):
             held = fold == k
-            if held.any() and not held.all():
-                p[held] = _sigmoid(x[held] @ _fit(x[~held], y[~held], weights[-1]))
+            if held.any() and (known & ~held).any():
+                p[held] = _sigmoid(x[held] @ _fit(x[known & ~held], y[known & ~held], w))
             else:
-                p[held] = _sigmoid(x[held] @ weights[-1])
+                p[held] = _sigmoid(x[held] @ w)
+        shift = _shift(y[known], drawn[known])
+        w[-1] += shift
+        p = _sigmoid(_logit(p) + shift)
+        weights.append(w)
         unseen[c] = p
         x = np.insert(x, -1, _logit(p), axis=1)
-    out_of_fold = rows[list(categories)].join(pd.DataFrame(unseen), rsuffix="_p")
+    out_of_fold = rows[[*categories, "weight"]].join(pd.DataFrame(unseen), rsuffix="_p")
     return Chain(tuple(categories), lexicon, weights), out_of_fold
 
 
-def best_threshold(p: np.ndarray, y: np.ndarray, least: float = 0.5) -> float:
-    """The probability with the best F0.5, between it and the next smaller one."""
+def _shift(y: np.ndarray, weight: np.ndarray) -> float:
+    """By how much the log-odds of a category differ between all labelled texts and the sample."""
+    if not y.any() or y.all():
+        return 0.0
+    return float(_logit((weight * y).sum() / weight.sum()) - _logit(y.mean()))
+
+
+def best_threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray, least: float = 0.5) -> float:
+    """The probability with the best F0.5, between it and the next smaller one.
+
+    ``least`` holds for odds as they are in the sample, where a rare category isn't rare.
+    """
     if not y.any():
         return 1.1
     order = np.argsort(-p, kind="stable")
-    hits = np.cumsum(y[order])
-    f = 1.25 * hits / (np.arange(1, len(y) + 1) + 0.25 * y.sum())
+    hits = np.cumsum((weight * y)[order])
+    f = 1.25 * hits / (np.cumsum(weight[order]) + 0.25 * (weight * y).sum())
     last = np.append(p[order][1:] != p[order][:-1], True)
     at = int(np.argmax(np.where(last, f, -1)))
     below = p[order][at + 1] if at + 1 < len(p) else 0.0
+    least = float(_sigmoid(_logit(np.array(least)) + _shift(y, weight)))
     return max(float((p[order][at] + below) / 2), least)
 
 
@@ -269,16 +294,28 @@ def score(docs: DataFrame, chain: Chain, threshold: float, target: str = "toxic"
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """About ``size`` labelled texts with the categories of ``CHAIN``, stored."""
-    marks = own_columns(labels, "doc_id", "quality", "toxic").dropna()
+    """About ``size`` labelled texts at most, with the categories of ``CHAIN``, stored.
+
+    Each value of ``toxic`` has up to half of them, so rare toxic marks are all there.
+    """
+    marks = own_columns(labels, "doc_id", "quality", "toxic").where("toxic IS NOT NULL")
     marks = marks.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    picked = store(marks.where(F.rand(6) < size / max(marks.count(), 1)), "op6-marks")
-    # About ``size`` rows of three numbers, so it is small enough to broadcast.
+    # One row for each of two values.
+    sizes = {r["t"]: r["n"] for r in marks.groupBy((F.col("toxic") == 1).alias("t")).agg(F.count("*").alias("n")).collect()}
+    parts, share, weight = 1 << 30, F.lit(0), F.lit(1.0)
+    for value, n in sizes.items():
+        own = F.col("toxic") == 1 if value else F.col("toxic") != 1
+        share = F.when(own, F.lit(min(parts, -(-size * parts // (2 * n))))).otherwise(share)
+        weight = F.when(own, F.lit(max(1.0, 2 * n / size))).otherwise(weight)
+    picked = marks.where(F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(parts)) < share)
+    picked = store(picked.withColumn("weight", weight), "op6-marks")
+    # About ``size`` rows of four numbers, so it is small enough to broadcast.
     joined = own_columns(docs, "doc_id", "text").join(F.broadcast(picked), "doc_id")
     low, toxic = F.col("quality") == 0, F.col("toxic") == 1
     return store(
         joined.where("text IS NOT NULL").select(
             "text",
+            "weight",
             low.cast("int").alias("low_quality"),
             toxic.cast("int").alias("toxic"),
             (low & toxic).cast("int").alias("severe"),
@@ -294,8 +331,8 @@ def toxic_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
         nothing = [F.lit(None).cast("double").alias(f"p_{c}") for c in CHAIN]
         return own_columns(docs, "doc_id").select("doc_id", *nothing, F.lit(False).alias("is_toxic"))
     chain, unseen = trained
-    limit = best_threshold(unseen["toxic_p"].to_numpy(), unseen["toxic"].to_numpy())
-    return score(docs, chain, limit)
+    p, y, weight = (unseen[c].to_numpy(float) for c in ("toxic_p", "toxic", "weight"))
+    return score(docs, chain, best_threshold(p, y, weight))
 
 
 def op6_toxicity(spark, sf_dir: str) -> DataFrame:

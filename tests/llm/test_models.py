@@ -139,8 +139,128 @@ def test_toxicity_of_edge_rows(spark):
 
 
 def test_later_models_use_earlier_probabilities(spark):
-    rows = [(f"{'red' if i % 2 else 'blue'} w{i}", i % 2, i % 2) for i in range(60)]
-    sample = spark.createDataFrame(rows, "text string, first int, second int")
-    chain, unseen = op6_toxicity.train(sample, ("first", "second"), n_features=8)
+    # Texts of equal features are in one fold, so there have to be several of each kind.
+    rows = [(f"{'red' if i % 2 else 'blue'} {'abcdef'[i % 6]}w {'vwxyz'[i % 5]}q", i % 2, i % 2, 1.0) for i in range(60)]
+    sample = spark.createDataFrame(rows, "text string, first int, second int, weight double")
+    chain, unseen = op6_toxicity.train(sample, ("first", "second"), n_features=24)
     assert len(chain.weights[1]) == len(chain.weights[0]) + 1
     assert ((unseen["second_p"] > 0.5) == (unseen["second"] == 1)).all()
+
+
+def _rare(spark, n, every):
+    """Clean texts, and toxic ones with two words found nowhere else; some without a quality."""
+    text = lambda i: f"the cat number {i % 977} sat on mat {i % 89}" + " vilest scum" * (i % every == 7)
+    rows = [(i, text(i), None if i % 5 == 2 else 1, int(i % every == 7)) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int, toxic int")
+    return docs.select("doc_id", "text"), docs.select("doc_id", "quality", "toxic")
+
+
+def test_rare_toxic_texts_are_found(spark):
+    docs, labels = _rare(spark, 100_000, 2_500)
+    rows = op6_toxicity.toxic_documents(docs, labels).where("is_toxic").collect()
+    found = {r.doc_id for r in rows}
+    assert len(found & set(range(7, 100_000, 2_500))) >= 36
+    assert len(found) <= 44
+
+
+def test_chain_is_that_of_plain_formulas(spark):
+    """Logistic models fitted by plain gradient steps, the second over the first one's log-odds."""
+    rows = [
+        (f"{'abc'[i % 3]}w {'de'[i % 2]}x {'fghij'[i % 5]}y", int(i % 3 == 0 or i % 10 == 1), int(i % 5 < 2), 1.0)
+        for i in range(90)
+    ]
+    sample = spark.createDataFrame(rows, "text string, first int, second int, weight double")
+    chain, unseen = op6_toxicity.train(sample, ("first", "second"), n_features=40, folds=3)
+    data, bounds = [r[0].encode() for r in rows], np.cumsum([0, *(len(r[0]) for r in rows)])
+    x = chain.lexicon.matrix(np.frombuffer(b"".join(data), np.uint8), bounds).astype(float)
+    p = chain.probabilities(x)
+    x = np.concatenate([x, np.ones((90, 1))], axis=1)
+
+    def fitted(x, y):
+        w = np.zeros(x.shape[1])
+        penalty = np.r_[np.ones(x.shape[1] - 1), 1e-3]
+        for _ in range(40_000):
+            w += 0.01 * (x.T @ (y - 1 / (1 + np.exp(-x @ w))) - penalty * w)
+        return w
+
+    y = np.array([r[1] for r in rows], float)
+    first = 1 / (1 + np.exp(-x @ fitted(x, y)))
+    assert p[:, 0] == pytest.approx(first, abs=2e-3)
+    packed = [np.packbits(row[:-1].astype(bool)).tobytes() for row in x]
+    fold = np.array([zlib.crc32(b) % 3 for b in packed])
+    # Equal texts are in one fold, so no model is asked about a text it has learned from.
+    assert len({(b, f) for b, f in zip(packed, fold)}) == len(set(packed))
+    own = np.zeros(90)
+    for k in range(3):
+        if (fold == k).any():
+            w = fitted(x[fold != k], y[fold != k])
+            own[fold == k] = 1 / (1 + np.exp(-x[fold == k] @ w))
+    mine = sorted(zip(packed, own))
+    assert np.sort(unseen["first_p"].to_numpy()) == pytest.approx(np.sort([v for _, v in mine]), abs=2e-3)
+    logit = lambda v: np.log(v / (1 - v))
+    w = fitted(np.insert(x, -1, logit(own), axis=1), np.array([r[2] for r in rows], float))
+    second = 1 / (1 + np.exp(-np.insert(x, -1, logit(first), axis=1) @ w))
+    assert p[:, 1] == pytest.approx(second, abs=5e-3)
+
+
+@pytest.mark.parametrize("run", ["toxicity", "urls"])
+def test_file_layout_decides_nothing(run, spark, tmp_path):
+    found = []
+    for parts in (1, 7):
+        if run == "urls":
+            pages = read(spark, "pages", "0.1").select("page_id", "url").repartition(parts)
+            got = op10_urls.judge(pages, per_class=200)
+        else:
+            docs = read(spark, "documents", "0.01").repartition(parts)
+            got = op6_toxicity.toxic_documents(docs, read(spark, "labels", "0.01").repartition(parts))
+        found.append(sorted(map(repr, (tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in got.collect()))))
+    assert found[0] == found[1]
+
+
+def test_language_is_that_of_the_shortest_code(spark):
+    """``lang_pred`` and ``score`` from code lengths worked out byte by byte."""
+    learned = [(1, "the mat and the cat", "en"), (2, "der hut und die maus", "de"), (3, None, "de"), (4, "le chat", None)]
+    docs = spark.createDataFrame(learned, "doc_id long, text string, lang string")
+    trees = op3_language.train(docs, order=2)
+    counts = {}
+    for label in ("de", "en"):
+        counts[label] = Counter()
+        for _, text, lang in learned:
+            data = (text or "").encode()
+            if lang == label:
+                counts[label].update(data[i : i + n] for n in range(1, 4) for i in range(len(data) - n + 1))
+    texts = ["the hat", "die und das", "chat et rat", "x", "", None, "7 8"]
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in op3_language.predict(asked, trees).collect():
+        if not r.text or not any(c.isalpha() for c in r.text):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        bits = {k: _bits(r.text.encode(), counts[k], 2, False) for k in counts}
+        assert r.lang_pred == min(bits, key=lambda k: (bits[k], k))
+        share = 1 / sum(2 ** (min(bits.values()) - b) for b in bits.values())
+        assert r.score == pytest.approx(share, rel=1e-3)
+
+
+def test_urls_of_any_length_and_ties(spark):
+    urls = ["http://a.org/fr/x", "http://b.net/x", "http://c.org/" + "y" * 200_000, "http://c.org/y"]
+    pages = spark.createDataFrame(list(enumerate(urls * 30)), "page_id long, url string")
+    rows = op10_urls.judge(pages).collect()
+    assert {r.verdict for r in rows if r.page_id % 4 == 0} == {"allow"}
+    assert {r.verdict for r in rows if r.page_id % 4 == 1} == {"block"}
+    for r in rows:
+        if r.rule is None:
+            assert r.verdict == ("allow" if r.probability >= 0.5 else "block")
+    one_sided = spark.createDataFrame([(1, "http://a.org/fr/x"), (2, "http://z.de/")], "page_id long, url string")
+    assert {(r.verdict, r.probability) for r in op10_urls.judge(one_sided).collect()} == {("allow", 1.0)}
+
+
+def test_calibration_curve_is_that_of_plain_steps():
+    scores = np.array([-2.0, -1.0, -0.5, 0.1, 0.4, 1.5, 2.0, -0.1])
+    accepted = np.array([0, 0, 1, 0, 1, 1, 1, 0], bool)
+    w = np.zeros(2)
+    x = np.stack([scores, np.ones(8)], axis=1)
+    weight = np.where(accepted, 0.5 / accepted.mean(), 0.5 / (1 - accepted.mean()))
+    ridge = np.array([1e-2, 1e-6]) * 8**0.5
+    for _ in range(20_000):
+        w += 0.05 * (x.T @ (weight * (accepted - 1 / (1 + np.exp(-x @ w)))) - ridge * w)
+    assert op10_urls._fit_curve(scores, accepted) == pytest.approx(tuple(w), abs=1e-4)
