@@ -33,12 +33,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitewatch.llm.common import own_columns, store, text_slices
-from sitewatch.llm.tokens import SLICE_BYTES, WORD_BPE, encoder
+from sitewatch.llm.tokens import WORD_BPE, encoder
 from sitewatch.session import materialise_buckets
 
 LENGTH = 2048
 END_ID = 0
 
+# Bytes of texts encoded at once, and parts of texts that a worker's encoder remembers.
+SLICE_BYTES = 4 << 20
+MOST_PARTS = 400_000
+
 _STREAM = (
     "part long, doc_id long, ids binary, n_tokens long, n_full long, full_rank long, "
     "rest long, rest_rank long"
@@ -151,7 +155,7 @@ def token_stream(
     """Each document's ids, and the ranks of its pieces among the equally long ones of its task."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_texts, part = encoder(tokenizer, folder), TaskContext.get().partitionId()
+        encode_texts, part = encoder(tokenizer, folder, False, MOST_PARTS), TaskContext.get().partitionId()
         seen = np.zeros(longest + 1, np.int64)
         for batch in batches:
             for lo, hi, _, _ in text_slices(batch.column("text"), SLICE_BYTES):
