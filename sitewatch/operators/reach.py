@@ -1,5 +1,11 @@
-"""Breadth-first discovery of a site over its stored links."""
+"""Breadth-first discovery of a site over its stored links.
 
+Links and visited URLs are laid out once in buckets by the same hash, so a round joins both where
+they are and only its own URLs move. A source with very many links is several shards, each in a
+bucket of its own. Each bucket is a folder, too, so a round of few URLs reads only their folders.
+"""
+
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -12,88 +18,121 @@ from sitewatch.functions.urls import (
     marker_path,
     page_id,
 )
-from sitewatch.session import intermediate_path, materialise
+from sitewatch.session import intermediate_path, materialise, materialise_buckets
+
+# A source with more links is split, and a round with more URLs is not broadcast.
+SHARD_LINKS = 10_000
+NARROW = 10_000
 
-_LINKS = "src_url string, dst_url string, bucket int"
-_VISITED = "url string, depth int"
 
+def _zone(buckets: int, *columns: str) -> Column:
+    """The bucket that Spark writes a row of these bucket columns to."""
+    return F.pmod(F.hash(*columns), F.lit(buckets)).alias("zone")
 
-def store_links(links: DataFrame, buckets: int | None = None) -> tuple[DataFrame, int]:
+
+def store_links(
+    links: DataFrame, buckets: int | None = None, shard_links: int = SHARD_LINKS
+) -> tuple[DataFrame, int]:
     """Store links ``(src_url, dst_url)`` for the rounds of a crawl, with the number of buckets.
 
-    The rounds with few URLs are many, and should not read all links. So the table is laid
-    out in folders by a hash of the source, sorted by it, as many as the session has shuffle
-    partitions; a source with very many links gets more files, not one large task.
+    There are as many buckets as the session has shuffle partitions. ``shard`` is 0 but for
+    sources with more links than ``shard_links`` and than a bucket has on average: there are
+    fewer of these than buckets, so they are broadcast.
     """
     spark = links.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = intermediate_path(spark, "links")
-    (
-        links.select("src_url", "dst_url")
-        .withColumn("bucket", _bucket(F.col("src_url"), buckets))
-        .hint("rebalance", "bucket")
-        .sortWithinPartitions("bucket", "src_url")
-        .write.partitionBy("bucket")
-        .parquet(path)
+    counted = Observation()
+    read = links.select("src_url", "dst_url").observe(counted, F.count(F.lit(1)).alias("n"))
+    read = materialise(read, "all-links")
+    size = max(shard_links, -(-counted.get["n"] // buckets))
+    hot = read.groupBy("src_url").agg(F.ceil(F.count(F.lit(1)) / size).alias("shards"))
+    shard = F.coalesce(F.pmod(F.xxhash64("dst_url"), F.col("shards")), F.lit(0)).cast("int")
+    dealt = (
+        read.join(F.broadcast(hot.where("shards > 1")), "src_url", "left")
+        .select("src_url", shard.alias("shard"), "dst_url")
+        .repartition(buckets, "src_url", "shard")
+        .withColumn("zone", _zone(buckets, "src_url", "shard"))
     )
-    return spark.read.schema(_LINKS).parquet(path), buckets
+    return materialise_buckets(dealt, "links", buckets, "src_url", "shard", folder="zone"), buckets
 
 
-def _bucket(url: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(url), F.lit(buckets)).cast("int")
+def _shards(links: DataFrame) -> DataFrame:
+    """The sources that are split, with the number of their shards; fewer than buckets."""
+    split = links.where("shard > 0").groupBy("src_url")
+    return split.agg((F.max("shard") + 1).alias("shards"))
 
 
-def _targets(links: DataFrame, buckets: int, urls: DataFrame) -> DataFrame:
+def _targets(
+    links: DataFrame, buckets: int, urls: DataFrame, shards: DataFrame, wide: bool
+) -> DataFrame:
     """What the URLs link to, each once."""
-    sources = urls.select(
-        F.col("url").alias("src_url"), _bucket(F.col("url"), buckets).alias("bucket")
-    )
-    return (
-        links.join(sources, ["bucket", "src_url"])
-        .select(F.col("dst_url").alias("url"))
-        .distinct()
-    )
-
-
-def reach(links: DataFrame, buckets: int, start_url: str) -> DataFrame:
+    of_url = urls.select(F.col("url").alias("src_url")).join(F.broadcast(shards), "src_url", "left")
+    last = F.coalesce("shards", F.lit(1)).cast("int") - 1
+    sources = of_url.select("src_url", F.explode(F.sequence(F.lit(0), last)).alias("shard"))
+    if wide:
+        found = links.join(sources.hint("shuffle_hash"), ["src_url", "shard"])
+    else:
+        # Filtered, as only then the planner looks into leaving out folders.
+        sources = sources.withColumn("zone", _zone(buckets, "src_url", "shard")).where("zone >= 0")
+        found = links.join(F.broadcast(sources), ["zone", "src_url", "shard"])
+    return found.select(F.col("dst_url").alias("url")).distinct()
+
+
+def _without(targets: DataFrame, visited: DataFrame, buckets: int, wide: bool) -> DataFrame:
+    """The stored targets not among the visited URLs, which stay where they are."""
+    if wide:
+        known = visited.select("url").join(targets.hint("shuffle_hash"), "url", "left_semi")
+        return targets.join(known.hint("shuffle_hash"), "url", "left_anti")
+    placed = targets.withColumn("zone", _zone(buckets, "url")).where("zone >= 0")
+    known = visited.join(F.broadcast(placed), ["zone", "url"], "left_semi").select("url")
+    return targets.join(F.broadcast(known), "url", "left_anti")
+
+
+def reach(links: DataFrame, buckets: int, start_url: str, narrow: int = NARROW) -> DataFrame:
     """All URLs reachable from the start, with their distance: ``(url, depth)``.
 
-    ``links`` and ``buckets`` come from ``store_links``; URLs are canonical. One round
-    takes the links of the last round's URLs, distinct, without those visited before, and
-    is written below the shared folder. While the last round is small enough to broadcast,
-    only its buckets are read and no link is shuffled. The distinct combines map-side, so
-    a target every page links to costs one row per task.
+    ``links`` and ``buckets`` come from ``store_links``; URLs are canonical. One round takes the
+    links of the last round's URLs, distinct, without those visited before, and appends what is
+    left to the visited URLs. The distinct combines map-side, so a target every page links to
+    costs one row per task. Up to ``narrow`` URLs, counted when they were written, are broadcast.
     """
     spark = links.sparkSession
     base = intermediate_path(spark, "visited")
-    start = canonical_url(browser_url(F.lit(start_url)))
-    spark.range(1).select(start.alias("url")).write.parquet(f"{base}/depth=0")
-    depth, found = 0, 1
-    while found:
-        read = spark.read.schema(_VISITED).option("basePath", base)
-        visited = read.parquet(base)
-        # Read by its own path, so that the planner sees the size of this round alone, and
-        # filtered, as only then it looks into pruning the links' folders.
-        last = read.parquet(f"{base}/depth={depth}").where(F.col("depth") == depth)
+    name = f"sitewatch_{uuid.uuid4().hex}"
+    shards = materialise(_shards(links), "shards")
+
+    def append(urls: DataFrame, depth: int) -> int:
         counted = Observation()
         (
-            _without(_targets(links, buckets, last), visited.select("url"))
-            .observe(counted, F.count(F.lit(1)).alias("found"))
-            .write.parquet(f"{base}/depth={depth + 1}")
+            urls.observe(counted, F.count(F.lit(1)).alias("n"))
+            .select("url", F.lit(depth).alias("depth"), _zone(buckets, "url"))
+            .write.mode("append")
+            .partitionBy("depth", "zone")
+            .bucketBy(buckets, "url")
+            .option("path", base)
+            .saveAsTable(name, format="parquet")
         )
-        found = counted.get["found"]
-        depth += 1
-    return spark.read.schema(_VISITED).parquet(base)
-
-
-def _without(targets: DataFrame, visited: DataFrame) -> DataFrame:
-    """The targets not among the visited URLs.
-
-    Rounds with few targets must not shuffle all visited URLs. So the targets are stored
-    first, and if the planner finds them small, they are what is broadcast.
-    """
-    stored = materialise(targets, "targets")
-    return stored.join(visited.join(stored, "url", "left_semi"), "url", "left_anti")
+        return counted.get["n"]
+
+    try:
+        start = canonical_url(browser_url(F.lit(start_url)))
+        depth, found = 0, append(spark.range(1).select(start.alias("url")), 0)
+        while found:
+            last = spark.table(name).where(F.col("depth") == depth)
+            counted = Observation()
+            targets = _targets(links, buckets, last, shards, found > narrow)
+            targets = targets.observe(counted, F.count(F.lit(1)).alias("n"))
+            if found > narrow:
+                targets = materialise_buckets(targets, "targets", buckets, "url")
+            else:
+                targets = materialise(targets, "targets")
+            wide = counted.get["n"] > narrow
+            depth += 1
+            found = append(_without(targets, spark.table(name), buckets, wide), depth)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    stored = spark.read.schema("url string, depth int, zone int").parquet(base)
+    return stored.select("url", "depth")
 
 
 def emitted_pages(

@@ -5,13 +5,16 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
-_scopes: list[list[str]] = []
+# The folders, and names of tables, that the innermost scope of this thread removes.
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
+_tables: ContextVar[list[str] | None] = ContextVar("tables", default=None)
 
 
 def build_session(app_name: str = "sitewatch", **conf: str) -> SparkSession:
@@ -53,8 +56,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def intermediate_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder that the run under way removes at its end."""
     path = scratch_path(spark, label)
-    if _scopes:
-        _scopes[-1].append(path)
+    if (paths := _scope.get()) is not None:
+        paths.append(path)
     return path
 
 
@@ -69,29 +72,41 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def materialise_buckets(df: DataFrame, label: str, buckets: int, *columns: str) -> DataFrame:
+def materialise_buckets(
+    df: DataFrame, label: str, buckets: int, *columns: str, folder: str | None = None
+) -> DataFrame:
     """As ``materialise``, laid out so that joins and groups on ``columns`` move only the other side.
 
-    Each task writes its rows into the buckets they belong to; nothing is shuffled here. The
-    table is registered only for as long as Spark takes to read its layout.
+    Each task writes its rows into the buckets they belong to, below a folder for each value of
+    ``folder``, if there is one; nothing is shuffled here. The table is registered only for as
+    long as Spark needs it: with folders, that is until the scope ends.
     """
     spark = df.sparkSession
     path = intermediate_path(spark, label)
     name = f"sitewatch_{uuid.uuid4().hex}"
-    df.write.bucketBy(buckets, *columns).option("path", path).format("parquet").saveAsTable(name)
+    writer = df.write.partitionBy(folder) if folder else df.write
+    writer.bucketBy(buckets, *columns).option("path", path).saveAsTable(name, format="parquet")
     laid_out = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")
+    if not folder:
+        spark.sql(f"DROP TABLE {name}")
+    elif (tables := _tables.get()) is not None:
+        tables.append(name)
     return laid_out
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
-    """Removes what is materialised within it, once a run has committed or failed."""
-    _scopes.append([])
+    """Removes what its thread materialises within it, once a run has committed or failed."""
+    paths, tables = [], []
+    before, tables_before = _scope.set(paths), _tables.set(tables)
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        _scope.reset(before)
+        _tables.reset(tables_before)
+        for name in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for path in paths:
             remove(spark, path)
 
 

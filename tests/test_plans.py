@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from sitewatch.operators.history import newest_footers, observe_pages
 from sitewatch.operators.links import site_links
-from sitewatch.operators.reach import _targets, _without, reach, store_links
+from sitewatch.operators.reach import _shards, _targets, _without, reach, store_links
 from sitewatch.operators.views import active_pages, latest_scrape_history, page_status
 from sitewatch.schemas import FETCHES, HISTORY, REGISTRY
-from sitewatch.session import materialise
+from sitewatch.session import materialise, materialise_buckets
 from tests.helpers import T0, T1, plan_of, rows
 from workload import stand_ins
 from workload.queries import QUERIES
@@ -112,23 +112,63 @@ def test_a_url_shared_by_most_pages_is_split(spark):
         assert "SortMergeJoin(skew=true)" in plan_of(batch)
 
 
-def test_a_source_with_most_links_is_split_and_buckets_are_pruned(spark):
+def hot_links(spark):
     hot = spark.range(20_000).select(
         F.lit("hot").alias("src_url"), F.concat(F.lit("t"), "id").alias("dst_url"))
     others = spark.range(5_000).select(
         F.concat(F.lit("t"), "id").alias("src_url"), F.concat(F.lit("s"), "id").alias("dst_url"))
-    links, buckets = store_links(hot.union(others), 13)
-    frontier = links.sparkSession.createDataFrame([("hot",)], "src_url string").union(
-        others.select("src_url"))
+    return store_links(hot.union(others), 13, shard_links=1_000)
+
+
+@pytest.mark.parametrize("narrow", [0, 6_000, 100_000])
+def test_a_source_with_most_links_is_split(spark, narrow):
+    links, buckets = hot_links(spark)
     with settings(spark, **LARGE):
-        joined = links.join(frontier, "src_url").select("dst_url").distinct()
-        assert len(joined.collect()) == 25_000
-        assert "skew=true" in plan_of(joined)
-        assert rows(reach(links, buckets, "hot").groupBy("depth").count()) == [
+        assert rows(reach(links, buckets, "hot", narrow).groupBy("depth").count()) == [
             (0, 1), (1, 20_000), (2, 5_000)]
+    files = links.where("src_url = 'hot'").groupBy(F.input_file_name()).count().collect()
+    assert len(files) >= 8 and max(r["count"] for r in files) < 6_000
+
+
+def shuffled(plan):
+    """What each shuffle of the plan that ran moves: the scans below it."""
+    lines, found = plan[: plan.index("Initial Plan")].splitlines(), []
+    indent = lambda line: len(line) - len(line.lstrip(" :+-"))
+    for k, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            below = []
+            for other in lines[k + 1 :]:
+                if indent(other) <= indent(line):
+                    break
+                below.append(other)
+            found.append("\n".join(below))
+    return found
+
+
+def test_a_wide_round_moves_neither_links_nor_visited_urls(spark):
+    with settings(spark, spark__sql__shuffle__partitions="13"):
+        links, buckets = hot_links(spark)
+        visited = spark.range(30_000).select(F.concat(F.lit("s"), F.col("id") + 2_500).alias("url"))
+        visited = materialise_buckets(visited, "visited", buckets, "url")
+        last = materialise(spark.range(5_000).select(F.concat(F.lit("t"), "id").alias("url")), "last")
+        shards = materialise(_shards(links), "shards")
+        targets = _targets(links, buckets, last, shards, wide=True)
+        assert len(targets.collect()) == 5_000
+        plan = plan_of(targets)
+        moved = shuffled(plan)
+        assert "ShuffledHashJoin" in plan and "Bucketed: true" in plan
+        # The round's URLs, and its targets after each task has made them distinct.
+        assert [x for x in moved if "Scan" in x and "HashAggregate" not in x and "last-" not in x] == []
+        assert len(moved) == 2
+        stored = materialise_buckets(targets, "targets", buckets, "url")
+        fresh = _without(stored, visited, buckets, wide=True)
+        assert len(fresh.collect()) == 2_500
+        plan = plan_of(fresh)
+        final = plan[: plan.index("Initial Plan")]
+        assert "hashpartitioning" not in plan and final.count("Bucketed: true") == 3
 
 
-def test_a_small_round_reads_only_its_buckets(spark, tmp_path):
+def test_a_small_round_reads_only_its_buckets(spark):
     links, buckets = store_links(
         spark.range(400).select(
             F.concat(F.lit("n"), "id").alias("src_url"),
@@ -138,29 +178,27 @@ def test_a_small_round_reads_only_its_buckets(spark, tmp_path):
     assert rows(reach(links, buckets, "n397")) == [
         ("n397", 0), ("n398", 1), ("n399", 2), ("n400", 3)]
 
-    base = str(tmp_path / "visited")
-    spark.range(1).selectExpr("'n7' AS url").write.parquet(f"{base}/depth=0")
-    last = spark.read.option("basePath", base).parquet(f"{base}/depth=0").where("depth = 0")
-    targets = _targets(links, buckets, last)
+    last = spark.createDataFrame([("n7",)], "url string")
+    targets = _targets(links, buckets, last, _shards(links), wide=False)
     assert rows(targets) == [("n8",)]
     plan = plan_of(targets)
     assert "dynamicpruning" in plan and "BroadcastHashJoin" in plan
     final = plan[: plan.index("Initial Plan")]
-    assert final.count("Exchange hashpartitioning") == 1
+    assert not [x for x in shuffled(plan) if "Scan parquet" in x and "HashAggregate" not in x]
+    assert final.count("BroadcastHashJoin") >= 1
 
 
 def test_few_targets_do_not_shuffle_many_visited_urls(spark):
-    visited = materialise(spark.range(50_000).selectExpr("concat('n', id) AS url"), "visited")
-    few = spark.createDataFrame([("n5",), ("new",)], "url string")
-    size = 20_000  # between the two tables
-    with settings(spark, spark__sql__autoBroadcastJoinThreshold=str(size)):
-        fresh = _without(few, visited)
-        assert rows(fresh) == [("new",)]
-        plan = plan_of(fresh)
-    initial = plan[plan.index("Initial Plan"):]
-    scan = [line for line in initial.splitlines() if "visited-" in line]
-    semi = [line for line in initial.splitlines() if "LeftSemi" in line]
-    assert len(scan) == 1 and len(semi) == 1 and "BroadcastHashJoin" in semi[0]
+    visited = spark.range(50_000).selectExpr("concat('n', id) AS url")
+    visited = visited.withColumn("zone", F.pmod(F.hash("url"), F.lit(7)))
+    visited = materialise_buckets(visited, "visited", 7, "url", folder="zone")
+    few = materialise(spark.createDataFrame([("n5",), ("new",)], "url string"), "few")
+    fresh = _without(few, visited, 7, wide=False)
+    assert rows(fresh) == [("new",)]
+    plan = plan_of(fresh)
+    semi = [line for line in plan.splitlines() if "LeftSemi" in line]
+    assert semi and all("BroadcastHashJoin" in line for line in semi)
+    assert "dynamicpruning" in plan and "hashpartitioning" not in plan
 
 
 def test_only_newest_fetches_are_parsed(spark, tmp_path):

@@ -38,8 +38,8 @@ def test_start_without_any_link(spark):
     assert rows(ops.crawl_site(links, SITE, T1)) == []
 
 
-@pytest.mark.parametrize("buckets", [1, 10])
-def test_depths_equal_a_plain_breadth_first_search(spark, buckets):
+@pytest.mark.parametrize("buckets, narrow, shard_links", [(1, 10_000, 10_000), (10, 10_000, 20), (10, 0, 20), (4, 30, 20)])
+def test_depths_equal_a_plain_breadth_first_search(spark, buckets, narrow, shard_links):
     chance = random.Random(7)
     names = ["root"] + [f"p{i}" for i in range(120)]
     edges = [(chance.choice(names), chance.choice(names)) for _ in range(170)]
@@ -53,7 +53,7 @@ def test_depths_equal_a_plain_breadth_first_search(spark, buckets):
             if source == current and target not in expected:
                 expected[target] = expected[current] + 1
                 queue.append(target)
-    stored, buckets = ops.store_links(links_of(spark, edges), buckets)
+    stored, buckets = ops.store_links(links_of(spark, edges), buckets, shard_links)
     assert stored.count() == len(edges)
-    got = rows(ops.reach(stored, buckets, SITE))
+    got = rows(ops.reach(stored, buckets, SITE, narrow))
     assert got == sorted(((url(n), d) for n, d in expected.items()), key=repr)
