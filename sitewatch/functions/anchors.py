@@ -25,9 +25,16 @@ _MARKUP = (
 )
 _OTHER = rf"[\s/]*+(?!href\s*+=)[^\s/>=]++(?:\s*+=\s*+{_QUOTED})?+"
 _HREF = rf"(?i)^a(?:{_OTHER})*+[\s/]*+href\s*+=\s*+({_QUOTED})"
-_REFERENCE = r"&(?:#[0-9]++;?+|#[xX][0-9a-fA-F]++;?+|[A-Za-z][A-Za-z0-9]*+;)|[^&]++|&"
 
-_NAMED = {f"&{name}": text for name, text in sorted(html5.items()) if name.endswith(";")}
+# Names that need no semicolon, the longest first; in an attribute only before neither a letter,
+# a digit nor an equals sign.
+_LEGACY = sorted((name for name in html5 if not name.endswith(";")), key=lambda n: (-len(n), n))
+_REFERENCE = (
+    r"&(?:#[0-9]++;?+|#[xX][0-9a-fA-F]++;?+|[A-Za-z][A-Za-z0-9]*+;"
+    rf"|(?:{'|'.join(_LEGACY)})(?![A-Za-z0-9=]))|[^&]++|&"
+)
+
+_NAMED = {f"&{name}": text for name, text in sorted(html5.items())}
 # The ones that links mostly have are not looked up among all.
 _COMMON = {"&amp;": "&", "&quot;": '"', "&lt;": "<", "&gt;": ">", "&apos;": "'", "&nbsp;": "\xa0"}
 
@@ -61,8 +68,16 @@ def _code_point(digits: Column, base: int) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    """Character references resolved: numeric ones of any length and all HTML 5 names."""
-    named = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
+    """Character references of an attribute resolved, as a browser does.
+
+    Numeric ones of any length, all HTML 5 names, and those older names that need no semicolon,
+    unless a letter, a digit or an equals sign follows. Names are looked up in the map of those
+    with their first letter.
+    """
+    by_letter = {}
+    for name, character in _NAMED.items():
+        by_letter.setdefault(name[1], {})[name] = character
+    named = F.from_json(F.lit(json.dumps(by_letter)), "map<string,map<string,string>>")
 
     def resolve(token: Column) -> Column:
         known = F.when(F.lit(False), token)
@@ -77,8 +92,10 @@ def unescape(text: Column) -> Column:
                 _code_point(F.regexp_extract(token, "^&#[xX]([0-9a-fA-F]+)", 1), 16),
             )
             .when(
-                token.startswith("&") & token.endswith(";"),
-                F.coalesce(F.try_element_at(named, token), token),
+                token.startswith("&") & (F.length(token) > 1),
+                F.coalesce(
+                    F.try_element_at(F.try_element_at(named, F.substring(token, 2, 1)), token), token
+                ),
             )
             .otherwise(token)
         )

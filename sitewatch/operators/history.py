@@ -11,8 +11,6 @@ from sitewatch.operators.newest import newest_per_key
 from sitewatch.schemas import NOT_FOUND, OBSERVED_FIELDS
 from sitewatch.session import as_timestamp, materialise
 
-_BUCKET_DIGITS = 3
-
 
 def extract_footers(fetches: DataFrame) -> DataFrame:
     """The four observed fields of every fetch; the page itself goes no further."""
@@ -42,6 +40,32 @@ def newest_footers(
     return newest_per_key(known, ["fetch_url"], [F.col(f).asc() for f in OBSERVED_FIELDS])
 
 
+def _numbered(df: DataFrame, page_id: str) -> DataFrame:
+    """``df`` with ``number``, from 0 in the order of a hash of the page id, then the id.
+
+    Rows are sorted by ranges of that order and stored; a file's rows are numbered where they
+    are, behind those of the files before it. One row for each file says how many these are:
+    few enough to broadcast.
+    """
+    order = [F.substring(F.md5(F.coalesce(page_id, F.lit(""))), 1, 3), F.col(page_id)]
+    stored = materialise(df.repartitionByRange(*order).sortWithinPartitions(*order), "numbered")
+    known = stored.select(
+        "*",
+        F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.row_index").alias("__row"),
+    )
+    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    files = known.groupBy("__file").agg(F.count(F.lit(1)).alias("n"))
+    files = files.select("__file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
+    number = (F.col("__before") + F.col("__row")).alias("number")
+    return known.join(F.broadcast(files), "__file").select(*stored.columns, number)
+
+
+def number_pages(active: DataFrame) -> DataFrame:
+    """``active`` with ``number``: a run numbers its rows while they are ids and URLs only."""
+    return _numbered(active.select("id", "url"), "id")
+
+
 def observe_pages(
     active: DataFrame, fetches: DataFrame, run_ts: datetime | Column
 ) -> DataFrame:
@@ -50,6 +74,7 @@ def observe_pages(
     Many ids may share one URL, which makes that URL's partition of the join a large one.
     The planner splits it, which it can only do when both sides come straight from a
     shuffle, so the footers are stored before. Nor are pages parsed again if it fails.
+    The ``number`` of a page goes with it.
     """
     urls = active.select(canonical_url(browser_url(F.col("url"))).alias("url"))
     newest = materialise(newest_footers(fetches, run_ts, urls), "footers")
@@ -60,33 +85,16 @@ def observe_pages(
             F.col("id").alias("page_id"),
             as_timestamp(run_ts).alias("scrape_timestamp"),
             *[F.coalesce(F.col(f), F.lit(NOT_FOUND)).alias(f) for f in OBSERVED_FIELDS],
+            *[c for c in active.columns if c == "number"],
         )
     )
 
 
-def with_history_ids(batch: DataFrame, first_id: int | Column) -> DataFrame:
-    """Number a stored batch from ``first_id`` on, without gaps and repeatably.
+def with_history_ids(batch: DataFrame, first_id: int) -> DataFrame:
+    """Number a batch from ``first_id`` on, without gaps and repeatably: by its ``number``.
 
-    The order is (hash bucket of ``page_id``, ``page_id``): every bucket is numbered by
-    its own task and shifted by the sizes of the buckets before it. The bucket sizes are
-    at most 4096 rows, which is what the broadcast and the single-task sum rest on.
+    Then no row moves. A batch that comes without numbers is put in order as a whole.
     """
-    keyed = batch.withColumn(
-        "bucket", F.substring(F.md5(F.coalesce("page_id", F.lit(""))), 1, _BUCKET_DIGITS)
-    )
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        keyed.groupBy("bucket")
-        .count()
-        .select("bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
-    )
-    within = F.row_number().over(Window.partitionBy("bucket").orderBy("page_id"))
-    first = first_id if isinstance(first_id, Column) else F.lit(first_id)
-    return (
-        keyed.withColumn("within", within)
-        .join(F.broadcast(offsets), "bucket")
-        .select(
-            (first + F.col("offset") + F.col("within") - 1).cast("bigint").alias("id"),
-            *batch.columns,
-        )
-    )
+    numbered = batch if "number" in batch.columns else _numbered(batch, "page_id")
+    columns = [c for c in batch.columns if c != "number"]
+    return numbered.select((F.lit(first_id) + F.col("number")).cast("bigint").alias("id"), *columns)

@@ -4,7 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewatch.operators.history import observe_pages
+from sitewatch.operators.history import number_pages, observe_pages
 from sitewatch.operators.views import active_pages
 from sitewatch.schemas import REGISTRY
 from sitewatch.session import scratch_scope
@@ -22,6 +22,6 @@ def observe(
     """Append one row per active page, all with the time ``run_ts``; returns the counters."""
     with scratch_scope(spark):
         registry = read_snapshot(spark, registry_root, REGISTRY)
-        batch = observe_pages(active_pages(registry), fetches, run_ts)
+        batch = observe_pages(number_pages(active_pages(registry)), fetches, run_ts)
         saved = append_history(spark, history_path, batch, registry)
     return {"pages_loaded": saved, "rows_saved": saved}

@@ -1,9 +1,8 @@
 """A mutable table as numbered Parquet snapshots.
 
-A snapshot is written to a folder of its own, which the row appended to the ``commits`` table
-names; it counts from that moment. Readers never see a half-written state, and no folder is
-ever written twice, so a second writer cannot replace what the first one committed: of two
-commits with one version the first counts. Each table should have one writer at a time.
+A snapshot is written to a folder of its own, which a row of the ``commits`` table names; it counts
+from the moment the row is there. Readers never see a half-written state, no folder is written
+twice, and of two writers of one version the second fails.
 """
 
 import uuid
@@ -13,55 +12,40 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sitewatch.operators.quality import duplicate_keys
+from sitewatch.sources.commits import create_row
 
-_COMMIT = (
-    "version bigint, committed_at timestamp, data string, stream string, batch bigint"
-)
+_COMMIT = "version bigint, data string"
 
 
 def create_table(spark: SparkSession, root: str, schema: StructType) -> None:
     """An empty table, version 0; fails when there is one already."""
     spark.createDataFrame([], schema).write.parquet(f"{root}/version=0")
-    _append_commit(spark, root, 0, "version=0")
+    create_row(spark, f"{root}/commits", 0, {"version": 0, "data": "version=0"})
 
 
-def commits(spark: SparkSession, root: str) -> DataFrame:
-    """One row for each commit."""
-    return spark.read.schema(_COMMIT).json(f"{root}/commits")
-
-
-def _current(spark: SparkSession, root: str) -> tuple[int, str]:
-    order = F.struct("version", -F.unix_micros("committed_at"), "data")
-    last = commits(spark, root).agg(F.max_by(F.struct("version", "data"), order)).first()[0]
-    return last["version"], last["data"]
+def _current(spark: SparkSession, root: str):
+    commits = spark.read.schema(_COMMIT).json(f"{root}/commits")
+    return commits.agg(F.max(F.struct("version", "data"))).first()[0]
 
 
 def current_version(spark: SparkSession, root: str) -> int:
-    return _current(spark, root)[0]
+    return _current(spark, root)["version"]
 
 
 def read_snapshot(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
     """The table as last committed."""
-    return spark.read.schema(schema).parquet(f"{root}/{_current(spark, root)[1]}")
+    return spark.read.schema(schema).parquet(f"{root}/{_current(spark, root)['data']}")
 
 
 def commit_snapshot(
-    df: DataFrame,
-    root: str,
-    version: int,
-    key: str | None = None,
-    required: tuple[str, ...] = (),
-    stream: str | None = None,
-    batch: int | None = None,
+    df: DataFrame, root: str, version: int, key: str | None = None, required: tuple[str, ...] = ()
 ) -> None:
     """Write and commit ``df``.
 
     With ``key``, a value that occurs twice or is NULL fails before the commit, and so does a
-    NULL in a ``required`` column. ``stream`` and ``batch`` say where the commit comes from.
+    NULL in a ``required`` column, and a version that another writer has committed.
     """
     spark = df.sparkSession
-    if current_version(spark, root) >= version:
-        raise ValueError(f"version {version} of {root} is committed already")
     data = f"version={version}-{uuid.uuid4().hex}"
     df.write.parquet(f"{root}/{data}")
     written = spark.read.schema(df.schema).parquet(f"{root}/{data}")
@@ -72,22 +56,5 @@ def commit_snapshot(
             raise ValueError(f"NULL in {columns} of version {version} of {root}")
     if key and not duplicate_keys(written, key).isEmpty():
         raise ValueError(f"{key} is not unique in version {version} of {root}")
-    _append_commit(spark, root, version, data, stream, batch)
-
-
-def _append_commit(
-    spark: SparkSession,
-    root: str,
-    version: int,
-    data: str,
-    stream: str | None = None,
-    batch: int | None = None,
-) -> None:
-    commit = spark.range(1).select(
-        F.lit(version).cast("bigint").alias("version"),
-        F.current_timestamp().alias("committed_at"),
-        F.lit(data).alias("data"),
-        F.lit(stream).cast("string").alias("stream"),
-        F.lit(batch).cast("bigint").alias("batch"),
-    )
-    commit.coalesce(1).write.mode("append").json(f"{root}/commits")
+    if not create_row(spark, f"{root}/commits", version, {"version": version, "data": data}):
+        raise ValueError(f"version {version} of {root} is committed already")

@@ -1,5 +1,6 @@
 import html
 import html.entities
+import re
 
 from pyspark.sql import functions as F
 
@@ -95,3 +96,31 @@ def test_references_are_those_of_html(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
     got = dict(map(tuple, df.select("i", unescape(F.col("t"))).collect()))
     assert [got[i] for i in range(len(texts))] == [html.unescape(t) for t in texts]
+
+
+def resolved(text):
+    """``html.unescape``, but for names without a semicolon before a letter, a digit or ``=``."""
+    names = sorted(html.entities.html5, key=len, reverse=True)
+
+    def one(match):
+        if match[0].startswith("&#"):
+            return html.unescape(match[0])
+        for name in names:
+            if match[1].startswith(name):
+                rest = match[1][len(name) :]
+                after = (rest + match.string[match.end() :])[:1]
+                if not name.endswith(";") and (after.isascii() and after.isalnum() or after == "="):
+                    continue
+                return html.entities.html5[name] + rest
+        return match[0]
+
+    return re.sub(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|([A-Za-z][A-Za-z0-9]*;?))", one, text)
+
+
+def test_names_without_a_semicolon(spark):
+    legacy = [n for n in html.entities.html5 if not n.endswith(";")]
+    texts = [f"/x?&{n}{after}" for n in legacy for after in ("", "=", "1", "x", ";", "&y", " z", "/", "é")]
+    texts += ["/x?a&copy", "&ccedil&atilde", "&notit;", "&not;in", "&notin;", "&nosuch", "&", "&&amp", "&amp&amp=", "x&lt"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = dict(map(tuple, df.select("i", unescape(F.col("t"))).collect()))
+    assert [got[i] for i in range(len(texts))] == [resolved(t) for t in texts]

@@ -3,11 +3,13 @@
 import contextlib
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sitewatch.operators.history import newest_footers, observe_pages
 from sitewatch.operators.links import site_links
 from sitewatch.operators.reach import _shards, _targets, _without, reach, store_links
+from sitewatch.operators.reports import change_events
 from sitewatch.operators.views import active_pages, latest_scrape_history, page_status
 from sitewatch.schemas import FETCHES, HISTORY, REGISTRY
 from sitewatch.session import materialise, materialise_buckets
@@ -217,3 +219,31 @@ def test_only_newest_fetches_are_parsed(spark, tmp_path):
         plan = plan_of(links)
     pushed = plan[plan.index("PushedFilters") :]
     assert "StringStartsWith(url,https://site.example/#!)" in pushed and "LeftSemi" in plan
+
+
+def test_a_page_with_most_observations_is_many_parts(spark):
+    def seen(n, page):
+        return spark.range(n).select(
+            F.col("id"), page.alias("page_id"), F.timestamp_seconds(F.col("id") % 5_000).alias("scrape_timestamp"),
+            (F.col("id") % 7).cast("string").alias("modified_date"), F.lit("u").alias("updated_by"),
+            F.when(F.col("id") % 3 == 0, F.lit("r")).alias("responsible"), F.lit("t").alias("full_modified_text"))
+
+    hot = seen(20_000, F.lit("hot"))
+    others = seen(10_000, F.concat(F.lit("p"), F.col("id") % 40)).withColumn("id", F.col("id") + 50_000)
+    nobody = seen(300, F.lit(None).cast("string")).withColumn("id", F.col("id") + 90_000)
+    history = hot.union(others).union(nobody)
+    with settings(spark, spark__sql__shuffle__partitions="16", spark__sql__adaptive__coalescePartitions__enabled="false"):
+        got = rows(change_events(history))
+        parts = materialise(history.select("page_id", "scrape_timestamp", "id").repartitionByRange(
+            "page_id", "scrape_timestamp", "id").withColumn("part", F.spark_partition_id()), "parts")
+        sizes = [r["count"] for r in parts.where("page_id = 'hot'").groupBy("part").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < 4_000
+    order = Window.partitionBy("page_id").orderBy("scrape_timestamp", "id")
+    shown = ["modified_date", "updated_by", "responsible"]
+    lagged = history.select("*", *[F.lag(c).over(order).alias(f"previous_{c}") for c in shown],
+                            F.row_number().over(order).alias("n")).where("n > 1")
+    differs = F.lit(False)
+    for c in shown:
+        differs |= ~F.col(c).eqNullSafe(F.col(f"previous_{c}"))
+    columns = ["id", "page_id", "scrape_timestamp", *shown, *[f"previous_{c}" for c in shown]]
+    assert got == rows(lagged.where(differs), *columns)

@@ -17,7 +17,7 @@ from sitewatch.schemas import FETCHES, HISTORY, REGISTRY
 from sitewatch.schemas import NOT_FOUND as NF
 from sitewatch.sources.snapshots import create_table, current_version, read_snapshot
 from sitewatch.sources.tables import append_history, create_history, read_csv, read_history
-from sitewatch.streaming.latest import follow_history, history_stream
+from sitewatch.streaming.latest import create_latest, follow_history, history_stream, merge_latest, read_latest
 from tests.helpers import T0, T1, T2, T3, rows
 
 SITE = "https://s.org/#!/"
@@ -115,7 +115,7 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
 
 def test_stream_keeps_the_latest_view(spark, tmp_path):
     path, root = str(tmp_path / "history"), str(tmp_path / "latest")
-    create_table(spark, root, HISTORY)
+    create_latest(spark, root, buckets=8)
     create_history(spark, path)
     pages = spark.createDataFrame([(p, "u", True, T0) for p in "abc"], REGISTRY)
 
@@ -127,7 +127,7 @@ def test_stream_keeps_the_latest_view(spark, tmp_path):
     def follow(checkpoint="one"):
         stream = history_stream(spark, path, maxFilesPerTrigger=1)
         follow_history(stream, path, root, str(tmp_path / checkpoint)).awaitTermination()
-        return read_snapshot(spark, root, HISTORY)
+        return read_latest(spark, root)
 
     def latest():
         return rows(latest_scrape_history(read_history(spark, path)))
@@ -144,12 +144,47 @@ def test_stream_keeps_the_latest_view(spark, tmp_path):
     read_history(spark, path).write.parquet(f"{path}/data/run=broken")
     append(("b", T2, "Flo"))
     assert rows(follow("two")) == latest()
-    assert ("b", T2, "Flo") in rows(read_snapshot(spark, root, HISTORY), "page_id", "scrape_timestamp", "updated_by")
-    version = current_version(spark, root)
+    assert ("b", T2, "Flo") in rows(read_latest(spark, root), "page_id", "scrape_timestamp", "updated_by")
     # A batch that is replayed changes nothing.
     shutil.rmtree(tmp_path / "two" / "commits")
     assert rows(follow("two")) == latest()
-    assert current_version(spark, root) == version
+
+
+def test_untouched_buckets_keep_their_files(spark, tmp_path):
+    root = str(tmp_path / "latest")
+    create_latest(spark, root, buckets=16)
+
+    def seen(first_id, pages, time):
+        data = [(first_id + k, p, time, NF, "w", NF, NF) for k, p in enumerate(pages)]
+        return spark.createDataFrame(data, HISTORY)
+
+    def files():
+        return {str(f): f.stat().st_mtime_ns for f in (tmp_path / "latest" / "data").glob("bucket=*/*.parquet")}
+
+    pages = [f"p{k}" for k in range(100)] + [None]
+    first = seen(1, pages, T1)
+    merge_latest(first, root)
+    before, own = files(), {}
+    for row in spark.read.parquet(f"{root}/data").collect():
+        own.setdefault(row.bucket, set()).add(row.page_id)
+    assert len(own) == 16 and len(before) == 16
+    merge_latest(seen(500, ["p7"], T2), root)
+    after = files()
+    assert len(set(before.items()) - set(after.items())) == 1
+    everything = first.unionByName(seen(500, ["p7"], T2))
+    assert rows(read_latest(spark, root)) == rows(latest_scrape_history(everything))
+    # An older row changes nothing; what a failure left half replaced is replaced again.
+    merge_latest(seen(0, ["p7"], T0), root)
+    assert rows(read_latest(spark, root)) == rows(latest_scrape_history(everything))
+    (bucket,) = (b for b, own_pages in own.items() if "p7" in own_pages)
+    whole = spark.read.parquet(f"{root}/data").where(f"bucket = {bucket}")
+    whole.write.parquet(f"{root}/pending")
+    shutil.rmtree(f"{root}/data/bucket={bucket}")
+    merge_latest(seen(900, ["p8"], T2), root)
+    everything = everything.unionByName(seen(900, ["p8"], T2))
+    assert rows(read_latest(spark, root)) == rows(latest_scrape_history(everything))
+    merge_latest(first.limit(0), root)
+    assert rows(read_latest(spark, root)) == rows(latest_scrape_history(everything))
 
 
 def test_only_the_newest_active_page_is_parsed(spark, tmp_path, monkeypatch):

@@ -1,8 +1,10 @@
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from sitewatch.operators.quality import (
     duplicate_keys,
@@ -13,6 +15,8 @@ from sitewatch.operators.quality import (
 )
 from sitewatch.schemas import HISTORY, PAGE_LIST, REGISTRY
 from sitewatch.session import as_timestamp, materialise, scratch_path, scratch_scope, shared_dir
+from sitewatch.sources import tables
+from sitewatch.sources.commits import create_row
 from sitewatch.sources.snapshots import (
     commit_snapshot,
     create_table,
@@ -89,10 +93,10 @@ def test_a_commit_with_bad_keys_fails(spark, tmp_path):
             )
     assert current_version(spark, root) == 0
     commit_snapshot(spark.createDataFrame([("a", "u")], PAGE_LIST), root, 1, key="id")
-    # Of two commits with one version, as of two writers, the first counts.
-    from sitewatch.sources.snapshots import _append_commit
-
-    _append_commit(spark, root, 1, "version=0")
+    # Of two commits with one version, as of two writers, the second fails.
+    assert not create_row(spark, f"{root}/commits", 1, {"version": 1, "data": "version=0"})
+    with pytest.raises(ValueError):
+        commit_snapshot(spark.createDataFrame([("b", "u")], PAGE_LIST), root, 1)
     assert rows(read_snapshot(spark, root, PAGE_LIST)) == [("a", "u")]
 
 
@@ -138,6 +142,47 @@ def test_history_append(spark, tmp_path):
     assert [r[0] for r in rows(read_runs(spark, path), "last_id")] == [2, 5, 6]
 
 
+def test_two_appends_at_once_have_different_ids(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "history")
+    pages = spark.createDataFrame([(p, "u", True, T0) for p in "abcdefgh"], REGISTRY)
+    create_history(spark, path)
+    with ThreadPoolExecutor(4) as pool:
+        runs = [observations(spark, "abcdefgh"[: k + 2], T1) for k in range(4)]
+        assert list(pool.map(lambda r: append_history(spark, path, r, pages), runs)) == [2, 3, 4, 5]
+    assert sorted(r.id for r in read_history(spark, path).collect()) == list(range(1, 15))
+
+    # Another writer comes first between reading the last id and claiming the next ones.
+    plain, before = tables.create_row, []
+
+    def late(spark, folder, number, row):
+        if folder.endswith("claims") and not before:
+            before.append(row)
+            append_history(spark, path, observations(spark, "a", T2), pages)
+        return plain(spark, folder, number, row)
+
+    monkeypatch.setattr(tables, "create_row", late)
+    assert append_history(spark, path, observations(spark, "bc", T2), pages) == 2
+    assert sorted(r.id for r in read_history(spark, path).collect()) == list(range(1, 18))
+
+
+def test_ids_are_checked_before_the_commit(spark, tmp_path):
+    path = str(tmp_path / "history")
+    pages = spark.createDataFrame([(p, "u", True, T0) for p in "ab"], REGISTRY)
+    create_history(spark, path)
+    twice = observations(spark, "ab", T1).withColumn("number", F.lit(0))
+    with pytest.raises(ValueError):
+        append_history(spark, path, twice, pages)
+    assert rows(read_history(spark, path)) == []
+
+
+def test_a_text_like_the_mark_of_null_and_bounded_files(spark, tmp_path):
+    data = [(i, t) for i, t in enumerate(["\\N", "\\\\N", None, "", "N", "x\\N", "\\N\n", "\\", "\\\\\\N"])]
+    df = spark.createDataFrame(data, "n int, text string").coalesce(1)
+    write_csv(df, str(tmp_path / "csv"), rows_per_file=2)
+    assert rows(read_csv(spark, str(tmp_path / "csv"), df.schema, multiline=True)) == sorted(data, key=repr)
+    assert len(list((tmp_path / "csv").glob("*.csv"))) == 5
+
+
 def test_read_errors_are_raised(spark, tmp_path):
     with pytest.raises(Exception):
         read_fetches(spark, str(tmp_path / "nothing")).collect()
@@ -186,6 +231,16 @@ def test_a_run_leaves_nothing_behind(spark, tmp_path):
     assert not os.path.exists(path.removeprefix("file:").replace("///", "/"))
 
 
+def test_scopes_of_two_threads_are_apart(spark):
+    def run(k):
+        with scratch_scope(spark):
+            kept = materialise(spark.range(k), "kept")
+            return [materialise(kept, "more").count() for _ in range(3)]
+
+    with ThreadPoolExecutor(4) as pool:
+        assert list(pool.map(run, range(8))) == [[k] * 3 for k in range(8)]
+
+
 def test_session_rules(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     with pytest.raises(ValueError):

@@ -217,6 +217,33 @@ ORACLES = {
                count(*) FILTER (is_active) AS active, count(scrape_timestamp) AS observed,
                max(scrape_timestamp) AS last_observed
         FROM registry r LEFT JOIN latest h ON h.page_id = r.id GROUP BY section""",
+    "prefix_roll_up": f"""
+        WITH {_REGISTRY}, {_HISTORY},
+        paths AS (
+          SELECT id, is_active, list_filter(string_split(regexp_extract(url, '^[a-z]+://[^/?#]+/([^?#]*)', 1), '/'),
+                                            lambda x: x <> '') AS parts
+          FROM registry
+        ),
+        each AS (
+          SELECT p.*, h.scrape_timestamp, CAST(t.depth AS INTEGER) AS depth, len(parts) = t.depth AS whole,
+                 array_to_string(parts[1:t.depth], '/') AS prefix
+          FROM paths p LEFT JOIN latest h ON h.page_id = p.id, unnest(range(len(parts) + 1)) t(depth)
+        )
+        SELECT depth, prefix, count(*) AS pages, count(*) FILTER (is_active) AS active,
+               count(scrape_timestamp) AS observed, max(scrape_timestamp) AS last_observed
+        FROM each GROUP BY depth, prefix
+        UNION ALL
+        SELECT depth, NULL, count(*), count(*) FILTER (is_active), count(scrape_timestamp), max(scrape_timestamp)
+        FROM each GROUP BY depth
+        UNION ALL
+        SELECT NULL, NULL, count(*), count(*) FILTER (is_active), count(scrape_timestamp), max(scrape_timestamp)
+        FROM each WHERE whole""",
+    "modified_day_iso": """
+        SELECT event_id AS id,
+               CASE WHEN user_id % 10 = 0 THEN strftime(ts, '%d/%m/%Y') ELSE strftime(ts, '%Y-%m-%d') END
+                 AS modified_date,
+               CASE WHEN user_id % 10 <> 0 THEN CAST(ts AS DATE) END AS modified_day
+        FROM events""",
     "special_page_ids": """
         SELECT page_id, CASE WHEN url LIKE '%/en/%' THEN 'homepage'
                              WHEN url LIKE '%?%' THEN 'unknown_1893456000'
@@ -226,6 +253,10 @@ ORACLES = {
         SELECT page_id, chr(CAST(page_id + 161 AS INTEGER)) || '/!' || chr(CAST(page_id + 161 AS INTEGER))
                  || '–' || chr(65533) || '&nosuch;&nosuch;' || chr(8770) || chr(824) || chr(65533) || url AS href
         FROM pages""",
+    "legacy_references": """
+        SELECT page_id, '/x?a©®çã&notit;¬in&&ltx&lt=>&quot' || page_id || '¶§ ½/'
+                 || CASE WHEN page_id % 2 = 0 THEN '&frac34=&' ELSE '¾&' END AS href
+        FROM pages""",
     "links_without_empty": """
         SELECT page_id, position, href FROM (
           SELECT page_id, CAST(unnest(range(len(names))) AS INTEGER) AS position, unnest(names) AS href

@@ -15,10 +15,10 @@ from sitewatch.operators import registry as registry_ops
 from sitewatch.plans import discover as discover_run
 from sitewatch.plans import observe as observe_run
 from sitewatch.plans import status as status_run
-from sitewatch.schemas import HISTORY, REGISTRY
+from sitewatch.schemas import REGISTRY
 from sitewatch.session import materialise, scratch_path
 from sitewatch.sources import snapshots, tables
-from sitewatch.streaming.latest import follow_history, history_stream
+from sitewatch.streaming.latest import create_latest, follow_history, history_stream, read_latest
 from workload import stand_ins
 
 _RUN = datetime.fromisoformat(stand_ins.RUN_TS).replace(tzinfo=timezone.utc)
@@ -84,7 +84,7 @@ def stream_latest(spark, sf_dir):
     root, path, latest = (scratch_path(spark, x) for x in ("registry", "history", "latest"))
     snapshots.create_table(spark, root, REGISTRY)
     snapshots.commit_snapshot(_site_registry(spark, sf_dir), root, 1)
-    snapshots.create_table(spark, latest, HISTORY)
+    create_latest(spark, latest, buckets=8)
     tables.create_history(spark, path)
     fetches = stand_ins.fetches(spark, sf_dir)
     checkpoint = scratch_path(spark, "latest-stream")
@@ -92,7 +92,7 @@ def stream_latest(spark, sf_dir):
         observe_run.observe(spark, root, fetches, path, run_ts)
         runs = history_stream(spark, path)
         follow_history(runs, path, latest, checkpoint).awaitTermination()
-    return _without_zone(snapshots.read_snapshot(spark, latest, HISTORY))
+    return _without_zone(read_latest(spark, latest))
 
 
 # -- reports ----------------------------------------------------------------------------
@@ -136,6 +136,18 @@ def section_roll_up(spark, sf_dir):
     return reports.section_roll_up(stand_ins.registry(spark, sf_dir), latest)
 
 
+def prefix_roll_up(spark, sf_dir):
+    latest = views.latest_scrape_history(stand_ins.history(spark, sf_dir))
+    return reports.prefix_roll_up(stand_ins.registry(spark, sf_dir), latest)
+
+
+def modified_day_iso(spark, sf_dir):
+    """The same when a site writes its dates another way, and in one case in ten the old way."""
+    shown = F.expr("CASE WHEN user_id % 10 = 0 THEN date_format(ts, 'dd/MM/yyyy') ELSE date_format(ts, 'yyyy-MM-dd') END")
+    events = stand_ins.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), shown.alias("modified_date"))
+    return reports.with_modified_day(events, "yyyy-MM-dd")
+
+
 # -- URLs and links ---------------------------------------------------------------------
 
 
@@ -183,6 +195,17 @@ def href_references(spark, sf_dir):
     return stand_ins.table(spark, sf_dir, "pages").select("page_id", href_of(tag).alias("href"))
 
 
+def legacy_references(spark, sf_dir):
+    """Links with names that need no semicolon, before all that may follow them."""
+    number = F.col("page_id").cast("string")
+    tag = F.concat(
+        F.lit('a href="/x?a&copy&reg;&ccedil&atilde&notit;&not;in&amp&ltx&lt=&gt&quot'), number,
+        F.lit("&para;&sect &frac12/&frac34"), F.when(F.col("page_id") % 2 == 0, "=").otherwise(""),
+        F.lit("&AMP"), F.lit('">'),
+    )
+    return stand_ins.table(spark, sf_dir, "pages").select("page_id", href_of(tag).alias("href"))
+
+
 def links_without_empty(spark, sf_dir):
     """Links when those to names from a to m are empty."""
     pages = stand_ins.table(spark, sf_dir, "pages").select(
@@ -320,7 +343,7 @@ def _site_registry(spark, sf_dir):
 def scrape_run(spark, sf_dir):
     """One observation per active page, numbered."""
     batch = history_ops.observe_pages(
-        views.active_pages(_site_registry(spark, sf_dir)),
+        history_ops.number_pages(views.active_pages(_site_registry(spark, sf_dir))),
         stand_ins.fetches(spark, sf_dir),
         stand_ins.run_ts(),
     )
@@ -443,8 +466,11 @@ QUERIES = {
     "coverage": coverage,
     "activity": activity,
     "section_roll_up": section_roll_up,
+    "prefix_roll_up": prefix_roll_up,
+    "modified_day_iso": modified_day_iso,
     "special_page_ids": special_page_ids,
     "href_references": href_references,
+    "legacy_references": legacy_references,
     "links_without_empty": links_without_empty,
     "canonical_url": canonical_urls,
     "page_id_from_url": page_ids,
