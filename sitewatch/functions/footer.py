@@ -1,8 +1,8 @@
 """Footer fields of a page.
 
-Nested elements are beyond regular expressions, so this is the one place that runs
-Python on the executors: an Arrow-batched UDF that walks the tags of one page with a
-stack. Its text rules are those of a browser; everything after the raw text is native.
+The footer's element is cut out of the page natively (``elements.py``). Only it goes to Python,
+the one place that runs there: an Arrow-batched UDF that reads the visible texts of the element by
+the rules of a browser. Everything after the raw text is native again.
 """
 
 import re
@@ -12,10 +12,11 @@ from html import unescape
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from sitewatch.functions.elements import HIDING_STYLE, MARKUP, VALUE, VOID, element_with_id
 from sitewatch.schemas import NOT_FOUND
 
 # Ids of the footer element and of the fields inside it.
@@ -27,51 +28,16 @@ FIELD_IDS = {
 }
 
 # Element classes of HTML.
-_VOID = set("area base br col embed hr img input link meta source track wbr".split())
 _CELL = {"td", "th"}
-_INERT = "script|style|template|noscript|title|textarea|iframe|noframes|xmp"
 _BLOCK = set(
     "address article aside blockquote dd details div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section summary table tr ul".split()
 )
 
-# A comment, an element without elements inside, a tag, or anything else in brackets; each
-# up to the end of the page when it is not closed. Only tags set the named groups.
-_VALUE = r"""(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)"""
-_MARKUP = re.compile(
-    rf"""
-    <(?:!--.*?(?:-->|\Z)
-    | ({_INERT})(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*+|\Z)>?
-    | (?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attributes>(?:[^>=]++|=\s*+{_VALUE}?+)*+)>?
-    | [!?/][^>]*+>?)
-    """,
-    re.IGNORECASE | re.DOTALL | re.VERBOSE,
-)
-_ATTRIBUTE = re.compile(rf"([^\s/>=]++)(?:\s*+=\s*+({_VALUE}))?")
-_HIDING_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-
-# Texts and closed pieces of markup, as many as there are, and what in them can matter to an
-# element behind them: a hiding attribute, or an id spelled with a character reference.
-_CLOSED = "|".join(
-    rf"{tag}(?=[\s/>]).*?</{tag}(?=[\s/>])[^>]*+>" for tag in _INERT.split("|")
-)
-_PIECES = re.compile(
-    rf"""
-    (?:[^<]++
-    | <(?:!--.*?--> | {_CLOSED} | (?:!(?!--)|\?|/(?![a-z]))[^>]*+>
-        | (?:/|(?!(?:{_INERT})[\s/>]))[a-z](?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+))*+>
-        | (?=[^a-z!?/])))*+
-    """,
-    re.IGNORECASE | re.DOTALL | re.VERBOSE,
-)
-_HIDES = "(?:none|hidden|collapse|&)"
-_MATTERS = {
-    "hidden": re.compile(r"""[\s/"']hidden[\s=>/]"""),
-    "style": re.compile(
-        rf"""style\s*=\s*(?:"[^"]*?{_HIDES}|'[^']*?{_HIDES}|[^\s>]*?{_HIDES})"""
-    ),
-    "&": re.compile(r"""id\s*=\s*["']?[^"'\s>&]*&"""),
-}
+_FLAGS = re.IGNORECASE | re.ASCII
+_TAGS = re.compile(MARKUP.replace("$", r"\Z"), _FLAGS | re.DOTALL)
+_ATTRIBUTE = re.compile(rf"([^\s/>=]++)(?:\s*+=\s*+({VALUE}))?".replace("$", r"\Z"), _FLAGS)
+_HIDES = re.compile(HIDING_STYLE, _FLAGS)
 _BLANKS = re.compile(r"[ \t\r\n\f]+")
 _RAW = ["full_text", "date_time", "updated_by", "responsible"]
 
@@ -107,14 +73,13 @@ class _Lines:
         return trimmed.strip("\n").replace("\xa0", " ")
 
 
-def _walk(html, start=0):
+def _walk(html, hidden=False):
     """Collect the visible lines of the footer and its fields, by field.
 
-    A walk from inside the page does not know the elements open there. It gives None when
-    an end tag may have closed one of them.
+    ``html`` may be the footer's element alone; ``hidden`` says whether an element around is.
     """
     fields = {}
-    elements = []  # (tag, hidden, field) of every open element
+    elements = [("", hidden, None)]  # (tag, hidden, field) of every open element
     open_tags = Counter()
     reading = []  # the fields whose elements are open
 
@@ -124,22 +89,20 @@ def _walk(html, start=0):
             for field in reading:
                 fields[field].add(text)
 
-    position = start
-    for markup in _MARKUP.finditer(html, start):
+    position = 0
+    for markup in _TAGS.finditer(html):
         read_text(position, markup.start())
         position = markup.end()
-        if not markup["tag"]:
+        if not markup[3]:
             continue
-        tag = markup["tag"].lower()
+        tag = markup[3].lower()
         for field in reading:
             if tag == "br" or tag in _BLOCK:
                 fields[field].end_line(even_if_empty=tag == "br")
             elif tag in _CELL:
                 fields[field].add(" ")
 
-        if markup["end"]:
-            if start and elements and not open_tags[tag]:
-                return None
+        if markup[2]:
             while open_tags[tag]:
                 closed, _, field = elements.pop()
                 open_tags[closed] -= 1
@@ -149,13 +112,9 @@ def _walk(html, start=0):
                     return fields
                 if closed == tag:
                     break
-        elif tag not in _VOID:
-            attributes = _attributes(markup["attributes"])
-            hidden = (
-                (bool(elements) and elements[-1][1])
-                or "hidden" in attributes
-                or bool(_HIDING_STYLE.search(attributes.get("style", "")))
-            )
+        elif tag not in VOID:
+            attributes = _attributes(markup[4])
+            hides = "hidden" in attributes or _HIDES.search(attributes.get("style", ""))
             field = FIELD_IDS.get(attributes.get("id"))
             if "full_text" not in fields:
                 field = "full_text" if attributes.get("id") == CONTAINER_ID else None
@@ -164,42 +123,29 @@ def _walk(html, start=0):
             if field:
                 fields[field] = _Lines()
                 reading.append(field)
-            elements.append((tag, hidden, field))
+            elements.append((tag, elements[-1][1] or bool(hides), field))
             open_tags[tag] += 1
     read_text(position, len(html))
     return fields
 
 
-def read_footer(html):
-    """Raw visible texts of one page's footer, None for what it does not have.
-
-    The footer tends to come last. What lies before it is passed over by one pattern, and
-    walked only if it can matter.
-    """
-    start = _PIECES.match(html, 0, max(html.find(CONTAINER_ID), 0)).end()
-    before = html[:start].lower()
-    fields = None
-    if not any(word in before and rule.search(before) for word, rule in _MATTERS.items()):
-        fields = _walk(html, start)
-    if fields is None:
-        fields = _walk(html)
+def read_footer(html, hidden=False):
+    """Raw visible texts of one footer, None for what it does not have."""
+    fields = _walk(html, hidden)
     return tuple(fields[name].text() if name in fields else None for name in _RAW)
 
 
 @F.pandas_udf(StructType([StructField(field, StringType()) for field in _RAW]))
-def _raw_footer(html: pd.Series) -> pd.DataFrame:
+def _raw_footer(html: pd.Series, hidden: pd.Series) -> pd.DataFrame:
     nothing = (None,) * len(_RAW)
-    rows = [read_footer(page) if page else nothing for page in html]
+    rows = [read_footer(*own) if own[0] else nothing for own in zip(html, hidden)]
     return pd.DataFrame(rows, columns=_RAW)
 
 
-def raw_footer(html: Column) -> Column:
-    """Struct of the raw footer texts; pages that cannot hold the footer skip Python.
-
-    A page can hold it only if it shows the id, or an ``&`` that may spell part of it.
-    """
-    candidate = html.contains(CONTAINER_ID) | html.rlike(r"""(?i)\bid\s*+=\s*+["']?[^"'\s>&]*+&""")
-    return _raw_footer(F.when(candidate, html))
+def with_raw_footer(pages: DataFrame) -> DataFrame:
+    """``pages`` with the struct ``raw`` of the raw footer texts in place of ``html``."""
+    cut = pages.withColumn("raw", element_with_id(F.col("html"), CONTAINER_ID)).drop("html")
+    return cut.withColumn("raw", _raw_footer(F.col("raw.html"), F.col("raw.hidden")))
 
 
 def found_or_default(text: Column) -> Column:

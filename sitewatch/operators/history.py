@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitewatch.functions.footer import observed_fields, raw_footer
+from sitewatch.functions.footer import observed_fields, with_raw_footer
 from sitewatch.functions.urls import browser_url, canonical_url
 from sitewatch.operators.newest import newest_per_key
 from sitewatch.schemas import NOT_FOUND, OBSERVED_FIELDS
@@ -14,7 +14,7 @@ from sitewatch.session import as_timestamp, materialise
 
 def extract_footers(fetches: DataFrame) -> DataFrame:
     """The four observed fields of every fetch; the page itself goes no further."""
-    read = fetches.withColumn("raw", raw_footer(F.col("html"))).drop("html")
+    read = with_raw_footer(fetches)
     return read.select(
         *[F.col(c) for c in read.columns if c != "raw"], *observed_fields(F.col("raw"))
     )

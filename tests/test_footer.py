@@ -2,7 +2,10 @@ import random
 
 import pytest
 
-from sitewatch.functions.footer import _RAW, _walk, read_footer
+from pyspark.sql import functions as F
+
+from sitewatch.functions.elements import element_with_id
+from sitewatch.functions.footer import CONTAINER_ID, _RAW, _walk, with_raw_footer
 from sitewatch.operators.history import extract_footers, observe_pages
 from sitewatch.schemas import NOT_FOUND as NF
 from tests.helpers import T0, T1, T2, T3, rows
@@ -96,7 +99,8 @@ def test_extraction(name, extracted):
 
 def test_whole_long_page_is_read(spark):
     filler = "<p>" + "word " * 400_000 + "</p>"
-    assert read_footer(filler + footer(span(USER, "Ana")))[2] == "Ana"
+    long = spark.createDataFrame([(filler + footer(span(USER, "Ana")),)], "html string")
+    assert with_raw_footer(long).first().raw.updated_by == "Ana"
 
 
 def test_one_observation_per_active_page(spark):
@@ -135,13 +139,30 @@ PIECES = [
 ]
 
 
-def test_passing_over_what_comes_first_changes_nothing():
+def test_cutting_the_footer_out_changes_nothing(spark):
     chance = random.Random(3)
+    pages = ["".join(chance.choices(PIECES, k=chance.randint(1, 25))) for _ in range(30_000)]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, html string").repartition(8)
+    got = {r.i: tuple(r.raw) for r in with_raw_footer(df).collect()}
     found = 0
-    for _ in range(30_000):
-        html = "".join(chance.choices(PIECES, k=chance.randint(1, 25)))
+    for i, html in enumerate(pages):
         whole = _walk(html)
         expected = tuple(whole[name].text() if name in whole else None for name in _RAW)
-        assert read_footer(html) == expected, html
+        assert got[i] == expected, html
         found += expected[0] is not None
     assert found > 5_000
+
+
+def test_the_part_sent_to_python_does_not_grow_with_the_page(spark):
+    own = f'<div id="idCorpoRodape" class="x">{span(USER, "Ana")}<div>text</div></div>'
+    around = [
+        "{}", "<div>" + "<p>words <b>and</b> more</p>" * 20_000 + "{}</div>",
+        "text " * 20_000 + "{}" + "<div>after</div>" * 20_000,
+        '<div hidden><p id="a&amp;b">' + "x<br>" * 5_000 + "{}" + "y" * 100_000,
+        "<style>#idCorpoRodape {}</style><!-- {} --><p title='{}'>" + "{}</p>",
+    ]
+    pages = [(i, own.join(a.rsplit("{}", 1))) for i, a in enumerate(around)] + [(5, "<p>none</p>"), (6, None)]
+    df = spark.createDataFrame(pages, "i int, html string")
+    parts = df.select("i", element_with_id(F.col("html"), CONTAINER_ID).alias("p")).orderBy("i").collect()
+    assert [r.p and tuple(r.p) for r in parts] == [
+        (own, False), (own, False), (own, False), (own, True), (own, False), None, None]
