@@ -1,12 +1,12 @@
 """Near-duplicate documents by MinHash with tensored banding, confirmed on full sets.
 
 Two collections of ``PIECES`` pieces, each piece ``ROWS`` minhashes, are computed for a document.
-Every pair of a piece of the first and one of the second is a table key: 144 tables of four
-minhashes from 48 instead of 576 of them. Two documents of similarity s meet in some table with
-probability (1 - (1 - s^ROWS)^PIECES)^2, 0.99999 at 0.8.
+Every pair of a piece of the first and one of the second is a table key: 400 tables of eight
+minhashes from 160 instead of 3,200 of them. Two documents of similarity s meet in some table with
+probability (1 - (1 - s^ROWS)^PIECES)^2, 0.9999 at 0.8; a half do at 0.47.
 
-1. Documents with equal shingle sets are one class, found by a 128-bit fingerprint and the size;
-   the smallest ``doc_id`` stands for it. Copies end here, however many there are.
+1. Documents with equal shingle sets are one class, found by a 128-bit fingerprint and the size,
+   numbered by its first row. Copies end here, however many there are.
 2. A class meets another only if they share a piece on both sides, so pieces that occur once are
    dropped before any pair is formed.
 3. In each table bucket all members are compared with the most central one, the class whose
@@ -14,15 +14,18 @@ probability (1 - (1 - s^ROWS)^PIECES)^2, 0.99999 at 0.8.
 4. Components of the links found. A bucket whose members are all in one component is done, as a
    further link could not change it. In the others it is counted how many of a class's shingles
    occur in any other component at all: a class with too few for 80 percent has no link there and
-   leaves the bucket. A heavily edited copy mostly goes this way, in linear time. What is left is
-   decided exactly, by products of blocks of its shingle matrix; only links leave a block.
+   leaves the bucket. A heavily edited copy mostly goes this way, in linear time.
+5. What is left is decided exactly. Of a class's shingles, put in one order for all, those of its
+   own component first and then by how rare they are, two linked classes share one among the first
+   20 percent. Classes that do are compared: pairs, where few share a shingle; where many do, blocks
+   of them, by counts over lists of who has which shingle. Only links leave a block.
 
-So no pair of rows is formed within a group, and no pair that met in a bucket is left undecided.
+So no pair of rows is formed within a large group, and no pair that met in a bucket is left undecided.
 
 Defined cases: a NULL text, or one without words, has no shingle, its own component and is kept;
-a text with fewer words than a shingle is one shingle of its whole sequence; repeated rows are
-one node; a NULL ``doc_id`` is kept and has no component; an empty table gives no row; other
-columns are not read.
+a text with fewer words than a shingle is one shingle of its whole sequence; rows with one
+``doc_id`` are compared as rows of their own, by their texts; a NULL ``doc_id`` is kept and has no
+component; an empty table gives no row; other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,19 +34,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitewatch.llm.common import Words, mix, ngrams, own_columns, signed, store, text_slices
 from sitewatch.llm.components import components, merged
 
 WORDS = 4
-PIECES = 12
-ROWS = 2
+PIECES = 20
+ROWS = 4
 PERCENT = 80
 BLOCK = 500_000
+FEW = 50
 
-_SIGNATURES = "doc_id long, n_shingles long, fp1 long, fp2 long, left array<long>, right array<long>"
+_SIGNATURES = (
+    "doc_id long, text_key long, n_shingles long, fp1 long, fp2 long, left array<long>, right array<long>"
+)
+_CELLS = 4 << 20
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return own_columns(docs, "doc_id", "text").withColumn("text_key", F.xxhash64("text"))
 
 
 def shingle_sets(
@@ -99,6 +110,7 @@ def signatures(
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(lo, hi - lo),
+                        batch.column("text_key").slice(lo, hi - lo),
                         pa.array(n),
                         pa.array(signed(prints[0])),
                         pa.array(signed(prints[1])),
@@ -108,7 +120,7 @@ def signatures(
                     names=[c.split()[0] for c in _SIGNATURES.split(", ")],
                 )
 
-    return own_columns(docs, "doc_id", "text").mapInArrow(sign, _SIGNATURES)
+    return _keyed(docs).mapInArrow(sign, _SIGNATURES)
 
 
 def _lists(rows: np.ndarray) -> pa.ListArray:
@@ -174,7 +186,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """The full sets of the classes in ``ids``, as sorted 64-bit hashes."""
+    """The full sets of the classes ``ids (id, doc_id, text_key)``, as sorted 64-bit hashes."""
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,12 +197,10 @@ def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
                     pa.binary(), hi - lo, [None, pa.py_buffer(bounds), pa.py_buffer(flat)]
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo), own], names=["id", "set"]
+                    [batch.column("id").slice(lo, hi - lo), own], names=["id", "set"]
                 )
 
-    named = own_columns(docs, "doc_id", "text").join(
-        ids.select(F.col("id").alias("doc_id")), "doc_id"
-    )
+    named = _keyed(docs).join(ids, ["doc_id", "text_key"])
     return named.mapInArrow(full, "id long, set binary").dropDuplicates(["id"])
 
 
@@ -211,72 +221,63 @@ def _mixed(placed: DataFrame) -> DataFrame:
     return placed.drop("top").join(mixed, "key")
 
 
-def _with_shared(rest: DataFrame, sets: DataFrame) -> DataFrame:
-    """``rest`` with ``shared``: how many of a class's shingles another component has, too.
-
-    No class of another component can have more than these in common with it.
-    """
+def _unpacked(classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``id, n, component, shingle`` of all shingles of the classes."""
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 own = [np.frombuffer(x, np.int64) for x in part.column("set").to_pylist()]
-                n = [len(x) for x in own]
+                times = [len(x) for x in own]
+                named = (part.column(c).to_numpy() for c in ("id", "n", "component"))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(part.column("id").to_numpy(), n)),
-                        pa.array(np.repeat(part.column("component").to_numpy(), n)),
-                        pa.array(np.concatenate(own)),
-                    ],
-                    names=["id", "component", "shingle"],
+                    [*(pa.array(np.repeat(c, times)) for c in named), pa.array(np.concatenate(own))],
+                    names=["id", "n", "component", "shingle"],
                 )
 
-    classes = rest.select("id", "component").distinct()
-    shingles = sets.join(classes, "id").mapInArrow(
-        unpack, "id long, component long, shingle long"
+    return sets.join(classes, "id").mapInArrow(
+        unpack, "id long, n long, component long, shingle long"
     )
-    common = (
-        shingles.groupBy("shingle")
-        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where("lo < hi")
-        .select("shingle")
+
+
+def _common(shingles: DataFrame) -> DataFrame:
+    """The shingles that several components have, with the number of classes."""
+    counted = shingles.groupBy("shingle").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("often")
     )
+    return counted.where("lo < hi").select("shingle", "often")
+
+
+def _with_shared(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """``rest`` with ``shared``: how many of a class's shingles another component has, too.
+
+    No class of another component can have more than these in common with it.
+    """
+    shingles = _unpacked(rest.select("id", "n", "component").distinct(), sets)
+    common = _common(shingles).select("shingle")
     shared = shingles.join(common, "shingle").groupBy("id").agg(F.count("*").alias("shared"))
     return rest.drop("shared").join(shared, "id")
 
 
-def _late_links(
-    members: DataFrame, found: DataFrame, sets: DataFrame, percent: int, block: int
-) -> DataFrame:
-    """Links ``(a, b)`` between components that met in a bucket: at least one for each two linked."""
-    placed = members.join(found, "id", "left").select(
-        "key", "id", "n", F.coalesce("component", "id").alias("component")
+def _first_shingles(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The first shingles of each class, of which linked classes share one; see step 5."""
+    shingles = store(_unpacked(classes, sets), "op8-shingles")
+    common = store(_common(shingles), "op8-common")
+    ordered = Window.partitionBy("id").orderBy("often", "shingle")
+    whole = Window.partitionBy("id")
+    # At most a document's shingles are in one group.
+    ranked = shingles.join(common, "shingle").select(
+        "id", "n", "component", "shingle",
+        F.row_number().over(ordered).alias("nth"), F.count("*").over(whole).alias("shared"),
     )
-    rest = store(_mixed(placed), "op8-mixed")
-    # Twice, as what the first pass rules out no longer shares anything with the others.
-    for _ in range(2):
-        counted = store(_with_shared(rest, sets), "op8-shared")
-        # The smallest partner there is, or the one that is all in common.
-        least = counted.groupBy("key").agg(F.min("n").alias("least"))
-        union = F.col("n") + F.greatest("least", "shared") - F.col("shared")
-        able = counted.join(least, "key").where(100 * F.col("shared") >= percent * union)
-        rest = store(_mixed(able.drop("least")), "op8-mixed")
+    own = F.col("n") - F.col("shared")
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    return ranked.where(F.col("nth") <= first - own).drop("nth", "shared")
 
-    # All that met directly or through others, in blocks of about ``block`` shingles.
-    hubs = rest.groupBy("key").agg(F.min("id").alias("b"))
-    clusters = components(rest.join(hubs, "key").select(F.col("id").alias("a"), "b"))
-    classes = rest.select("id", "n", "component").distinct()
-    classes = classes.join(clusters.withColumnRenamed("component", "cluster"), "id")
-    sizes = classes.groupBy("cluster").agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = classes.join(sizes, "cluster").withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    )
-    dealt = dealt.join(sets, "id").select(
-        "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        "own", "id", "component", "set",
-    )
+
+def _compare(percent: int):
+    """Links of two blocks of classes, one for each pair of components."""
 
     def compare(key, table):
         i, j = key[1].as_py(), key[2].as_py()
@@ -284,20 +285,29 @@ def _late_links(
         ids, labels = table.column("id").to_numpy(), table.column("component").to_numpy()
         shingles = [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
         n = np.array([len(x) for x in shingles])
-        values, where, often = np.unique(
-            np.concatenate(shingles), return_inverse=True, return_counts=True
-        )
-        # A shingle of one class only is in no intersection.
-        column = np.cumsum(often > 1) - 1
+        values, codes = np.unique(np.concatenate(shingles), return_inverse=True)
         row = np.repeat(np.arange(len(n)), n)
-        kept = often[where] > 1
-        matrix = np.zeros((len(n), int((often > 1).sum())), np.float32)
-        matrix[row[kept], column[where[kept]]] = 1
-        left, right = np.flatnonzero(blocks == i), np.flatnonzero(blocks == j)
+        ends = np.concatenate([[0], np.cumsum(n)])
+        right = np.flatnonzero(blocks == j)
+        # Who of the right block has a shingle: a run of ``holders`` for each.
+        nth = np.full(len(n), -1)
+        nth[right] = np.arange(len(right))
+        of_right = np.flatnonzero(nth[row] >= 0)
+        of_right = of_right[np.argsort(codes[of_right], kind="stable")]
+        holders = nth[row[of_right]]
+        begins = np.searchsorted(codes[of_right], np.arange(len(values) + 1))
+        step = max(1, _CELLS // max(len(right), 1))
         seen, out = set(), []
-        for at in range(0, len(left), 256):
-            part = left[at : at + 256]
-            both = np.rint(matrix[part] @ matrix[right].T).astype(np.int64)
+        left = np.flatnonzero(blocks == i)
+        for at in range(0, len(left), step):
+            part = left[at : at + step]
+            both = np.zeros((len(part), len(right)), np.int32)
+            for k, x in enumerate(part):
+                own = codes[ends[x] : ends[x + 1]]
+                size = begins[own + 1] - begins[own]
+                upto = np.cumsum(size)
+                runs = np.repeat(begins[own] - upto + size, size) + np.arange(upto[-1])
+                both[k] = np.bincount(holders[runs], minlength=len(right))
             linked = 100 * both >= percent * (n[part][:, None] + n[right][None, :] - both)
             linked &= labels[part][:, None] != labels[right][None, :]
             for x, y in zip(*np.nonzero(linked)):
@@ -313,7 +323,59 @@ def _late_links(
             }
         )
 
-    return dealt.groupBy("cluster", "i", "j").applyInArrow(compare, "a long, b long")
+    return compare
+
+
+def _late_links(
+    members: DataFrame, found: DataFrame, sets: DataFrame, percent: int, block: int, few: int
+) -> DataFrame:
+    """Links ``(a, b)`` between components that met in a bucket: at least one for each two linked."""
+    placed = members.join(found, "id", "left").select(
+        "key", "id", "n", F.coalesce("component", "id").alias("component")
+    )
+    rest = store(_mixed(placed), "op8-mixed")
+    # Twice, as what the first pass rules out no longer shares anything with the others.
+    for _ in range(2):
+        counted = store(_with_shared(rest, sets), "op8-shared")
+        # The smallest partner there is, or the one that is all in common.
+        least = counted.groupBy("key").agg(F.min("n").alias("least"))
+        union = F.col("n") + F.greatest("least", "shared") - F.col("shared")
+        able = counted.join(least, "key").where(100 * F.col("shared") >= percent * union)
+        rest = store(_mixed(able.drop("least")), "op8-mixed")
+
+    classes = store(rest.select("id", "n", "component").distinct(), "op8-open")
+    first = store(_first_shingles(classes, sets, percent), "op8-first")
+    # The same classes often share several shingles: one of these is enough.
+    who = F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("who")
+    groups = first.groupBy("shingle").agg(
+        F.count("*").alias("size"), who, F.min("component").alias("lo"),
+        F.max("component").alias("hi"), F.sum("n").alias("total"),
+    )
+    groups = groups.where("lo < hi").groupBy("size", "who", "total")
+    groups = store(groups.agg(F.min("shingle").alias("shingle")), "op8-groups")
+    joined = first.join(groups, "shingle")
+
+    small = store(joined.where(F.col("size") <= few).select("shingle", "id", "n", "component"), "op8-few")
+    a, b = small.alias("a"), small.alias("b")
+    met = a.join(b, F.col("a.shingle") == F.col("b.shingle")).where(
+        (F.col("a.component") < F.col("b.component")) & _could_link("a.n", "b.n", percent)
+    )
+    pairs = met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    linked = _verify(store(pairs, "op8-few-pairs"), sets, percent).where("linked").select("a", "b")
+
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    large = joined.where(F.col("size") > few).withColumn(
+        "blocks", F.ceil(F.col("total") / block).cast("int")
+    )
+    dealt = large.withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    )
+    dealt = dealt.join(sets, "id").select(
+        "shingle", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        "own", "id", "component", "set",
+    )
+    compared = dealt.groupBy("shingle", "i", "j").applyInArrow(_compare(percent), "a long, b long")
+    return linked.union(compared)
 
 
 def near_duplicates(
@@ -323,19 +385,28 @@ def near_duplicates(
     rows: int = ROWS,
     percent: int = PERCENT,
     block: int = BLOCK,
+    few: int = FEW,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every document."""
-    signed_docs = store(signatures(docs, words, pieces, rows), "op8-signatures")
+    """``doc_id, n_shingles, component_id, kept`` of every document, ``text_key`` and ``stays``.
+
+    ``component_id`` is the smallest ``doc_id`` of the component, which ``kept`` says it has.
+    Rows that share it are told apart by ``text_key``, the hash of their text: of a component
+    only those with the smallest ``(doc_id, text_key)`` have ``stays``.
+    """
+    numbered = signatures(docs, words, pieces, rows).withColumn("row", F.monotonically_increasing_id())
+    signed_docs = store(numbered, "op8-signatures")
     grouped = (
         signed_docs.where("doc_id IS NOT NULL AND n_shingles > 0")
         .groupBy("fp1", "fp2", "n_shingles")
         .agg(
-            F.min("doc_id").alias("id"),
+            F.min("row").alias("id"),
+            F.min(F.struct("doc_id", "text_key")).alias("of"),
             F.count("*").alias("copies"),
             F.first("left").alias("left"),
             F.first("right").alias("right"),
         )
     )
+    grouped = store(grouped, "op8-classes")
     classes = grouped.select("id", F.col("n_shingles").alias("n"), "left", "right")
     members = store(_members(classes), "op8-members")
 
@@ -348,26 +419,43 @@ def near_duplicates(
     spokes = members.join(centre, "key").where(F.col("id") != F.col("a"))
     near = spokes.where(_could_link("n", "m", percent))
     pairs = near.select("a", F.col("id").alias("b")).distinct()
-    ids = members.select("id").distinct()
+    ids = members.select("id").distinct().join(grouped.select("id", "of.*"), "id")
     sets = store(_sets(docs, ids, words), "op8-sets")
     compared = store(_verify(pairs, sets, percent), "op8-compared")
     links = compared.where("linked").select("a", "b")
     found = components(links)
 
-    late = store(_late_links(members, found, sets, percent, block), "op8-late")
+    late = store(_late_links(members, found, sets, percent, block, few), "op8-late")
     final = found if late.isEmpty() else merged(found, late)
 
     copies = grouped.where("copies > 1").select("fp1", "fp2", "n_shingles", "id")
     own = signed_docs.drop("left", "right").join(copies, ["fp1", "fp2", "n_shingles"], "left")
-    own = own.withColumn("id", F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id")))
-    placed_docs = own.join(final, "id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "id", "doc_id").alias("component_id")
+    own = own.withColumn("many", F.col("doc_id").isNotNull() & F.col("id").isNotNull())
+    own = own.withColumn("id", F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "row")))
+    placed = own.join(final, "id", "left").select(
+        "doc_id", "text_key", "n_shingles", F.coalesce("component", "id").alias("component"),
+        (F.col("many") | F.col("component").isNotNull()).alias("many"),
+    )
+    placed = store(placed, "op8-placed")
+    # Most documents are alone, and know their component's smallest id.
+    firsts = placed.where("many").groupBy("component").agg(
+        F.min(F.struct("doc_id", "text_key")).alias("first")
+    )
+    together = placed.where("many").join(store(firsts, "op8-firsts"), "component").select(
+        "doc_id", "text_key", "n_shingles", F.col("first.doc_id").alias("component_id"),
+        (F.struct("doc_id", "text_key") == F.col("first")).alias("stays"),
+    )
+    alone = placed.where(~F.col("many")).select(
+        "doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("stays")
     )
-    return placed_docs.withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return alone.union(together).select(
+        "doc_id", "n_shingles", "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
+        "text_key", "stays",
     )
 
 
 def op8_minhash(spark, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return found.drop("text_key", "stays")

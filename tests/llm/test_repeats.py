@@ -86,8 +86,8 @@ def _near(rows):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
-@pytest.mark.parametrize("block", [500_000, 300])
-def test_near_duplicates_are_those_of_brute_force(block, spark):
+@pytest.mark.parametrize("block, few", [(500_000, 50), (300, 2), (300, 1)])
+def test_near_duplicates_are_those_of_brute_force(block, few, spark):
     docs = read(spark, "documents").select("doc_id", "text")
     # A chain of edits, its ends far apart, and copies edited too much.
     base = PROSE * 2
@@ -100,7 +100,7 @@ def test_near_duplicates_are_those_of_brute_force(block, spark):
         edge(spark).select((F.col("doc_id") + 40_000).alias("doc_id"), "text")
     )
     expected = _near(docs.collect())
-    for r in op8_minhash.near_duplicates(docs, block=block).collect():
+    for r in op8_minhash.near_duplicates(docs, block=block, few=few).collect():
         if r.doc_id is None:
             assert (r.component_id, r.kept) == (None, True)
         else:
@@ -108,6 +108,28 @@ def test_near_duplicates_are_those_of_brute_force(block, spark):
             assert (r.n_shingles, r.component_id, r.kept) == (size, component, r.doc_id == component)
 
 
+@pytest.mark.parametrize("few", [50, 3])
+def test_overlapping_passages_that_are_not_linked(few, spark):
+    """A similarity of 0.76 to the next: many meet, none is linked, but for a few that are."""
+    stream = [f"w{k}" for k in range(4 * 3_000 + 32)]
+    rows = [(k, " ".join(stream[4 * k : 4 * k + 32])) for k in range(3_000)]
+    rows += [(10_000 + k, rows[k][1] + " end") for k in range(0, 3_000, 100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    expected = _near(docs.collect())
+    got = {r.doc_id: r.component_id for r in op8_minhash.near_duplicates(docs, few=few).collect()}
+    assert got == {k: component for k, (_, component) in expected.items()}
+    assert len(set(got.values())) == 3_000
+
+
+def test_rows_that_share_an_id_are_compared_by_their_texts(spark):
+    t, u, v, x = (" ".join(f"{c}{k}" for k in range(40)) for c in "tuvx")
+    rows = [(0, t), (5, t), (5, u), (7, v), (7, v), (8, x), (9, x + " end"), (None, t)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = op8_minhash.near_duplicates(docs).collect()
+    assert sorted((r.doc_id, r.component_id, r.stays) for r in got if r.doc_id is not None) == [
+        (0, 0, True), (5, 0, False), (5, 5, True), (7, 7, True), (7, 7, True), (8, 8, True), (9, 8, False)]
+
+
 def test_near_duplicates_of_nothing(spark):
     assert op8_minhash.near_duplicates(edge(spark).limit(0)).count() == 0
 
