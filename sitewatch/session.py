@@ -110,6 +110,17 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             remove(spark, path)
 
 
+@contextmanager
+def kept_beyond_scope() -> Iterator[None]:
+    """What is materialised within it outlives the scope around."""
+    paths, tables = _scope.set(None), _tables.set(None)
+    try:
+        yield
+    finally:
+        _scope.reset(paths)
+        _tables.reset(tables)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder, wherever Spark's own file systems keep it."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
