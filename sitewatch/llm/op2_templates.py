@@ -12,9 +12,12 @@ several words.
    An item shorter than a window has its whole template as anchor, which documents are searched for
    at every place; a table of bits of fixed size leaves out most places before the join.
    The anchors of documents and items are hash-joined.
-2. Each candidate pair is aligned in full: the longest run of tokens whose template windows are
-   equal and whose slots are consistent, that is, each value of the item stands for one value of
-   the document and the other way round.
+2. Items of one template whose slots repeat in the same places are one class: whether a document
+   agrees with them does not depend on their values. A document meets a class once, however many
+   items it has. Each such pair is aligned in full: the longest run of tokens whose template
+   windows are equal and whose slots are consistent, that is, each value of the item stands for one
+   value of the document and the other way round. Which item of the class a document has word for
+   word is found by a join of hashes.
 3. A document leaks an item if that run has ``ENOUGH`` tokens, or all of a shorter item's; or if it
    has, with the runs of ``GRAM`` tokens beside it that agree in order and slots, ``SHARE`` of the
    item. An item shorter than a window leaks as a whole: verbatim, or with ``FEW_WORDS`` words
@@ -22,12 +25,14 @@ several words.
 
 Defined cases: NULL or empty texts and items match nothing, nor does an item of fewer than
 ``SHORTEST`` tokens or two words, which is too short to tell; an item with several texts is
-searched by each; documents and items with NULL ids are left out; repeated rows give one row for
-each pair; empty tables give no row; other columns are not read.
+searched by each; documents and items with NULL ids are left out; rows of one ``doc_id`` are told
+apart by ``text_key``, a hash of their text; repeated rows give one row for each pair; empty tables
+give no row; other columns are not read.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -56,11 +61,12 @@ UNITS = (
     "cents cent degrees mph kmh watts volts bytes kb mb gb"
 ).split()
 
-_ANCHORS = "id long, h long"
+_CLASSES = "key long, c1 long, c2 long, words long"
 _FOUND = (
-    "doc_id long, key long, n_tokens int, doc_start int, item_start int, n_slots int, "
-    "verbatim boolean"
+    "doc_id long, text_key long, template long, n_tokens int, doc_start int, item_start int, "
+    "n_slots int, words long, exact boolean"
 )
+_RUN = ["n_tokens", "doc_start", "item_start", "n_slots"]
 _known_units: list[np.ndarray] = []
 
 
@@ -124,7 +130,12 @@ def _least_grams(template, kinds, window: int, gram: int) -> tuple[np.ndarray, n
 
 
 def _anchors(
-    rows: DataFrame, window: int, gram: int, whole: bool, bits: dict[int, int] | None = None
+    rows: DataFrame,
+    window: int,
+    gram: int,
+    whole: bool,
+    bits: dict[int, int] | None = None,
+    id_type: str = "long",
 ) -> DataFrame:
     """The distinct anchors of each text of ``rows (id, text)``.
 
@@ -182,7 +193,8 @@ def _anchors(
                     names=["id", "h"],
                 )
 
-    return rows.where("id IS NOT NULL AND text IS NOT NULL").mapInArrow(find, _ANCHORS)
+    usable = rows.where("id IS NOT NULL AND text IS NOT NULL")
+    return usable.mapInArrow(find, f"id {id_type}, h long")
 
 
 def _bits(short: DataFrame) -> dict[int, int]:
@@ -276,15 +288,16 @@ def _together(doc, item, best, gram: int) -> tuple[int, int, int, int, bool]:
 
 
 def _leak(doc, item, window: int, gram: int, enough: int):
-    """The best run of one form if it is a leak: item tokens, starts, slots, whether verbatim."""
+    """The best run of one form if it is a leak: item tokens, starts, slots, whether only verbatim."""
     n = len(item[0])
     runs = align(doc, item, min(window, n)) if n >= SHORTEST else []
     if not runs:
         return None
     best = max(runs, key=lambda run: (run[0], run[4]))
     size, words = best[0], int((item[2] == 0).sum())
-    if n < window and (words < LEAST_WORDS or not best[4] and words < FEW_WORDS):
+    if n < window and words < LEAST_WORDS:
         return None
+    exact = n < window and words < FEW_WORDS
     if size < min(enough, n):
         best = _together(doc, item, best, gram)
         if best[0] < SHARE * n:
@@ -292,69 +305,138 @@ def _leak(doc, item, window: int, gram: int, enough: int):
         tokens = best[0]
     else:
         tokens = int(item[3][best[2] + size] - item[3][best[2]])
-    return tokens, int(doc[3][best[1]]), int(item[3][best[2]]), best[3], best[4]
+    return tokens, int(doc[3][best[1]]), int(item[3][best[2]]), best[3], exact
+
+
+def _words_hash(values: np.ndarray) -> int:
+    """A hash of some tokens as they are written."""
+    return int.from_bytes(hashlib.blake2b(values.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
+def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The class of each text: its templates, and which of their slots have equal values."""
+    names = [c.split()[0] for c in _CLASSES.split(", ")]
+    for batch in batches:
+        for lo, hi, data, offsets in text_slices(batch.column("text")):
+            texts, rows = Templates(data, offsets), []
+            for k in range(hi - lo):
+                digest = hashlib.blake2b(digest_size=16)
+                for f in range(FORMS):
+                    template, values, kinds, places = texts.form(f, k)
+                    slots = mix(values[kinds > 0] + mix(kinds[kinds > 0]))
+                    _, first, which = np.unique(slots, return_index=True, return_inverse=True)
+                    for part in (template, kinds, places, first[which]):
+                        digest.update(part.tobytes() + b"|")
+                own = digest.digest()
+                words = _words_hash(texts.form(1, k)[1])
+                rows.append((*np.frombuffer(own, np.int64).tolist(), words))
+            columns = zip(*rows) if rows else [[]] * 3
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key").slice(lo, hi - lo), *(pa.array(list(c), pa.int64()) for c in columns)],
+                names=names,
+            )
 
 
-def leaks(
-    docs: DataFrame,
-    items: DataFrame,
-    window: int = WINDOW,
-    gram: int = GRAM,
-    enough: int = ENOUGH,
-) -> DataFrame:
-    """``doc_id, item_id`` of every leak, with the longest run of tokens they share."""
-    docs = own_columns(docs, "doc_id", "text")
+def _found(
+    docs: DataFrame, items: DataFrame, window: int, gram: int, enough: int
+) -> tuple[DataFrame, DataFrame]:
+    """The runs of documents and classes, and ``item_id, template, words`` of all items."""
+    docs = own_columns(docs, "doc_id", "text").withColumn("text_key", F.xxhash64("text"))
     items = own_columns(items, "item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL")
     # An item may have several texts and a text several items: texts are searched, once each.
     items = store(items.distinct().withColumn("key", F.xxhash64("text")), "op2-texts")
     texts = items.select("key", "text").distinct()
-    by_key = texts.select(F.col("key").alias("id"), "text")
+    described = store(texts.mapInArrow(_describe, _CLASSES), "op2-described")
+    templates = described.groupBy("c1", "c2").agg(F.min("key").alias("template"))
+    classed = store(described.join(templates, ["c1", "c2"]).select("key", "template", "words"), "op2-classes")
+    members = store(items.select("item_id", "key").join(classed, "key").drop("key"), "op2-members")
+    # One text stands for its class.
+    shown = texts.join(classed.where("key = template").select("key"), "key")
+    by_key = store(shown.select(F.col("key").alias("id"), "text"), "op2-shown")
     marks = _anchors(by_key, window, gram, whole=True).distinct()
-    marks = store(marks.select(F.col("id").alias("key"), "h"), "op2-items")
+    marks = store(marks.select(F.col("id").alias("template"), "h"), "op2-items")
     short = _anchors(by_key, window, gram, whole=True).join(
         _anchors(by_key, window, gram, whole=False), ["id", "h"], "left_anti"
     )
     bits = _bits(short)
-    found = _anchors(docs.select(F.col("doc_id").alias("id"), "text"), window, gram, False, bits)
-    pairs = found.join(marks, "h").select(F.col("id").alias("doc_id"), "key").distinct()
+    # Rows that share an id are told apart by the text they come with.
+    keyed = docs.where("doc_id IS NOT NULL").select(F.struct("doc_id", "text_key").alias("id"), "text")
+    found = _anchors(keyed, window, gram, False, bits, "struct<doc_id:bigint,text_key:bigint>")
+    pairs = found.join(marks, "h").select("id.doc_id", "id.text_key", "template").distinct()
     pairs = store(pairs, "op2-pairs")
-    wanted = pairs.join(texts, "key").groupBy("doc_id").agg(
-        F.collect_list(F.struct("key", F.col("text").alias("item"))).alias("items")
-    )
+    wanted = pairs.join(by_key.toDF("template", "item"), "template")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.bool_()]
+        kinds = [pa.int64()] * 3 + [pa.int32()] * 4 + [pa.int64(), pa.bool_()]
         names = [c.split()[0] for c in _FOUND.split(", ")]
+        text = own = None
         for batch in batches:
             rows = []
             for row in batch.to_pylist():
-                texts = _templates_of([row["text"], *[x["item"] for x in row["items"]]])
-                for k, own in enumerate(row["items"], 1):
-                    runs = [
-                        _leak(texts.form(f, 0), texts.form(f, k), window, gram, enough)
-                        for f in range(FORMS)
-                    ]
-                    best = max(filter(None, runs), default=None, key=lambda run: (run[0], run[4]))
-                    if best:
-                        rows.append((row["doc_id"], own["key"], *best))
+                if row["text"] != text:  # its candidates mostly follow each other
+                    text, own = row["text"], _templates_of([row["text"]])
+                item = _templates_of([row["item"]])
+                runs = [
+                    _leak(own.form(f, 0), item.form(f, 0), window, gram, enough) for f in range(FORMS)
+                ]
+                best = max(filter(None, runs), default=None, key=lambda run: (run[0], not run[4]))
+                if best:
+                    n, begin, start, slots, exact = best
+                    written, whole = own.form(1, 0)[1], len(item.form(1, 0)[1])
+                    # Word for word only if all of the item is there.
+                    words = _words_hash(written[begin : begin + n]) if n == whole and start == 0 else None
+                    ids = row["doc_id"], row["text_key"], row["template"]
+                    rows.append((*ids, n, begin, start, slots, words, exact))
             columns = list(zip(*rows)) if rows else [[]] * len(names)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)], names=names
             )
 
-    joined = docs.where("text IS NOT NULL").join(wanted, "doc_id")
-    result = joined.mapInArrow(compare, _FOUND)
-    run = F.struct(*result.columns[2:])
-    result = result.select("doc_id", "key", run.alias("run")).join(items.select("item_id", "key"), "key")
-    longest = F.max_by("run", F.struct("run.n_tokens", "run.verbatim", "run.doc_start"))
-    return result.groupBy("doc_id", "item_id").agg(longest.alias("run")).select(
+    joined = docs.where("text IS NOT NULL").join(wanted, ["doc_id", "text_key"])
+    return store(joined.mapInArrow(compare, _FOUND).distinct(), "op2-found"), members
+
+
+def template_leaks(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM, enough: int = ENOUGH
+) -> DataFrame:
+    """One row for each document and class of items that it leaks, with the run they share.
+
+    ``item_id`` is the smallest of the class, ``n_items`` how many it has; ``verbatim`` says
+    whether the document has one of them word for word.
+    """
+    found, members = _found(docs, items, window, gram, enough)
+    classes = members.groupBy("template").agg(
+        F.min("item_id").alias("item_id"), F.count_distinct("item_id").alias("n_items")
+    )
+    exact = members.groupBy("template", "words").agg(F.min("item_id").alias("of"))
+    marked = found.join(exact, ["template", "words"], "left").join(classes, "template")
+    marked = marked.withColumn("verbatim", F.col("of").isNotNull()).where("verbatim OR NOT exact")
+    item = F.when(F.col("exact"), F.col("of")).otherwise(F.col("item_id")).alias("item_id")
+    return marked.select("doc_id", "text_key", item, "n_items", *_RUN, "verbatim")
+
+
+def leaks(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM, enough: int = ENOUGH
+) -> DataFrame:
+    """``doc_id, item_id`` of every leak, with the longest run of tokens they share.
+
+    This writes out all items of each class; ``template_leaks`` does not.
+    """
+    found, members = _found(docs, items, window, gram, enough)
+    each = found.withColumnRenamed("words", "seen").join(members, "template")
+    each = each.withColumn("verbatim", F.coalesce(F.col("seen") == F.col("words"), F.lit(False)))
+    each = each.where("verbatim OR NOT exact")
+    run = F.struct(*_RUN, "verbatim")
+    longest = F.max_by(run, F.struct("n_tokens", "verbatim", "doc_start"))
+    return each.groupBy("doc_id", "item_id").agg(longest.alias("run")).select(
         "doc_id", "item_id", "run.*"
     )
 
 
 def op2_templates(spark, sf_dir: str) -> DataFrame:
-    """Every document of ``documents`` that leaks an item of ``benchmark``, with the item."""
-    return leaks(
+    """Every document of ``documents`` that leaks items of ``benchmark``, with their class."""
+    found = template_leaks(
         spark.read.parquet(f"{sf_dir}/documents.parquet"),
         spark.read.parquet(f"{sf_dir}/benchmark.parquet"),
     )
+    return found.drop("text_key")

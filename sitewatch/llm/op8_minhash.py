@@ -387,11 +387,12 @@ def near_duplicates(
     block: int = BLOCK,
     few: int = FEW,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every document, ``text_key`` and ``stays``.
+    """``doc_id, n_shingles, component_id, kept, text_key, stays, many`` of every document.
 
     ``component_id`` is the smallest ``doc_id`` of the component, which ``kept`` says it has.
     Rows that share it are told apart by ``text_key``, the hash of their text: of a component
-    only those with the smallest ``(doc_id, text_key)`` have ``stays``.
+    only those with the smallest ``(doc_id, text_key)`` have ``stays``. ``many`` says whether it
+    may have more than one row.
     """
     numbered = signatures(docs, words, pieces, rows).withColumn("row", F.monotonically_increasing_id())
     signed_docs = store(numbered, "op8-signatures")
@@ -443,19 +444,20 @@ def near_duplicates(
     )
     together = placed.where("many").join(store(firsts, "op8-firsts"), "component").select(
         "doc_id", "text_key", "n_shingles", F.col("first.doc_id").alias("component_id"),
-        (F.struct("doc_id", "text_key") == F.col("first")).alias("stays"),
+        (F.struct("doc_id", "text_key") == F.col("first")).alias("stays"), "many",
     )
     alone = placed.where(~F.col("many")).select(
-        "doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("stays")
+        "doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("stays"),
+        "many",
     )
     return alone.union(together).select(
         "doc_id", "n_shingles", "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
-        "text_key", "stays",
+        "text_key", "stays", "many",
     )
 
 
 def op8_minhash(spark, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document."""
     found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return found.drop("text_key", "stays")
+    return found.drop("text_key", "stays", "many")

@@ -213,6 +213,30 @@ def test_every_text_of_an_item_and_short_items_are_searched(spark):
     assert _leaks(spark, docs, items) == {(1, 1), (1, 2), (2, 1), (3, 3), (4, 3)}
 
 
+def test_items_of_one_template_are_one_class(spark):
+    """400 documents and 400 items of one template meet once, not 160,000 times."""
+    made = lambda a, b: f"a farmer near the old mill sold {a} sheep and {b} goats to the butcher before noon"
+    items = [(i, made(i + 3, i + 5)) for i in range(400)] + [(1_000, made(7, 7))]
+    docs = [(i, "Well. " + made(i + 203, i + 205)) for i in range(400)] + [(900, made(9, 9)), (901, "x")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string").withColumn("rank", F.lit(1))
+    items = spark.createDataFrame(items, "item_id long, text string")
+    rows = op2_templates.template_leaks(docs, items).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_items) for r in rows) == [(i, 0, 400) for i in range(400)] + [(900, 1_000, 1)]
+    assert {r.doc_id for r in rows if r.verbatim} == set(range(200))
+    pairs = op2_templates.leaks(docs.where("doc_id IN (0, 300, 900)"), items)
+    assert pairs.groupBy("doc_id").count().orderBy("doc_id").collect() == [(0, 400), (300, 400), (900, 1)]
+    assert [tuple(r) for r in pairs.where("verbatim").select("doc_id", "item_id").collect()] == [(0, 200)]
+
+
+def test_short_items_of_few_words_leak_word_for_word(spark):
+    items = [(1, "add 3 and 4"), (2, "add 5 and 6"), (3, "What is the capital of France?")]
+    docs = [(1, "Please add 5 and 6 now"), (2, "Please add 9 and 8 now"), (3, "What is the capital of Spain? Hm")]
+    assert _leaks(spark, docs, items) == {(1, 2), (3, 3)}
+    docs, items = (spark.createDataFrame(x, f"{k}_id long, text string") for x, k in ((docs, "doc"), (items, "item")))
+    rows = op2_templates.template_leaks(docs, items).collect()
+    assert sorted((r.doc_id, r.item_id, r.verbatim) for r in rows) == [(1, 2, True), (3, 3, False)]
+
+
 def test_benchmark_passages_are_found(spark):
     docs, items = read(spark, "documents", "0.01"), read(spark, "benchmark", "0.01")
 
