@@ -1,9 +1,12 @@
 """Stages of the pipeline against brute force."""
 
+import os
+from collections import Counter
 from itertools import combinations
 
 import corpus_pipeline
-from tests.llm.edge import PROSE, read
+from sitewatch.session import shared_dir
+from tests.llm.edge import PROSE, edge, read
 from tests.llm.test_repeats import _kept
 
 STAGES = dict(corpus_pipeline.STAGES)
@@ -74,3 +77,46 @@ def test_decontamination_drops_what_shares_ten_words(spark):
     kept = {r.doc_id for r in docs.collect() if not runs(r.text) & known}
     stage = STAGES["benchmark decontamination"]
     assert {r.doc_id for r in stage(spark, docs, "/root/testdata/sf0.01").collect()} == kept
+
+
+def _three_texts(spark):
+    t, u, v = (" ".join(f"{c}{k}" for k in range(40)) for c in "tuv")
+    rows = [(0, t, 0.5), (5, t, 1.5), (5, u, 2.5), (7, v, 3.5), (7, v, 3.5)]
+    return t, u, v, spark.createDataFrame(rows, "doc_id long, text string, score double")
+
+
+def test_near_duplicates_keep_every_text_of_a_shared_id_once(spark):
+    t, u, v, docs = _three_texts(spark)
+    left = STAGES["MinHash near-dedup"](spark, docs, "").collect()
+    assert sorted(map(tuple, left)) == [(0, t, 0.5), (5, u, 2.5), (7, v, 3.5)]
+
+
+def test_stages_carry_all_columns_of_edge_rows(spark):
+    """Clashing extra columns go through unchanged, and an empty table stays one."""
+    docs, sf_dir = edge(spark), "/root/testdata/sf0.001"
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    before = Counter(repr(tuple(r)) for r in docs.select("doc_id", *others).collect())
+    for name, stage in list(STAGES.items())[:-1]:
+        left = stage(spark, docs, sf_dir)
+        assert left.columns == docs.columns, name
+        rows = left.collect()
+        assert rows and not Counter(repr(tuple(r[c] for c in ["doc_id", *others])) for r in rows) - before, name
+        if name == "substring dedup":
+            assert len(rows) == docs.count()
+        assert stage(spark, docs.limit(0), sf_dir).count() == 0, name
+
+
+def test_decontamination_drops_the_text_that_leaks_only(spark):
+    item = read(spark, "benchmark").first().text
+    docs = spark.createDataFrame([(1, "so " + item), (1, "a clean text"), (2, None)], "doc_id long, text string")
+    left = STAGES["benchmark decontamination"](spark, docs, "/root/testdata/sf0.001").collect()
+    assert sorted((r.doc_id, r.text or "") for r in left) == [(1, "a clean text"), (2, "")]
+
+
+def test_run_removes_what_stages_keep_for_themselves(spark, tmp_path):
+    before = set(os.listdir(f"{shared_dir(spark)}/sitewatch"))
+    corpus_pipeline.run(spark, "/root/testdata/sf0.001").count()
+    new = set(os.listdir(f"{shared_dir(spark)}/sitewatch")) - before
+    assert {n.rsplit("-", 1)[0] for n in new} == {
+        "pipeline-language-ID", "pipeline-MinHash-near-dedup", "pipeline-substring-dedup",
+        "pipeline-benchmark-decontamination", "op9-stream", "op9-records", "op9-joined"}
