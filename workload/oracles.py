@@ -78,6 +78,33 @@ _EMITTED = (
 )
 _LOADED = " AND url IN (SELECT src_url FROM site_links)"
 
+# The site of indexes: its links, all URLs as a browser writes them.
+_PORTAL = f"""{_NAMES},
+each AS (
+  SELECT DISTINCT '{_SITE}/#!/' || CASE WHEN url LIKE 'https:%' THEN path ELSE replace(path, '/', '_') END AS url,
+         unnest(names) AS name, unnest(enc) AS enc
+  FROM (SELECT *, rtrim(regexp_extract(url, '^[a-z]+://[^/]+/(.*)$', 1), '/') AS path FROM encoded)
+),
+parts AS (SELECT name, CAST(ceil(count(*) / 100) AS BIGINT) AS parts FROM each GROUP BY name),
+dealt AS (
+  SELECT e.url, '{_SITE}/#!/t/' || enc AS idx,
+         '{_SITE}/#!/t/' || enc || '/' || (('0x' || substr(md5(url), 1, 8))::BIGINT % parts) AS part
+  FROM each e JOIN parts USING (name)
+),
+portal_links AS (
+  SELECT url AS src_url, idx AS dst_url FROM dealt
+  UNION SELECT part, url FROM dealt
+  UNION SELECT idx, part FROM dealt
+  UNION SELECT '{_SITE}/#!', '{_SITE}/#!/t/' || enc FROM each WHERE name = (SELECT min(name) FROM each)
+),
+reached(url, depth) USING KEY (url) AS (
+  SELECT '{_SITE}/#!', 0
+  UNION
+  SELECT DISTINCT l.dst_url, v.depth + 1
+  FROM reached v JOIN portal_links l ON l.src_url = v.url
+  WHERE l.dst_url NOT IN (SELECT url FROM recurring.reached)
+)"""
+
 # The path of each page without its host, as an id.
 _CRAWLED = """
 crawled AS (
@@ -322,6 +349,15 @@ ORACLES = {
         SELECT id, url, true AS is_active, {_RUN_TS} AS last_crawled_at
         FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY depth, url) AS rn FROM emitted)
         WHERE rn = 1""",
+    "portal_pages": f"""
+        WITH RECURSIVE {_PORTAL},
+        emitted AS (
+          SELECT replace(trim(split_part(url, '#!/', 2), '/'), '/', '_') AS id, url, depth
+          FROM reached WHERE split_part(url, '#!/', 2) <> '' AND url IN (SELECT src_url FROM portal_links)
+        )
+        SELECT id, url, CASE WHEN rn = 1 THEN 'kept' ELSE 'collides' END AS outcome
+        FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY depth, url) AS rn FROM emitted)""",
+    "portal_reach": f"WITH RECURSIVE {_PORTAL} SELECT url, depth FROM reached",
     "footer_extract": f"""
         WITH {_FOOTER}
         SELECT page_id, modified_date, updated_by, responsible, full_modified_text FROM footers""",

@@ -312,6 +312,23 @@ def discover(spark, sf_dir):
     return _without_zone(snapshots.read_snapshot(spark, root, REGISTRY))
 
 
+def portal_pages(spark, sf_dir):
+    """Run A on a site where it reaches nearly all pages; those left out for their id, too."""
+    root = scratch_path(spark, "registry")
+    snapshots.create_table(spark, root, REGISTRY)
+    fetches = stand_ins.portal(spark, sf_dir)
+    found = discover_run.discover(spark, fetches, root, stand_ins.START_URL, _RUN)
+    kept = snapshots.read_snapshot(spark, root, REGISTRY).select("id", "url", F.lit("kept").alias("outcome"))
+    others = spark.read.parquet(found["collisions"]).select("id", "url", F.lit("collides").alias("outcome"))
+    return kept.unionByName(others)
+
+
+def portal_reach(spark, sf_dir):
+    """Every URL of that site with its distance."""
+    links = link_ops.site_links(stand_ins.portal(spark, sf_dir), stand_ins.START_URL, stand_ins.run_ts())
+    return reach.reach(*reach.store_links(links), stand_ins.START_URL)
+
+
 # -- observation ------------------------------------------------------------------------
 
 
@@ -485,6 +502,8 @@ QUERIES = {
     "page_id_collisions": page_id_collisions,
     "registry_upsert": registry_upsert,
     "discover": discover,
+    "portal_pages": portal_pages,
+    "portal_reach": portal_reach,
     "footer_extract": footer_extract,
     "modified_date_token": modified_date_token,
     "scrape_run": scrape_run,

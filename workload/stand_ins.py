@@ -98,3 +98,48 @@ def page_graph(links: DataFrame) -> DataFrame:
     forward = links.select(canonical_url(F.col("url")).alias("src_url"), F.col("href").alias("dst_url"))
     back = forward.select(F.col("dst_url").alias("src_url"), F.col("src_url").alias("dst_url"))
     return forward.unionByName(back)
+
+
+# Links of one page of an index; a name with more has several such pages.
+_INDEX_LINKS = 100
+
+
+def _anchors(urls):
+    return F.array_join(F.transform(urls, lambda u: F.concat(F.lit('<a href="'), u, F.lit('">x</a>'))), " ")
+
+
+def portal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetched pages of a site on which nearly every page is reached, and many ids collide.
+
+    Pages keep their path without the host; those reached by plain http write it with ``_`` for
+    ``/``, so they share ids with others. A page links to the index of each name it has a link to,
+    an index to its parts, and a part to the pages with that name. The root links to the first
+    name's index.
+    """
+    path = F.rtrim(F.regexp_extract("url", "^[a-z]+://[^/]+/(.*)$", 1), F.lit("/"))
+    own = F.when(F.col("url").startswith("https:"), path).otherwise(F.replace(path, F.lit("/"), F.lit("_")))
+    names = F.regexp_extract_all("html", F.lit('<a href="/([^"]*)"'), F.lit(1))
+    each = table(spark, sf_dir, "pages").select(
+        F.concat(F.lit(START_URL), own).alias("url"), F.explode(names).alias("name")
+    ).distinct()
+    index = F.concat(F.lit(f"{START_URL}t/"), "name")
+    of_page = each.groupBy("url").agg(F.array_sort(F.collect_set(index)).alias("targets"))
+    parts = each.groupBy("name").agg(F.ceil(F.count("*") / _INDEX_LINKS).alias("parts"))
+    number = F.conv(F.substring(F.md5("url"), 1, 8), 16, 10).cast("bigint")
+    part = F.concat(index, F.lit("/"), F.pmod(number, F.col("parts")).cast("string"))
+    dealt = each.join(parts, "name").select("name", "url", part.alias("part"))
+    # A part has about as many links as it is made for.
+    of_part = dealt.groupBy("part").agg(F.array_sort(F.collect_list("url")).alias("targets"))
+    of_index = dealt.select("name", "part").distinct().groupBy("name").agg(
+        F.array_sort(F.collect_list("part")).alias("targets")
+    )
+    of_root = each.agg(F.array(F.concat(F.lit(f"{START_URL}t/"), F.min("name"))).alias("targets"))
+    fetched = (
+        of_page.unionByName(of_part.withColumnRenamed("part", "url"))
+        .unionByName(of_index.select(index.alias("url"), "targets"))
+        .unionByName(of_root.select(F.lit(START_URL).alias("url"), "targets"))
+    )
+    return fetched.select(
+        "url", _anchors(F.col("targets")).alias("html"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00'").alias("fetched_at"),
+    )
