@@ -35,7 +35,10 @@ def shards(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED) -> DataFra
         (F.length(data) + 1).cast("long").alias("size"),
         F.crc32(data).alias("text_crc32"),
     )
-    shuffled = narrow.withColumn("mark", F.xxhash64("doc_id", "text_crc32", F.lit(seed)))
+    # The first 60 bits of a digest: shuffled alike wherever it is computed.
+    known = F.concat_ws(":", F.col("doc_id").cast("string"), F.col("text_crc32").cast("string"), F.lit(str(seed)))
+    mark = F.conv(F.substring(F.md5(known), 1, 15), 16, 10).cast("long")
+    shuffled = narrow.withColumn("mark", mark)
     ties = [F.col(c) for c in ("mark", "doc_id", "text_crc32", "size")]
     within = ranked(shuffled, [F.col("source"), *ties], "rank", by="source")
     within = store(within, "op5-within")

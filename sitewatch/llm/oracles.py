@@ -87,4 +87,40 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM documents LEFT JOIN sizes USING (doc_id) JOIN components USING (doc_id)
 """
 
-ORACLES = {"op1_repeats": _OP1, "op4_cascade": _OP4, "op8_minhash": _OP8}
+# The checksum of each text, byte by byte over the table of its polynomial.
+_CRC32 = f"""
+bits AS (
+    SELECT list(c ORDER BY i) AS t FROM (
+        SELECT i, list_reduce([i::UBIGINT] || list_transform(range(8), lambda k: 0::UBIGINT),
+                              lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) AS c
+        FROM range(256) r(i))
+),
+sums AS (
+    SELECT doc_id, source, strlen({_TEXT}) + 1 AS size,
+           xor(list_reduce([4294967295::UBIGINT]
+                             || list_transform(regexp_extract_all(hex(encode({_TEXT})), '..'), lambda h: ('0x' || h)::UBIGINT),
+                           lambda c, x: xor(c >> 8, t[((xor(c, x) & 255) + 1)::BIGINT])), 4294967295::UBIGINT)::BIGINT AS text_crc32
+    FROM documents, bits
+)"""
+
+_OP5 = f"""
+WITH {_CRC32},
+marked AS (
+    SELECT *, ('0x' || substr(md5(concat_ws(':', doc_id, text_crc32, 5)), 1, 15))::BIGINT AS mark FROM sums
+),
+within AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY mark, doc_id, text_crc32, size) - 1 AS rank,
+           count(*) OVER (PARTITION BY source) AS rows
+    FROM marked
+),
+placed AS (
+    SELECT *, row_number() OVER (ORDER BY (2 * rank + 1)::DOUBLE / rows, source NULLS FIRST, mark, doc_id, text_crc32, size) - 1 AS place,
+           count(*) OVER () AS total
+    FROM within
+)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(place * 16 // total AS INTEGER) AS shard,
+       place - (place * 16 // total * total + 15) // 16 AS slot, CAST(NULL AS INTEGER) AS grown_shard, source
+FROM placed
+"""
+
+ORACLES = {"op1_repeats": _OP1, "op4_cascade": _OP4, "op5_sharding": _OP5, "op8_minhash": _OP8}

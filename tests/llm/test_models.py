@@ -2,6 +2,7 @@ import math
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -105,6 +106,22 @@ def test_url_rules(spark):
     assert op10_urls.judge(pages.limit(0)).count() == 0
 
 
+def test_url_rules_are_those_of_sql(spark):
+    sql = """
+        WITH parts AS (
+          SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 1, 's'),
+                                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 2, 's') AS path
+          FROM '/root/testdata/sf0.1/pages.parquet'
+        ),
+        rules(h, p) AS (VALUES ('net', '/'), ('example.net', '/en/'), ('example.com', '/de/'), ('org', '/fr/'))
+        SELECT page_id, host, path, arg_max(h || p, length(h || p))
+        FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+        GROUP BY ALL"""
+    got = op10_urls.match(read(spark, "pages", "0.1")).select("page_id", "host", "path", "rule").collect()
+    assert sorted(map(tuple, got)) == sorted(duckdb.sql(sql).fetchall())
+
+
 def test_url_models_agree_with_unseen_rules(spark):
     matched = op10_urls.match(read(spark, "pages", "0.1").select("page_id", "url"))
     learned = op10_urls.train(matched.where("page_id % 2 = 0"))

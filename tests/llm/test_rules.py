@@ -1,3 +1,4 @@
+import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -96,6 +97,35 @@ def test_shards(make, n, spark):
     assert max(sizes) - min(sizes) <= 1 and sum(sizes) == len(rows)
 
 
+def _order(rows, n, seed=5):
+    """Shard and slot of each row, by sorting all rows twice."""
+    own = []
+    for r in rows:
+        data = (r.text or "").encode()
+        known = ":".join(str(x) for x in (r.doc_id, zlib.crc32(data), seed) if x is not None)
+        mark = int(hashlib.md5(known.encode()).hexdigest()[:15], 16)
+        own.append((r.source, (mark, r.doc_id or -1, zlib.crc32(data), len(data) + 1), r.doc_id))
+    by_source, placed = defaultdict(list), []
+    for source, tie, doc_id in sorted(own, key=lambda x: x[1]):
+        by_source[source].append((tie, doc_id))
+    for source, rest in by_source.items():
+        placed += [((2 * k + 1) / len(rest), source is not None, source or "", tie, doc_id) for k, (tie, doc_id) in enumerate(rest)]
+    placed.sort(key=lambda x: x[:4])
+    shards = [(k * n // len(placed), doc_id, tie) for k, (*_, tie, doc_id) in enumerate(placed)]
+    seen, out = Counter(), []
+    for shard, doc_id, tie in shards:
+        out.append((doc_id, tie[2], tie[3], shard, seen[shard]))
+        seen[shard] += 1
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("make, n", [(edge, 16), (edge, 3), (lambda spark: read(spark, "documents", "0.01"), 16)])
+def test_shards_follow_the_order_of_fractional_ranks(make, n, spark):
+    docs = make(spark)
+    got = [(r.doc_id, r.text_crc32, r["size"], r.shard, r.slot) for r in op5_sharding.shards(docs, n).collect()]
+    assert sorted(got, key=repr) == _order(docs.collect(), n)
+
+
 def test_shards_have_the_mixture(spark):
     rows = op5_sharding.shards(read(spark, "documents", "0.1")).collect()
     mix, total = Counter((r.shard, r.source) for r in rows), Counter(r.source for r in rows)
