@@ -81,9 +81,10 @@ _LOADED = " AND url IN (SELECT src_url FROM site_links)"
 # The site of indexes: its links, all URLs as a browser writes them.
 _PORTAL = f"""{_NAMES},
 each AS (
-  SELECT DISTINCT '{_SITE}/#!/' || CASE WHEN url LIKE 'https:%' THEN path ELSE replace(path, '/', '_') END AS url,
+  SELECT DISTINCT '{_SITE}/#!/' || regexp_extract(url, '^[a-z]+://[^/]+/(.*)$', 1) || '/#!/'
+                    || regexp_extract(url, '^[a-z]+://([^/]+)/', 1) AS url,
          unnest(names) AS name, unnest(enc) AS enc
-  FROM (SELECT *, rtrim(regexp_extract(url, '^[a-z]+://[^/]+/(.*)$', 1), '/') AS path FROM encoded)
+  FROM encoded
 ),
 parts AS (SELECT name, CAST(ceil(count(*) / 100) AS BIGINT) AS parts FROM each GROUP BY name),
 dealt AS (

@@ -319,6 +319,8 @@ def portal_pages(spark, sf_dir):
     fetches = stand_ins.portal(spark, sf_dir)
     found = discover_run.discover(spark, fetches, root, stand_ins.START_URL, _RUN)
     kept = snapshots.read_snapshot(spark, root, REGISTRY).select("id", "url", F.lit("kept").alias("outcome"))
+    if not found["collisions"]:
+        return kept
     others = spark.read.parquet(found["collisions"]).select("id", "url", F.lit("collides").alias("outcome"))
     return kept.unionByName(others)
 

@@ -109,15 +109,15 @@ def _anchors(urls):
 
 
 def portal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fetched pages of a site on which nearly every page is reached, and many ids collide.
+    """Fetched pages of a site on which nearly every page is reached, and ids collide.
 
-    Pages keep their path without the host; those reached by plain http write it with ``_`` for
-    ``/``, so they share ids with others. A page links to the index of each name it has a link to,
-    an index to its parts, and a part to the pages with that name. The root links to the first
+    A page has its path first and its host behind a second marker, which ids leave out, so pages
+    of one path on several hosts share an id. A page links to the index of each name it has a link
+    to, an index to its parts, and a part to the pages with that name. The root links to the first
     name's index.
     """
-    path = F.rtrim(F.regexp_extract("url", "^[a-z]+://[^/]+/(.*)$", 1), F.lit("/"))
-    own = F.when(F.col("url").startswith("https:"), path).otherwise(F.replace(path, F.lit("/"), F.lit("_")))
+    host = F.regexp_extract("url", "^[a-z]+://([^/]+)/", 1)
+    own = F.concat(F.regexp_extract("url", "^[a-z]+://[^/]+/(.*)$", 1), F.lit("/#!/"), host)
     names = F.regexp_extract_all("html", F.lit('<a href="/([^"]*)"'), F.lit(1))
     each = table(spark, sf_dir, "pages").select(
         F.concat(F.lit(START_URL), own).alias("url"), F.explode(names).alias("name")
