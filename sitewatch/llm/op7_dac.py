@@ -8,7 +8,8 @@ block is decoded for it.
 
 A table is a Parquet folder in ascending ``doc_id`` order. A row is one segment, with the ids of
 whole documents: ``part``, ``at`` (its place in the part), ``doc_ids``, ``counts``, ``codes``.
-``codes`` is the image that ``DacReader`` opens. Its layout, all little-endian: the number of ids
+``codes`` is the image that ``DacReader`` opens; ``look_up`` finds any ids of the whole table, by
+their place or, with ``places_of``, by document. Its layout, all little-endian: the number of ids
 (8 bytes) and of levels (4), then for each level the number of its chunks (8), the chunks,
 the bitmap in whole bytes, lowest bit first, and a 4-byte count for each 512 bits.
 
@@ -35,6 +36,10 @@ from sitewatch.session import scratch_path
 END_ID = 0
 _RANK_BITS = 512
 
+# Places for one row of the index, and for one opening of a segment.
+_BLOCK = 1 << 20
+_NEAR = 1 << 16
+
 _SEGMENTS = (
     "part long, at long, n_ids long, doc_ids array<long>, counts array<long>, codes binary"
 )
@@ -162,14 +167,77 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     segments = spark.read.schema(_SEGMENTS).parquet(path)
+    docs = segments.select("part", "at", "doc_ids", "counts", "codes").mapInArrow(decode, _DOCS)
+    return docs.join(_bases(segments), "part").select(
+        "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32"
+    )
+
+
+def _bases(segments: DataFrame) -> DataFrame:
+    """The place at which each part begins, to be broadcast."""
     # One row of two numbers for each task that wrote; the parts are in doc_id order.
     totals = segments.groupBy("part").agg(F.sum("n_ids").alias("total"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    docs = segments.select("part", "at", "doc_ids", "counts", "codes").mapInArrow(decode, _DOCS)
-    return docs.join(F.broadcast(bases), "part").select(
-        "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32"
+    return F.broadcast(bases)
+
+
+def places_of(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """``wanted (doc_id, nth)`` with the ``place`` of a document's nth id in the whole table.
+
+    A document that is not there, or shorter, gives no row; of several with one id each does.
+    """
+    segments = spark.read.schema(_SEGMENTS).parquet(path)
+    ends = F.transform(
+        F.sequence(F.lit(1), F.size("counts")),
+        lambda k: F.aggregate(F.slice("counts", 1, k), F.lit(0).cast("long"), lambda a, n: a + n),
     )
+    docs = segments.join(_bases(segments), "part").select(
+        (F.col("base") + F.col("at")).alias("start"),
+        F.explode(F.arrays_zip(F.col("doc_ids").alias("id"), F.col("counts").alias("n"), ends.alias("end"))).alias("d"),
+    )
+    docs = docs.select(F.col("d.id").alias("doc_id"), F.col("d.n").alias("n"), (F.col("start") + F.col("d.end") - F.col("d.n")).alias("start"))
+    return (
+        wanted.join(docs, "doc_id")
+        .where((F.col("nth") >= 0) & (F.col("nth") < F.col("n")))
+        .select("doc_id", "nth", (F.col("start") + F.col("nth")).alias("place"))
+    )
+
+
+def look_up(spark: SparkSession, path: str, places: DataFrame) -> DataFrame:
+    """``place, id``: the id at each ``place`` of the whole table, NULL where there is none.
+
+    Places are joined with the segments by blocks of ``_BLOCK`` places, so only the rows of an
+    index move, and each wanted segment is opened, not decoded. Places of one segment are dealt out
+    by their neighbourhoods, so a hot one is many tasks'.
+    """
+    segments = spark.read.schema(_SEGMENTS).parquet(path)
+    index = segments.join(_bases(segments), "part").where("n_ids > 0").select(
+        "part", "at", "n_ids", (F.col("base") + F.col("at")).alias("start")
+    )
+    block = lambda place: F.floor(place / _BLOCK)
+    last = F.col("start") + F.col("n_ids") - 1
+    index = index.withColumn("block", F.explode(F.sequence(block(F.col("start")), block(last))))
+    own = F.col("place") - F.col("start")
+    asked = places.select("place").distinct().withColumn("block", block(F.col("place")))
+    found = asked.join(index, "block").where((own >= 0) & (own < F.col("n_ids")))
+    dealt = found.select("part", "at", "start", own.alias("nth")).groupBy(
+        "part", "at", "start", F.floor(F.col("nth") / _NEAR).alias("near")
+    ).agg(F.collect_list("nth").alias("nth"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                reader = DacReader(row["codes"])
+                ids = [reader[k] for k in row["nth"]]
+                at = [row["start"] + k for k in row["nth"]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at, pa.int64()), pa.array(ids, pa.int64())], names=["place", "id"]
+                )
+
+    opened = dealt.join(segments.select("part", "at", "codes"), ["part", "at"])
+    known = opened.select("start", "nth", "codes").mapInArrow(read, "place long, id long")
+    return places.select("place").join(known, "place", "left")
 
 
 def op7_dac(spark, sf_dir: str) -> DataFrame:

@@ -63,6 +63,41 @@ def test_token_files(make, spark, tmp_path):
     assert sorted(got, key=lambda r: r[1]) == expected
 
 
+@pytest.mark.parametrize("make", [edge, lambda spark: read(spark, "documents")])
+def test_any_id_of_the_table_is_found(make, spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(op7_dac, "SLICE_BYTES", 20_000)
+    monkeypatch.setattr(op7_dac, "_BLOCK", 700)
+    monkeypatch.setattr(op7_dac, "_NEAR", 50)
+    path = str(tmp_path / "t")
+    op7_dac.write_tokens(make(spark).repartition(5), path)
+    rows = sorted(op7_dac.read_tokens(spark, path).collect(), key=lambda r: r.start)
+    texts = {(r.doc_id, _crc(ids)): ids for r, ids in zip(make(spark).collect(), _encoded(BYTE_BPE, make(spark).collect(), 0))}
+    stream = [k for r in rows for k in texts[r.doc_id, r.ids_crc32]]
+    asked = [*range(0, len(stream), 7), len(stream) - 1, len(stream), -1, 10**12, 0, 0]
+    places = spark.createDataFrame([(k,) for k in asked], "place long")
+    got = op7_dac.look_up(spark, path, places).collect()
+    expected = [(k, stream[k] if 0 <= k < len(stream) else None) for k in asked]
+    assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
+    wanted = [(r.doc_id, n) for r in rows for n in (0, r.n_tokens // 2, r.n_tokens - 1, r.n_tokens)] + [(10**9, 0)]
+    wanted = spark.createDataFrame(wanted, "doc_id long, nth long").distinct()
+    found = {tuple(r) for r in op7_dac.places_of(spark, path, wanted).collect()}
+    asked = {tuple(r) for r in wanted.collect()}
+    assert found == {(r.doc_id, n, r.start + n) for r in rows for d, n in asked if d == r.doc_id is not None and n < r.n_tokens}
+
+
+def test_a_hot_id_is_many_parts(spark, tmp_path):
+    docs = [(1 if k % 2 else k, f"text {k}") for k in range(4_000)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        op7_dac.write_tokens(docs, str(tmp_path / "t"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = spark.read.parquet(str(tmp_path / "t")).groupBy("part").agg({"n_ids": "sum"}).toDF("part", "n").collect()
+    sizes = sorted(r.n for r in sizes)
+    assert len(sizes) == 4 and sizes[-1] <= 2 * sizes[1]
+
+
 @pytest.mark.parametrize("make", [edge, lambda spark: read(spark, "documents")])
 def test_packing_cuts_one_stream(make, spark):
     docs = make(spark).repartition(6)
