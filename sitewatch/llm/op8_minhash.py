@@ -1,9 +1,9 @@
 """Near-duplicate documents by MinHash with tensored banding, confirmed on full sets.
 
 Two collections of ``PIECES`` pieces, each piece ``ROWS`` minhashes, are computed for a document.
-Every pair of a piece of the first and one of the second is a table key: 400 tables of eight
-minhashes from 160 instead of 3,200 of them. Two documents of similarity s meet in some table with
-probability (1 - (1 - s^ROWS)^PIECES)^2, 0.9999 at 0.8; a half do at 0.47.
+Every pair of a piece of the first and one of the second is a table key: 196 tables of six
+minhashes from 84 instead of 1,176 of them. Two documents of similarity s meet in some table with
+probability (1 - (1 - s^ROWS)^PIECES)^2, 0.9999 at 0.8; a half do at 0.44.
 
 1. Documents with equal shingle sets are one class, found by a 128-bit fingerprint and the size,
    numbered by its first row. Copies end here, however many there are.
@@ -12,9 +12,9 @@ probability (1 - (1 - s^ROWS)^PIECES)^2, 0.9999 at 0.8; a half do at 0.47.
 3. In each table bucket all members are compared with the most central one, the class whose
    pieces are the most frequent. The exact similarity comes from the full sets.
 4. Components of the links found. A bucket whose members are all in one component is done, as a
-   further link could not change it. In the others it is counted how many of a class's shingles
-   occur in any other component at all: a class with too few for 80 percent has no link there and
-   leaves the bucket. A heavily edited copy mostly goes this way, in linear time.
+   further link could not change it. Of the classes in others it is counted how many of their
+   shingles any other component has at all: a class with too few for 80 percent has no further
+   link. A heavily edited copy mostly goes this way, in linear time.
 5. What is left is decided exactly. Of a class's shingles, put in one order for all, those of its
    own component first and then by how rare they are, two linked classes share one among the first
    20 percent. Classes that do are compared: pairs, where few share a shingle; where many do, blocks
@@ -41,8 +41,8 @@ from sitewatch.llm.common import Words, mix, ngrams, own_columns, signed, store,
 from sitewatch.llm.components import components, merged
 
 WORDS = 4
-PIECES = 20
-ROWS = 4
+PIECES = 14
+ROWS = 3
 PERCENT = 80
 BLOCK = 500_000
 FEW = 50
@@ -209,16 +209,17 @@ def _could_link(a: str, b: str, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _mixed(placed: DataFrame) -> DataFrame:
-    """The rows of ``placed`` in buckets that hold several components, with the largest one."""
-    by_component = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
+def _open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """``id, n, component`` of the classes in buckets that hold several components."""
+    placed = members.join(found, "id", "left").select(
+        "key", "id", "n", F.coalesce("component", "id").alias("component")
+    )
     mixed = (
-        by_component.groupBy("key")
-        .agg(F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("top"))
-        .where("parts > 1")
-        .select("key", F.col("top.component").alias("top"))
+        placed.groupBy("key")
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .where("lo < hi")
     )
-    return placed.drop("top").join(mixed, "key")
+    return placed.join(mixed.select("key"), "key").select("id", "n", "component").distinct()
 
 
 def _unpacked(classes: DataFrame, sets: DataFrame) -> DataFrame:
@@ -249,15 +250,15 @@ def _common(shingles: DataFrame) -> DataFrame:
     return counted.where("lo < hi").select("shingle", "often")
 
 
-def _with_shared(rest: DataFrame, sets: DataFrame) -> DataFrame:
-    """``rest`` with ``shared``: how many of a class's shingles another component has, too.
+def _able(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The classes of whose shingles enough are in other components, too.
 
-    No class of another component can have more than these in common with it.
+    A class of another component has no more than these in common with one.
     """
-    shingles = _unpacked(rest.select("id", "n", "component").distinct(), sets)
-    common = _common(shingles).select("shingle")
-    shared = shingles.join(common, "shingle").groupBy("id").agg(F.count("*").alias("shared"))
-    return rest.drop("shared").join(shared, "id")
+    shingles = _unpacked(classes, sets)
+    shared = shingles.join(_common(shingles).select("shingle"), "shingle")
+    counted = shared.groupBy("id", "n", "component").agg(F.count("*").alias("shared"))
+    return counted.where(100 * F.col("shared") >= percent * F.col("n")).drop("shared")
 
 
 def _first_shingles(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -330,20 +331,10 @@ def _late_links(
     members: DataFrame, found: DataFrame, sets: DataFrame, percent: int, block: int, few: int
 ) -> DataFrame:
     """Links ``(a, b)`` between components that met in a bucket: at least one for each two linked."""
-    placed = members.join(found, "id", "left").select(
-        "key", "id", "n", F.coalesce("component", "id").alias("component")
-    )
-    rest = store(_mixed(placed), "op8-mixed")
+    classes = store(_open(members, found), "op8-open")
     # Twice, as what the first pass rules out no longer shares anything with the others.
     for _ in range(2):
-        counted = store(_with_shared(rest, sets), "op8-shared")
-        # The smallest partner there is, or the one that is all in common.
-        least = counted.groupBy("key").agg(F.min("n").alias("least"))
-        union = F.col("n") + F.greatest("least", "shared") - F.col("shared")
-        able = counted.join(least, "key").where(100 * F.col("shared") >= percent * union)
-        rest = store(_mixed(able.drop("least")), "op8-mixed")
-
-    classes = store(rest.select("id", "n", "component").distinct(), "op8-open")
+        classes = store(_able(classes, sets, percent), "op8-able")
     first = store(_first_shingles(classes, sets, percent), "op8-first")
     # The same classes often share several shingles: one of these is enough.
     who = F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("who")
