@@ -19,8 +19,9 @@ repaired row, ``report`` one for each conversation. Its SHA-256 of a conversatio
 segments is fed by one task in order, a segment at a time, as such a sum can't be split.
 
 Defined cases: a NULL text, role or part of the key counts as one space; a NULL ``conv_id`` is a
-conversation of its own; rows of equal turn are taken by role, then text; other columns are not
-read; an empty table gives no row; conversations without rows have zeros and empty texts.
+conversation of its own; rows of equal turn are taken by role, then text, as far as the first
+``SHOWN`` characters of each tell them apart, then by a hash of both; other columns are not read; an
+empty table gives no row; conversations without rows have zeros and empty texts.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ from sitewatch.llm.common import own_columns, store
 BLOCK = 4
 SEGMENT_ROWS = 16_384
 SEGMENT_BYTES = 4 << 20
+SHOWN = 100
 
 # The pattern's states: nothing yet, after s, after u, after a. Which role comes next, and then.
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -234,9 +236,9 @@ def damaged(rows: DataFrame) -> DataFrame:
 
 
 def faults(rows: DataFrame) -> DataFrame:
-    """The stored rows with ``fault``: blank, duplicate, truncated or NULL, and a number of their own.
+    """The stored rows with ``fault``: blank, duplicate, truncated or NULL.
 
-    A row is a duplicate unless it is the first in its conversation with its role and text.
+    Each has a hash ``same`` of its role and text, and a ``number`` of its own. A row is a duplicate unless it is the first in its conversation with its role and text.
     """
     rows = own_columns(rows, "conv_id", "turn", "role", "text")
     rows = rows.fillna(" ", ["role", "text"])
@@ -259,7 +261,7 @@ def faults(rows: DataFrame) -> DataFrame:
         .when(place > F.col("earliest"), F.lit("duplicate"))
         .when(~end.rlike("[.!?]"), F.lit("truncated"))
     )
-    return found.select("conv_id", "turn", "role", "text", "number", fault.alias("fault"))
+    return found.select("conv_id", "turn", "role", "text", "same", "number", fault.alias("fault"))
 
 
 def _rows_of(schema: str, kinds: list[pa.DataType]):
@@ -398,7 +400,9 @@ def repair(
     ``audit`` has their edits, ``role`` and ``text`` their rows after the edits, ``illegal`` the
     neighbouring roles before them that don't go together, ``whole`` if there is only this one.
     """
-    order = ["conv_id", "turn", "role", "text", "number"]
+    # Short keys, as the planner takes a sample of them to the driver.
+    shown = [F.substring(c, 1, SHOWN) for c in ("role", "text")]
+    order = [F.col("conv_id"), F.col("turn"), *shown, F.col("same"), F.col("number")]
     ordered = faulty.repartitionByRange(*order).sortWithinPartitions(*order)
     segments = ordered.select("conv_id", "role", "text", "fault")
     segments = store(segments.mapInArrow(_cut(segment_rows, segment_bytes), _SEGMENTS), "op12-segments")

@@ -73,6 +73,10 @@ def test_vectors_are_few():
     assert len(tables().vectors) < 200 and tables().before.shape[1] == 10**op12_repair.BLOCK
 
 
+def _hash(role, text):
+    return hashlib.sha256(f"{len(role)}\0{role}\0{text}".encode()).hexdigest()
+
+
 def _brute(rows):
     space = lambda x: " " if x is None else str(x)
     after = defaultdict(list)
@@ -84,7 +88,7 @@ def _brute(rows):
         own += [(turn, role, text)] * (0 if h == 0 else 2 if h == 3 else 1)
     out = []
     for conv_id, own in after.items():
-        own.sort(key=lambda r: (r[0] is not None, *r))
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1][:100], r[2][:100], _hash(*r[1:])))
         turns, seen, marked = [r[0] for r in own if r[0] is not None], set(), []
         for _, role, text in own:
             end = text.rstrip(SPACES)[-1:]
@@ -122,6 +126,7 @@ def _edges(spark):
         *((6, k // 2, "user", "Same.") for k in range(30)), *((k, 0, "user", "Hi.") for k in range(10, 60)),
         *((7, k, ("user", "assistant")[k % 2], f"Turn {k}." * (k % 7)) for k in range(50)),
         (8, 0, "user", "long " * 20_000), (8, 1, "assistant", "Ünï。"),
+        *((9, 1, "user", "long " * 60 + f"{k}.") for k in range(9)),
     ]
     docs = [(*r, "b", 0, "x") for r in rows]
     return spark.createDataFrame(docs, "conv_id long, turn long, role string, text string, fault string, number int, symbols string")
