@@ -63,12 +63,14 @@ def _shards(links: DataFrame) -> DataFrame:
 
 
 def _targets(
-    links: DataFrame, buckets: int, urls: DataFrame, shards: DataFrame, wide: bool
+    links: DataFrame, buckets: int, urls: DataFrame, shards: DataFrame | None, wide: bool
 ) -> DataFrame:
-    """What the URLs link to, each once."""
-    of_url = urls.select(F.col("url").alias("src_url")).join(F.broadcast(shards), "src_url", "left")
-    last = F.coalesce("shards", F.lit(1)).cast("int") - 1
-    sources = of_url.select("src_url", F.explode(F.sequence(F.lit(0), last)).alias("shard"))
+    """What the URLs link to, each once; ``shards`` is None if no source is split."""
+    sources = urls.select(F.col("url").alias("src_url"), F.lit(0).alias("shard"))
+    if shards is not None:
+        of_url = sources.select("src_url").join(F.broadcast(shards), "src_url", "left")
+        last = F.coalesce("shards", F.lit(1)).cast("int") - 1
+        sources = of_url.select("src_url", F.explode(F.sequence(F.lit(0), last)).alias("shard"))
     if wide:
         found = links.join(sources.hint("shuffle_hash"), ["src_url", "shard"])
     else:
@@ -100,6 +102,7 @@ def reach(links: DataFrame, buckets: int, start_url: str, narrow: int = NARROW)
     base = intermediate_path(spark, "visited")
     name = f"sitewatch_{uuid.uuid4().hex}"
     shards = materialise(_shards(links), "shards")
+    shards = None if shards.isEmpty() else shards
 
     def append(urls: DataFrame, depth: int) -> int:
         counted = Observation()
@@ -118,7 +121,8 @@ def reach(links: DataFrame, buckets: int, start_url: str, narrow: int = NARROW)
         start = canonical_url(browser_url(F.lit(start_url)))
         depth, found = 0, append(spark.range(1).select(start.alias("url")), 0)
         while found:
-            last = spark.table(name).where(F.col("depth") == depth)
+            # By its own path, so that not all rounds' files are listed.
+            last = spark.read.schema("url string").parquet(f"{base}/depth={depth}").select("url")
             counted = Observation()
             targets = _targets(links, buckets, last, shards, found > narrow)
             targets = targets.observe(counted, F.count(F.lit(1)).alias("n"))
