@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sitewatch.llm import op1_repeats, op2_templates, op8_minhash
 from sitewatch.llm.components import components, merged
-from tests.llm.edge import EDGE, PROSE, edge, read, words
+from tests.llm.edge import EDGE, LONG, PROSE, edge, read, words
 
 
 def _kept(rows):
@@ -259,3 +259,16 @@ def test_digest(spark):
     assert {r.doc_id: r.d for r in kept} == {
         1: hashlib.sha256(b"a b").hexdigest(), 2: hashlib.sha256(b"").hexdigest()
     }
+
+
+def test_templates_of_edge_rows(spark):
+    """Clashing columns on both sides, NULLs, a very long text and a very long item."""
+    docs = edge(spark)
+    items = spark.createDataFrame(
+        [(1, " ".join(PROSE[:30]), 1, "x"), (2, LONG[:6_000], 2, None), (3, None, 3, "y"), (None, "a b c d e f", 4, "z")],
+        "item_id long, text string, doc_id long, template string",
+    )
+    rows = op2_templates.template_leaks(docs, items).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(1, 1), (2, 1), (3, 1), (7, 2), (8, 2)}
+    assert op2_templates.template_leaks(docs.limit(0), items).count() == 0
+    assert op2_templates.template_leaks(docs, items.limit(0)).count() == 0
