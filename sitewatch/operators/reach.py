@@ -3,6 +3,7 @@
 Links and visited URLs are laid out once in buckets by the same hash, so a round joins both where
 they are and only its own URLs move. A source with very many links is several shards, each in a
 bucket of its own. Each bucket is a folder, too, so a round of few URLs reads only their folders.
+Rounds that add few URLs are many, and add a file instead of a row of buckets.
 """
 
 import uuid
@@ -80,13 +81,24 @@ def _targets(
     return found.select(F.col("dst_url").alias("url")).distinct()
 
 
-def _without(targets: DataFrame, visited: DataFrame, buckets: int, wide: bool) -> DataFrame:
-    """The stored targets not among the visited URLs, which stay where they are."""
+def _without(
+    targets: DataFrame, few: DataFrame, many: DataFrame | None, buckets: int, wide: bool
+) -> DataFrame:
+    """The stored targets that are not visited; the URLs of wide rounds stay where they are.
+
+    ``few`` has the URLs of the other rounds, ``many`` is None before any wide one.
+    """
     if wide:
-        known = visited.select("url").join(targets.hint("shuffle_hash"), "url", "left_semi")
-        return targets.join(known.hint("shuffle_hash"), "url", "left_anti")
-    placed = targets.withColumn("zone", _zone(buckets, "url")).where("zone >= 0")
-    known = visited.join(F.broadcast(placed), ["zone", "url"], "left_semi").select("url")
+        fresh = targets
+        if many is not None:
+            known = many.select("url").join(targets.hint("shuffle_hash"), "url", "left_semi")
+            fresh = targets.join(known.hint("shuffle_hash"), "url", "left_anti")
+        return fresh.join(few.select("url"), "url", "left_anti")
+    known = few.join(F.broadcast(targets), "url", "left_semi").select("url")
+    if many is not None:
+        placed = targets.withColumn("zone", _zone(buckets, "url")).where("zone >= 0")
+        of_many = many.join(F.broadcast(placed), ["zone", "url"], "left_semi")
+        known = known.union(of_many.select("url"))
     return targets.join(F.broadcast(known), "url", "left_anti")
 
 
@@ -103,26 +115,31 @@ def reach(links: DataFrame, buckets: int, start_url: str, narrow: int = NARROW)
     name = f"sitewatch_{uuid.uuid4().hex}"
     shards = materialise(_shards(links), "shards")
     shards = None if shards.isEmpty() else shards
+    many = None
 
-    def append(urls: DataFrame, depth: int) -> int:
+    def add(urls: DataFrame, depth: int, wide: bool) -> int:
         counted = Observation()
-        (
-            urls.observe(counted, F.count(F.lit(1)).alias("n"))
-            .select("url", F.lit(depth).alias("depth"), _zone(buckets, "url"))
-            .write.mode("append")
-            .partitionBy("depth", "zone")
-            .bucketBy(buckets, "url")
-            .option("path", base)
-            .saveAsTable(name, format="parquet")
-        )
+        urls = urls.select("url").observe(counted, F.count(F.lit(1)).alias("n"))
+        if wide:
+            writer = urls.select("url", F.lit(depth).alias("depth"), _zone(buckets, "url")).write
+            writer = writer.mode("append").partitionBy("depth", "zone").bucketBy(buckets, "url")
+            writer.option("path", f"{base}/many").saveAsTable(name, format="parquet")
+        else:
+            urls.write.parquet(f"{base}/few/depth={depth}")
         return counted.get["n"]
 
+    def read(kind: str) -> DataFrame:
+        # By paths, as what was added a moment ago is to be seen.
+        return spark.read.schema("url string, depth int").parquet(f"{base}/{kind}").select("url", "depth")
+
     try:
         start = canonical_url(browser_url(F.lit(start_url)))
-        depth, found = 0, append(spark.range(1).select(start.alias("url")), 0)
+        depth, wide = 0, False
+        found = add(spark.range(1).select(start.alias("url")), 0, wide)
         while found:
-            # By its own path, so that not all rounds' files are listed.
-            last = spark.read.schema("url string").parquet(f"{base}/depth={depth}").select("url")
+            # By its own path, so that the planner sees the size of this round alone.
+            own = f"{base}/{'many' if wide else 'few'}/depth={depth}"
+            last = spark.read.schema("url string").parquet(own).select("url")
             counted = Observation()
             targets = _targets(links, buckets, last, shards, found > narrow)
             targets = targets.observe(counted, F.count(F.lit(1)).alias("n"))
@@ -130,13 +147,12 @@ def reach(links: DataFrame, buckets: int, start_url: str, narrow: int = NARROW)
                 targets = materialise_buckets(targets, "targets", buckets, "url")
             else:
                 targets = materialise(targets, "targets")
-            wide = counted.get["n"] > narrow
-            depth += 1
-            found = append(_without(targets, spark.table(name), buckets, wide), depth)
+            depth, wide = depth + 1, counted.get["n"] > narrow
+            found = add(_without(targets, read("few"), many, buckets, wide), depth, wide)
+            many = spark.table(name) if wide else many
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    stored = spark.read.schema("url string, depth int, zone int").parquet(base)
-    return stored.select("url", "depth")
+    return read("few").union(read("many")) if many is not None else read("few")
 
 
 def emitted_pages(
