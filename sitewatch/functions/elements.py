@@ -18,11 +18,24 @@ MARKUP = (
 )
 HIDING_STYLE = r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)"
 
-# Each piece of a page is a text and the markup behind it.
-_PIECE = rf"(?is)[^<]*+(?:{MARKUP}|<|$)".replace("$", r"\z")
 _NAME = r"(?is)\A</?([a-z][^\s/>]*+)"
 
 
+def _leaf(wanted: str) -> str:
+    """A pattern for an element of text alone, which opens and closes nothing else.
+
+    Its tag is plain, so that it ends at the first bracket, and can't be the wanted one.
+    """
+    plain = r"""[^<>&"']*+(?:(?:"[^"<>&]*+"|'[^'<>&]*+')[^<>&"']*+)*+"""
+    return rf"<([a-z][^\s/>]*+)(?=[\s>])(?![^<>]*{wanted}){plain}>[^<]*+</\1>"
+
+
+def _piece(wanted: str) -> str:
+    """A pattern for a text and a leaf or other markup behind it; a page is such pieces."""
+    markup = MARKUP.replace(r"\1", r"\2")
+    return rf"(?is)[^<]*+(?:{_leaf(wanted)}|{markup}|<|$)".replace("$", r"\z")
+
+
 def _attribute(name: str, value: str = "") -> str:
     """A pattern for a start tag with this attribute; of several the first counts."""
     ends = r"(?:[\s/>=]|$)"
@@ -41,14 +54,13 @@ def _value(markup: Column, name: str) -> Column:
 
 def _tags(pieces: Column, wanted: str) -> Column:
     """What the stack has to know of the pieces: their tags that open or close an element."""
-    markup = F.transform(
-        pieces, lambda piece: F.substring(piece, F.instr(piece, "<"), F.length(piece))
-    )
+    markup = F.transform(pieces, lambda p: F.substring(p, F.instr(p, "<"), F.lit(1 << 30)))
+    name = rf"(?is)\A(?!{_leaf(wanted)}\z)</?([a-z][^\s/>]*+)"
     named = F.transform(
         markup,
         lambda m, place: F.struct(
             (place + 1).alias("at"),
-            F.lower(F.regexp_extract(m, _NAME, 1)).alias("name"),
+            F.lower(F.regexp_extract(m, name, 2)).alias("name"),
             m.startswith("</").alias("ends"),
             m.alias("markup"),
         ),
@@ -108,7 +120,7 @@ def element_with_id(html: Column, wanted: str) -> Column:
     hold it are not taken apart. What it is inside of, and what comes behind it, is left out.
     """
     may_hold = html.contains(wanted) | html.rlike(r"""(?i)\bid\s*+=\s*+["']?[^"'\s>&]*+&""")
-    pieces = F.regexp_extract_all(F.when(may_hold, html), F.lit(_PIECE), F.lit(0))
+    pieces = F.regexp_extract_all(F.when(may_hold, html), F.lit(_piece(wanted)), F.lit(0))
     start = F.expr(
         "named_struct('stack', cast(array() as array<string>), 'hidden', 0, 'begins', 0, 'depth', 0, 'ends', 0)"
     )
