@@ -52,7 +52,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = op8_minhash.near_duplicates(docs, words=NEAR_WORDS)
     left = _aside(docs).join(*_is_in(groups.where(~F.col("stays"))), "left_anti")
     first = groups.where("stays AND many").groupBy("doc_id", "text_key").agg(F.count("*").alias("n"))
-    again, same = _is_in(store(first.where("n > 1"), "repeated"))
+    repeated = store(first.where("n > 1"), "repeated")
+    if repeated.isEmpty():  # then the documents are read, and joined, once
+        return left.select("__row.*")
+    again, same = _is_in(repeated)
     once = left.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
     return left.join(again, same, "left_anti").union(once).select("__row.*")
 
