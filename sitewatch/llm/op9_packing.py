@@ -23,11 +23,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitewatch.llm.common import own_columns, store, text_slices
-from sitewatch.llm.tokens import SLICE_BYTES, WORD_BPE, encoder
+from sitewatch.llm.tokens import WORD_BPE, encoder
 
 LENGTH = 4096
 END_ID = 2
 
+# Bytes of texts encoded at once, and parts of texts that a worker's encoder remembers.
+SLICE_BYTES = 4 << 20
+MOST_PARTS = 400_000
+
 _STREAM = "part long, at long, doc_id long, ids binary, n long"
 _PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -47,7 +51,8 @@ def token_stream(
     """Each document's ids, as little-endian 32-bit integers, with its place in its partition."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_texts, part, at = encoder(tokenizer, folder), TaskContext.get().partitionId(), 0
+        encode_texts = encoder(tokenizer, folder, False, MOST_PARTS)
+        part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
             for lo, hi, _, _ in text_slices(batch.column("text"), SLICE_BYTES):
                 ids, counts = encode_texts(batch.column("text").slice(lo, hi - lo))
