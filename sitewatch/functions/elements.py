@@ -20,6 +20,9 @@ HIDING_STYLE = r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)"
 
 _NAME = r"(?is)\A</?([a-z][^\s/>]*+)"
 
+# A control that no reference stands for.
+_BETWEEN = "\x01"
+
 
 def _leaf(wanted: str) -> str:
     """A pattern for an element of text alone, which opens and closes nothing else.
@@ -44,12 +47,10 @@ def _attribute(name: str, value: str = "") -> str:
 
 
 def _value(markup: Column, name: str) -> Column:
-    """An attribute of a start tag, its references resolved; empty if it has none."""
+    """An attribute of a start tag as it is written; empty if it has none."""
     found = F.regexp_extract(markup, _attribute(name, rf"\s*+=\s*+({VALUE})"), 2)
     quoted = found.startswith('"') | found.startswith("'")
-    return unescape(
-        F.when(quoted, F.substring(found, F.lit(2), F.length(found) - 2)).otherwise(found)
-    )
+    return F.when(quoted, F.substring(found, F.lit(2), F.length(found) - 2)).otherwise(found)
 
 
 def _tags(pieces: Column, wanted: str) -> Column:
@@ -71,19 +72,34 @@ def _tags(pieces: Column, wanted: str) -> Column:
 
     def of(tag: Column) -> Column:
         m, opens = tag["markup"], ~tag["ends"]
-        hidden = F.lower(m).contains("hidden") & m.rlike(_attribute("hidden"))
-        styled = F.lower(m).contains("style") & _value(m, "style").rlike(f"(?i){HIDING_STYLE}")
         # It shows the id, or an ``&`` that may spell part of it.
-        shows = m.contains(wanted) | m.contains("&")
+        shows = opens & (m.contains(wanted) | m.contains("&"))
+        styled = opens & F.lower(m).contains("style")
+        both = F.concat(
+            F.when(shows, _value(m, "id")).otherwise(""),
+            F.lit(_BETWEEN),
+            F.when(styled, _value(m, "style")).otherwise(""),
+        )
         return F.struct(
             tag["at"].alias("at"),
             tag["name"].alias("name"),
             tag["ends"].alias("ends"),
-            (opens & (hidden | styled)).alias("hides"),
-            (opens & shows & (_value(m, "id") == wanted)).alias("is_wanted"),
+            (opens & F.lower(m).contains("hidden") & m.rlike(_attribute("hidden"))).alias("hidden"),
+            # References resolved, in both at once: the rules for them are long.
+            F.split(F.when(shows | styled, unescape(both)), _BETWEEN).alias("values"),
         )
 
-    return F.transform(kept, of)
+    return F.transform(
+        F.transform(kept, of),
+        lambda tag: F.struct(
+            tag["at"].alias("at"),
+            tag["name"].alias("name"),
+            tag["ends"].alias("ends"),
+            (tag["hidden"] | F.coalesce(F.get(tag["values"], F.lit(1)).rlike(f"(?i){HIDING_STYLE}"), F.lit(False)))
+            .alias("hides"),
+            F.coalesce(F.get(tag["values"], F.lit(0)) == wanted, F.lit(False)).alias("is_wanted"),
+        ),
+    )
 
 
 def _next(state: Column, tag: Column) -> Column:
